@@ -1,0 +1,17 @@
+"""Unit conversions: bytes to GiB and seconds to hours."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+GIB = float(2 ** 30)
+SECONDS_PER_HOUR = 3600.0
+
+
+def to_gib(nbytes: Column) -> Column:
+    return nbytes.cast("double") / F.lit(GIB)
+
+
+def to_hours(seconds: Column) -> Column:
+    return seconds.cast("double") / F.lit(SECONDS_PER_HOUR)
