@@ -114,13 +114,14 @@ def task_rollup(task_stat: DataFrame) -> DataFrame:
         F.sum(F.when(over, 1)).alias("evictions"),
         F.avg(F.when(over, F.col("hours"))).alias("mean_ttf"),
         F.sum(F.when(over, F.col("hours") * F.col("memory"))).alias("failed_GB_hours"),
+        F.count(F.when(not_failed, 1)).alias("n_run"),
         F.sum(F.when(not_failed, F.col("hours"))).alias("run_time"),
         _picked("down").alias("inp"),
         _picked("up").alias("out"),
     )
     return agg.select(
         "task_id", "n_ok", "rss", "time_finished", "evictions", "mean_ttf", "failed_GB_hours",
-        "run_time",
+        "n_run", "run_time",
         to_gib(F.col("inp.size")).alias("input_size"),
         to_hours(F.col("inp.duration")).alias("input_duration"),
         F.col("inp").isNotNull().alias("has_input"),
