@@ -1,0 +1,240 @@
+"""Queries of the document path: landed listings and report documents, C2."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gridmeter.catalog import query
+from gridmeter.oracle import r6, with_views
+from gridmeter.operators import documents as docs
+from gridmeter.plans.usage_reports import usage_from_reports
+from gridmeter.sources import landed
+from gridmeter.sources.derived import landed_documents
+
+
+def _scanned(spark, sf_dir):
+    raw = landed_documents(spark, sf_dir)
+    return {
+        "datasets": landed.scan_datasets(raw["datasets"]),
+        "jobs": landed.scan_jobs(raw["jobs"]),
+        "tasks": landed.scan_tasks(raw["tasks"]),
+        "all_tasks": landed.scan_tasks(raw["tasks"], status=None),
+        "reports": landed.scan_reports(raw["reports"]),
+    }
+
+
+# Relational form of the document-path figures.
+_DOC_CTES = """
+fin AS (SELECT task_id, ts, memory, hours, cpu FROM (
+          SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY ts DESC, ord) AS rn
+          FROM evo WHERE has_resources) WHERE rn = 1),
+waste AS (SELECT task_id, sum(memory * hours) AS w FROM evo WHERE overuse AND has_resources
+          GROUP BY task_id),
+lastr AS (SELECT task_id, site, hostname FROM (
+            SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY ord DESC) AS rn FROM evo)
+          WHERE rn = 1),
+xr AS (SELECT task_stat_id, kind, sum(size) AS s, sum(duration) AS d FROM xfer
+       WHERE error IS NOT TRUE GROUP BY task_stat_id, kind),
+cand AS (SELECT e.task_id, e.ord, x.kind, x.s, x.d FROM evo e
+         JOIN xr x ON x.task_stat_id = e.task_stat_id WHERE NOT e.has_summary),
+lastx AS (SELECT task_id, kind, CAST(s AS DOUBLE) / 1073741824.0 AS gib, d / 3600.0 AS hrs FROM (
+            SELECT *, row_number() OVER (PARTITION BY task_id, kind ORDER BY ord DESC) AS rn
+            FROM cand) WHERE rn = 1)
+"""
+
+
+def _doc_sql(select: str, *extra: str) -> str:
+    base = with_views("SELECT 1", "evo", "xfer", "rt", *extra)
+    head = base[: base.rindex("SELECT 1")].rstrip()
+    return head + ",\n" + _DOC_CTES.strip() + "\n" + select.strip()
+
+
+_REQ_COLS = """
+       CASE WHEN rt.req_kind = 0 THEN CAST(rt.task_id % 16 AS DOUBLE)
+            WHEN rt.req_kind = 2 THEN 2.5 END AS memory_req,
+       CASE WHEN rt.req_kind = 0 THEN 1.0 END AS cpu_req,
+       CASE WHEN rt.req_kind = 2 THEN 1.0 END AS gpu_req"""
+
+_USAGE_SELECT = f"""
+SELECT rt.dataset, rt.task_index AS task, rt.job_index AS job, {_REQ_COLS},
+       fin.ts AS time_finished, {r6('fin.memory')} AS memory_used, {r6('fin.hours')} AS time_used,
+       fin.cpu AS cpu_used, {r6('coalesce(waste.w, 0.0)')} AS mem_wastage,
+       lastr.site, lastr.hostname,
+       {r6('i.gib')} AS input_size, {r6('i.hrs')} AS input_duration,
+       {r6('o.gib')} AS output_size, {r6('o.hrs')} AS output_duration
+FROM rt
+LEFT JOIN fin ON fin.task_id = rt.task_id
+LEFT JOIN waste ON waste.task_id = rt.task_id
+LEFT JOIN lastr ON lastr.task_id = rt.task_id
+LEFT JOIN lastx i ON i.task_id = rt.task_id AND i.kind = 'download'
+LEFT JOIN lastx o ON o.task_id = rt.task_id AND o.kind = 'upload'
+WHERE rt.o_orderstatus = 'F'
+"""
+
+
+def _usage(spark, sf_dir):
+    s = _scanned(spark, sf_dir)
+    return usage_from_reports(s["datasets"], s["jobs"], s["tasks"], s["reports"])
+
+
+@query("usage_from_reports", _doc_sql(_USAGE_SELECT))
+def q_usage_from_reports(spark, sf_dir):
+    """One usage row per completed task from landed documents."""
+    return _usage(spark, sf_dir)
+
+
+@query("usage_sorted", _doc_sql(_USAGE_SELECT))
+def q_usage_sorted(spark, sf_dir):
+    """O1: the same rows, grouped by dataset and sorted by (dataset, task, job)."""
+    from gridmeter.plans.usage_reports import sort_for_write
+    return sort_for_write(_usage(spark, sf_dir))
+
+
+@query("report_explode", with_views("""
+SELECT CAST(rt.dataset_id AS VARCHAR) AS dataset_id, CAST(rt.task_id AS VARCHAR) AS task_id,
+       evo.ord, CAST(evo.event_id AS VARCHAR) AS stat_id
+FROM rt LEFT JOIN evo ON evo.task_id = rt.task_id
+""", "rt", "evo"))
+def q_report_explode(spark, sf_dir):
+    """Report documents to one row per report with its document position;
+    a task without reports keeps a row (posexplode_outer)."""
+    s = _scanned(spark, sf_dir)
+    return docs.explode_reports(s["reports"]).select("dataset_id", "task_id", "ord", "stat_id")
+
+
+@query("double_encoded_json", with_views("""
+SELECT CAST(ev.event_id AS VARCHAR) AS stat_id,
+       count(x.kind) FILTER (WHERE x.kind = 'download') AS n_download,
+       count(x.kind) FILTER (WHERE x.kind = 'upload') AS n_upload
+FROM ev LEFT JOIN xfer x ON x.task_stat_id = ev.event_id
+WHERE ev.has_task_stats
+GROUP BY ev.event_id
+""", "ev", "xfer"))
+def q_double_encoded_json(spark, sf_dir):
+    """task_stats held as an object or as a string of JSON read alike."""
+    from gridmeter.schemas import TASK_STATS
+    e = docs.explode_reports(_scanned(spark, sf_dir)["reports"])
+    e = e.where(F.col("stats.task_stats").isNotNull())
+    ts = F.from_json(F.col("stats.task_stats"), TASK_STATS)
+    return e.select("stat_id",
+                    F.coalesce(F.size(ts["download"]), F.lit(0)).cast("bigint").alias("n_download"),
+                    F.coalesce(F.size(ts["upload"]), F.lit(0)).cast("bigint").alias("n_upload"))
+
+
+@query("transfers_ok_lenient", with_views(f"""
+SELECT CAST(task_stat_id AS VARCHAR) AS stat_id, kind, size, {r6('duration')} AS duration
+FROM xfer WHERE error IS NOT TRUE
+""", "xfer"))
+def q_transfers_ok_lenient(spark, sf_dir):
+    """Good transfers of the document path: error not truthy, a
+    missing error counts (string-encoded task_stats included)."""
+    from gridmeter.functions.json import json_truthy
+    t = docs.explode_transfers(_scanned(spark, sf_dir)["reports"])
+    return t.where(~json_truthy("error")).select("stat_id", "kind", "size", "duration")
+
+
+@query("final_report", _doc_sql(f"""
+SELECT CAST(task_id AS VARCHAR) AS task_id, ts AS time_finished,
+       {r6('memory')} AS memory_used, {r6('hours')} AS time_used FROM fin
+"""))
+def q_final_report(spark, sf_dir):
+    """The latest report carrying resources, per task."""
+    f = docs.task_figures(_scanned(spark, sf_dir)["reports"]).where(F.col("used").isNotNull())
+    return f.select("task_id", "time_finished",
+                    F.col("used")["memory"].try_cast("double").alias("memory_used"),
+                    F.col("used")["time"].try_cast("double").alias("time_used"))
+
+
+@query("resources_pivot", _doc_sql(f"""
+SELECT CAST(task_id AS VARCHAR) AS task_id, {r6('memory')} AS memory_used,
+       {r6('hours')} AS time_used, cpu AS cpu_used FROM fin
+"""))
+def q_resources_pivot(spark, sf_dir):
+    """P5: the final report's resources as `<key>_used` columns (keys discovered)."""
+    from gridmeter.operators.pivot import flatten_map
+    f = docs.task_figures(_scanned(spark, sf_dir)["reports"]).where(F.col("used").isNotNull())
+    return flatten_map(f.select("task_id", "used"), "used", "_used")
+
+
+@query("requirements_pivot", with_views(f"""
+SELECT CAST(rt.task_id AS VARCHAR) AS task_id, {_REQ_COLS}
+FROM rt WHERE rt.o_orderstatus = 'F'
+""", "rt"))
+def q_requirements_pivot(spark, sf_dir):
+    """Requirements as `<key>_req` columns; `os` dropped."""
+    from gridmeter.operators.pivot import flatten_map
+    t = _scanned(spark, sf_dir)["tasks"].select("task_id", "requirements")
+    return flatten_map(t, "requirements", "_req", drop=("os",))
+
+
+@query("mem_wastage", _doc_sql(f"""
+SELECT CAST(rt.task_id AS VARCHAR) AS task_id, {r6('coalesce(waste.w, 0.0)')} AS mem_wastage
+FROM rt LEFT JOIN waste ON waste.task_id = rt.task_id
+"""))
+def q_mem_wastage(spark, sf_dir):
+    """memory*time over overuse reports with resources; 0.0 when none."""
+    f = docs.task_figures(_scanned(spark, sf_dir)["reports"])
+    return f.select("task_id", "mem_wastage")
+
+
+@query("last_site", _doc_sql("""
+SELECT CAST(task_id AS VARCHAR) AS task_id, site, hostname FROM lastr
+"""))
+def q_last_site(spark, sf_dir):
+    """Site and hostname of the last report in document order (even null)."""
+    f = docs.task_figures(_scanned(spark, sf_dir)["reports"]).where("n_reports > 0")
+    return f.select("task_id", "site", "hostname")
+
+
+@query("last_transfer_totals", _doc_sql(f"""
+SELECT CAST(t.task_id AS VARCHAR) AS task_id, {r6('i.gib')} AS input_size,
+       {r6('i.hrs')} AS input_duration, {r6('o.gib')} AS output_size,
+       {r6('o.hrs')} AS output_duration
+FROM (SELECT DISTINCT task_id FROM lastx) t
+LEFT JOIN lastx i ON i.task_id = t.task_id AND i.kind = 'download'
+LEFT JOIN lastx o ON o.task_id = t.task_id AND o.kind = 'upload'
+"""))
+def q_last_transfer_totals(spark, sf_dir):
+    """Totals of the last report without error_summary having good
+    transfers, per direction."""
+    f = docs.task_figures(_scanned(spark, sf_dir)["reports"])
+    return f.where(F.col("input_size").isNotNull() | F.col("output_size").isNotNull()).select(
+        "task_id", "input_size", "input_duration", "output_size", "output_duration")
+
+
+@query("report_diagnostics", with_views("""
+SELECT CAST(task_id AS VARCHAR) AS task_id, CAST(event_id AS VARCHAR) AS stat_id,
+       'overuse_without_resources' AS reason
+FROM ev WHERE overuse AND NOT has_resources
+""", "ev"))
+def q_report_diagnostics(spark, sf_dir):
+    """Unusable reports routed to a diagnostics table with a reason."""
+    d = docs.report_diagnostics(_scanned(spark, sf_dir)["reports"])
+    return d.select("task_id", "stat_id", "reason")
+
+
+@query("job_lookup", with_views("""
+SELECT CAST(task_id AS VARCHAR) AS task_id, job_index FROM rt WHERE o_orderstatus = 'F'
+""", "rt"))
+def q_job_lookup(spark, sf_dir):
+    """Completed task -> its job within the dataset's job listing."""
+    s = _scanned(spark, sf_dir)
+    return s["tasks"].join(s["jobs"], ["dataset_id", "job_id"]).select("task_id", "job_index")
+
+
+@query("dataset_tally", _doc_sql("""
+SELECT d.dataset, coalesce(t.n_tasks, 0) AS n_tasks, coalesce(j.n_jobs, 0) AS n_jobs,
+       coalesce(t.n_tasks, 0) AS n_rows
+FROM (SELECT 20000 + n_nationkey AS dataset, CAST(n_nationkey AS VARCHAR) AS dataset_id
+      FROM nation) d
+LEFT JOIN (SELECT dataset_id, count(*) AS n_tasks FROM rt WHERE o_orderstatus = 'F'
+           GROUP BY dataset_id) t ON t.dataset_id = d.dataset_id
+LEFT JOIN (SELECT CAST(c_nationkey AS VARCHAR) AS dataset_id, count(*) AS n_jobs
+           FROM customer GROUP BY c_nationkey) j ON j.dataset_id = d.dataset_id
+"""))
+def q_dataset_tally(spark, sf_dir):
+    """Per dataset, tasks and jobs listed and usage rows produced."""
+    from gridmeter.plans.harvest import dataset_tally
+    s = _scanned(spark, sf_dir)
+    usage = usage_from_reports(s["datasets"], s["jobs"], s["tasks"], s["reports"])
+    return dataset_tally(s["datasets"], s["tasks"], s["jobs"], usage)
