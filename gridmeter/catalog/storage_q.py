@@ -1,0 +1,146 @@
+"""Queries of the table copy and of the table contracts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gridmeter.catalog import query
+from gridmeter.catalog.tables_q import _NUMERIC_NAMED, _numeric_named, _views
+from gridmeter.oracle import r6, with_views
+from gridmeter.operators import copy, quality
+from gridmeter.sources.derived import load
+
+_LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+            "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
+_LI_OUT = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_quantity, 6) AS l_quantity, "
+           "round(l_extendedprice, 6) AS l_extendedprice, round(l_discount, 6) AS l_discount, "
+           "round(l_tax, 6) AS l_tax, l_returnflag, l_linestatus, l_shipdate")
+
+
+@query("insert_ignore", f"""
+WITH t AS (SELECT {_LI_COLS} FROM (
+             SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                          ORDER BY {_LI_COLS}) AS rn
+             FROM lineitem WHERE l_returnflag = 'R') WHERE rn = 1),
+     b AS (SELECT {_LI_COLS} FROM (
+             SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                          ORDER BY {_LI_COLS}) AS rn
+             FROM lineitem) WHERE rn = 1),
+     u AS (SELECT * FROM t
+           UNION ALL
+           SELECT * FROM b WHERE NOT EXISTS (
+             SELECT 1 FROM t WHERE t.l_orderkey = b.l_orderkey AND t.l_linenumber = b.l_linenumber))
+SELECT {_LI_OUT} FROM u
+""")
+def q_insert_ignore(spark, sf_dir):
+    """Insert ignoring existing keys (in the target or earlier in the batch):
+    first the 'R' rows, then all rows, keyed on (l_orderkey, l_linenumber)."""
+    li = load(spark, sf_dir, "lineitem")
+    key = ["l_orderkey", "l_linenumber"]
+    target = copy.insert_ignore(None, li.where(F.col("l_returnflag") == "R"), key)
+    return copy.insert_ignore(target, li, key)
+
+
+@query("copy_filtered", f"""
+WITH {_NUMERIC_NAMED}
+SELECT n.p_partkey, n.name, p.p_size FROM named n JOIN part p ON p.p_partkey = n.p_partkey
+WHERE (try_cast(n.name AS DOUBLE) IS NULL OR try_cast(n.name AS DOUBLE) <> 4)
+  AND (try_cast(n.name AS DOUBLE) IS NULL OR try_cast(n.name AS DOUBLE) > 1)
+""")
+def q_copy_filtered(spark, sf_dir):
+    """Copy rows passing the name rules (`name != 4 AND name > 1`,
+    numeric names compared as numbers, text names pass) into an empty table."""
+    from gridmeter.functions.text import name_above, name_not_equal
+    src = _numeric_named(spark, sf_dir).join(
+        load(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    return copy.copy_table(src, None, ["p_partkey"],
+                           name_not_equal("name", 4) & name_above("name", 1))
+
+
+@query("copy_semi_join", with_views(f"""
+SELECT ev.task_stat_id, ev.task_id FROM ev
+WHERE ev.has_resources AND ev.task_id IN (
+  SELECT tk.task_id FROM tk JOIN (
+    SELECT p_partkey AS task_rel_id, p_partkey % 25 AS dataset_id,
+           CASE WHEN p_partkey % 10 = 0 THEN CAST(p_partkey % 6 AS VARCHAR) ELSE p_type END AS name
+    FROM part) r ON r.task_rel_id = tk.task_rel_id
+  WHERE (try_cast(r.name AS DOUBLE) IS NULL OR try_cast(r.name AS DOUBLE) > 4)
+    AND r.dataset_id IN (SELECT n_nationkey FROM nation
+                         WHERE try_cast(n_name AS DOUBLE) IS NULL
+                            OR try_cast(n_name AS DOUBLE) <> 20000))
+""", "ev", "tk"))
+def q_copy_semi_join(spark, sf_dir):
+    """Reports worth copying whose task belongs to a kept task type of
+    a kept dataset (two-level semi-join with an inner join inside)."""
+    from gridmeter.functions.text import name_above, name_not_equal
+    v = _views(spark, sf_dir)
+    named = _numeric_named(spark, sf_dir).withColumnRenamed("p_partkey", "task_rel_id")
+    rel = v.task_rel.drop("name").join(named, "task_rel_id")
+    datasets = v.dataset.where(name_not_equal("name", 20000)).select("dataset_id")
+    rel = rel.where(name_above("name", 4)).join(datasets, "dataset_id", "left_semi")
+    tasks = v.task.join(rel, "task_rel_id").select("task_id")
+    stats = copy.resource_reports(v.task_stat).join(tasks, "task_id", "left_semi")
+    return stats.select("task_stat_id", "task_id")
+
+
+@query("check_unique", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""")
+def q_check_unique(spark, sf_dir):
+    """Primary-key uniqueness (repeated keys with their count)."""
+    return quality.check_unique(load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("check_references", with_views("""
+SELECT 'search' AS child, 'task_id' AS column_name, 'task' AS parent,
+       count(*) FILTER (WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS n_orphans
+FROM orders
+UNION ALL SELECT 'search', 'job_id', 'job',
+       count(*) FILTER (WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) FROM orders
+UNION ALL SELECT 'search', 'dataset_id', 'dataset',
+       count(*) FILTER (WHERE (o_orderkey % 200) % 25 NOT IN (SELECT n_nationkey FROM nation))
+FROM orders
+UNION ALL SELECT 'task_rel', 'dataset_id', 'dataset',
+       count(*) FILTER (WHERE p_partkey % 25 NOT IN (SELECT n_nationkey FROM nation)) FROM part
+UNION ALL SELECT 'task', 'task_rel_id', 'task_rel',
+       count(*) FILTER (WHERE o_orderkey % 200 NOT IN (SELECT p_partkey FROM part)) FROM orders
+UNION ALL SELECT 'task_stat', 'task_id', 'task',
+       count(*) FILTER (WHERE event_id // 3 NOT IN (SELECT o_orderkey FROM orders)) FROM events
+""", "ev"))
+def q_check_references(spark, sf_dir):
+    """Referential integrity (orphan count per reference)."""
+    from gridmeter.schemas import REFERENCES
+    return quality.check_references(dict(_views(spark, sf_dir).items()), REFERENCES)
+
+
+@query("check_not_null", "SELECT 'lineitem' AS table_name, column_name, n_null FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM lineitem"
+    for c in _LI_COLS.split(", ")) + ")")
+def q_check_not_null(spark, sf_dir):
+    """D3: NULL count per column (one scan, all columns)."""
+    return quality.check_not_null(load(spark, sf_dir, "lineitem"), "lineitem")
+
+
+@query("fill_defaults", f"""
+SELECT o.o_orderkey, coalesce(l.l_linenumber, 0) AS l_linenumber,
+       {r6('coalesce(l.l_quantity, 0)')} AS l_quantity
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+""")
+def q_fill_defaults(spark, sf_dir):
+    """Column defaults (0) applied where values are missing."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey")
+    li = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
+                                                "l_linenumber", "l_quantity")
+    return quality.fill_defaults(o.join(li, "o_orderkey", "left"), ["l_linenumber", "l_quantity"])
+
+
+@query("union_rows", """
+SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment,
+       s_suppkey, s_name, s_nationkey, round(s_acctbal, 6) AS s_acctbal
+FROM (SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier)
+""")
+def q_union_rows(spark, sf_dir):
+    """Stack rows with differing columns; missing columns are NULL."""
+    return load(spark, sf_dir, "customer").unionByName(load(spark, sf_dir, "supplier"),
+                                                       allowMissingColumns=True)

@@ -12,3 +12,41 @@ def resource_reports(task_stat: DataFrame) -> DataFrame:
     The match ignores case, as the source store's LIKE does for ASCII.
     """
     return task_stat.where((F.length("stat") > 8) & F.col("stat").ilike("%resources%"))
+
+
+def first_per_key(batch: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
+    """One row per key: the smallest by `order` (default: all columns).
+
+    Expressed as `min(struct(order..., row))` per key, an aggregate with
+    partial aggregation: a key repeated across a third of the batch is
+    reduced inside every input partition before the shuffle, instead of
+    being sorted whole in one window partition.
+    """
+    order = order or [c for c in batch.columns]
+    rest = [c for c in batch.columns if c not in order]
+    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_row")
+    agg = batch.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]).agg(
+        F.min(packed).alias("_row"))
+    return agg.select(*[F.col(f"_row.{c}").alias(c) for c in batch.columns])
+
+
+def insert_ignore(target: DataFrame | None, batch: DataFrame, key: list[str],
+                  order: list[str] | None = None) -> DataFrame:
+    """Insert `batch` into `target`, ignoring rows whose key already exists.
+
+    A key present in the target keeps the target row; a key repeated within
+    the batch keeps its first row by `order` (default: all columns, a total
+    order).  Result: target rows plus the new rows.
+    """
+    new = first_per_key(batch, key, order)
+    if target is None:
+        return new
+    new = new.join(target.select(*key), key, "left_anti")
+    return target.unionByName(new.select(*target.columns))
+
+
+def copy_table(source: DataFrame, target: DataFrame | None, key: list[str],
+               predicate=None) -> DataFrame:
+    """Copy the rows of `source` matching `predicate` into `target` (insert-ignore)."""
+    rows = source.where(predicate) if predicate is not None else source
+    return insert_ignore(target, rows, key)
