@@ -21,3 +21,54 @@ def dataset_tally(datasets: DataFrame, tasks: DataFrame, jobs: DataFrame,
              .join(nr, "dataset", "left")
              .select("dataset", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
                                   for c in ("n_tasks", "n_jobs", "n_rows")]))
+
+
+def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
+            used_keys=None) -> DataFrame:
+    """Harvest landed documents of the datasets not yet in the ledger.
+
+    `include` (dataset numbers, or a DataFrame with a `dataset_id` column)
+    selects exactly those datasets, re-harvesting them even when already
+    present.  Usage goes to `<out>/usage` (partition per dataset), the
+    per-dataset tally to `<out>/_ledger`; the ledger, not the usage
+    directory, decides what is done, so a dataset with no rows counts as
+    harvested.  Returns the ledger rows of this run.
+    """
+    from gridmeter.plans.usage_reports import usage_from_reports
+    from gridmeter.sources import landed, sinks
+
+    raw = {k: landed.read_landed(spark, landing, k)
+           for k in ("datasets", "tasks", "jobs", "reports")}
+    datasets = landed.scan_datasets(raw["datasets"])
+    key = F.col("dataset").cast("string")
+    if include is None:
+        done = sinks.read_ledger(spark, f"{out}/_ledger").select(
+            F.col("dataset").cast("string").alias("_done"))
+        work = datasets.join(done, key == F.col("_done"), "left_anti")
+    elif isinstance(include, DataFrame):
+        work = datasets.join(include.select("dataset_id").distinct(), "dataset_id", "left_semi")
+    else:
+        work = datasets.where(key.isin([str(v) for v in include]))
+    ids = work.select("dataset_id")
+    tasks = landed.scan_tasks(raw["tasks"]).join(ids, "dataset_id", "left_semi")
+    jobs = landed.scan_jobs(raw["jobs"]).join(ids, "dataset_id", "left_semi")
+    reports = landed.scan_reports(raw["reports"]).join(ids, "dataset_id", "left_semi")
+    usage = usage_from_reports(work, jobs, tasks, reports, req_keys=req_keys,
+                               used_keys=used_keys)
+    sinks.write_usage(usage, f"{out}/usage")
+    # Tally from the written table: the write is the durable cut of lineage.
+    written = sinks.read_table(spark, f"{out}/usage", None)
+    if written is None:
+        written = usage.limit(0)
+    written = written.join(work.select("dataset"), "dataset", "left_semi")
+    sinks.write_ledger(dataset_tally(work, tasks, jobs, written), f"{out}/_ledger")
+    ledger = sinks.read_ledger(spark, f"{out}/_ledger")
+    return ledger.join(work.select("dataset"), "dataset", "left_semi")
+
+
+def export_configs(spark, landing: str, out: str) -> DataFrame:
+    """C4: write every dataset's config document as one line; return the
+    datasets without a config (diagnostics)."""
+    from gridmeter.sources import landed, sinks
+    configs = landed.scan_configs(landed.read_landed(spark, landing, "configs"))
+    return sinks.write_configs(configs, out)
