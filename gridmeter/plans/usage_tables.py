@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmeter.functions.ids import id2num
 from gridmeter.functions.json import json_text
@@ -42,6 +43,11 @@ def task_rel_usable(task_rel: DataFrame) -> DataFrame:
 
 
 def completed(search: DataFrame) -> DataFrame:
+    """Completed tasks.  On a byte-string status the comparison is made on the
+    bytes, so the filter is pushed into the Parquet scan (a decoded
+    comparison could not be)."""
+    if isinstance(search.schema["task_status"].dataType, T.BinaryType):
+        return search.where(F.col("task_status") == F.lit(bytearray(b"complete")))
     return search.where(F.col("task_status") == "complete")
 
 
@@ -52,6 +58,7 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
     `dataset` / `name` restrict to one dataset id / task name and `limit`
     keeps the first rows by task_id: a debugging slice.
     """
+    search = completed(tables.search).select("task_id", "job_id")
     t = tables if normalized else normalize(tables)
 
     rel = task_rel_usable(t.task_rel)
@@ -68,7 +75,6 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
 
     task = t.task.select("task_id", "task_rel_id",
                          *[c.alias(k) for k, c in memory_parts("requirements", "task").items()])
-    search = completed(t.search).select("task_id", "job_id")
     job = t.job.select("job_id", "job_index")
 
     rollup = (task_rollup(t.task_stat)
