@@ -80,9 +80,17 @@ def task_figures(reports: DataFrame) -> DataFrame:
         "up": F.expr(f"try_element_at(filter({_good('upload')}, "
                      "x -> x.elig AND size(x.good) > 0), -1).good"),
     })
+    # A report the reference could not read (no task_stats outside an error
+    # report, or a good transfer without size/duration); see report_diagnostics.
+    unreadable = F.exists(F.col("reports"), lambda x: x["s"]["error_summary"].isNull() & (
+        x["s"]["task_stats"].isNull() | F.exists(
+            F.concat(F.coalesce(F.from_json(x["s"]["task_stats"], TASK_STATS)["download"], F.array()),
+                     F.coalesce(F.from_json(x["s"]["task_stats"], TASK_STATS)["upload"], F.array())),
+            lambda f: ~json_truthy(f["error"]) & (f["size"].isNull() | f["duration"].isNull()))))
     return r.select(
         "dataset_id", "task_id",
         F.expr("size(reports)").alias("n_reports"),
+        F.coalesce(unreadable, F.lit(False)).alias("unreadable"),
         F.expr("try_cast(final.s.time AS TIMESTAMP_NTZ)").alias("time_finished"),
         F.expr("final.s.resources").alias("used"),
         F.expr(waste).alias("mem_wastage"),

@@ -87,11 +87,20 @@ def report_figures(reports: DataFrame) -> DataFrame:
     )
 
 
-def _picked(direction: str) -> Column:
-    """Totals of the smallest report id having at least one good transfer."""
+def _picked(direction: str) -> dict[str, Column]:
+    """Totals of the smallest report id having at least one good transfer.
+
+    Split into scalar min_by aggregates over doubles (fixed-width buffers),
+    so the whole rollup stays a hash aggregate rather than a sort aggregate.
+    """
     t = F.col(direction)
-    return F.min_by(F.struct(t["size"].alias("size"), t["duration"].alias("duration")),
-                    F.when(t["n"] > 0, F.col("task_stat_id")))
+    ordering = F.when(t["n"] > 0, F.col("task_stat_id"))
+    name = "input" if direction == "down" else "output"
+    return {
+        f"has_{name}": F.min(ordering).isNotNull(),
+        f"{name}_size": F.min_by(to_gib(t["size"]), ordering),
+        f"{name}_duration": F.min_by(to_hours(t["duration"]), ordering),
+    }
 
 
 def task_rollup(task_stat: DataFrame) -> DataFrame:
@@ -116,19 +125,10 @@ def task_rollup(task_stat: DataFrame) -> DataFrame:
         F.sum(F.when(over, F.col("hours") * F.col("memory"))).alias("failed_GB_hours"),
         F.count(F.when(not_failed, 1)).alias("n_run"),
         F.sum(F.when(not_failed, F.col("hours"))).alias("run_time"),
-        _picked("down").alias("inp"),
-        _picked("up").alias("out"),
-    )
-    return agg.select(
-        "task_id", "n_ok", "rss", "time_finished", "evictions", "mean_ttf", "failed_GB_hours",
-        "n_run", "run_time",
-        to_gib(F.col("inp.size")).alias("input_size"),
-        to_hours(F.col("inp.duration")).alias("input_duration"),
-        F.col("inp").isNotNull().alias("has_input"),
-        to_gib(F.col("out.size")).alias("output_size"),
-        to_hours(F.col("out.duration")).alias("output_duration"),
-        F.col("out").isNotNull().alias("has_output"),
+        *[c.alias(k) for k, c in _picked("down").items()],
+        *[c.alias(k) for k, c in _picked("up").items()],
     )
+    return agg
 
 
 def explode_transfers(task_stat: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def report_problems(task_stat: DataFrame) -> DataFrame:
     """
     r = parse_reports(task_stat, keep_text=True)
     raw = F.from_json(F.col("stat"), REPORT)
-    reason = (F.when(F.col("stat").isNull() | raw.isNull(), "unparseable_report")
+    reason = (F.when(F.json_object_keys(F.col("stat")).isNull(), "unparseable_report")
                .when(F.col("error_text").isNotNull() & F.col("error_flag").isNull(),
                      "bad_error_value")
                .when((raw["resources"]["memory"].isNotNull() & F.col("memory").isNull())

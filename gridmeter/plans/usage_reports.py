@@ -44,8 +44,9 @@ def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
     `datasets`, `jobs`, `tasks` are the scanned listings (sources.landed);
     `reports` has (dataset_id, task_id, doc).  Key lists for the
     requirement/resource columns are discovered when not given.
-    `strict=True` raises at run time when a task's job is missing, instead
-    of leaving the task out.
+    `strict=True` raises at run time when a task's job is missing or one of
+    its reports cannot be read (instead of leaving the task out / reading
+    NULL and listing the report in `report_diagnostics`).
     """
     t = tasks.select("dataset_id", "task_id", "job_id", "task_index", "requirements")
     j = jobs.select("dataset_id", "job_id", "job_index")
@@ -58,6 +59,10 @@ def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
     else:
         tj = t.join(j, ["dataset_id", "job_id"])
     fig = task_figures(reports)
+    if strict:
+        fig = fig.withColumn("_chk", F.when(F.col("unreadable"), F.raise_error(
+            F.concat(F.lit("unreadable report in task "), F.col("task_id")))))
+        fig = fig.where(F.col("_chk").isNull()).drop("_chk")
     ds = broadcast_if_small(datasets.select("dataset_id", "dataset"))
     x = (tj.join(fig, ["dataset_id", "task_id"], "left")
            .join(ds, "dataset_id")
@@ -65,7 +70,8 @@ def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
     x = flatten_map(x, "requirements", "_req", keys=req_keys, drop=("os",))
     x = flatten_map(x, "used", "_used", keys=used_keys)
     lead = [F.col("dataset"), F.col("task_index").alias("task"), F.col("job_index").alias("job")]
-    skip = {"dataset", "task_index", "job_index", "dataset_id", "job_id", "n_reports"}
+    skip = {"dataset", "task_index", "job_index", "dataset_id", "job_id", "n_reports",
+            "unreadable"}
     if not keep_task_id:
         skip.add("task_id")
     rest = [c for c in x.columns if c not in skip]
