@@ -15,8 +15,8 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -26,7 +26,7 @@ from gridmeter.functions.ids import id2num  # noqa: E402
 from gridmeter.operators import copy  # noqa: E402
 from gridmeter.plans.usage_reports import usage_from_reports  # noqa: E402
 from gridmeter.plans.usage_tables import usage_from_tables  # noqa: E402
-from gridmeter.session import get_session  # noqa: E402
+from gridmeter.session import get_session, scratch_path  # noqa: E402
 from gridmeter.sources import landed  # noqa: E402
 from gridmeter.sources.derived import landed_documents, load, table_views  # noqa: E402
 from gridmeter.sources.tables import Tables, normalize  # noqa: E402
@@ -127,7 +127,7 @@ def main():
     # Large tables are laid out as several files, as a real source table is
     # (a single small file would give one scan task however many cores).
     n_files = 2 * int(cpus)
-    scratch = tempfile.mkdtemp(prefix="gridmeter-bench-")
+    scratch = scratch_path(spark, f"bench-{uuid.uuid4().hex[:8]}")
     for name, df in table_views(spark, sf_dir).items():
         df = df.repartition(n_files) if name in ("task", "search", "job", "task_stat") \
             else df.coalesce(1)

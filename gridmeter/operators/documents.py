@@ -37,14 +37,6 @@ def _overuse(x: str) -> str:
     return f"coalesce(startswith({x}.s.error_summary, '{OVERUSE_PREFIX}'), false)"
 
 
-def _good(direction: str) -> str:
-    """Per report: eligibility and the good transfers of one direction."""
-    return (f"transform(reports, x -> named_struct("
-            f"'elig', x.s.error_summary IS NULL, "
-            f"'good', filter(from_json(x.s.task_stats, '{TASK_STATS}').{direction}, "
-            f"f -> NOT ({TRUTHY.format(x='f.error')}))))")
-
-
 def _totals(picked: str, prefix: str) -> dict[str, F.Column]:
     size = (f"aggregate({picked}, CAST(0 AS DECIMAL(38,0)), "
             "(a, f) -> CAST(a + coalesce(try_cast(f.size AS BIGINT), 0) AS DECIMAL(38,0)))")
@@ -59,43 +51,59 @@ def with_report_array(reports: DataFrame) -> DataFrame:
     return reports.withColumn("reports", F.expr(REPORTS))
 
 
+# Per report: task_stats parsed once (object or JSON string alike), then the
+# good transfers of each direction.
+_PARSED = (f"transform(reports, x -> named_struct('ord', x.ord, "
+           f"'elig', x.s.error_summary IS NULL, 'has_ts', x.s.task_stats IS NOT NULL, "
+           f"'ts', from_json(x.s.task_stats, '{TASK_STATS}')))")
+_GOOD = ("transform(parsed, y -> named_struct('elig', y.elig, "
+         "'down', filter(y.ts.download, f -> NOT ({t})), "
+         "'up', filter(y.ts.upload, f -> NOT ({t}))))").format(t=TRUTHY.format(x="f.error"))
+_UNREADABLE = ("exists(parsed, y -> y.elig AND (NOT y.has_ts OR exists("
+               "concat(coalesce(y.ts.download, array()), coalesce(y.ts.upload, array())), "
+               "f -> NOT ({t}) AND (f.size IS NULL OR f.duration IS NULL))))"
+               ).format(t=TRUTHY.format(x="f.error"))
+
+
 def task_figures(reports: DataFrame) -> DataFrame:
     """Per task (one input row each): final report figures, waste, site, transfers.
 
-    Output: dataset_id, task_id, n_reports, time_finished, used (map of the
-    final report's resources), mem_wastage, site, hostname, input_size,
-    input_duration, output_size, output_duration.
+    Output: dataset_id, task_id, n_reports, unreadable, time_finished, used
+    (map of the final report's resources), mem_wastage, site, hostname,
+    input_size, input_duration, output_size, output_duration.
+
+    Built as a few projections, each computing an expensive array once
+    (the parse of the document, of each task_stats, the good lists).
     """
-    r = with_report_array(reports)
+    keys = ["dataset_id", "task_id"]
+    r = reports.select(*keys, F.expr(REPORTS).alias("reports"))
     best = ("array_max(transform(filter(reports, x -> x.s.resources IS NOT NULL), "
             "x -> named_struct('t', x.s.time, 'o', -x.ord)))")
-    r = r.withColumn("best", F.expr(best))
-    r = r.withColumn("final", F.expr("try_element_at(reports, 1 - best.o)"))
     waste = (f"aggregate(filter(reports, x -> {_overuse('x')} AND x.s.resources IS NOT NULL), "
              "CAST(0 AS DOUBLE), (a, x) -> a + coalesce(try_cast(x.s.resources['memory'] AS DOUBLE)"
              " * try_cast(x.s.resources['time'] AS DOUBLE), CAST(0 AS DOUBLE)))")
-    r = r.withColumns({
-        "down": F.expr(f"try_element_at(filter({_good('download')}, "
-                       "x -> x.elig AND size(x.good) > 0), -1).good"),
-        "up": F.expr(f"try_element_at(filter({_good('upload')}, "
-                     "x -> x.elig AND size(x.good) > 0), -1).good"),
-    })
-    # A report the reference could not read (no task_stats outside an error
-    # report, or a good transfer without size/duration); see report_diagnostics.
-    unreadable = F.exists(F.col("reports"), lambda x: x["s"]["error_summary"].isNull() & (
-        x["s"]["task_stats"].isNull() | F.exists(
-            F.concat(F.coalesce(F.from_json(x["s"]["task_stats"], TASK_STATS)["download"], F.array()),
-                     F.coalesce(F.from_json(x["s"]["task_stats"], TASK_STATS)["upload"], F.array())),
-            lambda f: ~json_truthy(f["error"]) & (f["size"].isNull() | f["duration"].isNull()))))
-    return r.select(
-        "dataset_id", "task_id",
+    r = r.select(
+        *keys,
         F.expr("size(reports)").alias("n_reports"),
-        F.coalesce(unreadable, F.lit(False)).alias("unreadable"),
+        F.expr(f"try_element_at(reports, 1 - {best}.o)").alias("final"),
+        F.expr(waste).alias("mem_wastage"),
+        F.expr("try_element_at(reports, -1).s").alias("last"),
+        F.expr(_PARSED).alias("parsed"))
+    r = r.select(*keys, "n_reports", "final", "mem_wastage", "last",
+                 F.coalesce(F.expr(_UNREADABLE), F.lit(False)).alias("unreadable"),
+                 F.expr(_GOOD).alias("good"))
+    r = r.select(*keys, "n_reports", "final", "mem_wastage", "last", "unreadable",
+                 F.expr("try_element_at(filter(good, x -> x.elig AND size(x.down) > 0), -1).down")
+                 .alias("down"),
+                 F.expr("try_element_at(filter(good, x -> x.elig AND size(x.up) > 0), -1).up")
+                 .alias("up"))
+    return r.select(
+        *keys, "n_reports", "unreadable",
         F.expr("try_cast(final.s.time AS TIMESTAMP_NTZ)").alias("time_finished"),
         F.expr("final.s.resources").alias("used"),
-        F.expr(waste).alias("mem_wastage"),
-        F.expr("try_element_at(reports, -1).s.site").alias("site"),
-        F.expr("try_element_at(reports, -1).s.hostname").alias("hostname"),
+        "mem_wastage",
+        F.col("last.site").alias("site"),
+        F.col("last.hostname").alias("hostname"),
         *[c.alias(k) for k, c in _totals("down", "input").items()],
         *[c.alias(k) for k, c in _totals("up", "output").items()],
     )

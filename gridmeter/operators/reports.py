@@ -34,9 +34,15 @@ def parse_reports(task_stat: DataFrame, keep_text: bool = False) -> DataFrame:
 
     Columns: task_id, task_stat_id, error_text, error_flag, error_summary,
     memory, hours, finished, download, upload (arrays of transfer structs).
+    The document is parsed into one struct column first and its fields are
+    read in the next projection, so the parse runs once per row (an
+    expensive expression used several times is not inlined by Catalyst).
     """
-    r = F.from_json(F.col("stat"), REPORT)
-    cols = [
+    keep = ["stat"] if keep_text else []
+    parsed = task_stat.select("task_id", "task_stat_id", *keep,
+                              F.from_json(F.col("stat"), REPORT).alias("_r"))
+    r = F.col("_r")
+    return parsed.select(
         "task_id", "task_stat_id",
         r["error"].alias("error_text"),
         r["error"].try_cast("boolean").alias("error_flag"),
@@ -46,10 +52,8 @@ def parse_reports(task_stat: DataFrame, keep_text: bool = False) -> DataFrame:
         r["time"].try_cast("timestamp_ntz").alias("finished"),
         r["task_stats"]["download"].alias("download"),
         r["task_stats"]["upload"].alias("upload"),
-    ]
-    if keep_text:
-        cols.append("stat")
-    return task_stat.select(*cols)
+        *keep,
+    )
 
 
 def _good_strict(x: Column) -> Column:
@@ -57,14 +61,19 @@ def _good_strict(x: Column) -> Column:
     return x["error"].try_cast("boolean").eqNullSafe(F.lit(False))
 
 
-def transfer_totals(records: Column) -> Column:
-    """Totals of the good transfers of one report's array.
+def good_transfers(records: Column) -> Column:
+    """The transfers of one report's array that count on the table path."""
+    return F.filter(records, _good_strict)
+
 
-    struct(n, size, duration): n = good transfers; size = exact byte sum
-    (DECIMAL(38,0)), duration = seconds; each sum is NULL when every value
-    is NULL, like SQL `sum`.
+def transfer_totals(good: Column) -> Column:
+    """Totals of an array of good transfers: struct(n, size, duration).
+
+    n = number of transfers; size = exact byte sum (DECIMAL(38,0)), duration
+    = seconds; each sum is NULL when every value is NULL, like SQL `sum`.
+    Pass a column holding the filtered array (not the filter expression) so
+    the filter is evaluated once.
     """
-    good = F.filter(records, _good_strict)
     dec = "decimal(38,0)"
     size_sum = F.aggregate(
         good, F.lit(None).cast(dec),
@@ -79,11 +88,17 @@ def transfer_totals(records: Column) -> Column:
 
 def report_figures(reports: DataFrame) -> DataFrame:
     """Per-report flags and transfer totals (still one row per report)."""
-    return reports.select(
-        "task_id", "task_stat_id", "error_text", "error_flag", "memory", "hours", "finished",
+    base = ["task_id", "task_stat_id", "error_text", "error_flag", "memory", "hours", "finished"]
+    staged = reports.select(
+        *base,
         F.coalesce(F.col("error_summary").startswith(OVERUSE_PREFIX), F.lit(False)).alias("overuse"),
-        transfer_totals(F.col("download")).alias("down"),
-        transfer_totals(F.col("upload")).alias("up"),
+        good_transfers(F.col("download")).alias("good_down"),
+        good_transfers(F.col("upload")).alias("good_up"),
+    )
+    return staged.select(
+        *base, "overuse",
+        transfer_totals(F.col("good_down")).alias("down"),
+        transfer_totals(F.col("good_up")).alias("up"),
     )
 
 
@@ -153,8 +168,9 @@ def report_problems(task_stat: DataFrame) -> DataFrame:
     NULL and lists the report here instead: reason is one of
     'unparseable_report', 'bad_error_value', 'bad_resources', 'bad_time'.
     """
-    r = parse_reports(task_stat, keep_text=True)
-    raw = F.from_json(F.col("stat"), REPORT)
+    r = parse_reports(task_stat, keep_text=True).select(
+        "*", F.from_json(F.col("stat"), REPORT).alias("_raw"))
+    raw = F.col("_raw")
     reason = (F.when(F.json_object_keys(F.col("stat")).isNull(), "unparseable_report")
                .when(F.col("error_text").isNotNull() & F.col("error_flag").isNull(),
                      "bad_error_value")

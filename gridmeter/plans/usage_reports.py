@@ -79,6 +79,10 @@ def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
 
 
 def sort_for_write(usage: DataFrame) -> DataFrame:
-    """O1: rows of each dataset together, sorted by (dataset, task, job) within
-    the partition, ready for a partitioned write (no global sort)."""
-    return usage.repartition("dataset").sortWithinPartitions(*INDEX)
+    """O1: rows ordered by (dataset, task, job) across output files.
+
+    Range partitioning on the whole index (not on `dataset` alone) lets a
+    dataset holding a large share of all rows spread over many write tasks;
+    each task sorts only its own range.
+    """
+    return usage.repartitionByRange(*INDEX).sortWithinPartitions(*INDEX)

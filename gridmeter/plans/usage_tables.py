@@ -6,9 +6,9 @@ Plan shape (one scan and one parse of the big report table):
     rollup(n_ok > 0, output_size > 0)
       JOIN task     ON task_id          (co-partitioned on task_id with rollup)
       JOIN search   ON task_id          (status = 'complete' pushed into the scan)
-      JOIN task_rel ON task_rel_id      (memory not '$eval…'; small: AQE broadcasts it
-                                         only if its measured size is under the limit)
-      JOIN job      ON job_id
+      JOIN task_rel ON task_rel_id      (memory not '$eval…'; broadcast when a row count
+                                         proves it small, else shuffled)
+      JOIN job      ON job_id           (same rule)
     -> memory requests, id2num(dataset_id) -> 17 columns
 
 Requirement JSON is reduced to (present, value) next to each scan, so no JSON
@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from gridmeter.functions.ids import id2num
 from gridmeter.functions.json import json_text
 from gridmeter.functions.requests import final_request, initial_request, memory_parts
+from gridmeter.operators.joins import broadcast_if_small
 from gridmeter.operators.reports import task_rollup
 from gridmeter.sources.tables import Tables, normalize
 
@@ -80,10 +81,12 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
     rollup = (task_rollup(t.task_stat)
               .where((F.col("n_ok") > 0) & F.col("has_output") & (F.col("output_size") > 0)))
 
+    # task, search and the rollup join on task_id (one hash partitioning);
+    # task types and jobs are broadcast only after a row-count check.
     joined = (rollup.join(task, "task_id")
                     .join(search, "task_id")
-                    .join(rel, "task_rel_id")
-                    .join(job, "job_id"))
+                    .join(broadcast_if_small(rel), "task_rel_id")
+                    .join(broadcast_if_small(job), "job_id"))
     out = joined.select(
         "dataset_id", "task_index", "task_name", "job_index", "input_size", "output_size", "rss",
         "run_time",

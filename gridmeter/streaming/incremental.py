@@ -15,10 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from gridmeter.schemas import LANDED
 
 
-def harvest_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
+def harvest_stream(spark: SparkSession, landing: str, out: str, checkpoint: str | None = None,
                    available_now: bool = True, **keys):
-    """Start the stream; with `available_now` it processes what has landed and stops."""
+    """Start the stream; with `available_now` it processes what has landed and stops.
+
+    The stream checkpoint defaults to a folder inside the cluster's shared
+    checkpoint directory (`spark.checkpoint.dir`).
+    """
     from gridmeter.plans.harvest import harvest
+    from gridmeter.session import scratch_path
+    checkpoint = checkpoint or scratch_path(spark, "harvest_stream")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         ids = batch.select("dataset_id").distinct()
