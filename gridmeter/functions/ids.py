@@ -14,11 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values (must stay as they are for results to match):
-# digit rule: code >= 97 -> code - 96; code >= 65 -> code - 38; otherwise code + 5
-# base 62, result modulus 10^15
-BASE = 62
-MODULUS = 10 ** 15
+from gridmeter.constants import ID_BASE as BASE
+from gridmeter.constants import ID_MODULUS as MODULUS
 
 
 def _digit(ch: Column) -> Column:

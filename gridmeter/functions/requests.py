@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from gridmeter.functions.json import json_has_key, json_text
 
-# Documented requirement defaults and the memory fallback (GB).
-DEFAULT_REQUIREMENTS = {"disk": 10.0, "memory": 2.0, "cpu": 1.0, "gpu": 0.0, "time": 1.0}
-FALLBACK_MEMORY = 2.0
+from gridmeter.constants import DEFAULT_REQUIREMENTS, FALLBACK_MEMORY
 
 
 def memory_parts(requirements: Column | str, prefix: str) -> dict[str, Column]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-GIB = float(2 ** 30)
-SECONDS_PER_HOUR = 3600.0
+from gridmeter.constants import BYTES_PER_GIB, SECONDS_PER_HOUR
+
+GIB = float(BYTES_PER_GIB)
 
 
 def to_gib(nbytes: Column) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from gridmeter.functions.json import json_truthy
 from gridmeter.schemas import REPORT_DOC, TASK_STATS
 
-OVERUSE_PREFIX = "Resource overusage for memory"
+from gridmeter.constants import BYTES_PER_GIB, OVERUSE_PREFIX, SECONDS_PER_HOUR
 
 # Report array: (ord, stat_id, s) in document order.
 REPORTS = (f"transform(map_entries(from_json(doc, '{REPORT_DOC}')), "
@@ -42,8 +42,8 @@ def _totals(picked: str, prefix: str) -> dict[str, F.Column]:
             "(a, f) -> CAST(a + coalesce(try_cast(f.size AS BIGINT), 0) AS DECIMAL(38,0)))")
     dur = (f"aggregate({picked}, CAST(0 AS DOUBLE), "
            "(a, f) -> a + coalesce(try_cast(f.duration AS DOUBLE), CAST(0 AS DOUBLE)))")
-    return {f"{prefix}_size": F.expr(f"CAST({size} AS DOUBLE) / {float(2 ** 30)}"),
-            f"{prefix}_duration": F.expr(f"{dur} / 3600.0D")}
+    return {f"{prefix}_size": F.expr(f"CAST({size} AS DOUBLE) / {float(BYTES_PER_GIB)}D"),
+            f"{prefix}_duration": F.expr(f"{dur} / {SECONDS_PER_HOUR}D")}
 
 
 def with_report_array(reports: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from gridmeter.functions.units import to_gib, to_hours
 from gridmeter.schemas import REPORT
 
-OVERUSE_PREFIX = "Resource overusage for memory"
+from gridmeter.constants import OVERUSE_PREFIX
 DIRECTIONS = ("download", "upload")
 
 

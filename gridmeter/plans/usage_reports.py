@@ -19,6 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmeter.constants import DROPPED_REQUIREMENT
 from gridmeter.operators.documents import task_figures
 from gridmeter.operators.joins import broadcast_if_small
 from gridmeter.operators.pivot import flatten_map
@@ -67,7 +68,7 @@ def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
     x = (tj.join(fig, ["dataset_id", "task_id"], "left")
            .join(ds, "dataset_id")
            .withColumn("mem_wastage", F.coalesce("mem_wastage", F.lit(0.0))))
-    x = flatten_map(x, "requirements", "_req", keys=req_keys, drop=("os",))
+    x = flatten_map(x, "requirements", "_req", keys=req_keys, drop=(DROPPED_REQUIREMENT,))
     x = flatten_map(x, "used", "_used", keys=used_keys)
     lead = [F.col("dataset"), F.col("task_index").alias("task"), F.col("job_index").alias("job")]
     skip = {"dataset", "task_index", "job_index", "dataset_id", "job_id", "n_reports",

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmeter.constants import COMPLETE_STATUS, PARAMETER_PREFIX
 from gridmeter.functions.ids import id2num
 from gridmeter.functions.json import json_text
 from gridmeter.functions.requests import final_request, initial_request, memory_parts
@@ -40,7 +41,7 @@ def task_rel_usable(task_rel: DataFrame) -> DataFrame:
 
     A missing or JSON-null memory gives NULL and is dropped as well.
     """
-    return task_rel.where(~json_text("requirements", "memory").like("$eval%"))
+    return task_rel.where(~json_text("requirements", "memory").like(PARAMETER_PREFIX + "%"))
 
 
 def completed(search: DataFrame) -> DataFrame:
@@ -48,8 +49,8 @@ def completed(search: DataFrame) -> DataFrame:
     bytes, so the filter is pushed into the Parquet scan (a decoded
     comparison could not be)."""
     if isinstance(search.schema["task_status"].dataType, T.BinaryType):
-        return search.where(F.col("task_status") == F.lit(bytearray(b"complete")))
-    return search.where(F.col("task_status") == "complete")
+        return search.where(F.col("task_status") == F.lit(bytearray(COMPLETE_STATUS.encode())))
+    return search.where(F.col("task_status") == COMPLETE_STATUS)
 
 
 def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str | None = None,

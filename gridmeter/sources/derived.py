@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmeter.constants import OVERUSE_PREFIX
 from gridmeter.sources.tables import Tables
 
 # Fixed values of the derivation.
@@ -26,7 +27,6 @@ NO_RESOURCES_EVERY = 13       # overuse reports without resources: event_id % 13
 STRING_STATS_EVERY = 11       # task_stats stored as a JSON string: event_id % 11 = 0
 NO_SITE_EVERY = 7             # site absent when user_id % 7 = 0
 N_SITES = 5
-OVERUSE_PREFIX = "Resource overusage for memory"
 DATASET_BASE = 20000          # document path: dataset number = 20000 + n_nationkey
 STATUS = {"F": "complete", "O": "queued", "P": "processing"}
 

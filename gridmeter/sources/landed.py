@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmeter.constants import COMPLETE_STATUS
 from gridmeter.schemas import DATASET_DOC, JOB_DOC, LANDED, TASK_DOC
 
 
@@ -31,7 +32,7 @@ def scan_datasets(raw: DataFrame) -> DataFrame:
         F.coalesce(F.col("v.dataset_id"), F.col("key")).alias("dataset_id"), "pos")
 
 
-def scan_tasks(raw: DataFrame, status: str | None = "complete") -> DataFrame:
+def scan_tasks(raw: DataFrame, status: str | None = COMPLETE_STATUS) -> DataFrame:
     """Task listing -> one row per task; status filter applied at the source."""
     t = _explode(raw, TASK_DOC, "dataset_id").select(
         F.coalesce(F.col("v.dataset_id"), F.col("dataset_id")).alias("dataset_id"),
