@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmeter.constants import DROPPED_REQUIREMENT
+from gridmeter.session import materialize
 from gridmeter.operators.documents import task_figures
 from gridmeter.operators.joins import broadcast_if_small
 from gridmeter.operators.pivot import flatten_map
@@ -68,6 +69,11 @@ def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
     x = (tj.join(fig, ["dataset_id", "task_id"], "left")
            .join(ds, "dataset_id")
            .withColumn("mem_wastage", F.coalesce("mem_wastage", F.lit(0.0))))
+    if req_keys is None or used_keys is None:
+        # Key discovery needs one pass over the result; write it once to the
+        # shared checkpoint folder first, so the report documents are parsed
+        # once, not once for discovery and again for the output.
+        x = materialize(x, "usage-figures")
     x = flatten_map(x, "requirements", "_req", keys=req_keys, drop=(DROPPED_REQUIREMENT,))
     x = flatten_map(x, "used", "_used", keys=used_keys)
     lead = [F.col("dataset"), F.col("task_index").alias("task"), F.col("job_index").alias("job")]

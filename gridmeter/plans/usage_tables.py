@@ -8,7 +8,7 @@ Plan shape (one scan and one parse of the big report table):
       JOIN search   ON task_id          (status = 'complete' pushed into the scan)
       JOIN task_rel ON task_rel_id      (memory not '$eval…'; broadcast when a row count
                                          proves it small, else shuffled)
-      JOIN job      ON job_id           (same rule)
+      JOIN job      ON job_id           (shuffle; AQE may broadcast from measured size)
     -> memory requests, id2num(dataset_id) -> 17 columns
 
 Requirement JSON is reduced to (present, value) next to each scan, so no JSON
@@ -82,12 +82,14 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
     rollup = (task_rollup(t.task_stat)
               .where((F.col("n_ok") > 0) & F.col("has_output") & (F.col("output_size") > 0)))
 
-    # task, search and the rollup join on task_id (one hash partitioning);
-    # task types and jobs are broadcast only after a row-count check.
+    # task, search and the rollup join on task_id (one hash partitioning).
+    # Task types (a few per dataset) are broadcast after a row-count check;
+    # jobs grow with the data, so they join by shuffle and only AQE may
+    # switch to a broadcast, from the measured size of the shuffled side.
     joined = (rollup.join(task, "task_id")
                     .join(search, "task_id")
                     .join(broadcast_if_small(rel), "task_rel_id")
-                    .join(broadcast_if_small(job), "job_id"))
+                    .join(job, "job_id"))
     out = joined.select(
         "dataset_id", "task_index", "task_name", "job_index", "input_size", "output_size", "rss",
         "run_time",

@@ -60,3 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def materialize(df, name: str):
+    """Write `df` once as a Parquet table in the shared checkpoint folder and
+    read it back: the lineage is cut and the data is computed exactly once
+    (a reliable `checkpoint()` of an unpersisted plan computes it twice)."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
