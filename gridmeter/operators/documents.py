@@ -146,9 +146,9 @@ def report_diagnostics(reports: DataFrame) -> DataFrame:
     transfer_missing_fields: a good transfer without size or duration.
     """
     e = explode_reports(reports).where(F.col("stats").isNotNull())
-    s = F.col("stats")
+    e = e.select("*", F.from_json(F.col("stats.task_stats"), TASK_STATS).alias("_ts"))
+    s, ts = F.col("stats"), F.col("_ts")
     overuse = F.coalesce(s["error_summary"].startswith(OVERUSE_PREFIX), F.lit(False))
-    ts = F.from_json(s["task_stats"], TASK_STATS)
     bad_fields = F.exists(
         F.concat(F.coalesce(ts["download"], F.array()), F.coalesce(ts["upload"], F.array())),
         lambda f: ~json_truthy(f["error"]) & (f["size"].isNull() | f["duration"].isNull()))

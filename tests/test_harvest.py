@@ -83,3 +83,18 @@ def test_streaming_harvest(spark, landing, scratch):
     q2 = harvest_stream(spark, landing, out, checkpoint=f"{scratch}/ckpt")
     q2.awaitTermination(300)              # nothing new landed: no batch
     assert q2.lastProgress is None or q2.lastProgress["numInputRows"] == 0
+
+
+def test_doc_as_embedded_object(spark, scratch):
+    """A landed record whose doc is a JSON object (not a string) reads the same."""
+    path = f"{scratch}/reports"
+    import os
+    os.makedirs(path)
+    with open(f"{path}/part-0.json", "w") as f:
+        f.write('{"dataset_id": "d", "task_id": "T1", "doc": {"b": {"stats": {"time": "t2", '
+                '"site": "Y"}}, "a": {"stats": {"time": "t1", "site": "X"}}}}\n')
+        f.write('{"dataset_id": "d", "task_id": "T2", "doc": "{\\"a\\": {\\"stats\\": {\\"site\\": \\"Z\\"}}}"}\n')
+    from gridmeter.operators.documents import task_figures
+    raw = landed.read_landed(spark, scratch, "reports")
+    got = {r["task_id"]: r["site"] for r in task_figures(landed.scan_reports(raw)).collect()}
+    assert got == {"T1": "X", "T2": "Z"}      # last report in document order
