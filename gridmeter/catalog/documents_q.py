@@ -51,9 +51,9 @@ def _doc_sql(select: str, *extra: str) -> str:
 
 _REQ_COLS = """
        CASE WHEN rt.req_kind = 0 THEN CAST(rt.task_id % 16 AS DOUBLE)
-            WHEN rt.req_kind = 2 THEN 2.5 END AS memory_req,
-       CASE WHEN rt.req_kind = 0 THEN 1.0 END AS cpu_req,
-       CASE WHEN rt.req_kind = 2 THEN 1.0 END AS gpu_req"""
+            WHEN rt.req_kind = 2 THEN CAST(2.5 AS DOUBLE) END AS memory_req,
+       CASE WHEN rt.req_kind = 0 THEN CAST(1.0 AS DOUBLE) END AS cpu_req,
+       CASE WHEN rt.req_kind = 2 THEN CAST(1.0 AS DOUBLE) END AS gpu_req"""
 
 _USAGE_SELECT = f"""
 SELECT rt.dataset, rt.task_index AS task, rt.job_index AS job, {_REQ_COLS},
@@ -225,7 +225,7 @@ def q_job_lookup(spark, sf_dir):
 @query("dataset_tally", _doc_sql("""
 SELECT d.dataset, coalesce(t.n_tasks, 0) AS n_tasks, coalesce(j.n_jobs, 0) AS n_jobs,
        coalesce(t.n_tasks, 0) AS n_rows
-FROM (SELECT 20000 + n_nationkey AS dataset, CAST(n_nationkey AS VARCHAR) AS dataset_id
+FROM (SELECT CAST(20000 + n_nationkey AS BIGINT) AS dataset, CAST(n_nationkey AS VARCHAR) AS dataset_id
       FROM nation) d
 LEFT JOIN (SELECT dataset_id, count(*) AS n_tasks FROM rt WHERE o_orderstatus = 'F'
            GROUP BY dataset_id) t ON t.dataset_id = d.dataset_id

@@ -298,9 +298,9 @@ def q_memory_request(spark, sf_dir):
 
 
 @query("default_requirements", with_views("""
-SELECT task_rel_id, 10.0 AS disk,
+SELECT task_rel_id, CAST(10.0 AS DOUBLE) AS disk,
        CASE WHEN req_kind >= 2 THEN CAST(p_size AS DOUBLE) ELSE 2.0 END AS memory,
-       1.0 AS cpu, 0.0 AS gpu, 1.0 AS time
+       CAST(1.0 AS DOUBLE) AS cpu, CAST(0.0 AS DOUBLE) AS gpu, CAST(1.0 AS DOUBLE) AS time
 FROM rel
 """, "rel"))
 def q_default_requirements(spark, sf_dir):

@@ -22,7 +22,7 @@ EV = """ev AS (
          CASE WHEN NOT (event_type = 'error' AND event_id % 13 = 0)
               THEN CAST(json_extract_string(props, '$.k') AS INTEGER) / 10 END AS hours,
          CASE WHEN NOT (event_type = 'error' AND event_id % 13 = 0) AND event_type = 'purchase'
-              THEN 1.0 END AS cpu,
+              THEN CAST(1.0 AS DOUBLE) END AS cpu,
          CASE WHEN user_id % 7 <> 0 THEN 'site' || CAST(user_id % 5 AS VARCHAR) END AS site,
          'host' || CAST(user_id AS VARCHAR) AS hostname,
          event_type <> 'error' AS has_task_stats,
@@ -63,7 +63,8 @@ JB = """jb AS (
 RT = """rt AS (
   SELECT o.o_orderkey AS task_id, CAST(c.c_nationkey AS VARCHAR) AS dataset_id,
          o.o_custkey AS job_id, CAST(o.o_orderkey % 7 AS INTEGER) AS task_index,
-         CAST(c.c_custkey AS INTEGER) AS job_index, 20000 + c.c_nationkey AS dataset,
+         CAST(c.c_custkey AS INTEGER) AS job_index,
+         CAST(20000 + c.c_nationkey AS BIGINT) AS dataset,
          o.o_orderstatus, o.o_orderkey % 4 AS req_kind
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey)"""
 

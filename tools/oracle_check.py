@@ -42,6 +42,24 @@ def _rows(df: pd.DataFrame):
     return cols, sorted(rows, key=repr)
 
 
+_SPARK_TYPES = {"ByteType": "int8", "ShortType": "int16", "IntegerType": "int32",
+                "LongType": "int64", "FloatType": "float32", "DoubleType": "float64",
+                "StringType": "string", "BooleanType": "bool", "TimestampType": "timestamp",
+                "TimestampNTZType": "timestamp", "DateType": "date", "BinaryType": "binary"}
+_DUCK_TYPES = {"TINYINT": "int8", "SMALLINT": "int16", "INTEGER": "int32", "BIGINT": "int64",
+               "HUGEINT": "int128", "FLOAT": "float32", "DOUBLE": "float64", "VARCHAR": "string",
+               "BOOLEAN": "bool", "TIMESTAMP": "timestamp", "DATE": "date", "BLOB": "binary"}
+
+
+def spark_types(df) -> dict:
+    return {f.name: _SPARK_TYPES.get(type(f.dataType).__name__, str(f.dataType))
+            for f in df.schema.fields}
+
+
+def duck_types(rel) -> dict:
+    return {n: _DUCK_TYPES.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -59,7 +77,9 @@ def compare(spark, sf_dir, names=None):
     for name in names or sorted(qs):
         t0 = time.time()
         try:
-            sdf = qs[name](spark, sf_dir).toPandas()
+            sq = qs[name](spark, sf_dir)
+            stypes = spark_types(sq)
+            sdf = sq.toPandas()
         except Exception as e:  # noqa: BLE001
             results[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:300]}"
             continue
@@ -68,10 +88,17 @@ def compare(spark, sf_dir, names=None):
             results[name] = f"rows-only {len(sdf)} ({ts:.1f}s)"
             continue
         try:
-            odf = con.execute(os_[name]).df()
+            rel = con.sql(os_[name])
+            otypes = duck_types(rel)
+            odf = rel.df()
         except Exception as e:  # noqa: BLE001
             results[name] = f"ORACLE ERROR {str(e)[:300]}"
             continue
+        if stypes != otypes:
+            diff = {k: (stypes.get(k), otypes.get(k)) for k in set(stypes) | set(otypes)
+                    if stypes.get(k) != otypes.get(k)}
+            results[name] = f"TYPES differ {diff}"
+            continue
         sc, sr = _rows(sdf)
         oc, orows = _rows(odf)
         if sc != oc:
