@@ -57,10 +57,12 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
                                used_keys=used_keys)
     sinks.write_usage(usage, f"{out}/usage")
     # Tally from the written table: the write is the durable cut of lineage.
-    written = sinks.read_table(spark, f"{out}/usage", None)
+    # Only this run's partitions are read: the semi-join on the partition
+    # column lets dynamic partition pruning skip the others.
+    written = sinks.read_table(spark, f"{out}/usage")
     if written is None:
         written = usage.limit(0)
-    written = written.join(work.select("dataset"), "dataset", "left_semi")
+    written = written.select("dataset").join(work.select("dataset"), "dataset", "left_semi")
     sinks.write_ledger(dataset_tally(work, tasks, jobs, written), f"{out}/_ledger")
     ledger = sinks.read_ledger(spark, f"{out}/_ledger")
     return ledger.join(work.select("dataset"), "dataset", "left_semi")

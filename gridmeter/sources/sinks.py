@@ -33,9 +33,15 @@ def write_usage(usage: DataFrame, path: str) -> None:
     write_partitioned(sort_for_write(usage), path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """Read a Parquet table; None when it does not exist yet."""
-    reader = spark.read.option("mergeSchema", "true")
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               merge_schema: bool = False) -> DataFrame | None:
+    """Read a Parquet table; None when it does not exist yet.
+
+    `merge_schema` reads every file footer to union the column sets (the
+    usage columns can differ between datasets); leave it off when only
+    counts or common columns are needed.
+    """
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
     if schema is not None:
         reader = reader.schema(schema)
     try:

@@ -98,3 +98,16 @@ def test_doc_as_embedded_object(spark, scratch):
     raw = landed.read_landed(spark, scratch, "reports")
     got = {r["task_id"]: r["site"] for r in task_figures(landed.scan_reports(raw)).collect()}
     assert got == {"T1": "X", "T2": "Z"}      # last report in document order
+
+
+def test_landing_partitioned_by_dataset(spark, landing, scratch):
+    """Listings landed under dataset_id=<id>/ folders harvest the same."""
+    base = f"{scratch}/landing"
+    for kind in ("tasks", "jobs", "reports"):
+        landed.read_landed(spark, landing, kind).write.partitionBy("dataset_id").json(f"{base}/{kind}")
+    landed.read_landed(spark, landing, "datasets").write.json(f"{base}/datasets")
+    a = harvest(spark, landing, f"{scratch}/out_a")
+    b = harvest(spark, base, f"{scratch}/out_b")
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert spark.read.parquet(f"{scratch}/out_b/usage").count() == \
+        spark.read.parquet(f"{scratch}/out_a/usage").count()
