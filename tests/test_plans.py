@@ -77,3 +77,16 @@ def test_multi_scan_comparison_agrees(spark, parquet_tables):
     multi = round_doubles(spark.sql(bench.MULTI_SCAN_SQL)).select(*single.columns)
     assert single.count() == multi.count() == 23
     assert single.exceptAll(multi).count() == 0 and multi.exceptAll(single).count() == 0
+
+
+def test_broadcast_checked(spark):
+    from gridmeter.operators.joins import broadcast_if_small, measured_size
+    df = spark.createDataFrame([(i, "x" * 10) for i in range(100)], "k bigint, s string")
+    n, nbytes = measured_size(df)
+    assert n == 100 and nbytes == 100 * (8 + 8 + 8) + 100 * 10
+    small = broadcast_if_small(df)
+    other = spark.range(1000).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in _formatted(other.join(small, "k"))
+    assert broadcast_if_small(df, max_bytes=1000) is df   # too many bytes: left as is
+    assert broadcast_if_small(df, max_rows=50) is df      # too many rows: left as is
+    assert measured_size(df, max_rows=10)[0] == 11        # stops reading after the limit
