@@ -119,6 +119,13 @@ def _timed(spark, name, build, repeat):
     return round(best, 3)
 
 
+def _harvest_run(spark, landing, scratch):
+    """A full incremental harvest into a fresh output folder; returns the ledger
+    rows of the run (the usage table and ledger are written as a side effect)."""
+    from gridmeter.plans.harvest import harvest
+    return harvest(spark, landing, f"{scratch}/harvest-{uuid.uuid4().hex[:8]}")
+
+
 def _cpu_seconds(event_dir):
     """Executor CPU seconds per tagged run, from the Spark event log."""
     stage_tag, cpu = {}, {}
@@ -196,6 +203,7 @@ def main():
         "id2num_order_keys": lambda: orders.select(id2num(F.hex("o_orderkey")).alias("n")),
         "insert_ignore_lineitem": lambda: copy.insert_ignore(
             None, lineitem, ["l_orderkey", "l_linenumber"]),
+        "harvest_all_datasets": lambda: _harvest_run(spark, land, scratch),
         "copy_semi_join": lambda: copy.resource_reports(nt.task_stat).join(
             nt.task.join(nt.task_rel.where(F.col("name") != "x"), "task_rel_id").select("task_id"),
             "task_id", "left_semi"),

@@ -34,7 +34,8 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
     directory, decides what is done, so a dataset with no rows counts as
     harvested.  Returns the ledger rows of this run.
     """
-    from gridmeter.plans.usage_reports import usage_from_reports
+    from gridmeter.plans.usage_reports import finish_usage, task_rows
+    from gridmeter.session import materialize
     from gridmeter.sources import landed, sinks
 
     raw = {k: landed.read_landed(spark, landing, k)
@@ -49,21 +50,24 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
         work = datasets.join(include.select("dataset_id").distinct(), "dataset_id", "left_semi")
     else:
         work = datasets.where(key.isin([str(v) for v in include]))
+    work = materialize(work.select("dataset", "dataset_id"), "harvest-work")
     ids = work.select("dataset_id")
     tasks = landed.scan_tasks(raw["tasks"]).join(ids, "dataset_id", "left_semi")
     jobs = landed.scan_jobs(raw["jobs"]).join(ids, "dataset_id", "left_semi")
     reports = landed.scan_reports(raw["reports"]).join(ids, "dataset_id", "left_semi")
-    usage = usage_from_reports(work, jobs, tasks, reports, req_keys=req_keys,
-                               used_keys=used_keys)
+    # One materialised table of per-task rows feeds both the usage output
+    # and the tally: listings and documents are parsed once.
+    rows = materialize(task_rows(work, jobs, tasks, reports), "harvest-rows")
+    usage = finish_usage(rows, req_keys=req_keys, used_keys=used_keys)
     sinks.write_usage(usage, f"{out}/usage")
-    # Tally from the written table: the write is the durable cut of lineage.
-    # Only this run's partitions are read: the semi-join on the partition
-    # column lets dynamic partition pruning skip the others.
-    written = sinks.read_table(spark, f"{out}/usage")
-    if written is None:
-        written = usage.limit(0)
-    written = written.select("dataset").join(work.select("dataset"), "dataset", "left_semi")
-    sinks.write_ledger(dataset_tally(work, tasks, jobs, written), f"{out}/_ledger")
+    per_ds = rows.groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("n_tasks"),
+        F.count(F.when(F.col("has_job"), 1)).alias("n_rows"))
+    nj = jobs.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n_jobs"))
+    tally = (work.join(per_ds, "dataset", "left").join(nj, "dataset_id", "left")
+                 .select("dataset", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                                      for c in ("n_tasks", "n_jobs", "n_rows")]))
+    sinks.write_ledger(tally, f"{out}/_ledger")
     ledger = sinks.read_ledger(spark, f"{out}/_ledger")
     return ledger.join(work.select("dataset"), "dataset", "left_semi")
 

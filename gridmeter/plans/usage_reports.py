@@ -37,54 +37,71 @@ def missing_jobs(tasks: DataFrame, jobs: DataFrame) -> DataFrame:
                          F.lit("missing_job").alias("reason")))
 
 
-def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
-                       reports: DataFrame, *, req_keys: Iterable[str] | None = None,
-                       used_keys: Iterable[str] | None = None, strict: bool = False,
-                       keep_task_id: bool = False) -> DataFrame:
-    """One usage row per completed task of the listed datasets.
+def task_rows(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame, reports: DataFrame, *,
+              strict: bool = False) -> DataFrame:
+    """Every listed completed task with its job index (NULL when the job is
+    missing; `has_job` false), requirements map and report figures.
 
-    `datasets`, `jobs`, `tasks` are the scanned listings (sources.landed);
-    `reports` has (dataset_id, task_id, doc).  Key lists for the
-    requirement/resource columns are discovered when not given.
-    `strict=True` raises at run time when a task's job is missing or one of
-    its reports cannot be read (instead of leaving the task out / reading
-    NULL and listing the report in `report_diagnostics`).
+    Counting these rows per dataset gives the harvest tally without
+    re-reading the listings; `finish_usage` turns them into usage rows.
     """
     t = tasks.select("dataset_id", "task_id", "job_id", "task_index", "requirements")
-    j = jobs.select("dataset_id", "job_id", "job_index")
+    j = jobs.select("dataset_id", "job_id", "job_index", F.lit(True).alias("has_job"))
+    tj = (t.join(j, ["dataset_id", "job_id"], "left")
+           .withColumn("has_job", F.coalesce(F.col("has_job"), F.lit(False))))
     if strict:
-        j = j.withColumn("_seen", F.lit(True))
-        tj = t.join(j, ["dataset_id", "job_id"], "left")
-        tj = tj.withColumn("_chk", F.when(F.col("_seen").isNull(), F.raise_error(
+        tj = tj.withColumn("_chk", F.when(~F.col("has_job"), F.raise_error(
             F.concat(F.lit("task without job: "), F.col("task_id")))))
-        tj = tj.where(F.col("_chk").isNull()).drop("_seen", "_chk")
-    else:
-        tj = t.join(j, ["dataset_id", "job_id"])
+        tj = tj.where(F.col("_chk").isNull()).drop("_chk")
     fig = task_figures(reports)
     if strict:
         fig = fig.withColumn("_chk", F.when(F.col("unreadable"), F.raise_error(
             F.concat(F.lit("unreadable report in task "), F.col("task_id")))))
         fig = fig.where(F.col("_chk").isNull()).drop("_chk")
     ds = broadcast_if_small(datasets.select("dataset_id", "dataset"))
-    x = (tj.join(fig, ["dataset_id", "task_id"], "left")
-           .join(ds, "dataset_id")
-           .withColumn("mem_wastage", F.coalesce("mem_wastage", F.lit(0.0))))
-    if req_keys is None or used_keys is None:
-        # Key discovery needs one pass over the result; write it once to the
-        # shared checkpoint folder first, so the report documents are parsed
-        # once, not once for discovery and again for the output.
-        x = materialize(x, "usage-figures")
+    return (tj.join(fig, ["dataset_id", "task_id"], "left")
+              .join(ds, "dataset_id")
+              .withColumn("mem_wastage", F.coalesce("mem_wastage", F.lit(0.0))))
+
+
+def finish_usage(rows: DataFrame, *, req_keys: Iterable[str] | None = None,
+                 used_keys: Iterable[str] | None = None, keep_task_id: bool = False) -> DataFrame:
+    """Usage rows from `task_rows`: tasks with a job, open maps flattened."""
+    x = rows.where(F.col("has_job"))
     x = flatten_map(x, "requirements", "_req", keys=req_keys, drop=(DROPPED_REQUIREMENT,))
     x = flatten_map(x, "used", "_used", keys=used_keys)
     lead = [F.col("dataset"), F.col("task_index").alias("task"), F.col("job_index").alias("job")]
     skip = {"dataset", "task_index", "job_index", "dataset_id", "job_id", "n_reports",
-            "unreadable"}
+            "unreadable", "has_job"}
     if not keep_task_id:
         skip.add("task_id")
     rest = [c for c in x.columns if c not in skip]
     return x.select(*lead, *rest)
 
 
+def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
+                       reports: DataFrame, *, req_keys: Iterable[str] | None = None,
+                       used_keys: Iterable[str] | None = None, strict: bool = False,
+                       keep_task_id: bool = False) -> DataFrame:
+    """One usage row per completed task of the listed datasets.
+
+    `datasets`, `jobs`, `tasks` are the scanned listings (sources.landed);
+    `reports` has (dataset_id, task_id, doc).  Key lists for the
+    requirement/resource columns are discovered when not given.
+    `strict=True` raises at run time when a task's job is missing or one of
+    its reports cannot be read (instead of leaving the task out / reading
+    NULL and listing the report in `report_diagnostics`).
+    """
+    rows = task_rows(datasets, jobs, tasks, reports, strict=strict)
+    if req_keys is None or used_keys is None:
+        # Key discovery needs one pass over the result; write it once to the
+        # shared checkpoint folder first, so the report documents are parsed
+        # once, not once for discovery and again for the output.
+        rows = materialize(rows, "usage-figures")
+    return finish_usage(rows, req_keys=req_keys, used_keys=used_keys,
+                        keep_task_id=keep_task_id)
+
+
 def sort_for_write(usage: DataFrame) -> DataFrame:
     """O1: rows ordered by (dataset, task, job) across output files.
 
