@@ -22,8 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmeter.constants import OVERUSE_PREFIX
-from gridmeter.functions.units import to_gib, to_hours
+from gridmeter.constants import BYTES_PER_GIB, OVERUSE_PREFIX, SECONDS_PER_HOUR
 from gridmeter.schemas import REPORT
 
 
@@ -54,34 +53,39 @@ def parse_reports(task_stat: DataFrame, keep_text: bool = False) -> DataFrame:
     )
 
 
-def _good_strict(x: Column) -> Column:
-    """A transfer counts when its error is literally false (absent does not)."""
-    return x["error"].try_cast("boolean").eqNullSafe(F.lit(False))
+# Expressions are written as SQL text: one parse each, instead of one
+# JVM round trip per operator when built from Python lambdas.
 
+# A transfer counts when its error is literally false (absent does not).
+GOOD_STRICT = "filter({arr}, x -> try_cast(x.error AS BOOLEAN) <=> false)"
 
-def good_transfers(records: Column) -> Column:
+# Totals of an array of good transfers: n, exact byte sum, seconds; each sum
+# is NULL when every value is NULL, like SQL `sum`.
+TOTALS = """named_struct(
+  'n', size({arr}),
+  'size', aggregate({arr}, CAST(NULL AS DECIMAL(38,0)), (acc, x) ->
+            CASE WHEN try_cast(x.size AS BIGINT) IS NULL THEN acc
+                 ELSE CAST(coalesce(acc, 0) + CAST(try_cast(x.size AS BIGINT) AS DECIMAL(38,0))
+                           AS DECIMAL(38,0)) END),
+  'duration', aggregate({arr}, CAST(NULL AS DOUBLE), (acc, x) ->
+            CASE WHEN try_cast(x.duration AS DOUBLE) IS NULL THEN acc
+                 ELSE coalesce(acc, 0D) + try_cast(x.duration AS DOUBLE) END))"""
+
+
+def good_transfers(records: Column | str) -> Column:
     """The transfers of one report's array that count on the table path."""
-    return F.filter(records, _good_strict)
+    if isinstance(records, str):
+        return F.expr(GOOD_STRICT.format(arr=records))
+    return F.filter(records, lambda x: x["error"].try_cast("boolean").eqNullSafe(F.lit(False)))
 
 
-def transfer_totals(good: Column) -> Column:
-    """Totals of an array of good transfers: struct(n, size, duration).
+def transfer_totals(good: str) -> Column:
+    """struct(n, size, duration) of the array column named `good`.
 
-    n = number of transfers; size = exact byte sum (DECIMAL(38,0)), duration
-    = seconds; each sum is NULL when every value is NULL, like SQL `sum`.
-    Pass a column holding the filtered array (not the filter expression) so
-    the filter is evaluated once.
+    Pass the name of a column holding the filtered array (not the filter
+    expression) so the filter is evaluated once.
     """
-    dec = "decimal(38,0)"
-    size_sum = F.aggregate(
-        good, F.lit(None).cast(dec),
-        lambda acc, x: F.when(x["size"].try_cast("bigint").isNull(), acc).otherwise(
-            (F.coalesce(acc, F.lit(0).cast(dec)) + x["size"].try_cast("bigint").cast(dec)).cast(dec)))
-    dur_sum = F.aggregate(
-        good, F.lit(None).cast("double"),
-        lambda acc, x: F.when(x["duration"].try_cast("double").isNull(), acc).otherwise(
-            F.coalesce(acc, F.lit(0.0)) + x["duration"].try_cast("double")))
-    return F.struct(F.size(good).alias("n"), size_sum.alias("size"), dur_sum.alias("duration"))
+    return F.expr(TOTALS.format(arr=good))
 
 
 def report_figures(reports: DataFrame) -> DataFrame:
@@ -89,31 +93,34 @@ def report_figures(reports: DataFrame) -> DataFrame:
     base = ["task_id", "task_stat_id", "error_text", "error_flag", "memory", "hours", "finished"]
     staged = reports.select(
         *base,
-        F.coalesce(F.col("error_summary").startswith(OVERUSE_PREFIX), F.lit(False)).alias("overuse"),
-        good_transfers(F.col("download")).alias("good_down"),
-        good_transfers(F.col("upload")).alias("good_up"),
+        F.expr(f"coalesce(startswith(error_summary, '{OVERUSE_PREFIX}'), false)").alias("overuse"),
+        good_transfers("download").alias("good_down"),
+        good_transfers("upload").alias("good_up"),
     )
-    return staged.select(
-        *base, "overuse",
-        transfer_totals(F.col("good_down")).alias("down"),
-        transfer_totals(F.col("good_up")).alias("up"),
-    )
-
-
-def _picked(direction: str) -> dict[str, Column]:
-    """Totals of the smallest report id having at least one good transfer.
-
-    Split into scalar min_by aggregates over doubles (fixed-width buffers),
-    so the whole rollup stays a hash aggregate rather than a sort aggregate.
-    """
-    t = F.col(direction)
-    ordering = F.when(t["n"] > 0, F.col("task_stat_id"))
-    name = "input" if direction == "down" else "output"
-    return {
-        f"has_{name}": F.min(ordering).isNotNull(),
-        f"{name}_size": F.min_by(to_gib(t["size"]), ordering),
-        f"{name}_duration": F.min_by(to_hours(t["duration"]), ordering),
-    }
+    return staged.select(*base, "overuse",
+                         transfer_totals("good_down").alias("down"),
+                         transfer_totals("good_up").alias("up"))
+
+
+# Per-task figures: conditional aggregates of one groupBy(task_id).  The
+# report picked for transfer totals is the smallest report id having a good
+# transfer; the pick is split into scalar min_by aggregates over doubles
+# (fixed-width buffers), so the rollup stays a hash aggregate.
+ROLLUP = {
+    "n_ok": "count(CASE WHEN error_text IS NULL THEN 1 END)",
+    "rss": "max(CASE WHEN error_text IS NULL THEN memory END)",
+    "time_finished": "max(CASE WHEN error_text IS NULL THEN finished END)",
+    "evictions": "sum(CASE WHEN overuse THEN 1 END)",
+    "mean_ttf": "avg(CASE WHEN overuse THEN hours END)",
+    "failed_GB_hours": "sum(CASE WHEN overuse THEN hours * memory END)",
+    "n_run": "count(CASE WHEN NOT (error_flag <=> true) THEN 1 END)",
+    "run_time": "sum(CASE WHEN NOT (error_flag <=> true) THEN hours END)",
+}
+for _name, _col in (("input", "down"), ("output", "up")):
+    _order = f"CASE WHEN {_col}.n > 0 THEN task_stat_id END"
+    ROLLUP[f"has_{_name}"] = f"min({_order}) IS NOT NULL"
+    ROLLUP[f"{_name}_size"] = f"min_by(CAST({_col}.size AS DOUBLE) / {float(BYTES_PER_GIB)}D, {_order})"
+    ROLLUP[f"{_name}_duration"] = f"min_by({_col}.duration / {SECONDS_PER_HOUR}D, {_order})"
 
 
 def task_rollup(task_stat: DataFrame) -> DataFrame:
@@ -126,22 +133,7 @@ def task_rollup(task_stat: DataFrame) -> DataFrame:
     per direction (smallest report id with a good transfer), NULL when none.
     """
     f = report_figures(parse_reports(task_stat))
-    ok = F.col("error_text").isNull()
-    over = F.col("overuse")
-    not_failed = ~F.col("error_flag").eqNullSafe(F.lit(True))
-    agg = f.groupBy("task_id").agg(
-        F.count(F.when(ok, 1)).alias("n_ok"),
-        F.max(F.when(ok, F.col("memory"))).alias("rss"),
-        F.max(F.when(ok, F.col("finished"))).alias("time_finished"),
-        F.sum(F.when(over, 1)).alias("evictions"),
-        F.avg(F.when(over, F.col("hours"))).alias("mean_ttf"),
-        F.sum(F.when(over, F.col("hours") * F.col("memory"))).alias("failed_GB_hours"),
-        F.count(F.when(not_failed, 1)).alias("n_run"),
-        F.sum(F.when(not_failed, F.col("hours"))).alias("run_time"),
-        *[c.alias(k) for k, c in _picked("down").items()],
-        *[c.alias(k) for k, c in _picked("up").items()],
-    )
-    return agg
+    return f.groupBy("task_id").agg(*[F.expr(e).alias(k) for k, e in ROLLUP.items()])
 
 
 def explode_transfers(task_stat: DataFrame) -> DataFrame:

@@ -88,7 +88,8 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
     # switch to a broadcast, from the measured size of the shuffled side.
     joined = (rollup.join(task, "task_id")
                     .join(search, "task_id")
-                    .join(broadcast_if_small(rel), "task_rel_id")
+                    .join(broadcast_if_small(rel, probe=t.task_rel.select("name")),
+                          "task_rel_id")
                     .join(job, "job_id"))
     out = joined.select(
         "dataset_id", "task_index", "task_name", "job_index", "input_size", "output_size", "rss",
