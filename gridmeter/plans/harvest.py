@@ -35,7 +35,7 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
     harvested.  Returns the ledger rows of this run.
     """
     from gridmeter.plans.usage_reports import finish_usage, task_rows
-    from gridmeter.session import materialize
+    from gridmeter.session import drop_path, materialize
     from gridmeter.sources import landed, sinks
 
     raw = {k: landed.read_landed(spark, landing, k)
@@ -57,7 +57,8 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
     reports = landed.scan_reports(raw["reports"]).join(ids, "dataset_id", "left_semi")
     # One materialised table of per-task rows feeds both the usage output
     # and the tally: listings and documents are parsed once.
-    rows = materialize(task_rows(work, jobs, tasks, reports), "harvest-rows")
+    rows, rows_path = materialize(task_rows(work, jobs, tasks, reports), "harvest-rows",
+                                  with_path=True)
     usage = finish_usage(rows, req_keys=req_keys, used_keys=used_keys)
     sinks.write_usage(usage, f"{out}/usage")
     per_ds = rows.groupBy("dataset").agg(
@@ -68,6 +69,7 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
                  .select("dataset", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
                                       for c in ("n_tasks", "n_jobs", "n_rows")]))
     sinks.write_ledger(tally, f"{out}/_ledger")
+    drop_path(spark, rows_path)      # written out; the per-task rows are no longer needed
     ledger = sinks.read_ledger(spark, f"{out}/_ledger")
     return ledger.join(work.select("dataset"), "dataset", "left_semi")
 

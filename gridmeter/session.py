@@ -62,12 +62,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, with_path: bool = False):
     """Write `df` once as a Parquet table in the shared checkpoint folder and
     read it back: the lineage is cut and the data is computed exactly once
-    (a reliable `checkpoint()` of an unpersisted plan computes it twice)."""
+    (a reliable `checkpoint()` of an unpersisted plan computes it twice).
+    With `with_path`, also return the table's path (to drop it when done)."""
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    return (out, path) if with_path else out
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table written by `materialize` (file system of the path)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -111,3 +111,11 @@ def test_landing_partitioned_by_dataset(spark, landing, scratch):
     assert sorted(a.collect()) == sorted(b.collect())
     assert spark.read.parquet(f"{scratch}/out_b/usage").count() == \
         spark.read.parquet(f"{scratch}/out_a/usage").count()
+
+
+def test_harvest_drops_its_rows_table(spark, landing, scratch):
+    from gridmeter.session import checkpoint_dir
+    base = checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{base}/harvest-rows-*"))
+    harvest(spark, landing, f"{scratch}/out", include=[20002])
+    assert set(glob.glob(f"{base}/harvest-rows-*")) == before
