@@ -38,3 +38,13 @@ def test_table_path_problems(spark):
     got = {(r["task_stat_id"], r["reason"]) for r in report_problems(ts).collect()}
     assert got == {("s1", "bad_error_value"), ("s2", "bad_resources"), ("s3", "bad_time"),
                    ("s4", "unparseable_report")}
+
+
+def test_strict(spark):
+    """strict=True raises at run time on what the default routes to diagnostics."""
+    doc = json.dumps({"b": {"stats": {"time": "t2"}}})          # no task_stats
+    with pytest.raises(Exception, match="unreadable report"):
+        usage_from_reports(*_listing(spark, doc), strict=True).collect()
+    with pytest.raises(Exception, match="task without job"):
+        usage_from_reports(*_listing(spark, "{}", job="J9"), strict=True).collect()
+    assert usage_from_reports(*_listing(spark, doc)).count() == 1

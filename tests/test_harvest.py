@@ -24,15 +24,30 @@ def landing(spark, tmp_path_factory):
     return base
 
 
-def test_scans(spark, landing):
+def test_scan_datasets(spark, landing):
     ds = landed.scan_datasets(landed.read_landed(spark, landing, "datasets"))
     assert ds.count() == 26
-    tasks = landed.scan_tasks(landed.read_landed(spark, landing, "tasks"))
+    assert ds.where("dataset = 20003").first()["dataset_id"] == "3"
+
+
+def test_scan_tasks(spark, landing):
+    raw = landed.read_landed(spark, landing, "tasks")
+    tasks = landed.scan_tasks(raw)                      # status filter at the source
     assert tasks.where(F.col("status") != "complete").count() == 0
-    all_tasks = landed.scan_tasks(landed.read_landed(spark, landing, "tasks"), status=None)
-    assert all_tasks.count() == 1500
+    assert tasks.count() == 493
+    assert landed.scan_tasks(raw, status=None).count() == 1500
+    assert tasks.schema["requirements"].dataType.typeName() == "map"
+
+
+def test_scan_jobs(spark, landing):
     jobs = landed.scan_jobs(landed.read_landed(spark, landing, "jobs"))
     assert jobs.count() == 150
+    assert set(jobs.columns) == {"dataset_id", "job_id", "job_index"}
+
+
+def test_scan_configs(spark, landing):
+    configs = landed.scan_configs(landed.read_landed(spark, landing, "configs"))
+    assert configs.count() == 25 and configs.where("config IS NULL").count() == 2
 
 
 def _files(path):
@@ -58,6 +73,16 @@ def test_resume(spark, landing, scratch):
     assert spark.read.parquet(f"{out}/usage").count() == n_complete
 
 
+def test_sink_partition_replace(spark, scratch):
+    """Dynamic partition overwrite: rewritten datasets are replaced, others kept."""
+    from gridmeter.sources.sinks import write_partitioned
+    path = f"{scratch}/t"
+    write_partitioned(spark.createDataFrame([(1, "a"), (2, "b")], "dataset bigint, v string"), path)
+    write_partitioned(spark.createDataFrame([(2, "c")], "dataset bigint, v string"), path)
+    assert sorted(map(tuple, spark.read.parquet(path).select("dataset", "v").collect())) == \
+        [(1, "a"), (2, "c")]
+
+
 def test_sorted_within_dataset(spark, landing, scratch):
     out = f"{scratch}/out"
     harvest(spark, landing, out, include=[20001])
@@ -66,7 +91,7 @@ def test_sorted_within_dataset(spark, landing, scratch):
     assert keys == sorted(keys)
 
 
-def test_export_configs(spark, landing, scratch):
+def test_sink_configs(spark, landing, scratch):
     out = f"{scratch}/configs"
     skipped = export_configs(spark, landing, out)
     assert sorted(r["dataset_id"] for r in skipped.collect()) == ["19", "9"]
