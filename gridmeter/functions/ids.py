@@ -18,6 +18,18 @@ from gridmeter.constants import ID_BASE as BASE
 from gridmeter.constants import ID_MODULUS as MODULUS
 
 
+def _body(val: str) -> str:
+    """The id2num SQL expression over the SQL expression `val`."""
+    return f"""CASE WHEN {val} IS NULL THEN CAST(NULL AS BIGINT)
+       WHEN {val} = '' THEN CAST(-1 AS BIGINT)
+       ELSE pmod(aggregate(split({val}, ''), CAST(0 AS BIGINT),
+              (acc, ch) -> pmod(acc * {BASE} + CASE WHEN ascii(ch) >= 97 THEN ascii(ch) - 96
+                                                   WHEN ascii(ch) >= 65 THEN ascii(ch) - 38
+                                                   ELSE ascii(ch) + 5 END,
+                                CAST({MODULUS} AS BIGINT))) - 1, CAST({MODULUS} AS BIGINT))
+  END"""
+
+
 def _digit(ch: Column) -> Column:
     code = F.ascii(ch).cast("bigint")
     return (F.when(code >= 97, code - 96)
@@ -26,31 +38,27 @@ def _digit(ch: Column) -> Column:
 
 
 def id2num(val: Column | str) -> Column:
-    """BIGINT number of a textual id (see module doc)."""
-    v = F.col(val) if isinstance(val, str) else val
+    """BIGINT number of a textual id (see module doc).
+
+    A column name uses the SQL form (one expression parse); an arbitrary
+    Column expression uses the same rule built from Column operations.
+    """
+    if isinstance(val, str):
+        return F.expr(_body(f"`{val}`"))
     horner = F.aggregate(
-        F.split(v, ""),
+        F.split(val, ""),
         F.lit(0).cast("bigint"),
         lambda acc, ch: F.pmod(acc * BASE + _digit(ch), F.lit(MODULUS)),
     )
-    return (F.when(v.isNull(), F.lit(None).cast("bigint"))
-             .when(v == "", F.lit(-1).cast("bigint"))
+    return (F.when(val.isNull(), F.lit(None).cast("bigint"))
+             .when(val == "", F.lit(-1).cast("bigint"))
              .otherwise(F.pmod(horner - 1, F.lit(MODULUS))))
 
 
 # The same function for SQL users, as a SQL-bodied temporary function (no
 # Python in the execution path).
-ID2NUM_SQL = f"""
-CREATE OR REPLACE TEMPORARY FUNCTION id2num(val STRING) RETURNS BIGINT RETURN
-  CASE WHEN val IS NULL THEN CAST(NULL AS BIGINT)
-       WHEN val = '' THEN CAST(-1 AS BIGINT)
-       ELSE pmod(aggregate(split(val, ''), CAST(0 AS BIGINT),
-              (acc, ch) -> pmod(acc * {BASE} + CASE WHEN ascii(ch) >= 97 THEN ascii(ch) - 96
-                                                   WHEN ascii(ch) >= 65 THEN ascii(ch) - 38
-                                                   ELSE ascii(ch) + 5 END,
-                                CAST({MODULUS} AS BIGINT))) - 1, CAST({MODULUS} AS BIGINT))
-  END
-"""
+ID2NUM_SQL = ("CREATE OR REPLACE TEMPORARY FUNCTION id2num(val STRING) RETURNS BIGINT RETURN "
+              + _body("val"))
 
 
 def register_sql_functions(spark: SparkSession) -> None:

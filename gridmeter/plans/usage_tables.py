@@ -70,7 +70,7 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
         rel = rel.where(F.col("name") == name)
     rel = rel.select(
         "task_rel_id",
-        id2num(F.col("dataset_id")).alias("dataset_id"),
+        id2num("dataset_id").alias("dataset_id"),
         "task_index",
         F.col("name").alias("task_name"),
         *[c.alias(k) for k, c in memory_parts("requirements", "rel").items()])

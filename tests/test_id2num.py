@@ -25,16 +25,18 @@ def reference(val):
 
 def test_known_id(spark):
     df = spark.createDataFrame([("O1r99c57luMXkK",), ("",), (None,), ("a",), ("9",)], "v string")
-    got = [r[0] for r in df.select(id2num("v")).collect()]
-    assert got == [20014, -1, None, 0, 61]
+    for form in ("v", F.col("v")):             # SQL-text form and Column form
+        got = [r[0] for r in df.select(id2num(form)).collect()]
+        assert got == [20014, -1, None, 0, 61]
 
 
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text(alphabet=ALPHABET, min_size=1, max_size=21), min_size=1, max_size=20))
 def test_matches_big_integers(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    got = [r[0] for r in df.select(id2num("v")).collect()]
-    assert got == [reference(v) for v in values]
+    rows = df.select(id2num("v").alias("a"), id2num(F.col("v")).alias("b")).collect()
+    assert [r["a"] for r in rows] == [reference(v) for v in values]
+    assert [r["b"] for r in rows] == [reference(v) for v in values]
 
 
 def test_sql_function(spark):
