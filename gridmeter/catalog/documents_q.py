@@ -43,10 +43,8 @@ lastx AS (SELECT task_id, kind, CAST(s AS DOUBLE) / 1073741824.0 AS gib, d / 360
 """
 
 
-def _doc_sql(select: str, *extra: str) -> str:
-    base = with_views("SELECT 1", "evo", "xfer", "rt", *extra)
-    head = base[: base.rindex("SELECT 1")].rstrip()
-    return head + ",\n" + _DOC_CTES.strip() + "\n" + select.strip()
+def _doc_sql(select: str) -> str:
+    return with_views(select, "evo", "xfer", "rt", extra=_DOC_CTES)
 
 
 _REQ_COLS = """

@@ -31,9 +31,7 @@ picked AS (SELECT task_id, kind, CAST(s AS DOUBLE) / 1073741824.0 AS gib, d / 36
 
 
 def _rollup_sql(select: str) -> str:
-    base = with_views("SELECT 1", "ev", "xfer", "tk", "rel", "jb")
-    head = base[: base.rindex("SELECT 1")].rstrip()
-    return head + ",\n" + _ROLLUP_CTES.strip() + "\n" + select.strip()
+    return with_views(select, "ev", "xfer", "tk", "rel", "jb", extra=_ROLLUP_CTES)
 
 
 _USAGE_SELECT = f"""

@@ -77,8 +77,8 @@ VIEWS = {"ev": EV, "xfer": XFER, "tk": TK, "rel": REL, "jb": JB, "rt": RT, "evo"
 DEPENDS = {"evo": ["ev"]}
 
 
-def with_views(sql: str, *names: str) -> str:
-    """Prefix `sql` (a SELECT) with the CTEs it uses."""
+def with_views(sql: str, *names: str, extra: str = "") -> str:
+    """Prefix `sql` (a SELECT) with the CTEs it uses, then any `extra` CTEs."""
     ordered: list[str] = []
 
     def add(n):
@@ -88,7 +88,8 @@ def with_views(sql: str, *names: str) -> str:
             ordered.append(n)
     for n in names:
         add(n)
-    return "WITH " + ",\n".join(VIEWS[n] for n in ordered) + "\n" + sql.strip()
+    ctes = [VIEWS[n] for n in ordered] + ([extra.strip()] if extra.strip() else [])
+    return "WITH " + ",\n".join(ctes) + "\n" + sql.strip()
 
 
 def id2num(x: str) -> str:
