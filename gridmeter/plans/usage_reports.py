@@ -58,6 +58,9 @@ def task_rows(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame, reports: D
         fig = fig.withColumn("_chk", F.when(F.col("unreadable"), F.raise_error(
             F.concat(F.lit("unreadable report in task "), F.col("task_id")))))
         fig = fig.where(F.col("_chk").isNull()).drop("_chk")
+    # Only strict mode reads these; dropping them here keeps them out of a
+    # materialised table (where they would otherwise be computed).
+    fig = fig.drop("unreadable", "n_reports")
     ds = broadcast_if_small(datasets.select("dataset_id", "dataset"))
     return (tj.join(fig, ["dataset_id", "task_id"], "left")
               .join(ds, "dataset_id")
