@@ -22,6 +22,21 @@ def discover_keys(df: DataFrame, map_col: str) -> list[str]:
     return sorted(r["k"] for r in keys)
 
 
+def discover_keys_of(df: DataFrame, *map_cols: str) -> dict[str, list[str]]:
+    """Key names of several map columns with one distinct (one job)."""
+    def tag(name):
+        return lambda k: F.struct(F.lit(name).alias("col"), k.alias("k"))
+
+    tagged = F.concat(*[F.transform(F.coalesce(F.map_keys(F.col(c)), F.array().cast("array<string>")),
+                                    tag(c))
+                        for c in map_cols])
+    rows = df.select(F.explode(tagged).alias("t")).select("t.col", "t.k").distinct().collect()
+    out = {c: [] for c in map_cols}
+    for r in rows:
+        out[r["col"]].append(r["k"])
+    return {c: sorted(v) for c, v in out.items()}
+
+
 def flatten_map(df: DataFrame, map_col: str, suffix: str, keys: Iterable[str] | None = None,
                 drop: Iterable[str] = (), text_keys: Iterable[str] = TEXT_KEYS) -> DataFrame:
     """Replace `map_col` by one column per key; numeric keys become doubles."""

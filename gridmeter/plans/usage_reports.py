@@ -23,7 +23,7 @@ from gridmeter.constants import DROPPED_REQUIREMENT
 from gridmeter.session import materialize
 from gridmeter.operators.documents import task_figures
 from gridmeter.operators.joins import broadcast_if_small
-from gridmeter.operators.pivot import flatten_map
+from gridmeter.operators.pivot import discover_keys_of, flatten_map
 
 INDEX = ["dataset", "task", "job"]
 FIGURES = ["time_finished", "mem_wastage", "site", "hostname", "input_size", "input_duration",
@@ -71,6 +71,9 @@ def finish_usage(rows: DataFrame, *, req_keys: Iterable[str] | None = None,
                  used_keys: Iterable[str] | None = None, keep_task_id: bool = False) -> DataFrame:
     """Usage rows from `task_rows`: tasks with a job, open maps flattened."""
     x = rows.where(F.col("has_job"))
+    if req_keys is None and used_keys is None:
+        found = discover_keys_of(x, "requirements", "used")
+        req_keys, used_keys = found["requirements"], found["used"]
     x = flatten_map(x, "requirements", "_req", keys=req_keys, drop=(DROPPED_REQUIREMENT,))
     x = flatten_map(x, "used", "_used", keys=used_keys)
     lead = [F.col("dataset"), F.col("task_index").alias("task"), F.col("job_index").alias("job")]

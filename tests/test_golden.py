@@ -198,3 +198,11 @@ def test_path_differences(spark):
     t6 = usage_from_tables(golden_tables(spark)).where("task_id = 'T6'").first()
     assert t6["failed_GB_hours"] is None
     assert figures(spark, '{"x": {"stats": {"time": "t"}}}')["mem_wastage"] == 0.0
+
+
+def test_discover_keys_of(spark):
+    from gridmeter.operators.pivot import discover_keys, discover_keys_of
+    df = spark.createDataFrame([({"a": "1"}, {"x": "2"}), ({"b": "1"}, None), (None, {"y": "3"})],
+                               "r map<string,string>, u map<string,string>")
+    assert discover_keys_of(df, "r", "u") == {"r": ["a", "b"], "u": ["x", "y"]}
+    assert discover_keys(df, "r") == ["a", "b"]
