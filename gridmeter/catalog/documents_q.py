@@ -114,9 +114,10 @@ def q_double_encoded_json(spark, sf_dir):
     e = docs.explode_reports(_scanned(spark, sf_dir)["reports"])
     e = e.where(F.col("stats.task_stats").isNotNull())
     ts = F.from_json(F.col("stats.task_stats"), TASK_STATS)
+    empty = F.array().cast("array<struct<size:string,duration:string,error:string>>")
     return e.select("stat_id",
-                    F.coalesce(F.size(ts["download"]), F.lit(0)).cast("bigint").alias("n_download"),
-                    F.coalesce(F.size(ts["upload"]), F.lit(0)).cast("bigint").alias("n_upload"))
+                    F.size(F.coalesce(ts["download"], empty)).cast("bigint").alias("n_download"),
+                    F.size(F.coalesce(ts["upload"], empty)).cast("bigint").alias("n_upload"))
 
 
 @query("transfers_ok_lenient", with_views(f"""
