@@ -127,9 +127,9 @@ FROM xfer WHERE error IS NOT TRUE
 def q_transfers_ok_lenient(spark, sf_dir):
     """Good transfers of the document path: error not truthy, a
     missing error counts (string-encoded task_stats included)."""
-    from gridmeter.functions.json import json_truthy
+    from gridmeter.functions.json import variant_truthy
     t = docs.explode_transfers(_scanned(spark, sf_dir)["reports"])
-    return t.where(~json_truthy("error")).select("stat_id", "kind", "size", "duration")
+    return t.where(~variant_truthy("error")).select("stat_id", "kind", "size", "duration")
 
 
 @query("final_report", _doc_sql(f"""

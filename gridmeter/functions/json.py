@@ -3,7 +3,8 @@
 * text at a path: a missing key and a JSON null both give NULL;
 * key presence: a key holding JSON null is present;
 * booleans: JSON text cast to boolean, unparseable text gives NULL;
-* truthiness: the dynamic-language reading (false, 0, "", null are false).
+* truthiness: the dynamic-language reading of a VARIANT value (missing,
+  null, false, 0, "", [] and {} are false; the string "false" is true).
 """
 
 from __future__ import annotations
@@ -34,10 +35,20 @@ def json_bool(text: Column | str) -> Column:
     return _c(text).try_cast("boolean")
 
 
-def json_truthy(text: Column | str) -> Column:
-    """Truthiness of a JSON value given as text; NULL (missing) is false."""
-    t = F.trim(_c(text))
-    return ~(t.isNull() | t.isin("false", "0", "0.0", "-0", "-0.0", "", "[]", "{}", "null"))
+# Truthiness of a VARIANT value from its JSON text (token type preserved:
+# a string keeps its quotes): missing, null, false, 0, "", [] and {} are false.
+VARIANT_TRUTHY = ("NOT ({v} IS NULL OR to_json({v}) IN ('null', 'false', '\"\"', '[]', '{{}}') "
+                  "OR coalesce(try_cast(to_json({v}) AS DOUBLE) = 0, false))")
+
+
+def variant_truthy(value: Column | str) -> Column:
+    """Truthiness of a VARIANT value (see VARIANT_TRUTHY)."""
+    name = value if isinstance(value, str) else None
+    if name is not None:
+        return F.expr(VARIANT_TRUTHY.format(v=f"`{name}`"))
+    j = F.to_json(value)
+    return ~(value.isNull() | j.isin("null", "false", '""', "[]", "{}")
+             | F.coalesce(j.try_cast("double") == 0, F.lit(False)))
 
 
 def parse_json_text(text: Column | str, schema: str) -> Column:

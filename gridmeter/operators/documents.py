@@ -21,15 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmeter.constants import BYTES_PER_GIB, OVERUSE_PREFIX, SECONDS_PER_HOUR
-from gridmeter.functions.json import json_truthy
-from gridmeter.schemas import REPORT_DOC, TASK_STATS
+from gridmeter.functions.json import VARIANT_TRUTHY, variant_truthy
+from gridmeter.schemas import REPORT_DOC, TASK_STATS_DOC
 
 # Report array: (ord, stat_id, s) in document order.
 REPORTS = (f"transform(map_entries(from_json(doc, '{REPORT_DOC}')), "
            "(e, i) -> named_struct('ord', i, 'stat_id', e.key, 's', e.value.stats))")
 
-TRUTHY = ("NOT ({x} IS NULL OR trim({x}) IN "
-          "('false', '0', '0.0', '-0', '-0.0', '', '[]', '{{}}', 'null'))")
+TRUTHY = VARIANT_TRUTHY.replace("{v}", "{x}")
 
 
 def _overuse(x: str) -> str:
@@ -54,7 +53,7 @@ def with_report_array(reports: DataFrame) -> DataFrame:
 # good transfers of each direction.
 _PARSED = (f"transform(reports, x -> named_struct('ord', x.ord, "
            f"'elig', x.s.error_summary IS NULL, 'has_ts', x.s.task_stats IS NOT NULL, "
-           f"'ts', from_json(x.s.task_stats, '{TASK_STATS}')))")
+           f"'ts', from_json(x.s.task_stats, '{TASK_STATS_DOC}')))")
 _GOOD = ("transform(parsed, y -> named_struct('elig', y.elig, "
          "'down', filter(y.ts.download, f -> NOT ({t})), "
          "'up', filter(y.ts.upload, f -> NOT ({t}))))").format(t=TRUTHY.format(x="f.error"))
@@ -120,7 +119,7 @@ def explode_reports(reports: DataFrame) -> DataFrame:
 def explode_transfers(reports: DataFrame) -> DataFrame:
     """Transfers of every report, with task_stats decoded from either encoding."""
     e = explode_reports(reports).where(F.col("stats").isNotNull())
-    ts = F.from_json(F.col("stats.task_stats"), TASK_STATS)
+    ts = F.from_json(F.col("stats.task_stats"), TASK_STATS_DOC)
     tagged = F.concat(
         F.transform(F.coalesce(ts["download"], F.array()),
                     lambda x: F.struct(F.lit("download").alias("kind"), x.alias("x"))),
@@ -145,12 +144,12 @@ def report_diagnostics(reports: DataFrame) -> DataFrame:
     transfer_missing_fields: a good transfer without size or duration.
     """
     e = explode_reports(reports).where(F.col("stats").isNotNull())
-    e = e.select("*", F.from_json(F.col("stats.task_stats"), TASK_STATS).alias("_ts"))
+    e = e.select("*", F.from_json(F.col("stats.task_stats"), TASK_STATS_DOC).alias("_ts"))
     s, ts = F.col("stats"), F.col("_ts")
     overuse = F.coalesce(s["error_summary"].startswith(OVERUSE_PREFIX), F.lit(False))
     bad_fields = F.exists(
         F.concat(F.coalesce(ts["download"], F.array()), F.coalesce(ts["upload"], F.array())),
-        lambda f: ~json_truthy(f["error"]) & (f["size"].isNull() | f["duration"].isNull()))
+        lambda f: ~variant_truthy(f["error"]) & (f["size"].isNull() | f["duration"].isNull()))
     reason = (F.when(overuse & s["resources"].isNull(), "overuse_without_resources")
                .when(s["error_summary"].isNull() & s["task_stats"].isNull(), "missing_task_stats")
                .when(s["error_summary"].isNull() & bad_fields, "transfer_missing_fields"))

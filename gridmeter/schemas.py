@@ -74,6 +74,11 @@ TEXT_COLUMNS = {
 TRANSFER = "STRUCT<size: STRING, duration: STRING, error: STRING>"
 TASK_STATS = f"STRUCT<download: ARRAY<{TRANSFER}>, upload: ARRAY<{TRANSFER}>>"
 
+# Document path: `error` is kept as a VARIANT so its JSON token type survives
+# (the string "false" is truthy, the boolean false is not).
+TRANSFER_DOC = "STRUCT<size: STRING, duration: STRING, error: VARIANT>"
+TASK_STATS_DOC = f"STRUCT<download: ARRAY<{TRANSFER_DOC}>, upload: ARRAY<{TRANSFER_DOC}>>"
+
 # A report as stored in task_stat.stat (table path).  A `task_stats` held as a
 # JSON string does not match the struct and reads as NULL, i.e. no transfers.
 REPORT = ("error STRING, error_summary STRING, time STRING, "

@@ -206,3 +206,15 @@ def test_discover_keys_of(spark):
                                "r map<string,string>, u map<string,string>")
     assert discover_keys_of(df, "r", "u") == {"r": ["a", "b"], "u": ["x", "y"]}
     assert discover_keys(df, "r") == ["a", "b"]
+
+
+def test_transfer_error_truthiness(spark):
+    """Document path: a transfer is good unless its error value is truthy."""
+    errors = ['false', '"false"', '0', '"0"', '""', '"x"', '[]', '[1]', '{}', 'null', '1', '0.0', None]
+    good = {'false', '0', '""', '[]', '{}', 'null', '0.0', None}
+    records = ",".join(
+        '{"size": %d, "duration": 1%s}' % (2 ** i, "" if e is None else ', "error": ' + e)
+        for i, e in enumerate(errors))
+    doc = '{"s": {"stats": {"time": "t", "task_stats": {"download": [%s]}}}}' % records
+    expected = sum(2 ** i for i, e in enumerate(errors) if e in good) / 2 ** 30
+    assert figures(spark, doc)["input_size"] == expected
