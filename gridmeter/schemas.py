@@ -88,7 +88,9 @@ REPORT = ("error STRING, error_summary STRING, time STRING, "
 # A report as returned by the report listing (document path): resources is an
 # open key set, task_stats may be an object or a string holding JSON; reading
 # it as STRING yields the same JSON text for both encodings.
-REPORT_STATS = ("error STRING, error_summary STRING, site STRING, hostname STRING, "
+# (The document path never reads a report's own `error` value, so it is not
+# parsed.)
+REPORT_STATS = ("error_summary STRING, site STRING, hostname STRING, "
                 "time STRING, resources MAP<STRING, STRING>, task_stats STRING")
 REPORT_DOC = f"MAP<STRING, STRUCT<stats: STRUCT<{REPORT_STATS}>>>"
 
