@@ -49,11 +49,13 @@ def with_report_array(reports: DataFrame) -> DataFrame:
     return reports.withColumn("reports", F.expr(REPORTS))
 
 
-# Per report: task_stats parsed once (object or JSON string alike), then the
-# good transfers of each direction.
+# Per report: task_stats parsed once (object or JSON string alike), and only
+# for reports that can give transfer totals (no error_summary); then the good
+# transfers of each direction.
 _PARSED = (f"transform(reports, x -> named_struct('ord', x.ord, "
            f"'elig', x.s.error_summary IS NULL, 'has_ts', x.s.task_stats IS NOT NULL, "
-           f"'ts', from_json(x.s.task_stats, '{TASK_STATS_DOC}')))")
+           f"'ts', CASE WHEN x.s.error_summary IS NULL "
+           f"THEN from_json(x.s.task_stats, '{TASK_STATS_DOC}') END))")
 _GOOD = ("transform(parsed, y -> named_struct('elig', y.elig, "
          "'down', filter(y.ts.download, f -> NOT ({t})), "
          "'up', filter(y.ts.upload, f -> NOT ({t}))))").format(t=TRUTHY.format(x="f.error"))
