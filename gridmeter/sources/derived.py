@@ -89,6 +89,8 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> (event_id, task_id, stat JSON text) in the report shape."""
     ev = load(spark, sf_dir, "events")
+    # A report's transfer list is one document's content: bounded by the
+    # lineitems of one order that share the report's line-number residue.
     xf = transfers(spark, sf_dir).groupBy("event_id").agg(
         F.collect_list(F.when(F.col("kind") == "download", F.col("record"))).alias("download"),
         F.collect_list(F.when(F.col("kind") == "upload", F.col("record"))).alias("upload"),
