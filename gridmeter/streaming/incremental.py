@@ -10,6 +10,8 @@ partitions whole.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmeter.schemas import LANDED
@@ -20,11 +22,15 @@ def harvest_stream(spark: SparkSession, landing: str, out: str, checkpoint: str
     """Start the stream; with `available_now` it processes what has landed and stops.
 
     The stream checkpoint defaults to a folder inside the cluster's shared
-    checkpoint directory (`spark.checkpoint.dir`).
+    checkpoint directory (`spark.checkpoint.dir`), named after the landing
+    and output paths so a restart resumes it and two streams never share it.
     """
     from gridmeter.plans.harvest import harvest
     from gridmeter.session import scratch_path
-    checkpoint = checkpoint or scratch_path(spark, "harvest_stream")
+    if checkpoint is None:
+        # One stream state per (landing, output) pair, stable across restarts.
+        key = hashlib.sha1(f"{landing}|{out}".encode()).hexdigest()[:16]
+        checkpoint = scratch_path(spark, f"harvest_stream-{key}")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         ids = batch.select("dataset_id").distinct()

@@ -144,3 +144,17 @@ def test_harvest_drops_its_rows_table(spark, landing, scratch):
     before = set(glob.glob(f"{base}/harvest-rows-*"))
     harvest(spark, landing, f"{scratch}/out", include=[20002])
     assert set(glob.glob(f"{base}/harvest-rows-*")) == before
+
+
+def test_streaming_default_checkpoint(spark, landing, scratch):
+    """Without a checkpoint argument the stream keeps its state in the shared
+    checkpoint folder (spark.checkpoint.dir), not next to the output."""
+    from gridmeter.session import checkpoint_dir
+    from gridmeter.streaming import harvest_stream
+    base = checkpoint_dir(spark).replace("file:", "")
+    q = harvest_stream(spark, landing, f"{scratch}/out")
+    q.awaitTermination(300)
+    import hashlib
+    key = hashlib.sha1(f"{landing}|{scratch}/out".encode()).hexdigest()[:16]
+    assert os.path.isdir(f"{base}/harvest_stream-{key}/offsets")
+    assert spark.read.parquet(f"{scratch}/out/_ledger").count() == 25
