@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from gridmeter.constants import BYTES_PER_GIB, OVERUSE_PREFIX, SECONDS_PER_HOUR
 from gridmeter.functions.json import VARIANT_TRUTHY, variant_truthy
+from gridmeter.operators.reports import tagged_transfers
 from gridmeter.schemas import REPORT_DOC, TASK_STATS_DOC
 
 # Report array: (ord, stat_id, s) in document order.
@@ -121,12 +122,8 @@ def explode_reports(reports: DataFrame) -> DataFrame:
 def explode_transfers(reports: DataFrame) -> DataFrame:
     """Transfers of every report, with task_stats decoded from either encoding."""
     e = explode_reports(reports).where(F.col("stats").isNotNull())
-    ts = F.from_json(F.col("stats.task_stats"), TASK_STATS_DOC)
-    tagged = F.concat(
-        F.transform(F.coalesce(ts["download"], F.array()),
-                    lambda x: F.struct(F.lit("download").alias("kind"), x.alias("x"))),
-        F.transform(F.coalesce(ts["upload"], F.array()),
-                    lambda x: F.struct(F.lit("upload").alias("kind"), x.alias("x"))))
+    e = e.select("*", F.from_json(F.col("stats.task_stats"), TASK_STATS_DOC).alias("_ts"))
+    tagged = tagged_transfers("_ts.download", "_ts.upload")
     return (e.select("task_id", "ord", "stat_id",
                      F.col("stats.error_summary").alias("error_summary"),
                      F.explode(tagged).alias("t"))

@@ -136,14 +136,20 @@ def task_rollup(task_stat: DataFrame) -> DataFrame:
     return f.groupBy("task_id").agg(*[F.expr(e).alias(k) for k, e in ROLLUP.items()])
 
 
+# Both transfer arrays of a report as one array of (kind, record).
+TAGGED = ("concat(transform(coalesce({down}, array()), x -> named_struct('kind', 'download', 'x', x)), "
+          "transform(coalesce({up}, array()), x -> named_struct('kind', 'upload', 'x', x)))")
+
+
+def tagged_transfers(down: str, up: str) -> Column:
+    """`TAGGED` over the download / upload array expressions `down`, `up`."""
+    return F.expr(TAGGED.format(down=down, up=up))
+
+
 def explode_transfers(task_stat: DataFrame) -> DataFrame:
     """One row per transfer record: task_stat_id, task_id, kind, size, duration, error."""
     r = parse_reports(task_stat)
-    tagged = F.concat(
-        F.transform(F.coalesce(F.col("download"), F.array()), lambda x: F.struct(
-            F.lit("download").alias("kind"), x.alias("x"))),
-        F.transform(F.coalesce(F.col("upload"), F.array()), lambda x: F.struct(
-            F.lit("upload").alias("kind"), x.alias("x"))))
+    tagged = tagged_transfers("download", "upload")
     return (r.select("task_stat_id", "task_id", F.explode(tagged).alias("t"))
              .select("task_stat_id", "task_id", F.col("t.kind").alias("kind"),
                      F.col("t.x.size").try_cast("bigint").alias("size"),
