@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmeter.llm import exact_dedup, mixing, simhash, url_filter
-from gridmeter.llm.common import read_table
+from gridmeter.llm import exact_dedup, langid, mixing, quality, simhash, url_filter
+from gridmeter.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,25 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the folds other than remainder 2."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = langid.held_out(crc_fold("doc_id", 4))
+    protos = langid.prototypes(docs.where(~held))
+    found = langid.predict(docs.select("doc_id", "text"), protos)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the folds other than remainder 0."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~quality.held_out()))
+    scored = quality.score_all(docs, model)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 #: The rules of op7, fixed by its contract: host, path, verdict.
 RULES = [
     ("com", "/", "allow"),
@@ -75,5 +94,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op7_url_filter, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op7_url_filter, op10_simhash)}
 ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_filter": OP7_SQL}
