@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmeter.llm import exact_dedup, langid, mixing, quality, simhash, url_filter
+from gridmeter.llm import bpe, exact_dedup, langid, mixing, quality, simhash, url_filter
 from gridmeter.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,11 +88,28 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT JO
 """
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str, name: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    """Token ids of every document and the bytes they decode to, as digests."""
+    import public_tokenizers
+
+    ids = bpe.read_ranks(public_tokenizers.path(name))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded_digests(bpe.encode(docs, bpe.pair_table(ids), public_tokenizers.PATTERN), ids)
+
+
+def encoded_digests(encoded: DataFrame, ids: dict[bytes, int]) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded documents."""
+    both = bpe.decode(encoded, ids)
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document (4-word shingles, 4 bits)."""
     found = simhash.near_groups(read_table(spark, sf_dir, "documents"), width=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op7_url_filter, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op7_url_filter, op8_bpe, op10_simhash)}
 ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_filter": OP7_SQL}
