@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmeter.llm import bpe, exact_dedup, langid, mixing, quality, simhash, url_filter
+from gridmeter.llm import bpe, exact_dedup, langid, mixing, quality, simhash, token_files, url_filter
 from gridmeter.llm.common import crc_fold, read_table
+from gridmeter.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str, name: str = "byte_bpe_50k.json", vocabulary: int = 50_257) -> DataFrame:
+    """Every document's place, length and checksum, read back from the bit-packed files."""
+    import public_tokenizers
+
+    path = scratch_path(spark, f"token-files-{uuid.uuid4().hex[:12]}")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write(docs, path, public_tokenizers.path(name), vocabulary, end_id=0)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document (weights 1, 2, 3 over the sources, at most three epochs)."""
     mixed = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -111,5 +123,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op7_url_filter, op8_bpe, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_files, op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op7_url_filter, op8_bpe, op10_simhash)}
 ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_filter": OP7_SQL}
