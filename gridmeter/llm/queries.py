@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmeter.llm import bpe, exact_dedup, langid, mixing, quality, simhash, token_files, url_filter
+from gridmeter.llm import ann, bpe, exact_dedup, langid, mixing, quality, simhash, token_counts, token_files, url_filter
 from gridmeter.llm.common import crc_fold, read_table
 from gridmeter.session import scratch_path
 
@@ -65,6 +65,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found of every hundredth vector."""
+    return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 #: The rules of op7, fixed by its contract: host, path, verdict.
 RULES = [
     ("com", "/", "allow"),
@@ -117,11 +122,21 @@ def encoded_digests(encoded: DataFrame, ids: dict[bytes, int]) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str, name: str = "byte_bpe_50k.json") -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    counts = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(name))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document (4-word shingles, 4 bits)."""
     found = simhash.near_groups(read_table(spark, sf_dir, "documents"), width=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_files, op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op7_url_filter, op8_bpe, op10_simhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_token_files, op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op6_nearest, op7_url_filter, op8_bpe,
+    op9_token_counts, op10_simhash)}
 ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_filter": OP7_SQL}
