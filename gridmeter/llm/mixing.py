@@ -29,7 +29,7 @@ from gridmeter.llm.common import WORD, fresh, text_or_empty, unit_hash
 from gridmeter.session import materialize
 
 BLOCK_WORDS = 1_000_000
-LEAST_BLOCKS = 1_024
+LEAST_BLOCKS = 1_024  # so that small sources are dealt document by document
 FILL_ROUNDS = 6
 
 
@@ -45,11 +45,12 @@ def targets(sizes: DataFrame, max_epochs: float = 3.0) -> DataFrame:
     w = F.when(F.col("weight") > 0, F.col("weight")).otherwise(0.0)
     t = sizes.withColumn("_w", w).withColumn("_cap", F.col("size") * F.lit(max_epochs))
     every = Window.partitionBy()
-    order = Window.orderBy(F.when(F.col("_w") > 0, F.col("_cap") / F.col("_w")).otherwise(F.lit(float("inf"))), "s")
+    order = Window.orderBy(F.coalesce(F.try_divide("_cap", "_w"), F.lit(float("inf"))), "s")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     # At each source: the level if it and all after it stayed below their caps.
-    t = (t.withColumn("_level", (F.sum("size").over(every) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0)))
-                      / (F.sum("_w").over(every) - F.coalesce(F.sum("_w").over(before), F.lit(0.0)))))
+    t = t.withColumn("_level", F.try_divide(
+        F.sum("size").over(every) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0)),
+        F.sum("_w").over(every) - F.coalesce(F.sum("_w").over(before), F.lit(0.0))))
     # The true level is that of the first source which stays below its cap.
     below = (F.col("_w") > 0) & (F.col("_level") * F.col("_w") <= F.col("_cap"))
     t = t.withColumn("_at", F.row_number().over(order))
@@ -128,7 +129,7 @@ def split_tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 def _take(blocks: DataFrame, seed: int) -> DataFrame:
     """(s, block, words) of every block with target -> copies of each block to take."""
     order = unit_hash(F.lit(seed), F.col("s"), F.col("block"))
-    t = (blocks.withColumn("whole", F.when(F.col("size") > 0, F.floor(F.col("target") / F.col("size"))).otherwise(F.lit(0)))
+    t = (blocks.withColumn("whole", F.coalesce(F.floor(F.try_divide("target", "size")), F.lit(0)))
          .withColumn("rest", F.col("target") - F.col("whole") * F.col("size"))
          .withColumn("place", order).withColumn("more", F.lit(False)))
     by = Window.partitionBy("s")
@@ -157,7 +158,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     (at most `max_epochs`; empty if never).  Row order within a shard is by place.
 
     `weights`: (source, weight); without it `default_weights`.  A null source is a
-    source of its own; a source without a weight gets no words.  Null ids and null
+    source of its own; a source without a positive weight gets no words, and its words' share goes to the others.  Null ids and null
     texts are values like any other (size of a null text: 0).  Rows that repeat id
     and text share a block and so are taken together.  An empty table gives an
     empty result.  Columns of `docs` with these four names are replaced.
@@ -170,11 +171,11 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     sized = docs.select(s.alias("s"), n_words.alias("words"), spread.alias("spread"))
     # Per (source, fine block): a first reduction that later gets its block count.
     narrow = materialize(sized, "mix-sizes")
-    sizes = narrow.groupBy("s").agg(F.sum("words").alias("size"), F.count(F.lit(1)).alias("rows"))
+    sizes = narrow.groupBy("s").agg(F.sum("words").alias("size"))
     weighed = (weights if weights is not None else default_weights(narrow.select("s.source"), "source"))
     weighed = weighed.select(F.struct(F.col(weighed.columns[0]).alias("source")).alias("s"), F.col("weight"))
     plan = targets(sizes.join(weighed, "s", "left"), float(max_epochs)).withColumn(
-        "blocks", F.greatest(F.least(F.col("rows"), F.lit(LEAST_BLOCKS)), F.ceil(F.col("size") / block_words)).cast("bigint"))
+        "blocks", F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.col("size") / block_words)).cast("bigint"))
     plan = materialize(plan, "mix-plan")  # one row per source
     block = F.pmod(F.col("spread"), F.col("blocks"))
     blocks = (narrow.join(plan, "s").groupBy("s", block.alias("block"))
