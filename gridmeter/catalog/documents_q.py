@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridmeter.catalog import query
@@ -9,7 +11,8 @@ from gridmeter.oracle import r6, with_views
 from gridmeter.operators import documents as docs
 from gridmeter.plans.usage_reports import usage_from_reports
 from gridmeter.sources import landed
-from gridmeter.sources.derived import landed_documents
+from gridmeter.session import scratch_path
+from gridmeter.sources.derived import flawed_reports, landed_documents
 
 
 def _scanned(spark, sf_dir):
@@ -25,7 +28,7 @@ def _scanned(spark, sf_dir):
 
 # Relational form of the document-path figures.
 _DOC_CTES = """
-fin AS (SELECT task_id, ts, memory, hours, cpu FROM (
+fin AS (SELECT task_id, ts, memory, hours, cpu, node FROM (
           SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY ts DESC, ord) AS rn
           FROM evo WHERE has_resources) WHERE rn = 1),
 waste AS (SELECT task_id, sum(memory * hours) AS w FROM evo WHERE overuse AND has_resources
@@ -51,12 +54,15 @@ _REQ_COLS = """
        CASE WHEN rt.req_kind = 0 THEN CAST(rt.task_id % 16 AS DOUBLE)
             WHEN rt.req_kind = 2 THEN CAST(2.5 AS DOUBLE) END AS memory_req,
        CASE WHEN rt.req_kind = 0 THEN CAST(1.0 AS DOUBLE) END AS cpu_req,
-       CASE WHEN rt.req_kind = 2 THEN CAST(1.0 AS DOUBLE) END AS gpu_req"""
+       CASE WHEN rt.req_kind = 2 THEN CAST(1.0 AS DOUBLE) END AS gpu_req,
+       CASE WHEN rt.req_kind = 1 THEN 'x86' END AS arch_req,
+       CASE WHEN rt.req_kind = 0 THEN CAST(rt.task_id % 3 AS VARCHAR)
+            WHEN rt.req_kind = 2 THEN 'long' END AS queue_req"""
 
 _USAGE_SELECT = f"""
 SELECT rt.dataset, rt.task_index AS task, rt.job_index AS job, {_REQ_COLS},
        fin.ts AS time_finished, {r6('fin.memory')} AS memory_used, {r6('fin.hours')} AS time_used,
-       fin.cpu AS cpu_used, {r6('coalesce(waste.w, 0.0)')} AS mem_wastage,
+       fin.cpu AS cpu_used, fin.node AS node_used, {r6('coalesce(waste.w, 0.0)')} AS mem_wastage,
        lastr.site, lastr.hostname,
        {r6('i.gib')} AS input_size, {r6('i.hrs')} AS input_duration,
        {r6('o.gib')} AS output_size, {r6('o.hrs')} AS output_duration
@@ -146,7 +152,7 @@ def q_final_report(spark, sf_dir):
 
 @query("resources_pivot", _doc_sql(f"""
 SELECT CAST(task_id AS VARCHAR) AS task_id, {r6('memory')} AS memory_used,
-       {r6('hours')} AS time_used, cpu AS cpu_used FROM fin
+       {r6('hours')} AS time_used, cpu AS cpu_used, node AS node_used FROM fin
 """))
 def q_resources_pivot(spark, sf_dir):
     """P5: the final report's resources as `<key>_used` columns (keys discovered)."""
@@ -202,13 +208,27 @@ def q_last_transfer_totals(spark, sf_dir):
 
 
 @query("report_diagnostics", with_views("""
-SELECT CAST(task_id AS VARCHAR) AS task_id, CAST(event_id AS VARCHAR) AS stat_id,
-       'overuse_without_resources' AS reason
-FROM ev WHERE overuse AND NOT has_resources
-""", "ev"))
+SELECT CAST(task_id AS VARCHAR) AS task_id, stat_id, reason FROM (
+  SELECT task_id, CAST(NULL AS VARCHAR) AS stat_id, 'unreadable_document' AS reason
+  FROM rt WHERE task_id % 17 = 1
+  UNION ALL
+  SELECT ev.task_id, CAST(event_id AS VARCHAR),
+         CASE WHEN overuse AND NOT has_resources THEN 'overuse_without_resources'
+              WHEN overuse AND ev.task_id % 17 = 5 THEN 'overuse_bad_resources'
+              WHEN has_summary OR stats_as_string THEN NULL
+              WHEN ev.task_id % 17 = 2 THEN 'unreadable_task_stats'
+              WHEN g.task_stat_id IS NULL THEN NULL
+              WHEN ev.task_id % 17 = 4 THEN 'transfer_missing_fields'
+              WHEN ev.task_id % 17 = 3 THEN 'transfer_bad_value' END
+  FROM ev JOIN rt ON rt.task_id = ev.task_id
+  LEFT JOIN (SELECT DISTINCT task_stat_id FROM xfer WHERE error IS NOT TRUE) g
+    ON g.task_stat_id = ev.task_stat_id
+  WHERE ev.task_id % 17 <> 1)
+WHERE reason IS NOT NULL
+""", "ev", "xfer", "rt"))
 def q_report_diagnostics(spark, sf_dir):
-    """Unusable reports routed to a diagnostics table with a reason."""
-    d = docs.report_diagnostics(_scanned(spark, sf_dir)["reports"])
+    """Unusable reports and documents, with a reason each."""
+    d = docs.report_diagnostics(flawed_reports(_scanned(spark, sf_dir)["reports"]))
     return d.select("task_id", "stat_id", "reason")
 
 
@@ -232,8 +252,82 @@ LEFT JOIN (SELECT CAST(c_nationkey AS VARCHAR) AS dataset_id, count(*) AS n_jobs
            FROM customer GROUP BY c_nationkey) j ON j.dataset_id = d.dataset_id
 """))
 def q_dataset_tally(spark, sf_dir):
-    """Per dataset, tasks and jobs listed and usage rows produced."""
+    """Per dataset, tasks and jobs listed and usage rows produced (the
+    harvest's own tally; no report is parsed for it)."""
     from gridmeter.plans.harvest import dataset_tally
+    from gridmeter.plans.usage_reports import task_rows
+    s = _scanned(spark, sf_dir)
+    return dataset_tally(s["datasets"], task_rows(s["datasets"], s["jobs"], s["tasks"], s["reports"]), s["jobs"])
+
+
+def _land(docs_, base, kinds=("datasets", "tasks", "jobs", "reports", "configs"), at=1):
+    for kind in kinds:
+        docs_[kind].withColumn("landed_at", F.lit(at).cast("bigint")).write.mode("append").json(f"{base}/{kind}")
+
+
+def _fresh(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query("harvest_refresh", _doc_sql(_USAGE_SELECT + " AND rt.dataset <> 20007"))
+def q_harvest_refresh(spark, sf_dir):
+    """Everything lands twice, first with older content, and is harvested
+    after each landing; the usage read back has the newest content once.  Dataset
+    20007 has no completed task any more in the second landing: its rows go."""
+    from gridmeter.plans.harvest import harvest
+    new, base = landed_documents(spark, sf_dir), _fresh(spark, "refresh")
+    old = dict(new)
+    old["tasks"] = new["tasks"].withColumn("doc", F.regexp_replace("doc", '"requirements":\\{[^}]*\\}', '"requirements":{"memory":1}'))
+    old["reports"] = new["reports"].withColumn("doc", F.lit("{}"))
+    new["tasks"] = new["tasks"].withColumn("doc", F.when(F.col("dataset_id") == "7", F.replace(
+        "doc", F.lit('"complete"'), F.lit('"queued"'))).otherwise(F.col("doc")))
+    _land(old, f"{base}/landing")
+    harvest(spark, f"{base}/landing", f"{base}/out")
+    _land(new, f"{base}/landing", at=2)
+    harvest(spark, f"{base}/landing", f"{base}/out", include=landed.scan_datasets(new["datasets"]))
+    usage = spark.read.option("mergeSchema", "true").parquet(f"{base}/out/usage")
+    return usage.withColumn("dataset", F.col("dataset").cast("bigint"))
+
+
+@query("harvest_resume", _doc_sql("""
+SELECT d.dataset, coalesce(t.n, 0) AS n_tasks, coalesce(j.n, 0) AS n_jobs, coalesce(t.n, 0) AS n_rows
+FROM (SELECT CAST(20000 + n_nationkey AS BIGINT) AS dataset, CAST(n_nationkey AS VARCHAR) AS dataset_id
+      FROM nation WHERE n_nationkey >= 3) d
+LEFT JOIN (SELECT dataset_id, count(*) AS n FROM rt WHERE o_orderstatus = 'F' GROUP BY 1) t USING (dataset_id)
+LEFT JOIN (SELECT CAST(c_nationkey AS VARCHAR) AS dataset_id, count(*) AS n FROM customer GROUP BY 1) j USING (dataset_id)
+"""))
+def q_harvest_resume(spark, sf_dir):
+    """Three datasets are harvested by number; the next harvest does
+    exactly the others, by the ledger.  Returns its ledger rows."""
+    from gridmeter.plans.harvest import harvest
+    base = _fresh(spark, "resume")
+    _land(landed_documents(spark, sf_dir), f"{base}/landing")
+    harvest(spark, f"{base}/landing", f"{base}/out", include=[20000, 20001, 20002])
+    return harvest(spark, f"{base}/landing", f"{base}/out")
+
+
+@query("config_export", """
+SELECT CAST(n_nationkey AS VARCHAR) AS dataset_id,
+       CASE WHEN n_nationkey % 10 <> 9 THEN n_name END AS description, n_nationkey % 10 = 9 AS skipped
+FROM nation
+""")
+def q_config_export(spark, sf_dir):
+    """Config documents written one per line and read back; datasets without one."""
+    from gridmeter.plans.harvest import export_configs
+    base = _fresh(spark, "configs")
+    _land(landed_documents(spark, sf_dir), f"{base}/landing", kinds=("configs",))
+    skipped = export_configs(spark, f"{base}/landing", f"{base}/out")
+    lines = spark.read.schema("dataset_id STRING, description STRING").json(f"{base}/out")
+    return lines.withColumn("skipped", F.lit(False)).unionByName(
+        skipped.select("dataset_id", F.lit(None).cast("string").alias("description"), F.lit(True).alias("skipped")))
+
+
+@query("missing_jobs", with_views("""
+SELECT dataset_id, CAST(task_id AS VARCHAR) AS task_id, CAST(job_id AS VARCHAR) AS job_id, 'missing_job' AS reason
+FROM rt WHERE o_orderstatus = 'F' AND job_id % 5 = 0
+""", "rt"))
+def q_missing_jobs(spark, sf_dir):
+    """Completed tasks whose job is not listed (every fifth job is left out of the listing)."""
+    from gridmeter.plans.usage_reports import missing_jobs
     s = _scanned(spark, sf_dir)
-    usage = usage_from_reports(s["datasets"], s["jobs"], s["tasks"], s["reports"])
-    return dataset_tally(s["datasets"], s["tasks"], s["jobs"], usage)
+    return missing_jobs(s["tasks"], s["jobs"].where(F.col("job_id").cast("bigint") % 5 != 0))

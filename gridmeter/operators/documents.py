@@ -24,6 +24,7 @@ from gridmeter.constants import BYTES_PER_GIB, OVERUSE_PREFIX, SECONDS_PER_HOUR
 from gridmeter.functions.json import VARIANT_TRUTHY, variant_truthy
 from gridmeter.operators.reports import tagged_transfers
 from gridmeter.schemas import REPORT_DOC, TASK_STATS_DOC
+from gridmeter.sources.landed import newest
 
 # Report array: (ord, stat_id, s) in document order.
 REPORTS = (f"transform(map_entries(from_json(doc, '{REPORT_DOC}')), "
@@ -37,24 +38,21 @@ def _overuse(x: str) -> str:
 
 
 def _totals(picked: str, prefix: str) -> dict[str, F.Column]:
-    size = (f"aggregate({picked}, CAST(0 AS DECIMAL(38,0)), "
-            "(a, f) -> CAST(a + coalesce(try_cast(f.size AS BIGINT), 0) AS DECIMAL(38,0)))")
+    # Sizes may be written as JSON floats; six places hold them exactly.
+    size = (f"aggregate({picked}, CAST(0 AS DECIMAL(38,6)), "
+            "(a, f) -> CAST(a + coalesce(try_cast(f.size AS DECIMAL(38,6)), 0) AS DECIMAL(38,6)))")
     dur = (f"aggregate({picked}, CAST(0 AS DOUBLE), "
            "(a, f) -> a + coalesce(try_cast(f.duration AS DOUBLE), CAST(0 AS DOUBLE)))")
     return {f"{prefix}_size": F.expr(f"CAST({size} AS DOUBLE) / {float(BYTES_PER_GIB)}D"),
             f"{prefix}_duration": F.expr(f"{dur} / {SECONDS_PER_HOUR}D")}
 
 
-def with_report_array(reports: DataFrame) -> DataFrame:
-    """Add `reports`: the parsed report array of each task's document."""
-    return reports.withColumn("reports", F.expr(REPORTS))
-
-
 # Per report: task_stats parsed once (object or JSON string alike), and only
 # for reports that can give transfer totals (no error_summary); then the good
 # transfers of each direction.
 _PARSED = (f"transform(reports, x -> named_struct('ord', x.ord, "
-           f"'elig', x.s.error_summary IS NULL, 'has_ts', x.s.task_stats IS NOT NULL, "
+           f"'elig', x.s.error_summary IS NULL, "
+           "'has_ts', x.s.task_stats IS NOT NULL AND json_object_keys(x.s.task_stats) IS NOT NULL, "
            f"'ts', CASE WHEN x.s.error_summary IS NULL "
            f"THEN from_json(x.s.task_stats, '{TASK_STATS_DOC}') END))")
 _GOOD = ("transform(parsed, y -> named_struct('elig', y.elig, "
@@ -62,8 +60,12 @@ _GOOD = ("transform(parsed, y -> named_struct('elig', y.elig, "
          "'up', filter(y.ts.upload, f -> NOT ({t}))))").format(t=TRUTHY.format(x="f.error"))
 _UNREADABLE = ("exists(parsed, y -> y.elig AND (NOT y.has_ts OR exists("
                "concat(coalesce(y.ts.download, array()), coalesce(y.ts.upload, array())), "
-               "f -> NOT ({t}) AND (f.size IS NULL OR f.duration IS NULL))))"
+               "f -> NOT ({t}) AND (try_cast(f.size AS DECIMAL(38,6)) IS NULL "
+               "OR try_cast(f.duration AS DOUBLE) IS NULL))))"
                ).format(t=TRUTHY.format(x="f.error"))
+_WASTE_UNREADABLE = (f"exists(reports, x -> {_overuse('x')} AND x.s.resources IS NOT NULL AND "
+                     "(try_cast(x.s.resources['memory'] AS DOUBLE) IS NULL "
+                     "OR try_cast(x.s.resources['time'] AS DOUBLE) IS NULL))")
 
 
 def task_figures(reports: DataFrame) -> DataFrame:
@@ -76,8 +78,9 @@ def task_figures(reports: DataFrame) -> DataFrame:
     Built as a few projections, each computing an expensive array once
     (the parse of the document, of each task_stats, the good lists).
     """
-    keys = ["dataset_id", "task_id"]
-    r = reports.select(*keys, F.expr(REPORTS).alias("reports"))
+    keys = ["dataset_id", "task_id", *(["landed"] if "landed" in reports.columns else [])]
+    r = reports.select(*keys, F.expr(REPORTS).alias("reports"),
+                       (F.col("doc").isNotNull() & F.json_object_keys("doc").isNull()).alias("bad_doc"))
     best = ("array_max(transform(filter(reports, x -> x.s.resources IS NOT NULL), "
             "x -> named_struct('t', x.s.time, 'o', -x.ord)))")
     waste = (f"aggregate(filter(reports, x -> {_overuse('x')} AND x.s.resources IS NOT NULL), "
@@ -89,16 +92,17 @@ def task_figures(reports: DataFrame) -> DataFrame:
         F.expr(f"try_element_at(reports, 1 - {best}.o)").alias("final"),
         F.expr(waste).alias("mem_wastage"),
         F.expr("try_element_at(reports, -1).s").alias("last"),
+        (F.col("bad_doc") | F.coalesce(F.expr(_WASTE_UNREADABLE), F.lit(False))).alias("bad"),
         F.expr(_PARSED).alias("parsed"))
     r = r.select(*keys, "n_reports", "final", "mem_wastage", "last",
-                 F.coalesce(F.expr(_UNREADABLE), F.lit(False)).alias("unreadable"),
+                 (F.col("bad") | F.coalesce(F.expr(_UNREADABLE), F.lit(False))).alias("unreadable"),
                  F.expr(_GOOD).alias("good"))
     r = r.select(*keys, "n_reports", "final", "mem_wastage", "last", "unreadable",
                  F.expr("try_element_at(filter(good, x -> x.elig AND size(x.down) > 0), -1).down")
                  .alias("down"),
                  F.expr("try_element_at(filter(good, x -> x.elig AND size(x.up) > 0), -1).up")
                  .alias("up"))
-    return r.select(
+    figures = r.select(
         *keys, "n_reports", "unreadable",
         F.expr("try_cast(final.s.time AS TIMESTAMP_NTZ)").alias("time_finished"),
         F.expr("final.s.resources").alias("used"),
@@ -108,6 +112,19 @@ def task_figures(reports: DataFrame) -> DataFrame:
         *[c.alias(k) for k, c in _totals("down", "input").items()],
         *[c.alias(k) for k, c in _totals("up", "output").items()],
     )
+    # Of a task's documents the newest counts: chosen among figures, so no document is shuffled.
+    return newest(figures, "dataset_id", "task_id")
+
+
+# The resources of the final report alone, from a parse of nothing else.
+_USED = ("array_max(transform(map_entries(from_json(doc, 'MAP<STRING, STRUCT<stats: STRUCT<time: STRING, "
+         "resources: MAP<STRING, STRING>>>>')), (e, i) -> CASE WHEN e.value.stats.resources IS NOT NULL THEN "
+         "named_struct('t', e.value.stats.time, 'o', -i, 'r', map_entries(e.value.stats.resources)) END)).r")
+
+
+def used_resources(reports: DataFrame) -> DataFrame:
+    """The `used` map of every landed report document, by a narrow parse (key discovery)."""
+    return reports.select(F.map_from_entries(F.expr(_USED)).alias("used"))
 
 
 def explode_reports(reports: DataFrame) -> DataFrame:
@@ -138,19 +155,36 @@ def report_diagnostics(reports: DataFrame) -> DataFrame:
 
     overuse_without_resources: an overuse report without resources (it adds
       nothing to the waste);
+    overuse_bad_resources: an overuse report whose memory or time is missing
+      or no number;
+    unreadable_document: the task's document is not a JSON object;
+    unreadable_task_stats: task_stats is not a JSON object;
     missing_task_stats: a report without error_summary and without
       task_stats (nothing to read transfers from);
-    transfer_missing_fields: a good transfer without size or duration.
+    transfer_missing_fields: a good transfer without size or duration;
+    transfer_bad_value: a good transfer whose size or duration is no number.
     """
+    unread = reports.where(F.col("doc").isNotNull() & F.json_object_keys("doc").isNull()).select(
+        "dataset_id", "task_id", F.lit(None).cast("string").alias("stat_id"), F.lit(None).cast("int").alias("ord"),
+        F.lit("unreadable_document").alias("reason"))
     e = explode_reports(reports).where(F.col("stats").isNotNull())
     e = e.select("*", F.from_json(F.col("stats.task_stats"), TASK_STATS_DOC).alias("_ts"))
     s, ts = F.col("stats"), F.col("_ts")
+    missing = {k: s["resources"][k].try_cast("double").isNull() for k in ("memory", "time")}
     overuse = F.coalesce(s["error_summary"].startswith(OVERUSE_PREFIX), F.lit(False))
     bad_fields = F.exists(
         F.concat(F.coalesce(ts["download"], F.array()), F.coalesce(ts["upload"], F.array())),
         lambda f: ~variant_truthy(f["error"]) & (f["size"].isNull() | f["duration"].isNull()))
+    bad_values = F.exists(
+        F.concat(F.coalesce(ts["download"], F.array()), F.coalesce(ts["upload"], F.array())),
+        lambda f: ~variant_truthy(f["error"]) & (f["size"].try_cast("decimal(38,6)").isNull()
+                                                 | f["duration"].try_cast("double").isNull()))
     reason = (F.when(overuse & s["resources"].isNull(), "overuse_without_resources")
+               .when(overuse & (missing["memory"] | missing["time"]), "overuse_bad_resources")
                .when(s["error_summary"].isNull() & s["task_stats"].isNull(), "missing_task_stats")
-               .when(s["error_summary"].isNull() & bad_fields, "transfer_missing_fields"))
+               .when(s["error_summary"].isNull() & F.json_object_keys(s["task_stats"]).isNull(),
+                     "unreadable_task_stats")
+               .when(s["error_summary"].isNull() & bad_fields, "transfer_missing_fields")
+               .when(s["error_summary"].isNull() & bad_values, "transfer_bad_value"))
     return (e.select("dataset_id", "task_id", "stat_id", "ord", reason.alias("reason"))
-             .where(F.col("reason").isNotNull()))
+             .where(F.col("reason").isNotNull()).unionByName(unread))

@@ -1,52 +1,56 @@
 """Open key sets (requirements, resources) flattened into `<key><suffix>` columns.
 
-With a key list the flattening is a projection of map lookups: no shuffle.
-Without one, the keys are discovered with one distinct over the map keys
-(a small set: the distinct key names), collected to build the projection.
+With a key list that names the types the flattening is a projection of map
+lookups: no shuffle.  Without one, the keys and their types are found by one
+aggregate over the map entries: a key is numeric (double) if every value it has
+is a number, else its values stay text, so no value is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys whose values are text, not numbers.
-TEXT_KEYS = ("os",)
-
-
-def discover_keys(df: DataFrame, map_col: str) -> list[str]:
-    keys = (df.select(F.explode(F.map_keys(F.col(map_col))).alias("k"))
-              .distinct().collect())
-    return sorted(r["k"] for r in keys)
-
-
-def discover_keys_of(df: DataFrame, *map_cols: str) -> dict[str, list[str]]:
-    """Key names of several map columns with one distinct (one job)."""
-    def tag(name):
-        return lambda k: F.struct(F.lit(name).alias("col"), k.alias("k"))
-
-    tagged = F.concat(*[F.transform(F.coalesce(F.map_keys(F.col(c)), F.array().cast("array<string>")),
-                                    tag(c))
-                        for c in map_cols])
-    rows = df.select(F.explode(tagged).alias("t")).select("t.col", "t.k").distinct().collect()
-    out = {c: [] for c in map_cols}
-    for r in rows:
-        out[r["col"]].append(r["k"])
-    return {c: sorted(v) for c, v in out.items()}
-
-
-def flatten_map(df: DataFrame, map_col: str, suffix: str, keys: Iterable[str] | None = None,
-                drop: Iterable[str] = (), text_keys: Iterable[str] = TEXT_KEYS) -> DataFrame:
-    """Replace `map_col` by one column per key; numeric keys become doubles."""
-    keys = list(keys) if keys is not None else discover_keys(df, map_col)
-    drop, text_keys = set(drop), set(text_keys)
-    m = F.col(map_col)
-    cols = {}
-    for k in keys:
-        if k in drop:
-            continue
-        v = m[k]
-        cols[f"{k}{suffix}"] = v if k in text_keys else v.try_cast("double")
+# Keys become columns of a plan; more of them than this is an error, not a table.
+MAX_KEYS = 10_000
+
+
+def discover_keys_of(maps: Mapping[str, DataFrame]) -> dict[str, dict[str, str]]:
+    """For each (name, DataFrame with one map column): its keys with their types,
+    'double' or 'string', in name order; one job for all of them."""
+    parts = None
+    for name, df in maps.items():
+        e = df.select(F.explode(F.col(df.columns[0])).alias("k", "v")).select(
+            F.lit(name).alias("col"), "k",
+            (F.col("v").isNull() | F.col("v").try_cast("double").isNotNull()).alias("numeric"))
+        parts = e if parts is None else parts.unionAll(e)
+    rows = parts.groupBy("col", "k").agg(F.min("numeric").alias("numeric")).limit(MAX_KEYS + 1).collect()
+    if len(rows) > MAX_KEYS:
+        raise ValueError(f"more than {MAX_KEYS} different keys in {', '.join(maps)}")
+    out: dict[str, dict[str, str]] = {name: {} for name in maps}
+    for r in sorted(rows, key=lambda r: r["k"]):
+        out[r["col"]][r["k"]] = "double" if r["numeric"] else "string"
+    return out
+
+
+def discover_keys(df: DataFrame, map_col: str) -> dict[str, str]:
+    return discover_keys_of({map_col: df.select(map_col)})[map_col]
+
+
+def flatten_map(df: DataFrame, map_col: str, suffix: str,
+                keys: Mapping[str, str] | Iterable[str] | None = None,
+                drop: Iterable[str] = ()) -> DataFrame:
+    """Replace `map_col` by one column per key.
+
+    `keys`: a mapping of key to 'double' or 'string'; a plain list takes the
+    keys' types from the data; None takes keys and types from the data.
+    """
+    if not isinstance(keys, Mapping):
+        found = discover_keys(df, map_col)
+        keys = found if keys is None else {k: found.get(k, "double") for k in keys}
+    drop = set(drop)
+    cols = {f"{k}{suffix}": (F.col(map_col)[k].try_cast("double") if kind == "double" else F.col(map_col)[k])
+            for k, kind in keys.items() if k not in drop}
     return df.withColumns(cols).drop(map_col) if cols else df.drop(map_col)

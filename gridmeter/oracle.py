@@ -23,6 +23,8 @@ EV = """ev AS (
               THEN CAST(json_extract_string(props, '$.k') AS INTEGER) / 10 END AS hours,
          CASE WHEN NOT (event_type = 'error' AND event_id % 13 = 0) AND event_type = 'purchase'
               THEN CAST(1.0 AS DOUBLE) END AS cpu,
+         CASE WHEN NOT (event_type = 'error' AND event_id % 13 = 0) AND event_type = 'purchase'
+              THEN 'n' || CAST(user_id % 4 AS VARCHAR) END AS node,
          CASE WHEN user_id % 7 <> 0 THEN 'site' || CAST(user_id % 5 AS VARCHAR) END AS site,
          'host' || CAST(user_id AS VARCHAR) AS hostname,
          event_type <> 'error' AS has_task_stats,

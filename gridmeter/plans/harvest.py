@@ -6,33 +6,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dataset_tally(datasets: DataFrame, tasks: DataFrame, jobs: DataFrame,
-                  usage: DataFrame) -> DataFrame:
+# Work lists up to this many datasets become a literal filter on the landed
+# partition column, which prunes files at planning; longer ones a semi-join.
+MAX_LITERAL_IDS = 1_000
+
+
+def dataset_tally(datasets: DataFrame, rows: DataFrame, jobs: DataFrame) -> DataFrame:
     """(dataset, n_tasks, n_jobs, n_rows) for every listed dataset.
 
-    Three small aggregates (partial aggregation before each shuffle) joined
-    on the dataset key; datasets with nothing get zeros.
+    `rows` are per-task rows (`task_rows`: dataset, has_job), `jobs` the job
+    listing.  Two small aggregates (partial aggregation before each shuffle)
+    joined on the dataset; datasets with nothing get zeros.  No report is parsed.
     """
-    nt = tasks.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n_tasks"))
+    per_ds = rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_tasks"),
+                                         F.count(F.when(F.col("has_job"), 1)).alias("n_rows"))
     nj = jobs.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n_jobs"))
-    nr = usage.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"))
-    d = datasets.select("dataset", "dataset_id")
-    return (d.join(nt, "dataset_id", "left").join(nj, "dataset_id", "left")
-             .join(nr, "dataset", "left")
-             .select("dataset", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                                  for c in ("n_tasks", "n_jobs", "n_rows")]))
+    return (datasets.select("dataset", "dataset_id").join(per_ds, "dataset", "left").join(nj, "dataset_id", "left")
+            .select("dataset", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                                 for c in ("n_tasks", "n_jobs", "n_rows")]))
+
+
+def of_datasets(raw: DataFrame, ids: DataFrame, literal: list[str] | None) -> DataFrame:
+    """The landed records of the datasets in `ids`, filtered on the landed partition
+    column before any document is parsed."""
+    if literal is not None:
+        return raw.where(F.col("dataset_id").isin(literal))
+    return raw.join(ids, "dataset_id", "left_semi")
 
 
-def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
-            used_keys=None) -> DataFrame:
+def harvest(spark, landing: str, out: str, include=None, *, req_keys=None, used_keys=None,
+            strict: bool = False) -> DataFrame:
     """Harvest landed documents of the datasets not yet in the ledger.
 
     `include` (dataset numbers, or a DataFrame with a `dataset_id` column)
     selects exactly those datasets, re-harvesting them even when already
-    present.  Usage goes to `<out>/usage` (partition per dataset), the
-    per-dataset tally to `<out>/_ledger`; the ledger, not the usage
-    directory, decides what is done, so a dataset with no rows counts as
-    harvested.  Returns the ledger rows of this run.
+    present.  Of documents that landed again the newest counts.  Usage goes to
+    `<out>/usage` (partition per dataset), the per-dataset tally to
+    `<out>/_ledger`; the ledger, not the usage directory, decides what is done,
+    so a dataset with no rows counts as harvested.  A re-harvest replaces a
+    dataset's rows, also by none.  `strict` raises on records that cannot be
+    read.  Returns the ledger rows of this run.
     """
     from gridmeter.plans.usage_reports import finish_usage, task_rows
     from gridmeter.session import drop_path, materialize
@@ -40,38 +53,47 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None,
 
     raw = {k: landed.read_landed(spark, landing, k)
            for k in ("datasets", "tasks", "jobs", "reports")}
+    if strict:
+        raw = {k: landed.checked(df, k) for k, df in raw.items()}
     datasets = landed.scan_datasets(raw["datasets"])
     key = F.col("dataset").cast("string")
+    ledger = sinks.read_ledger(spark, f"{out}/_ledger")
     if include is None:
-        done = sinks.read_ledger(spark, f"{out}/_ledger").select(
-            F.col("dataset").cast("string").alias("_done"))
+        done = ledger.select(F.col("dataset").cast("string").alias("_done"))
         work = datasets.join(done, key == F.col("_done"), "left_anti")
     elif isinstance(include, DataFrame):
         work = datasets.join(include.select("dataset_id").distinct(), "dataset_id", "left_semi")
     else:
         work = datasets.where(key.isin([str(v) for v in include]))
-    work = materialize(work.select("dataset", "dataset_id"), "harvest-work")
-    ids = work.select("dataset_id")
-    tasks = landed.scan_tasks(raw["tasks"]).join(ids, "dataset_id", "left_semi")
-    jobs = landed.scan_jobs(raw["jobs"]).join(ids, "dataset_id", "left_semi")
-    reports = landed.scan_reports(raw["reports"]).join(ids, "dataset_id", "left_semi")
-    # One materialised table of per-task rows feeds both the usage output
-    # and the tally: listings and documents are parsed once.
-    rows, rows_path = materialize(task_rows(work, jobs, tasks, reports), "harvest-rows",
-                                  with_path=True)
-    usage = finish_usage(rows, req_keys=req_keys, used_keys=used_keys)
-    sinks.write_usage(usage, f"{out}/usage")
-    per_ds = rows.groupBy("dataset").agg(
-        F.count(F.lit(1)).alias("n_tasks"),
-        F.count(F.when(F.col("has_job"), 1)).alias("n_rows"))
-    nj = jobs.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n_jobs"))
-    tally = (work.join(per_ds, "dataset", "left").join(nj, "dataset_id", "left")
-                 .select("dataset", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                                      for c in ("n_tasks", "n_jobs", "n_rows")]))
-    sinks.write_ledger(tally, f"{out}/_ledger")
-    drop_path(spark, rows_path)      # written out; the per-task rows are no longer needed
-    ledger = sinks.read_ledger(spark, f"{out}/_ledger")
-    return ledger.join(work.select("dataset"), "dataset", "left_semi")
+    scratch = []
+    try:
+        work, path = materialize(work.select("dataset", "dataset_id"), "harvest-work", with_path=True)
+        scratch.append(path)
+        few = work.select("dataset_id").limit(MAX_LITERAL_IDS + 1).collect()
+        literal = [r["dataset_id"] for r in few] if len(few) <= MAX_LITERAL_IDS else None
+        ids = work.select("dataset_id")
+        tasks = landed.scan_tasks(of_datasets(raw["tasks"], ids, literal))
+        jobs = landed.scan_jobs(of_datasets(raw["jobs"], ids, literal))
+        reports = landed.scan_reports(of_datasets(raw["reports"], ids, literal))
+        # One materialised table of per-task rows feeds both the usage output
+        # and the tally: listings and documents are parsed once.
+        rows, path = materialize(task_rows(work, jobs, tasks, reports, strict=strict), "harvest-rows",
+                                 with_path=True)
+        scratch.append(path)
+        tally, path = materialize(dataset_tally(work, rows, jobs), "harvest-tally", with_path=True)
+        scratch.append(path)
+        usage = finish_usage(rows, req_keys=req_keys, used_keys=used_keys)
+        sinks.write_usage(usage, f"{out}/usage")
+        emptied = (tally.where("n_rows = 0").select("dataset")
+                   .join(ledger.where("n_rows > 0"), "dataset", "left_semi"))
+        sinks.clear_datasets(usage, emptied, f"{out}/usage")
+        sinks.write_ledger(tally, f"{out}/_ledger")
+        return spark.createDataFrame(
+            sinks.read_ledger(spark, f"{out}/_ledger").join(work.select("dataset"), "dataset", "left_semi").collect(),
+            sinks.LEDGER_SCHEMA)      # one row per harvested dataset
+    finally:
+        for path in scratch:
+            drop_path(spark, path)
 
 
 def export_configs(spark, landing: str, out: str) -> DataFrame:

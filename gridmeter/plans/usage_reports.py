@@ -14,14 +14,11 @@ operators.documents): no shuffle on the report side except the join.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmeter.constants import DROPPED_REQUIREMENT
-from gridmeter.session import materialize
-from gridmeter.operators.documents import task_figures
+from gridmeter.operators.documents import task_figures, used_resources
 from gridmeter.operators.joins import broadcast_if_small
 from gridmeter.operators.pivot import discover_keys_of, flatten_map
 
@@ -67,12 +64,13 @@ def task_rows(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame, reports: D
               .withColumn("mem_wastage", F.coalesce("mem_wastage", F.lit(0.0))))
 
 
-def finish_usage(rows: DataFrame, *, req_keys: Iterable[str] | None = None,
-                 used_keys: Iterable[str] | None = None, keep_task_id: bool = False) -> DataFrame:
-    """Usage rows from `task_rows`: tasks with a job, open maps flattened."""
+def finish_usage(rows: DataFrame, *, req_keys=None, used_keys=None,
+                 keep_task_id: bool = False) -> DataFrame:
+    """Usage rows from `task_rows`: tasks with a job, open maps flattened
+    (`req_keys`, `used_keys`: see operators.pivot.flatten_map)."""
     x = rows.where(F.col("has_job"))
     if req_keys is None and used_keys is None:
-        found = discover_keys_of(x, "requirements", "used")
+        found = discover_keys_of({c: x.select(c) for c in ("requirements", "used")})
         req_keys, used_keys = found["requirements"], found["used"]
     x = flatten_map(x, "requirements", "_req", keys=req_keys, drop=(DROPPED_REQUIREMENT,))
     x = flatten_map(x, "used", "_used", keys=used_keys)
@@ -86,24 +84,24 @@ def finish_usage(rows: DataFrame, *, req_keys: Iterable[str] | None = None,
 
 
 def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
-                       reports: DataFrame, *, req_keys: Iterable[str] | None = None,
-                       used_keys: Iterable[str] | None = None, strict: bool = False,
+                       reports: DataFrame, *, req_keys=None, used_keys=None, strict: bool = False,
                        keep_task_id: bool = False) -> DataFrame:
     """One usage row per completed task of the listed datasets.
 
     `datasets`, `jobs`, `tasks` are the scanned listings (sources.landed);
     `reports` has (dataset_id, task_id, doc).  Key lists for the
-    requirement/resource columns are discovered when not given.
+    requirement/resource columns are discovered when not given, from the two
+    maps straight from the scans (nothing is written; a key that only tasks
+    without a job have gives a column of NULLs).
     `strict=True` raises at run time when a task's job is missing or one of
     its reports cannot be read (instead of leaving the task out / reading
     NULL and listing the report in `report_diagnostics`).
     """
     rows = task_rows(datasets, jobs, tasks, reports, strict=strict)
-    if req_keys is None or used_keys is None:
-        # Key discovery needs one pass over the result; write it once to the
-        # shared checkpoint folder first, so the report documents are parsed
-        # once, not once for discovery and again for the output.
-        rows = materialize(rows, "usage-figures")
+    if req_keys is None and used_keys is None:
+        found = discover_keys_of({"requirements": tasks.select("requirements"),
+                                  "used": used_resources(reports)})
+        req_keys, used_keys = found["requirements"], found["used"]
     return finish_usage(rows, req_keys=req_keys, used_keys=used_keys,
                         keep_task_id=keep_task_id)
 

@@ -100,10 +100,12 @@ TASK_DOC = ("MAP<STRING, STRUCT<dataset_id: STRING, job_id: STRING, task_id: STR
             "task_index: INT, requirements: MAP<STRING, STRING>, status: STRING>>")
 JOB_DOC = "MAP<STRING, STRUCT<job_index: INT>>"
 
+# A record may carry its landing order (`landed_at`, any increasing number).
 LANDED = {
-    "datasets": "doc STRING",
-    "tasks": "dataset_id STRING, doc STRING",
-    "jobs": "dataset_id STRING, doc STRING",
-    "reports": "dataset_id STRING, task_id STRING, doc STRING",
-    "configs": "dataset_id STRING, doc STRING",
+    "datasets": "doc STRING, landed_at BIGINT",
+    "tasks": "dataset_id STRING, doc STRING, landed_at BIGINT",
+    "jobs": "dataset_id STRING, doc STRING, landed_at BIGINT",
+    "reports": "dataset_id STRING, task_id STRING, doc STRING, landed_at BIGINT",
+    "configs": "dataset_id STRING, doc STRING, landed_at BIGINT",
 }
+CORRUPT = "_corrupt"      # text of a landed line that is not JSON

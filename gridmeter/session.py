@@ -34,23 +34,25 @@ def get_session(master: str | None = None, app: str = "gridmeter",
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system every executor can reach).  Only when it is unset, as in local
-    tests, a fresh folder under the system temp dir is made and registered.
+    file system every executor can reach).  Only when it is unset and the
+    master is local, as in tests, a fresh folder under the system temp dir is
+    made and registered; on a cluster that is an error, since executors would
+    each write to their own disk.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="gridmeter-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
@@ -76,7 +78,6 @@ def materialize(df, name: str, with_path: bool = False):
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table written by `materialize` (file system of the path)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    """Empty a scratch table written by `materialize`: overwritten by a table
+    without rows, which removes its files through the writer of any store."""
+    spark.range(0).write.mode("overwrite").parquet(path)

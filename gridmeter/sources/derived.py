@@ -115,6 +115,8 @@ def report_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("memory"),
         (k.cast("double") / 10.0).alias("time"),
         F.when(etype == "purchase", F.lit(1)).alias("cpu"),
+        # A text key, and a key that is a number for some and text for others.
+        F.when(etype == "purchase", F.concat(F.lit("n"), (F.col("user_id") % 4).cast("string"))).alias("node"),
     ))
     site = F.when(F.col("user_id") % NO_SITE_EVERY != 0,
                   F.concat(F.lit("site"), (F.col("user_id") % N_SITES).cast("string")))
@@ -180,10 +182,11 @@ def _rest_requirements(orderkey: Column) -> Column:
     """Requirement objects of the task listing: keys differ from task to task."""
     kind = orderkey % 4
     return (F.when(kind == 0, F.concat(F.lit('{"cpu":1,"memory":'),
-                                       (orderkey % 16).cast("string"),
+                                       (orderkey % 16).cast("string"), F.lit(',"queue":'),
+                                       (orderkey % 3).cast("string"),
                                        F.lit(',"os":"RHEL_7_x86_64"}')))
-             .when(kind == 1, F.lit('{"memory":null}'))
-             .when(kind == 2, F.lit('{"memory":2.5,"gpu":1}'))
+             .when(kind == 1, F.lit('{"memory":null,"arch":"x86"}'))
+             .when(kind == 2, F.lit('{"memory":2.5,"gpu":1,"queue":"long"}'))
              .otherwise(F.lit("{}")))
 
 
@@ -197,6 +200,41 @@ def _keyed(key: Column, value_json: Column) -> Column:
     return F.concat(F.lit("{"), _quoted(key), F.lit(":"), value_json, F.lit("}"))
 
 
+# Flaws of `flawed_reports`, by task_id % FLAW_EVERY.
+FLAW_EVERY = 17
+
+
+def flawed_reports(reports: DataFrame) -> DataFrame:
+    """Report documents of which some cannot be read: truncated documents (1),
+    task_stats that is no JSON (2), sizes that are no numbers (3), transfers
+    without a duration (4), resources whose memory is no number (5)."""
+    flaw = F.col("task_id").cast("bigint") % FLAW_EVERY
+    doc = F.col("doc")
+    return reports.withColumn("doc", (
+        F.when(flaw == 1, F.expr("substring(doc, 1, length(doc) - 1)"))
+         .when(flaw == 2, F.replace(doc, F.lit('"task_stats":{'), F.lit('"task_stats":"not json","was":{')))
+         .when(flaw == 3, F.replace(doc, F.lit('"size":'), F.lit('"size":"big","was":')))
+         .when(flaw == 4, F.replace(doc, F.lit('"duration":'), F.lit('"seconds":')))
+         .when(flaw == 5, F.replace(doc, F.lit('"memory":'), F.lit('"memory":"much","was":')))
+         .otherwise(doc)))
+
+
+def flawed_stats(task_stat: DataFrame) -> DataFrame:
+    """The same flaws in the table path's reports, by report id, and an error that is
+    no boolean (6), a time that is none (7), a transfer error that is no boolean (8)."""
+    flaw = F.col("task_stat_id") % FLAW_EVERY
+    s = F.col("stat")
+    return task_stat.withColumn("stat", (
+        F.when(flaw == 1, F.expr("substring(stat, 1, length(stat) - 1)"))
+         .when(flaw == 3, F.replace(s, F.lit('"size":'), F.lit('"size":"big","was":')))
+         .when(flaw == 4, F.replace(s, F.lit('"duration":'), F.lit('"duration":"x","was":')))
+         .when(flaw == 5, F.replace(s, F.lit('"memory":'), F.lit('"memory":"$eval(x)","was":')))
+         .when(flaw == 6, F.concat(F.lit('{"error":"maybe",'), F.expr("substring(regexp_replace(stat, '\"error\":(true|false),', ''), 2)")))
+         .when(flaw == 7, F.replace(s, F.lit('"time":"'), F.lit('"time":"about ')))
+         .when(flaw == 8, F.regexp_replace(s, '("duration":[0-9.]+,"error":)(true|false)', '$1"perhaps"'))
+         .otherwise(s)))
+
+
 def landed_documents(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Landed listing documents, one JSON record per row, as the scans read them.
 

@@ -1,10 +1,15 @@
 """Scans of landed listing documents.
 
 Listings arrive as JSON Lines, each record holding a `doc`: an object keyed by
-id (one or many keys).  `doc` is read as a string and parsed with an explicit
-map schema so key order, i.e. document order, is kept; `posexplode` turns the
-keys into rows.  Reports are one record per task holding that task's whole
-report object.
+id.  Contract: a record holds one entity (or a few; a record is one row and
+is parsed by one task), so a dataset's listing is spread over many records.
+`doc` is read as a string and parsed with an explicit map schema so key order,
+i.e. document order, is kept; `posexplode` turns the keys into rows.  Reports
+are one record per task holding that task's whole report object.
+
+Documents may land again.  Every record has a landing order (its `landed_at`,
+else the file's modification time; ties by file and content), and of the
+documents of one entity the newest counts.
 """
 
 from __future__ import annotations
@@ -13,48 +18,98 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmeter.constants import COMPLETE_STATUS
-from gridmeter.schemas import DATASET_DOC, JOB_DOC, LANDED, TASK_DOC
+from gridmeter.schemas import CORRUPT, DATASET_DOC, JOB_DOC, LANDED, TASK_DOC
+
+# Landing order as one fixed-width number: the time, then a hash that settles ties.
+_ORDER = ("CAST(coalesce(landed_at, unix_micros(_metadata.file_modification_time)) AS DECIMAL(38,0)) "
+          "* 18446744073709551616 + CAST(xxhash64(_metadata.file_path, doc) AS DECIMAL(20,0))")
 
 
 def read_landed(spark: SparkSession, landing: str, kind: str) -> DataFrame:
-    """Raw landed records of one kind: `<landing>/<kind>/*.jsonl`."""
-    return spark.read.schema(LANDED[kind]).json(f"{landing}/{kind}")
+    """Raw landed records of one kind: `<landing>/<kind>/*.jsonl`, with their
+    landing order `landed`.  A line that is not JSON keeps its text in
+    `_corrupt` and has no other value (see `corrupt_records`)."""
+    raw = (spark.read.schema(f"{LANDED[kind]}, {CORRUPT} STRING")
+           .option("columnNameOfCorruptRecord", CORRUPT).json(f"{landing}/{kind}"))
+    return raw.withColumn("landed", F.expr(_ORDER)).drop("landed_at")
+
+
+def corrupt_records(raw: DataFrame, kind: str) -> DataFrame:
+    """(kind, reason, text): landed lines and listing documents that cannot be read."""
+    doc = {"datasets": DATASET_DOC, "tasks": TASK_DOC, "jobs": JOB_DOC}.get(kind)
+    line = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    bad = F.col("doc").isNotNull() & F.json_object_keys("doc").isNull() if doc else F.lit(False)
+    text = F.coalesce(F.col(CORRUPT), F.col("doc")) if CORRUPT in raw.columns else F.col("doc")
+    return raw.select(F.lit(kind).alias("kind"),
+                      F.when(line, "corrupt_line").when(bad, "corrupt_document").alias("reason"),
+                      text.alias("text")).where(F.col("reason").isNotNull())
+
+
+def checked(raw: DataFrame, kind: str) -> DataFrame:
+    """`raw`, raising at run time on a record that cannot be read (strict mode)."""
+    line = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    bad = line | (F.col("doc").isNotNull() & F.json_object_keys("doc").isNull())
+    out = raw.withColumn("_chk", F.when(bad, F.raise_error(F.lit(f"unreadable record in {kind}"))))
+    return out.where(F.col("_chk").isNull()).drop("_chk")
+
+
+def newest(rows: DataFrame, *keys: str) -> DataFrame:
+    """The newest row per key by landing order (pre-reduced before the shuffle);
+    rows without a landing order are taken as they are."""
+    if "landed" not in rows.columns:
+        return rows
+    rest = [c for c in rows.columns if c not in (*keys, "landed")]
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "landed").alias("_row"))
+    return best.select(*keys, "_row.*").select(*[c for c in rows.columns if c != "landed"])
 
 
 def _explode(raw: DataFrame, schema: str, *keep: str) -> DataFrame:
-    return raw.select(*keep, F.posexplode(F.from_json("doc", schema)).alias("pos", "key", "v"))
+    order = ["landed"] if "landed" in raw.columns else []
+    return raw.select(*keep, *order, F.posexplode(F.from_json("doc", schema)).alias("pos", "key", "v"))
+
+
+def _order(rows: DataFrame) -> list[str]:
+    return ["landed"] if "landed" in rows.columns else []
 
 
 def scan_datasets(raw: DataFrame) -> DataFrame:
     """Dataset listing -> (dataset, dataset_id, pos)."""
-    return _explode(raw, DATASET_DOC).select(
+    e = _explode(raw, DATASET_DOC)
+    return newest(e.select(
         F.col("v.dataset").alias("dataset"),
-        F.coalesce(F.col("v.dataset_id"), F.col("key")).alias("dataset_id"), "pos")
+        F.coalesce(F.col("v.dataset_id"), F.col("key")).alias("dataset_id"), "pos", *_order(e)),
+        "dataset_id")
 
 
 def scan_tasks(raw: DataFrame, status: str | None = COMPLETE_STATUS) -> DataFrame:
-    """Task listing -> one row per task; status filter applied at the source."""
-    t = _explode(raw, TASK_DOC, "dataset_id").select(
+    """Task listing -> one row per task; the status filter applies to the
+    newest document of each task."""
+    e = _explode(raw, TASK_DOC, "dataset_id")
+    t = newest(e.select(
         F.coalesce(F.col("v.dataset_id"), F.col("dataset_id")).alias("dataset_id"),
         F.col("v.job_id").alias("job_id"),
         F.coalesce(F.col("v.task_id"), F.col("key")).alias("task_id"),
         F.col("v.task_index").alias("task_index"),
         F.col("v.requirements").alias("requirements"),
-        F.col("v.status").alias("status"))
+        F.col("v.status").alias("status"), *_order(e)), "dataset_id", "task_id")
     return t.where(F.col("status") == status) if status else t
 
 
 def scan_jobs(raw: DataFrame) -> DataFrame:
     """S3: job listing -> (dataset_id, job_id, job_index)."""
-    return _explode(raw, JOB_DOC, "dataset_id").select(
-        "dataset_id", F.col("key").alias("job_id"), F.col("v.job_index").alias("job_index"))
+    e = _explode(raw, JOB_DOC, "dataset_id")
+    return newest(e.select(
+        "dataset_id", F.col("key").alias("job_id"), F.col("v.job_index").alias("job_index"), *_order(e)),
+        "dataset_id", "job_id")
 
 
 def scan_reports(raw: DataFrame) -> DataFrame:
-    """S4 (raw form): one row per task with its report document text."""
-    return raw.select("dataset_id", "task_id", "doc")
+    """S4 (raw form): one row per landed report document, text and landing order
+    (the newest per task is chosen from the figures, so no text is shuffled)."""
+    return raw.where(F.col("task_id").isNotNull()).select("dataset_id", "task_id", "doc", *_order(raw))
 
 
 def scan_configs(raw: DataFrame) -> DataFrame:
     """Configuration documents, raw JSON text kept as is."""
-    return raw.select("dataset_id", F.col("doc").alias("config"))
+    return newest(raw.where(F.col("dataset_id").isNotNull()).select(
+        "dataset_id", F.col("doc").alias("config"), *_order(raw)), "dataset_id")

@@ -33,6 +33,15 @@ def write_usage(usage: DataFrame, path: str) -> None:
     write_partitioned(sort_for_write(usage), path)
 
 
+def clear_datasets(usage: DataFrame, emptied: DataFrame, path: str) -> None:
+    """Replace the partitions of datasets that have no rows any more by empty ones
+    (a dynamic overwrite only touches partitions that get rows).  One small write
+    per such dataset; re-harvests to nothing are rare."""
+    nothing = usage.drop("dataset").limit(0)
+    for r in emptied.toLocalIterator():
+        nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/dataset={r['dataset']}")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                merge_schema: bool = False) -> DataFrame | None:
     """Read a Parquet table; None when it does not exist yet.
@@ -46,7 +55,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         reader = reader.schema(schema)
     try:
         return reader.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
