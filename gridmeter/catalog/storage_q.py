@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridmeter.catalog import query
-from gridmeter.catalog.tables_q import _NUMERIC_NAMED, _numeric_named, _views
+from gridmeter.catalog.tables_q import _DERIVED, _NUMERIC_NAMED, _numeric_named, _views
 from gridmeter.oracle import r6, with_views
 from gridmeter.operators import copy, quality
-from gridmeter.sources.derived import load
+from gridmeter.schemas import PRIMARY_KEYS, REFERENCES, TABLES
+from gridmeter.session import scratch_path
+from gridmeter.sources.derived import broken_tables, load, table_views
 
 _LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
             "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
@@ -48,13 +52,16 @@ WHERE (try_cast(n.name AS DOUBLE) IS NULL OR try_cast(n.name AS DOUBLE) <> 4)
   AND (try_cast(n.name AS DOUBLE) IS NULL OR try_cast(n.name AS DOUBLE) > 1)
 """)
 def q_copy_filtered(spark, sf_dir):
-    """Copy rows passing the name rules (`name != 4 AND name > 1`,
-    numeric names compared as numbers, text names pass) into an empty table."""
+    """Rows passing the name rules (`name != 4 AND name > 1`, numeric
+    names compared as numbers, text names pass) are copied into a stored table in two
+    overlapping copies; each appends only rows whose key is not there."""
     from gridmeter.functions.text import name_above, name_not_equal
     src = _numeric_named(spark, sf_dir).join(
         load(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
-    return copy.copy_table(src, None, ["p_partkey"],
-                           name_not_equal("name", 4) & name_above("name", 1))
+    path = scratch_path(spark, f"copy-{uuid.uuid4().hex[:12]}")
+    kept = name_not_equal("name", 4) & name_above("name", 1)
+    copy.copy_table(src.where("p_partkey % 3 = 0"), path, ["p_partkey"], kept)
+    return copy.copy_table(src, path, ["p_partkey"], kept)
 
 
 @query("copy_semi_join", with_views(f"""
@@ -65,22 +72,43 @@ WHERE ev.has_resources AND ev.task_id IN (
            CASE WHEN p_partkey % 10 = 0 THEN CAST(p_partkey % 6 AS VARCHAR) ELSE p_type END AS name
     FROM part) r ON r.task_rel_id = tk.task_rel_id
   WHERE (try_cast(r.name AS DOUBLE) IS NULL OR try_cast(r.name AS DOUBLE) > 4)
-    AND r.dataset_id IN (SELECT n_nationkey FROM nation
-                         WHERE try_cast(n_name AS DOUBLE) IS NULL
-                            OR try_cast(n_name AS DOUBLE) <> 20000))
+    AND r.dataset_id IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 8 <> 4))
 """, "ev", "tk"))
 def q_copy_semi_join(spark, sf_dir):
     """Reports worth copying whose task belongs to a kept task type of
     a kept dataset (two-level semi-join with an inner join inside)."""
-    from gridmeter.functions.text import name_above, name_not_equal
     v = _views(spark, sf_dir)
+    stats = copy.resource_reports(v.task_stat).join(_kept_tasks(spark, sf_dir, v), "task_id", "left_semi")
+    return stats.select("task_stat_id", "task_id")
+
+
+def _kept_tasks(spark, sf_dir, v):
+    """Tasks of kept task types (name > 4) of kept datasets (name != 20000; every eighth has that name)."""
+    from gridmeter.functions.text import name_above, name_not_equal
     named = _numeric_named(spark, sf_dir).withColumnRenamed("p_partkey", "task_rel_id")
     rel = v.task_rel.drop("name").join(named, "task_rel_id")
-    datasets = v.dataset.where(name_not_equal("name", 20000)).select("dataset_id")
+    names = F.when(F.col("dataset_id").cast("int") % 8 == 4, F.lit("20000")).otherwise(F.col("name"))
+    datasets = v.dataset.withColumn("name", names).where(name_not_equal("name", 20000)).select("dataset_id")
     rel = rel.where(name_above("name", 4)).join(datasets, "dataset_id", "left_semi")
-    tasks = v.task.join(rel, "task_rel_id").select("task_id")
-    stats = copy.resource_reports(v.task_stat).join(tasks, "task_id", "left_semi")
-    return stats.select("task_stat_id", "task_id")
+    return v.task.join(rel.select("task_rel_id"), "task_rel_id", "left_semi").select("task_id")
+
+
+@query("copy_tasks_with_reports", with_views("""
+SELECT tk.task_id, tk.task_rel_id FROM tk JOIN (
+    SELECT p_partkey AS task_rel_id, p_partkey % 25 AS dataset_id,
+           CASE WHEN p_partkey % 10 = 0 THEN CAST(p_partkey % 6 AS VARCHAR) ELSE p_type END AS name
+    FROM part) r ON r.task_rel_id = tk.task_rel_id
+WHERE (try_cast(r.name AS DOUBLE) IS NULL OR try_cast(r.name AS DOUBLE) > 4)
+  AND r.dataset_id IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 8 <> 4)
+  AND tk.task_id IN (SELECT task_id FROM ev WHERE has_resources)
+""", "ev", "tk"))
+def q_copy_tasks_with_reports(spark, sf_dir):
+    """Kept tasks that have a report worth copying, written to a stored table."""
+    v = _views(spark, sf_dir)
+    tasks = v.task.join(_kept_tasks(spark, sf_dir, v), "task_id", "left_semi")
+    tasks = tasks.join(copy.resource_reports(v.task_stat).select("task_id"), "task_id", "left_semi")
+    path = scratch_path(spark, f"copy-{uuid.uuid4().hex[:12]}")
+    return copy.copy_table(tasks, path, ["task_id"]).select("task_id", "task_rel_id")
 
 
 @query("check_unique", """
@@ -92,34 +120,55 @@ def q_check_unique(spark, sf_dir):
     return quality.check_unique(load(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def _broken(spark, sf_dir):
+    return broken_tables(table_views(spark, sf_dir))
+
+
+@query("check_keys", """
+SELECT t AS table_name, coalesce(n, 0) AS n_keys, coalesce(2 * n, 0) AS n_rows
+FROM (VALUES ('dataset'), ('job'), ('task_rel'), ('task'), ('search'), ('task_stat')) v(t)
+LEFT JOIN (SELECT 'task_stat' AS t, count(*) AS n FROM events WHERE event_id % 10 = 0) USING (t)
+""")
+def q_check_keys(spark, sf_dir):
+    """Repeated primary keys of the six tables (every tenth report is there twice)."""
+    return quality.check_keys(_broken(spark, sf_dir), PRIMARY_KEYS)
+
+
 @query("check_references", with_views("""
 SELECT 'search' AS child, 'task_id' AS column_name, 'task' AS parent,
        count(*) FILTER (WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS n_orphans
 FROM orders
 UNION ALL SELECT 'search', 'job_id', 'job',
-       count(*) FILTER (WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) FROM orders
+       count(*) FILTER (WHERE o_orderkey % 15 <> 0 AND (o_orderkey % 12 = 0
+                        OR o_custkey NOT IN (SELECT c_custkey FROM customer))) FROM orders
 UNION ALL SELECT 'search', 'dataset_id', 'dataset',
-       count(*) FILTER (WHERE (o_orderkey % 200) % 25 NOT IN (SELECT n_nationkey FROM nation))
+       count(*) FILTER (WHERE (o_orderkey % 200) % 25 NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey <> 3))
 FROM orders
 UNION ALL SELECT 'task_rel', 'dataset_id', 'dataset',
-       count(*) FILTER (WHERE p_partkey % 25 NOT IN (SELECT n_nationkey FROM nation)) FROM part
+       count(*) FILTER (WHERE p_partkey % 25 NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey <> 3)) FROM part
 UNION ALL SELECT 'task', 'task_rel_id', 'task_rel',
        count(*) FILTER (WHERE o_orderkey % 200 NOT IN (SELECT p_partkey FROM part)) FROM orders
 UNION ALL SELECT 'task_stat', 'task_id', 'task',
-       count(*) FILTER (WHERE event_id // 3 NOT IN (SELECT o_orderkey FROM orders)) FROM events
+       (count(*) FILTER (WHERE event_id // 3 NOT IN (SELECT o_orderkey FROM orders)))
+       + (count(*) FILTER (WHERE event_id % 10 = 0 AND event_id // 3 NOT IN (SELECT o_orderkey FROM orders))) FROM events
 """, "ev"))
 def q_check_references(spark, sf_dir):
-    """Referential integrity (orphan count per reference)."""
-    from gridmeter.schemas import REFERENCES
-    return quality.check_references(dict(_views(spark, sf_dir).items()), REFERENCES)
+    """Referential integrity (orphan count per reference; a NULL reference is none)."""
+    return quality.check_references(_broken(spark, sf_dir), REFERENCES)
+
+
+# NULLs that the broken tables hold; every other required column has none.
+_NULLS = {("task", "requirements"): "o_orderkey % 14 = 0", ("search", "job_id"): "o_orderkey % 15 = 0",
+          ("search", "task_status"): "o_orderkey % 9 = 0"}
 
 
-@query("check_not_null", "SELECT 'lineitem' AS table_name, column_name, n_null FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM lineitem"
-    for c in _LI_COLS.split(", ")) + ")")
+@query("check_not_null", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+    f"count(*) FILTER (WHERE {_NULLS.get((t, c), 'false')}) AS n_null FROM {src}"
+    for t, (src, columns) in _DERIVED.items() for c in columns))
 def q_check_not_null(spark, sf_dir):
-    """D3: NULL count per column (one scan, all columns)."""
-    return quality.check_not_null(load(spark, sf_dir, "lineitem"), "lineitem")
+    """D3: NULL count of every required column of the six tables (one scan each)."""
+    return quality.check_required(_broken(spark, sf_dir), TABLES)
 
 
 @query("fill_defaults", f"""

@@ -87,20 +87,47 @@ def _views(spark, sf_dir):
     return normalize(table_views(spark, sf_dir))
 
 
-@query("scan_tables", """
-SELECT 'dataset' AS table_name, count(*) AS n_rows FROM nation
-UNION ALL SELECT 'job', count(*) FROM customer
-UNION ALL SELECT 'task_rel', count(*) FROM part
-UNION ALL SELECT 'task', count(*) FROM orders
-UNION ALL SELECT 'search', count(*) FROM orders
-UNION ALL SELECT 'task_stat', count(*) FROM events
-""")
+# Source table and columns of each derived table.
+_DERIVED = {
+    "dataset": ("nation", ["dataset_id", "name"]),
+    "job": ("customer", ["job_id", "dataset_id", "status", "job_index"]),
+    "task_rel": ("part", ["task_rel_id", "dataset_id", "task_index", "name", "requirements"]),
+    "task": ("orders", ["task_id", "status", "requirements", "task_rel_id"]),
+    "search": ("orders", ["task_id", "job_id", "dataset_id", "name", "task_status"]),
+    "task_stat": ("events", ["task_stat_id", "task_id", "stat"]),
+}
+
+
+@query("scan_tables", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) AS n_values FROM {src}"
+    for t, (src, columns) in _DERIVED.items() for c in columns))
 def q_scan_tables(spark, sf_dir):
-    """Scan of the six tables, one count per table."""
+    """Scan of the six tables, rows and values per column."""
     from gridmeter.sources.tables import scan_counts
     return scan_counts(_views(spark, sf_dir)).withColumnRenamed("table", "table_name")
 
 
+@query("report_problems", with_views("""
+SELECT task_stat_id, task_id, reason FROM (
+  SELECT ev.task_stat_id, ev.task_id,
+         CASE WHEN ev.event_id % 17 = 1 THEN 'unparseable_report'
+              WHEN ev.event_id % 17 = 6 THEN 'bad_error_value'
+              WHEN ev.event_id % 17 = 5 AND has_resources THEN 'bad_resources'
+              WHEN ev.event_id % 17 = 7 THEN 'bad_time'
+              WHEN ev.event_id % 17 = 8 AND x.n_error > 0 THEN 'bad_transfer_error'
+              WHEN ev.event_id % 17 IN (3, 4) AND x.n_good > 0 THEN 'bad_transfer_value' END AS reason
+  FROM ev LEFT JOIN (SELECT task_stat_id, count(*) FILTER (WHERE error IS NOT NULL) AS n_error,
+                            count(*) FILTER (WHERE error IS FALSE) AS n_good
+                     FROM xfer WHERE NOT stats_as_string GROUP BY 1) x ON x.task_stat_id = ev.task_stat_id)
+WHERE reason IS NOT NULL
+""", "ev", "xfer"))
+def q_report_problems(spark, sf_dir):
+    """Reports of the table path that cannot be read, with a reason (six kinds of flaw)."""
+    from gridmeter.operators.reports import report_problems
+    from gridmeter.sources.derived import flawed_stats
+    return report_problems(flawed_stats(_views(spark, sf_dir).task_stat))
+
+
 @query("report_parse", with_views(f"""
 SELECT task_stat_id, task_id, error, has_summary AS has_error_summary, overuse,
        {r6('memory')} AS memory, {r6('hours')} AS hours, ts AS finished
@@ -368,9 +395,10 @@ def q_task_rollup(spark, sf_dir):
 
 
 @query("usage_slice", _rollup_sql(_USAGE_SELECT + """
-  AND rel.dataset_id = '2' AND rel.task_name = 'PROMO'
-ORDER BY tk.task_id LIMIT 10
+  AND tk.task_id IN (SELECT o_orderkey FROM orders
+                     WHERE (o_orderkey % 200) % 25 = 2 AND o_orderpriority = '2-HIGH'
+                     ORDER BY o_orderkey LIMIT 10)
 """))
 def q_usage_slice(spark, sf_dir):
-    """The debugging slice: one dataset and task name, first 10 by task_id."""
-    return usage_from_tables(table_views(spark, sf_dir), dataset="2", name="PROMO", limit=10)
+    """The debugging slice: the first ten tasks of one dataset and search name."""
+    return usage_from_tables(table_views(spark, sf_dir), dataset="2", name="2-HIGH", limit=10)

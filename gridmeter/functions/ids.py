@@ -64,3 +64,20 @@ ID2NUM_SQL = ("CREATE OR REPLACE TEMPORARY FUNCTION id2num(val STRING) RETURNS B
 def register_sql_functions(spark: SparkSession) -> None:
     """Make `id2num(text)` callable from spark.sql in this session."""
     spark.sql(ID2NUM_SQL)
+
+
+# Ids up to this many bytes have a fixed-width key.
+MAX_KEY_BYTES = 15
+
+
+def fixed_width_key(name: str) -> str:
+    """SQL: a byte-string id as a DECIMAL(38,0) that orders like the bytes do: the bytes,
+    padded with zeros to 15, then the length.  Being fixed in width it can sit in a
+    hash aggregate's buffer.  Raises on a longer id instead of cutting it."""
+    padded = f"rpad(hex({name}), {2 * MAX_KEY_BYTES}, '0')"
+    high = f"CAST(conv(substring({padded}, 1, 14), 16, 10) AS DECIMAL(38,0))"
+    low = f"CAST(conv(substring({padded}, 15, 16), 16, 10) AS DECIMAL(38,0))"
+    value = (f"CAST(({high} * CAST(18446744073709551616 AS DECIMAL(38,0)) + {low}) * 16 "
+             f"+ octet_length({name}) AS DECIMAL(38,0))")
+    return (f"CASE WHEN octet_length({name}) > {MAX_KEY_BYTES} "
+            f"THEN CAST(raise_error('id of more than {MAX_KEY_BYTES} bytes') AS DECIMAL(38,0)) ELSE {value} END")

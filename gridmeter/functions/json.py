@@ -30,11 +30,6 @@ def json_has_key(doc: Column | str, key: str) -> Column:
     return F.array_contains(F.json_object_keys(_c(doc)), F.lit(key))
 
 
-def json_bool(text: Column | str) -> Column:
-    """JSON scalar text cast to boolean; unparseable text gives NULL."""
-    return _c(text).try_cast("boolean")
-
-
 # Truthiness of a VARIANT value from its JSON text (token type preserved:
 # a string keeps its quotes): missing, null, false, 0, "", [] and {} are false.
 VARIANT_TRUTHY = ("NOT ({v} IS NULL OR to_json({v}) IN ('null', 'false', '\"\"', '[]', '{{}}') "
@@ -49,8 +44,3 @@ def variant_truthy(value: Column | str) -> Column:
     j = F.to_json(value)
     return ~(value.isNull() | j.isin("null", "false", '""', "[]", "{}")
              | F.coalesce(j.try_cast("double") == 0, F.lit(False)))
-
-
-def parse_json_text(text: Column | str, schema: str) -> Column:
-    """Parse JSON text with an explicit schema (permissive: bad input gives NULL)."""
-    return F.from_json(_c(text), schema)

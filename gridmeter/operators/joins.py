@@ -33,37 +33,24 @@ def _size_terms(df: DataFrame):
     return fixed, variable
 
 
-def measured_size(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                  probe: DataFrame | None = None) -> tuple[int, int]:
-    """(rows, bytes) of `df`, reading at most max_rows + 1 rows (one small job).
-
-    With `probe` the rows and variable-width bytes are measured on it
-    instead (it must have at least as many rows as `df` and hold at least
-    its variable-width content, e.g. the raw narrow input before filters and
-    derived columns); the fixed widths come from `df`'s own schema.
-    """
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of `df`: one partial aggregate over all its columns, so one row
+    per partition reaches the last step."""
     fixed, variable = _size_terms(df)
-    if probe is not None:
-        _, variable = _size_terms(probe)
-    src = probe if probe is not None else df
     total = sum(variable[1:], variable[0]) if variable else F.lit(0)
-    row = src.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                      F.sum(total).alias("v")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("v")).first()
     n, v = row["n"], row["v"] or 0
     return n, n * fixed + v
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES,
-                       probe: DataFrame | None = None) -> DataFrame:
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast `df` only after measuring that it is small.
 
-    The check counts the rows and sums the byte length of the variable-width
-    columns over at most max_rows + 1 rows of the (small) side, or of a
-    cheaper `probe` that bounds it (see measured_size); the size bound is
-    then proven, not estimated from file sizes.  A larger side is returned
-    unchanged and joins by shuffle, where AQE can still split skewed
-    partitions.
+    The check counts the rows and sums the byte length of every variable-width
+    column, so the size bound is proven, not estimated from file sizes.  A larger
+    side is returned unchanged and joins by shuffle, where AQE can still split
+    skewed partitions.
     """
-    n, nbytes = measured_size(df, max_rows, probe)
+    n, nbytes = measured_size(df)
     return F.broadcast(df) if n <= max_rows and nbytes <= max_bytes else df

@@ -12,9 +12,10 @@ def check_unique(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose reference has no parent row (anti join)."""
-    p = parent.select(F.col(parent_column).alias("_ref")).distinct()
-    return child.join(p, child[column] == p["_ref"], "left_anti")
+    """Child rows whose reference has no parent row (anti join); a NULL reference
+    is none."""
+    p = parent.select(F.col(parent_column).alias("_ref"))
+    return child.where(F.col(column).isNotNull()).join(p, F.col(column) == F.col("_ref"), "left_anti")
 
 
 def check_references(tables: dict[str, DataFrame], references) -> DataFrame:
@@ -32,6 +33,28 @@ def check_references(tables: dict[str, DataFrame], references) -> DataFrame:
     return out
 
 
+def check_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
+    """(table_name, n_keys, n_rows): repeated primary keys of each table, and their rows."""
+    parts = [check_unique(df, keys[name]).agg(F.count(F.lit(1)).alias("n_keys"),
+                                              F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+             .select(F.lit(name).alias("table_name"), "n_keys", "n_rows")
+             for name, df in tables.items() if name in keys]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def check_required(tables: dict[str, DataFrame], schemas) -> DataFrame:
+    """`check_not_null` of the required columns that each table has."""
+    out = None
+    for name, df in tables.items():
+        required = [f.name for f in schemas[name].fields if not f.nullable and f.name in df.columns]
+        part = check_not_null(df.select(*required), name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def check_not_null(df: DataFrame, table: str) -> DataFrame:
     """(table_name, column_name, n_null) for every column, from one scan."""
     counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns])

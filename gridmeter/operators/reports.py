@@ -21,12 +21,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmeter.constants import BYTES_PER_GIB, OVERUSE_PREFIX, SECONDS_PER_HOUR
+from gridmeter.functions.ids import fixed_width_key
 from gridmeter.schemas import REPORT
 
 
-def parse_reports(task_stat: DataFrame, keep_text: bool = False) -> DataFrame:
+def parse_reports(task_stat: DataFrame) -> DataFrame:
     """task_stat -> one row per report with typed fields.
 
     Columns: task_id, task_stat_id, error_text, error_flag, error_summary,
@@ -35,8 +37,7 @@ def parse_reports(task_stat: DataFrame, keep_text: bool = False) -> DataFrame:
     read in the next projection, so the parse runs once per row (an
     expensive expression used several times is not inlined by Catalyst).
     """
-    keep = ["stat"] if keep_text else []
-    parsed = task_stat.select("task_id", "task_stat_id", *keep,
+    parsed = task_stat.select("task_id", "task_stat_id",
                               F.from_json(F.col("stat"), REPORT).alias("_r"))
     r = F.col("_r")
     return parsed.select(
@@ -49,7 +50,6 @@ def parse_reports(task_stat: DataFrame, keep_text: bool = False) -> DataFrame:
         r["time"].try_cast("timestamp_ntz").alias("finished"),
         r["task_stats"]["download"].alias("download"),
         r["task_stats"]["upload"].alias("upload"),
-        *keep,
     )
 
 
@@ -72,11 +72,9 @@ TOTALS = """named_struct(
                  ELSE coalesce(acc, 0D) + try_cast(x.duration AS DOUBLE) END))"""
 
 
-def good_transfers(records: Column | str) -> Column:
-    """The transfers of one report's array that count on the table path."""
-    if isinstance(records, str):
-        return F.expr(GOOD_STRICT.format(arr=records))
-    return F.filter(records, lambda x: x["error"].try_cast("boolean").eqNullSafe(F.lit(False)))
+def good_transfers(records: str) -> Column:
+    """The transfers of one report's array (column `records`) that count on the table path."""
+    return F.expr(GOOD_STRICT.format(arr=records))
 
 
 def transfer_totals(good: str) -> Column:
@@ -90,8 +88,12 @@ def transfer_totals(good: str) -> Column:
 
 def report_figures(reports: DataFrame) -> DataFrame:
     """Per-report flags and transfer totals (still one row per report)."""
-    base = ["task_id", "task_stat_id", "error_text", "error_flag", "memory", "hours", "finished"]
-    staged = reports.select(
+    base = ["task_id", "task_stat_id", "pick", "error_text", "error_flag", "memory", "hours", "finished"]
+    # Byte and text ids are picked by a fixed-width key that orders alike.
+    kind = reports.schema["task_stat_id"].dataType
+    pick = ("task_stat_id" if not isinstance(kind, (T.BinaryType, T.StringType)) else
+            fixed_width_key("task_stat_id" if isinstance(kind, T.BinaryType) else "CAST(task_stat_id AS BINARY)"))
+    staged = reports.withColumn("pick", F.expr(pick)).select(
         *base,
         F.expr(f"coalesce(startswith(error_summary, '{OVERUSE_PREFIX}'), false)").alias("overuse"),
         good_transfers("download").alias("good_down"),
@@ -117,7 +119,7 @@ ROLLUP = {
     "run_time": "sum(CASE WHEN NOT (error_flag <=> true) THEN hours END)",
 }
 for _name, _col in (("input", "down"), ("output", "up")):
-    _order = f"CASE WHEN {_col}.n > 0 THEN task_stat_id END"
+    _order = f"CASE WHEN {_col}.n > 0 THEN pick END"
     ROLLUP[f"has_{_name}"] = f"min({_order}) IS NOT NULL"
     ROLLUP[f"{_name}_size"] = f"min_by(CAST({_col}.size AS DOUBLE) / {float(BYTES_PER_GIB)}D, {_order})"
     ROLLUP[f"{_name}_duration"] = f"min_by({_col}.duration / {SECONDS_PER_HOUR}D, {_order})"
@@ -162,17 +164,45 @@ def report_problems(task_stat: DataFrame) -> DataFrame:
 
     Where a strict SQL cast would stop the whole query, the engine reads
     NULL and lists the report here instead: reason is one of
-    'unparseable_report', 'bad_error_value', 'bad_resources', 'bad_time'.
+    'unparseable_report', 'bad_error_value', 'bad_resources', 'bad_time',
+    'bad_transfer_error', 'bad_transfer_value' (of a good transfer).  One parse.
     """
-    r = parse_reports(task_stat, keep_text=True).select(
-        "*", F.from_json(F.col("stat"), REPORT).alias("_raw"))
-    raw = F.col("_raw")
-    reason = (F.when(F.json_object_keys(F.col("stat")).isNull(), "unparseable_report")
-               .when(F.col("error_text").isNotNull() & F.col("error_flag").isNull(),
-                     "bad_error_value")
-               .when((raw["resources"]["memory"].isNotNull() & F.col("memory").isNull())
-                     | (raw["resources"]["time"].isNotNull() & F.col("hours").isNull()),
+    parsed = task_stat.select("task_id", "task_stat_id", F.json_object_keys("stat").isNull().alias("bad"),
+                              F.from_json(F.col("stat"), REPORT).alias("_r"))
+    r = F.col("_r")
+    parsed = parsed.withColumn("_x", F.concat(F.coalesce(r["task_stats"]["download"], F.array()),
+                                              F.coalesce(r["task_stats"]["upload"], F.array())))
+
+    def unread(value: Column, kind: str) -> Column:
+        return value.isNotNull() & value.try_cast(kind).isNull()
+
+    bad_error = F.exists("_x", lambda x: unread(x["error"], "boolean"))
+    bad_value = F.exists("_x", lambda x: x["error"].try_cast("boolean").eqNullSafe(F.lit(False))
+                         & (unread(x["size"], "bigint") | unread(x["duration"], "double")))
+    reason = (F.when(F.col("bad"), "unparseable_report")
+               .when(unread(r["error"], "boolean"), "bad_error_value")
+               .when(unread(r["resources"]["memory"], "double") | unread(r["resources"]["time"], "double"),
                      "bad_resources")
-               .when(raw["time"].isNotNull() & F.col("finished").isNull(), "bad_time"))
-    return (r.select("task_stat_id", "task_id", reason.alias("reason"))
-             .where(F.col("reason").isNotNull()))
+               .when(unread(r["time"], "timestamp_ntz"), "bad_time")
+               .when(bad_error, "bad_transfer_error")
+               .when(bad_value, "bad_transfer_value"))
+    return (parsed.select("task_stat_id", "task_id", reason.alias("reason"))
+            .where(F.col("reason").isNotNull()))
+
+
+def request_problems(task: DataFrame) -> DataFrame:
+    """(task_id, reason): tasks whose own memory request is no number, so that their
+    final request reads as NULL."""
+    memory = F.get_json_object("requirements", "$.memory")
+    return (task.where(memory.isNotNull() & memory.try_cast("double").isNull())
+            .select("task_id", F.lit("bad_memory_request").alias("reason")))
+
+
+def checked_reports(task_stat: DataFrame) -> DataFrame:
+    """`task_stat`, raising at run time on a report that `report_problems` would list
+    (strict mode of the table path)."""
+    bad = report_problems(task_stat).select("task_stat_id", "reason")
+    marked = task_stat.join(bad, "task_stat_id", "left")
+    stop = F.when(F.col("reason").isNotNull(), F.raise_error(F.concat(
+        F.col("reason"), F.lit(" in report "), F.col("task_stat_id").cast("string"))))
+    return marked.withColumn("_chk", stop).where(F.col("_chk").isNull()).drop("_chk", "reason")

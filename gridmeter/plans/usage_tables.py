@@ -18,6 +18,8 @@ text travels through a shuffle.  All joins are equi-joins on keys; skewed keys
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,15 +29,9 @@ from gridmeter.functions.ids import id2num
 from gridmeter.functions.json import json_text
 from gridmeter.functions.requests import final_request, initial_request, memory_parts
 from gridmeter.operators.joins import broadcast_if_small
-from gridmeter.operators.reports import task_rollup
+from gridmeter.operators.reports import checked_reports, task_rollup
 from gridmeter.sources.tables import Tables, normalize
 
-COLUMNS = ["dataset_id", "task_index", "task_name", "job_index", "input_size", "output_size",
-           "rss", "run_time", "initial_rss_request", "final_rss_request", "evictions",
-           "mean_ttf", "failed_GB_hours", "input_duration", "output_duration", "time_finished",
-           "task_id"]
-
-
 def task_rel_usable(task_rel: DataFrame) -> DataFrame:
     """Task types whose memory request is not a parameter expression.
 
@@ -54,20 +50,36 @@ def completed(search: DataFrame) -> DataFrame:
 
 
 def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str | None = None,
-                      limit: int | None = None, normalized: bool = False) -> DataFrame:
+                      limit: int | None = None, normalized: bool = False,
+                      strict: bool = False) -> DataFrame:
     """One row per completed task with outputs (see module doc for the plan).
 
-    `dataset` / `name` restrict to one dataset id / task name and `limit`
-    keeps the first rows by task_id: a debugging slice.
+    `dataset` / `name` / `limit` make a debugging slice: the tasks whose search
+    row has that dataset id and name, the first `limit` of them by task_id.  The
+    slice is taken before the joins, so `task_stat` is reduced to its tasks
+    before any report is parsed; it may give fewer rows than `limit`, as tasks
+    without outputs drop out later.  `strict` raises at run time on a report that
+    cannot be read (see `report_problems`, which lists them otherwise).
     """
-    search = completed(tables.search).select("task_id", "job_id")
     t = tables if normalized else normalize(tables)
+    search = completed(tables.search)
+    if dataset is not None or name is not None or limit is not None:
+        chosen = t.search
+        if dataset is not None:
+            chosen = chosen.where(F.col("dataset_id") == dataset)
+        if name is not None:
+            chosen = chosen.where(F.col("name") == name)
+        chosen = chosen.select("task_id")
+        if limit is not None:
+            chosen = chosen.orderBy("task_id").limit(limit)
+        search = search.join(chosen, "task_id", "left_semi")
+        t = replace(t, task=t.task.join(chosen, "task_id", "left_semi"),
+                    task_stat=t.task_stat.join(chosen, "task_id", "left_semi"))
+    search = search.select("task_id", "job_id")
+    if strict:
+        t = replace(t, task_stat=checked_reports(t.task_stat))
 
     rel = task_rel_usable(t.task_rel)
-    if dataset is not None:
-        rel = rel.where(F.col("dataset_id") == dataset)
-    if name is not None:
-        rel = rel.where(F.col("name") == name)
     rel = rel.select(
         "task_rel_id",
         id2num("dataset_id").alias("dataset_id"),
@@ -88,10 +100,10 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
     # switch to a broadcast, from the measured size of the shuffled side.
     joined = (rollup.join(task, "task_id")
                     .join(search, "task_id")
-                    .join(broadcast_if_small(rel, probe=t.task_rel.select("name")),
+                    .join(broadcast_if_small(rel),
                           "task_rel_id")
                     .join(job, "job_id"))
-    out = joined.select(
+    return joined.select(
         "dataset_id", "task_index", "task_name", "job_index", "input_size", "output_size", "rss",
         "run_time",
         initial_request(F.col("rel_mem_present"), F.col("rel_mem")).alias("initial_rss_request"),
@@ -99,6 +111,3 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
                       F.col("rel_mem_present"), F.col("rel_mem")).alias("final_rss_request"),
         "evictions", "mean_ttf", "failed_GB_hours", "input_duration", "output_duration",
         "time_finished", "task_id")
-    if limit is not None:
-        out = out.orderBy("task_id").limit(limit)
-    return out

@@ -12,25 +12,30 @@ from pyspark.sql import types as T
 B, S, I, D = T.BinaryType(), T.StringType(), T.IntegerType(), T.DoubleType()
 
 
-def _struct(*fields):
-    return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])
+def _struct(kinds: str, *names: str) -> T.StructType:
+    """Fields that are all required; `kinds` has one letter a name: b bytes, s text,
+    i integer, d double."""
+    types = {"b": B, "s": S, "i": I, "d": D}
+    return T.StructType([T.StructField(n, types[k], False) for n, k in zip(names, kinds, strict=True)])
 
 
-# The six active tables (columns the engine reads, plus their keys).
+# The six active tables, with every declared column.  Fixed values: names and
+# types must equal the store's.
 TABLES = {
-    "dataset": _struct(("dataset_id", B, False), ("name", B, False), ("status", B, True),
-                       ("priority", I, True)),
-    "job": _struct(("job_id", B, False), ("dataset_id", B, False), ("status", B, True),
-                   ("job_index", I, True)),
-    "task_rel": _struct(("task_rel_id", B, False), ("dataset_id", B, False),
-                        ("task_index", I, True), ("name", B, False),
-                        ("requirements", S, False)),
-    "task": _struct(("task_id", B, False), ("status", B, True), ("failures", I, True),
-                    ("evictions", I, True), ("walltime", D, True), ("requirements", S, False),
-                    ("task_rel_id", B, False)),
-    "search": _struct(("task_id", B, False), ("job_id", B, False), ("dataset_id", B, False),
-                      ("name", B, True), ("task_status", B, False)),
-    "task_stat": _struct(("task_stat_id", B, False), ("task_id", B, False), ("stat", S, False)),
+    "dataset": _struct("bbbsbbbbiiibbssssib", "dataset_id", "name", "description", "gridspec",
+                       "status", "username", "institution", "submit_host", "priority",
+                       "jobs_submitted", "tasks_submitted", "start_date", "end_date",
+                       "temporary_storage", "global_storage", "stat_keys", "categoryvalue_ids",
+                       "debug", "groups_id"),
+    "job": _struct("bbbib", "job_id", "dataset_id", "status", "job_index", "status_changed"),
+    "task_rel": _struct("bbibss", "task_rel_id", "dataset_id", "task_index", "name", "depends",
+                        "requirements"),
+    "task": _struct("bbbbsbiiddissb", "task_id", "status", "prev_status", "status_changed",
+                    "submit_dir", "grid_queue_id", "failures", "evictions", "walltime",
+                    "walltime_err", "walltime_err_n", "depends", "requirements", "task_rel_id"),
+    "search": _struct("bbbbbb", "task_id", "job_id", "dataset_id", "gridspec", "name",
+                      "task_status"),
+    "task_stat": _struct("bbs", "task_stat_id", "task_id", "stat"),
 }
 
 PRIMARY_KEYS = {
@@ -52,12 +57,12 @@ REFERENCES = [
     ("task_stat", "task_id", "task", "task_id"),
 ]
 
-# Integer columns declared with DEFAULT '0'.
+# Columns declared with DEFAULT '0'.
 DEFAULT_ZERO = {
-    "dataset": ["priority"],
+    "dataset": ["priority", "jobs_submitted", "tasks_submitted", "debug"],
     "job": ["job_index"],
     "task_rel": ["task_index"],
-    "task": ["failures", "evictions", "walltime"],
+    "task": ["failures", "evictions", "walltime", "walltime_err", "walltime_err_n"],
 }
 
 # Text columns stored as bytes that the queries read as text.

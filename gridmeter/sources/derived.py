@@ -175,6 +175,23 @@ def table_views(spark: SparkSession, sf_dir: str) -> Tables:
                   task_stat=task_stat, dataset=dataset)
 
 
+def broken_tables(tables: Tables) -> dict[str, DataFrame]:
+    """The tables with breaches of their contracts: repeated report ids, references to
+    nothing, missing references and values, a dataset that is gone."""
+    tid = F.col("task_id")
+    return {
+        "dataset": tables.dataset.where(F.col("dataset_id").cast("string") != "3"),
+        "job": tables.job,
+        "task_rel": tables.task_rel,
+        "task": tables.task.withColumn("requirements", F.when(tid % 14 != 0, F.col("requirements"))),
+        "search": tables.search.withColumns({
+            "job_id": F.when(tid % 15 == 0, F.lit(None)).when(tid % 12 == 0, F.col("job_id") + 10_000_000)
+                       .otherwise(F.col("job_id")),
+            "task_status": F.when(tid % 9 != 0, F.col("task_status"))}),
+        "task_stat": tables.task_stat.unionAll(tables.task_stat.where(F.col("task_stat_id") % 10 == 0)),
+    }
+
+
 # ---------------------------------------------------------------- document path
 
 

@@ -77,10 +77,13 @@ def normalize(tables: Tables) -> Tables:
 
 
 def scan_counts(tables: Tables) -> DataFrame:
-    """Row count per table, as one small DataFrame (one aggregate per scan)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
-             for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """(table, column_name, n_rows, n_values): rows, and values that are there, of every
+    column of every table (one aggregate per scan)."""
+    out = None
+    for name, df in tables.items():
+        counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(c) for c in df.columns])
+        part = counts.select("n", F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_values")) for c in df.columns])).alias("s")
+        ).select(F.lit(name).alias("table"), "s.column_name", F.col("n").alias("n_rows"), "s.n_values")
+        out = part if out is None else out.unionByName(part)
     return out
