@@ -47,9 +47,9 @@ def task_rows(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame, reports: D
     tj = (t.join(j, ["dataset_id", "job_id"], "left")
            .withColumn("has_job", F.coalesce(F.col("has_job"), F.lit(False))))
     if strict:
-        tj = tj.withColumn("_chk", F.when(~F.col("has_job"), F.raise_error(
-            F.concat(F.lit("task without job: "), F.col("task_id")))))
-        tj = tj.where(F.col("_chk").isNull()).drop("_chk")
+        # The flag itself raises, so no filter on it can drop the row first.
+        tj = tj.withColumn("has_job", F.when(F.col("has_job"), True).otherwise(
+            F.raise_error(F.concat(F.lit("task without job: "), F.col("task_id"))).cast("boolean")))
     fig = task_figures(reports)
     if strict:
         fig = fig.withColumn("_chk", F.when(F.col("unreadable"), F.raise_error(

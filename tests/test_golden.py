@@ -41,8 +41,9 @@ def golden_tables(spark):
     task = spark.createDataFrame([(k, v[1], v[0]) for k, v in spec.items()],
                                  "task_id string, requirements string, task_rel_id string")
     search = spark.createDataFrame(
-        [(k, "J" + k[1:], b(v[2])) for k, v in spec.items()],
-        "task_id string, job_id string, task_status binary")
+        [(k, "J" + k[1:], b("O1r99c57luMXkK"), b({"R1": "detector", "R2": "filter", "R3": "merge"}[v[0]]), b(v[2]))
+         for k, v in spec.items()],
+        "task_id string, job_id string, dataset_id binary, name binary, task_status binary")
     job = spark.createDataFrame([(f"J{i}", i - 1) for i in range(1, 10)],
                                 "job_id string, job_index int")
     plain = {"resources": {"memory": 3, "time": 1}, "task_stats": U}
@@ -95,9 +96,11 @@ def test_usage_from_tables_golden(spark):
 
 
 def test_usage_slice_golden(spark):
-    df = usage_from_tables(golden_tables(spark), dataset="O1r99c57luMXkK", name="detector",
-                           limit=2)
-    assert [r["task_id"] for r in df.collect()] == ["T1", "T6"]
+    # The slice takes its tasks first; T2 and T5 among them give no row.
+    for limit, want in ((2, ["T1"]), (4, ["T1", "T6"])):
+        df = usage_from_tables(golden_tables(spark), dataset="O1r99c57luMXkK", name="detector",
+                               limit=limit)
+        assert sorted(r["task_id"] for r in df.collect()) == want
 
 
 # ----------------------------------------------------------------- document path

@@ -141,9 +141,10 @@ def test_landing_partitioned_by_dataset(spark, landing, scratch):
 def test_harvest_drops_its_rows_table(spark, landing, scratch):
     from gridmeter.session import checkpoint_dir
     base = checkpoint_dir(spark).replace("file:", "")
-    before = set(glob.glob(f"{base}/harvest-rows-*"))
+    before = set(glob.glob(f"{base}/harvest-*"))
     harvest(spark, landing, f"{scratch}/out", include=[20002])
-    assert set(glob.glob(f"{base}/harvest-rows-*")) == before
+    made = set(glob.glob(f"{base}/harvest-*")) - before
+    assert len(made) == 3 and all(spark.read.parquet(p).count() == 0 for p in made)
 
 
 def test_streaming_default_checkpoint(spark, landing, scratch):
@@ -158,3 +159,64 @@ def test_streaming_default_checkpoint(spark, landing, scratch):
     key = hashlib.sha1(f"{landing}|{scratch}/out".encode()).hexdigest()[:16]
     assert os.path.isdir(f"{base}/harvest_stream-{key}/offsets")
     assert spark.read.parquet(f"{scratch}/out/_ledger").count() == 25
+
+
+def _land(spark, base, kind, rows):
+    """One more landed file of a kind."""
+    from gridmeter.schemas import LANDED
+    spark.createDataFrame([{**r, "landed_at": None} for r in rows], LANDED[kind]).coalesce(1).write.mode("append").json(f"{base}/{kind}")
+
+
+def _task(status="complete", memory=1):
+    return ('{"t1": {"dataset_id": "d", "job_id": "j", "task_id": "t1", "task_index": 0, "requirements": {"memory": %d}, '
+            '"status": "%s"}}' % (memory, status))
+
+
+def _report(hours):
+    return '{"r1": {"stats": {"time": "2019-01-01T00:00:00", "resources": {"time": %s}, "task_stats": {}}}}' % hours
+
+
+def test_relanded_records_count_once(spark, scratch):
+    base, out = f"{scratch}/landing", f"{scratch}/out"
+    _land(spark, base, "datasets", [{"doc": '{"d": {"dataset": 1, "dataset_id": "d"}}'}])
+    _land(spark, base, "tasks", [{"dataset_id": "d", "doc": _task()}])
+    _land(spark, base, "jobs", [{"dataset_id": "d", "doc": '{"j": {"job_index": 4}}'}])
+    _land(spark, base, "reports", [{"dataset_id": "d", "task_id": "t1", "doc": _report(1.0)}])
+    harvest(spark, base, out)
+    assert [r["time_used"] for r in spark.read.parquet(f"{out}/usage").collect()] == [1.0]
+    # A report, then the listings land again.
+    _land(spark, base, "reports", [{"dataset_id": "d", "task_id": "t1", "doc": _report(2.0)}])
+    harvest(spark, base, out, include=[1])
+    assert [r["time_used"] for r in spark.read.parquet(f"{out}/usage").collect()] == [2.0]
+    _land(spark, base, "datasets", [{"doc": '{"d": {"dataset": 1, "dataset_id": "d"}}'}])
+    _land(spark, base, "tasks", [{"dataset_id": "d", "doc": _task(memory=7)}])
+    assert harvest(spark, base, out, include=[1]).count() == 1
+    assert [r["memory_req"] for r in spark.read.parquet(f"{out}/usage").collect()] == [7.0]
+    assert spark.read.parquet(f"{out}/_ledger").count() == 1
+    # The dataset's only task is no longer complete: its rows go.
+    _land(spark, base, "tasks", [{"dataset_id": "d", "doc": _task(status="queued")}])
+    assert [r["n_rows"] for r in harvest(spark, base, out, include=[1]).collect()] == [0]
+    assert spark.read.parquet(f"{out}/usage").count() == 0
+
+
+def test_unreadable_records_are_listed_and_strict_raises(spark, scratch):
+    base = f"{scratch}/landing"
+    os.makedirs(f"{base}/tasks")
+    with open(f"{base}/tasks/a.jsonl", "w") as f:
+        f.write('{"dataset_id": "d", "doc": "{\\"t1\\": {"}\n{"dataset_id": "d", "do\n')
+    raw = landed.read_landed(spark, base, "tasks")
+    assert sorted(r["reason"] for r in landed.corrupt_records(raw, "tasks").collect()) == ["corrupt_document", "corrupt_line"]
+    with pytest.raises(Exception, match="unreadable record in tasks"):
+        landed.scan_tasks(landed.checked(raw, "tasks")).collect()
+
+
+def test_work_list_prunes_landed_partitions(spark, landing, scratch):
+    """With listings landed under dataset_id=... folders a filtered scan reads only their files."""
+    from gridmeter.plans.harvest import of_datasets
+    for kind in ("tasks", "jobs", "reports"):
+        landed.read_landed(spark, landing, kind).drop("landed", "_corrupt").write.partitionBy("dataset_id").json(f"{scratch}/{kind}")
+        raw = landed.read_landed(spark, scratch, kind)
+        one = of_datasets(raw, None, ["3"])
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(dataset_id" in plan or "PartitionFilters: [(dataset_id" in plan, plan
+        assert one.count() == raw.where("dataset_id = '3'").count() > 0
