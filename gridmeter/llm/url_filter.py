@@ -2,7 +2,7 @@
 
 A rule is (host, path, verdict).  It fits its host and all subdomains if the
 url's path starts with the rule's path; of the rules that fit, the longest
-wins.  Every url gives a few candidate keys (each suffix of its host at a label
+wins (host and path together; of two as long, the one with the longer host).  Every url gives a few candidate keys (each suffix of its host at a label
 border, with each path prefix of a length that some rule has).  The Bloom
 filter over the listed keys drops nearly all keys that no rule has, inside the
 row and without a shuffle; what passes is joined exactly with the rules, which
@@ -116,6 +116,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     # Possible hits: the exact join, then the longest rule of each row.  The row number is
     # made and used within this one flow.
     longest = F.max(F.struct(F.when(F.col("_v").isNotNull(), F.length(F.col(key))).alias("n"),
+                             F.length(F.substring_index(F.col(key), "\x00", 1)).alias("host"),
                              F.when(F.col("_v").isNotNull(), F.col(key)).alias("key"), F.col("_v").alias("v"))).alias("best")
     possible = (tested.where(F.size(hits) > 0).withColumn(uid, F.monotonically_increasing_id())
                 .select(F.struct(*[F.col(c) for c in out]).alias("row"), uid, F.explode(hits).alias(key))
