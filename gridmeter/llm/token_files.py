@@ -19,8 +19,12 @@ their shard.  Shard borders come from the document ids alone.
 
 from __future__ import annotations
 
+import gc
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -32,7 +36,7 @@ from gridmeter.llm import chunks as _chunks
 BLOCK = 65_536
 SHARD_DOCS = 8_192
 MAX_SHARDS = 10_000
-CACHE = 300_000
+CACHE = 500_000
 
 
 def bits_of(vocabulary: int) -> int:
@@ -63,13 +67,12 @@ class Tokens:
     """The tokenizers library with a bounded memory of chunks it has encoded.
 
     With `byte_level`, texts are cut where a byte-level pattern always cuts and each
-    distinct chunk is encoded once; a text that holds an added token's string goes
+    distinct chunk of a batch is encoded once; the first `CACHE` chunks are also
+    remembered for later batches.  A text that holds an added token's string goes
     to the library whole.
     """
 
     def __init__(self, path: str, byte_level: bool = True):
-        import os
-
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -77,7 +80,10 @@ class Tokens:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.byte_level, self.seen = byte_level, {}
+        self.byte_level = byte_level
+        self.seen: dict[str, int] = {}     # chunk -> its number
+        self.ends = np.zeros(1, np.int64)  # of each number's ids in `flat`
+        self.flat = np.zeros(0, np.uint32)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         whole = [i for i, t in enumerate(texts) if not self.byte_level or any(a in t for a in self.added)]
@@ -85,30 +91,62 @@ class Tokens:
         for i, e in zip(whole, self.library.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, np.uint32)
         cut = {i: _chunks.chunks(t) for i, t in enumerate(texts) if out[i] is None}
-        new = {c for cs in cut.values() for c in cs} - self.seen.keys()
-        if len(self.seen) + len(new) > CACHE:
-            self.seen = {}
-            new = {c for cs in cut.values() for c in cs}
-        self._encode(list(new))
+        new = list(set(chain.from_iterable(cut.values())) - self.seen.keys())
+        new, sizes, ids = self._encode(new)
+        known = len(self.ends) - 1
+        ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
+        flat = np.concatenate((self.flat, ids))
+        self.seen.update(zip(new, range(known, known + len(new)), strict=True))
+        lens = np.diff(ends)
+        for i, cs in cut.items():
+            n = np.fromiter(map(self.seen.__getitem__, cs), np.int64, len(cs))
+            stop = np.cumsum(lens[n])
+            total = int(stop[-1]) if len(n) else 0
+            out[i] = flat[np.repeat(ends[n] - (stop - lens[n]), lens[n]) + np.arange(total)]
+        keep = max(0, CACHE - known)
+        for c in new[keep:]:
+            del self.seen[c]
+        last = min(known + keep, len(ends) - 1)
+        if last > known:
+            self.ends, self.flat = ends[:last + 1], flat[:ends[last]]
+        return out
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """The number of ids of each text, by the same way without the ids."""
+        whole = [i for i, t in enumerate(texts) if not self.byte_level or any(a in t for a in self.added)]
+        out: list = [None] * len(texts)
+        for i, e in zip(whole, self.library.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
+            out[i] = len(e)
+        cut = {i: _chunks.chunks(t) for i, t in enumerate(texts) if out[i] is None}
+        new, sizes, _ = self._encode(list(set(chain.from_iterable(cut.values())) - self.seen.keys()))
+        self.seen.update(zip(new, sizes.tolist(), strict=True))
         for i, cs in cut.items():
-            out[i] = np.frombuffer(b"".join(map(self.seen.__getitem__, cs)), "<u4")
+            out[i] = sum(map(self.seen.__getitem__, cs))
+        for c in new[max(0, CACHE - (len(self.seen) - len(new))):]:
+            del self.seen[c]
         return out
 
-    def _encode(self, new: list[str]) -> None:
+    def _encode(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(chunks, number of ids of each, their ids one after another)."""
         # Chunks that begin with a space and end with something else may stand side by
         # side in one text; offsets tell whose token is whose.
         side = [c for c in new if c[0] == " " and not c[-1].isspace()]
         alone = [c for c in new if c[0] != " " or c[-1].isspace()]
-        for c, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.seen[c] = np.array(e.ids, "<u4").tobytes()
-        lists = [side[i:i + 128] for i in range(0, len(side), 128)]
-        for own, e in zip(lists, self.library.encode_batch(["".join(x) for x in lists], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            starts = np.array([o[0] for o in e.offsets])
-            cuts = np.searchsorted(starts, np.cumsum([0, *map(len, own)]))
-            cuts[-1] = len(ids)
-            for c, lo, hi in zip(own, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                self.seen[c] = ids[lo:hi].tobytes()
+        sizes, ids = [], []
+        for at in range(0, len(alone), 4_096):
+            for e in self.library.encode_batch_fast(alone[at:at + 4_096], add_special_tokens=False):
+                sizes.append([len(e)])
+                ids.append(e.ids)
+        for at in range(0, len(side), 65_536):
+            lists = [side[i:i + 256] for i in range(at, min(at + 65_536, len(side)), 256)]
+            for own, e in zip(lists, self.library.encode_batch(["".join(x) for x in lists], add_special_tokens=False), strict=True):
+                starts = np.fromiter(map(itemgetter(0), e.offsets), np.int64, len(e))
+                cuts = np.searchsorted(starts, np.cumsum([0, *map(len, own)]))
+                cuts[-1] = len(e)
+                sizes.append(np.diff(cuts))
+                ids.append(e.ids)
+        return (alone + side, np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64),
+                np.fromiter(chain.from_iterable(ids), np.uint32))
 
 
 def encode(docs: DataFrame, tokenizer: str, bits: int, end_id: int | None, id_col: str = "doc_id",
@@ -118,10 +156,11 @@ def encode(docs: DataFrame, tokenizer: str, bits: int, end_id: int | None, id_co
     end = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gc.disable()  # nothing here makes cycles, and the memory has many objects to look through
         tokens = Tokens(tokenizer, byte_level)
         for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.iloc[at:at + 256]
+            for at in range(0, len(b), 2_048):
+                part = b.iloc[at:at + 2_048]
                 ids = [np.concatenate((x, end)) for x in tokens.ids([t or "" for t in part["text"]])]
                 yield pd.DataFrame({"id": part["id"].array, "row": part["row"].array, "n": [len(x) for x in ids],
                                     "packed": [pack(x, bits) for x in ids]})
