@@ -21,9 +21,11 @@ It is bounded by the vocabulary (at most 2^20 tokens).
 from __future__ import annotations
 
 import base64
+import gc
 import json
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -131,29 +133,29 @@ def merge_fold(ranks: Ranks, word: str, table: str) -> str:
     return f"aggregate(sequence(1, (size({word}) - 3) div 2), {word}, (a, k) -> {step})"
 
 
-class _Words:
-    """The distinct words of one block, and its texts as lists of them."""
+class _Words(dict):
+    """The distinct words of one block (word -> number), and its texts as lists of them."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+class _Chunks(dict):
+    """The words of each distinct chunk of one block, found when a chunk is first met."""
 
     def __init__(self, pattern: str):
-        self.find = regex.compile(pattern).findall
-        self.reset()
-
-    def reset(self) -> None:
-        self.words: dict[str, int] = {}
-        self.known: dict[str, list[int]] = {}
-        self.texts: list[tuple] = []
-        self.size = 0
-
-    def add(self, key, text: str) -> None:
-        seq: list[int] = []
-        for c in _chunks.chunks(text):
-            own = self.known.get(c)
-            if own is None:
-                own = [self.words.setdefault(w, len(self.words)) for w in self.find(c)]
-                self.known[c] = own
-            seq += own
-        self.texts.append((key, np.array(seq, np.int32).tobytes()))
-        self.size += len(text)
+        super().__init__()
+        self.find, self.words = regex.compile(pattern).findall, _Words()
+
+    def __missing__(self, chunk: str) -> tuple[int, ...]:
+        self[chunk] = own = tuple(map(self.words.__getitem__, self.find(chunk)))
+        return own
+
+    def numbers(self, text: str) -> bytes:
+        """The words of a whole text, as 32-bit integers."""
+        cut = map(self.__getitem__, _chunks.chunks(text))
+        return np.fromiter(chain.from_iterable(cut), np.int32).tobytes()
 
 
 def _word_rows(words: list[str], ranks: Ranks, byte: np.ndarray, first: np.ndarray) -> tuple[pa.Array, pa.Array]:
@@ -202,28 +204,30 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, id_col: str = "doc_id",
     schema = pa.schema([("id", arrow), ("known", pa.int32()), ("word", pa.list_(pa.int64())), ("seq", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Words(pattern)
+        gc.disable()  # nothing here makes cycles, and a block has many objects to look through
+        block, texts, size = _Chunks(pattern), [], 0
 
         def rows() -> Iterator[pa.RecordBatch]:
             words = list(block.words)
-            block.known.clear()
             for i in range(0, len(words), 4_096):
                 known, lists = _word_rows(words[i:i + 4_096], ranks, byte, first)
                 n = len(known)
                 yield pa.RecordBatch.from_arrays([pa.nulls(n, arrow), known, lists, pa.nulls(n, pa.binary())], schema=schema)
-            for i in range(0, len(block.texts), 512):
-                part = block.texts[i:i + 512]
+            for i in range(0, len(texts), 512):
+                part = texts[i:i + 512]
                 n = len(part)
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in part], arrow), pa.nulls(n, pa.int32()),
                                                   pa.nulls(n, pa.list_(pa.int64())), pa.array([s for _, s in part], pa.binary())], schema=schema)
-            block.reset()
-
         for b in batches:
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                block.add(key, text or "")
-                if block.size >= block_bytes:
-                    yield from rows()
-        if block.texts:
+            for at in range(0, len(b), 256):  # Python strings of a few texts at a time
+                part = b.slice(at, 256)
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    texts.append((key, block.numbers(text or "")))
+                    size += len(text or "")
+                    if size >= block_bytes:
+                        yield from rows()
+                        block, texts, size = _Chunks(pattern), [], 0
+        if texts:
             yield from rows()
 
     flag, edge = ranks.flag, ranks.edge
@@ -286,6 +290,7 @@ def decode(encoded: DataFrame, ids: dict[bytes, int], ids_col: str = "ids", out:
     table = fresh(encoded, "pieces")
     known = _constant(encoded.sparkSession, {"v": [p or None for p in pieces]}, "struct<v:array<string>>")
     keep = [c for c in encoded.columns if c.lower() != out.lower()]
-    joined = (f"unhex(aggregate(array({table}.v), '', (z, v) -> if(exists(`{ids_col}`, i -> i is null or get(v, i) is null), null, "
-              f"array_join(transform(`{ids_col}`, i -> get(v, i)), ''))))")
+    # A missing piece becomes a mark that is no hexadecimal digit, so that unhex gives null.
+    joined = (f"aggregate(array({table}.v), cast(null as binary), (z, v) -> "
+              f"unhex(array_join(transform(`{ids_col}`, i -> get(v, i)), '', '?')))")
     return encoded.select("*", known.alias(table)).select(*keep, F.expr(joined).alias(out))

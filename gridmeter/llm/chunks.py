@@ -12,14 +12,16 @@ from __future__ import annotations
 import regex
 
 _RUN = regex.compile(r"\s*\S+|\s+")
-_BLANKS = [chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31)]
+_BLANKS = [chr(c) + " " for c in (10, 9, 13, 32, 11, 12, 28, 29, 30, 31)]
 _WIDE = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 def chunks(text: str) -> list[str]:
     """Chunks whose concatenation is `text` and which may be encoded one by one."""
-    if "  " in text or any(c + " " in text for c in _BLANKS) or (
-            not text.isascii() and any(c in text for c in _WIDE)):
+    for blanks in _BLANKS:
+        if blanks in text:
+            return _RUN.findall(text)
+    if not text.isascii() and any(c in text for c in _WIDE):
         return _RUN.findall(text)
     # Every space stands alone between other characters: cutting before each is the same cut.
     first, *rest = text.split(" ")
