@@ -64,21 +64,70 @@ def test_one_aggregate_over_reports(parquet_tables):
     assert df.count() == 23
 
 
-def test_multi_scan_comparison_agrees(spark, parquet_tables):
-    """The bench's five-scan form computes the same rows as the single pass."""
+def test_figure_by_figure_comparison_agrees(parquet_tables):
+    """The bench's comparison form computes the same rows as the single pass."""
     import bench
-    from gridmeter.catalog import round_doubles
-    from gridmeter.functions.ids import register_sql_functions
+    from gridmeter.operators.reports import task_rollup
     _, t = parquet_tables
-    register_sql_functions(spark)
-    for n, df in t.items():
-        df.createOrReplaceTempView(n)
-    single = round_doubles(usage_from_tables(t))
-    multi = round_doubles(spark.sql(bench.MULTI_SCAN_SQL)).select(*single.columns)
-    assert single.count() == multi.count() == 23
+    multi = bench.figure_by_figure(t.task_stat)
+    single = task_rollup(t.task_stat).select(*multi.columns)
     assert single.exceptAll(multi).count() == 0 and multi.exceptAll(single).count() == 0
 
 
+def _without_broadcasts(spark, plan_of):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan_of()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_byte_ids_roll_up_in_a_hash_aggregate(spark, parquet_tables):
+    """With the declared byte-string ids the rollup is one hash aggregate, partial and final."""
+    import bench
+    from gridmeter.operators.reports import task_rollup
+    _, t = parquet_tables
+    stat = t.task_stat.select(*[bench._as_bytes(c) if c in bench.ID_COLUMNS else F.col(c) for c in t.task_stat.columns])
+    plan = _without_broadcasts(spark, lambda: _plan(task_rollup(stat)))
+    assert plan.count("HashAggregate(") == 2 and "SortAggregate" not in plan, plan
+    got = task_rollup(stat).select(F.col("task_id").cast("string").cast("bigint").alias("task_id"), "output_size", "input_size")
+    want = task_rollup(t.task_stat).select("task_id", "output_size", "input_size")
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_fixed_width_key_orders_like_bytes(spark):
+    from gridmeter.functions.ids import fixed_width_key
+    ids = [b"", b"\x00", b"\x00\x00", b"a", b"a\x00", b"ab", b"b", b"\xff" * 15, b"\xff" * 14, b"O1r99c57luMXkK", b"\x7f" * 8, b"\x80"]
+    rows = spark.createDataFrame([(bytearray(i),) for i in ids], "id binary").select("id", F.expr(fixed_width_key("id")).alias("k")).collect()
+    assert [bytes(r["id"]) for r in sorted(rows, key=lambda r: r["k"])] == sorted(ids)
+    with pytest.raises(Exception, match="id of more than 15 bytes"):
+        spark.createDataFrame([(bytearray(16),)], "id binary").select(F.expr(fixed_width_key("id"))).collect()
+
+
+def test_insert_ignore_shuffles_the_batch_once(spark, parquet_tables):
+    from gridmeter.operators.copy import new_rows
+    _, t = parquet_tables
+    plan = _without_broadcasts(spark, lambda: _plan(new_rows(t.search, t.search, ["task_id"])))
+    assert plan.count("Exchange hashpartitioning") == 2, plan  # the batch once, the target's keys once
+
+
+def test_usage_from_reports_is_lazy(spark, scratch):
+    """Building the document query writes nothing."""
+    import glob
+
+    from gridmeter.plans.usage_reports import usage_from_reports
+    from gridmeter.session import checkpoint_dir
+    from gridmeter.sources import landed
+    from gridmeter.sources.derived import landed_documents
+    base = checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{base}/*"))
+    raw = landed_documents(spark, SF_SMALL)
+    df = usage_from_reports(landed.scan_datasets(raw["datasets"]), landed.scan_jobs(raw["jobs"]),
+                            landed.scan_tasks(raw["tasks"]), landed.scan_reports(raw["reports"]))
+    assert {"queue_req", "arch_req", "node_used"} <= set(df.columns) and set(glob.glob(f"{base}/*")) == before
+
+
 def test_broadcast_checked(spark):
     from gridmeter.operators.joins import broadcast_if_small, measured_size
     df = spark.createDataFrame([(i, "x" * 10) for i in range(100)], "k bigint, s string")
