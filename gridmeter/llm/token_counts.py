@@ -1,6 +1,6 @@
 """Token counts by overlap resynchronisation.
 
-Documents up to `CHUNK` characters are encoded whole.  Longer ones are cut into
+Documents up to `CHUNK` characters are counted whole.  Longer ones are cut into
 chunks that overlap; each chunk is encoded on its own, with offsets.  Two chunks are
 spliced at a place of their overlap where both have a token border that is proven
 stable: before a white-space character that follows another character, where the
@@ -15,10 +15,10 @@ tasks, and no task holds more than a chunk of it at a time.
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmeter.llm.common import text_or_empty
+from gridmeter.llm.token_files import Tokens
 from gridmeter.session import materialize
 
 CHUNK = 32_768
@@ -42,17 +43,17 @@ def _library(path: str):
     return library
 
 
-def whole_counts(path: str):
-    """A pandas UDF: tokens of each whole text."""
+def whole_counts(path: str, byte_level: bool):
+    """A pandas UDF: tokens of each whole text (see token_files.Tokens)."""
 
     @F.pandas_udf("long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        library = _library(path)
+        gc.disable()  # nothing here makes cycles, and the memory has many objects to look through
+        tokens = Tokens(path, byte_level)
         for texts in batches:
             out: list[int] = []
-            for at in range(0, len(texts), 64):
-                part = texts.iloc[at:at + 64].tolist()
-                out += [len(e.ids) for e in library.encode_batch_fast(part, add_special_tokens=False)]
+            for at in range(0, len(texts), 2_048):
+                out += tokens.counts(texts.iloc[at:at + 2_048].tolist())
             yield pd.Series(out, dtype="int64")
 
     return run
@@ -62,11 +63,20 @@ def whole_counts(path: str):
 _BORDER = r"(?<=[^\s\x1c-\x1f\x85\u180e\u200b\ufeff])[ \n\t\r]"
 
 
-def stable_borders(text: str, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, tokens before each) of the stable borders of a chunk whose tokens begin at
-    `starts`.  No token crosses them, so a token is before one if it begins before it."""
-    places = np.array([m.start() for m in regex.finditer(_BORDER, text)], np.int64)
-    return places, np.searchsorted(starts, places, "left")
+def stable_borders(text: str, encoding, lo: int, hi: int) -> tuple[list[int], list[int]]:
+    """(places, tokens before each) of the stable borders of an encoded chunk from `lo` to
+    before `hi`.  No token crosses a border, so the tokens before it are those that begin
+    before it: the token that holds the last character before the border is the last."""
+    places, before = [], []
+    for m in regex.finditer(_BORDER, text, pos=max(lo, 1), endpos=min(hi, len(text))):
+        last = encoding.char_to_token(m.start() - 1)
+        if last is not None:
+            # Several tokens may share a character's bytes: count on to the last of them.
+            while last + 1 < len(encoding) and encoding.token_to_chars(last + 1)[0] < m.start():
+                last += 1
+            places.append(m.start())
+            before.append(last + 1)
+    return places, before
 
 
 def chunk_counts(path: str, overlap: int):
@@ -82,9 +92,9 @@ def chunk_counts(path: str, overlap: int):
             rows = []
             for start, text in zip(starts, texts, strict=True):
                 e = library.encode_batch([text], add_special_tokens=False)[0]
-                at, n = stable_borders(text, np.array([o[0] for o in e.offsets], np.int64))
-                left, right = at < overlap, at >= len(text) - overlap
-                rows.append((len(e.ids), at[left] + start, n[left], at[right] + start, n[right]))
+                left, left_n = stable_borders(text, e, 0, overlap)
+                right, right_n = stable_borders(text, e, len(text) - overlap, len(text))
+                rows.append((len(e), [start + p for p in left], left_n, [start + p for p in right], right_n))
             yield pd.DataFrame(rows, columns=["tokens", "left_at", "left_n", "right_at", "right_n"])
 
     return run
@@ -121,7 +131,7 @@ def cutter(width: int, overlap: int):
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+                 chunk: int = CHUNK, overlap: int = OVERLAP, byte_level: bool = True) -> DataFrame:
     """(id, n_bytes, n_tokens) for every row, as the tokenizers library counts the whole text.
 
     Null and empty texts have no bytes and no tokens.  Null and repeated ids and
@@ -131,7 +141,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     short = rows.where(F.length("text") <= chunk).select(
-        "id", F.octet_length("text").cast("bigint").alias("n_bytes"), whole_counts(tokenizer)(F.col("text")).alias("n_tokens"))
+        "id", F.octet_length("text").cast("bigint").alias("n_bytes"), whole_counts(tokenizer, byte_level)(F.col("text")).alias("n_tokens"))
     # Long texts are written once, with a number of their own: rows of later rounds are told apart by it.
     todo = materialize(rows.where(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id()), "long-texts")
     done, kind = [], dict(rows.dtypes)["id"]
