@@ -30,14 +30,18 @@ SEED = 17
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """Fast Walsh-Hadamard transform of the rows (a power of two long), scaled to keep lengths."""
+    """Fast Walsh-Hadamard transform of the rows (a power of two long), scaled to keep
+    lengths: one small transform along each group of up to four of the index's bits."""
     n, d = x.shape
-    h = 1
-    while h < d:
-        y = x.reshape(n, d // (2 * h), 2, h)
-        x = np.stack((y[:, :, 0] + y[:, :, 1], y[:, :, 0] - y[:, :, 1]), axis=2).reshape(n, d)
-        h *= 2
-    return x / np.sqrt(d)
+    done = 1
+    while done < d:
+        r = min(16, d // done)
+        h = np.ones((1, 1), x.dtype)
+        while len(h) < r:
+            h = np.block([[h, h], [h, -h]])
+        x = np.matmul(h, x.reshape(n, d // (done * r), r, done)).reshape(n, d)
+        done *= r
+    return x * x.dtype.type(1 / np.sqrt(d))
 
 
 def rotations(x: np.ndarray, seed: int) -> np.ndarray:
@@ -70,22 +74,26 @@ def search_block(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarra
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         near = [rotations(uq, SEED + 2 * t + i) for i in (0, 1)]
-        top = [np.argsort(-n, axis=1, kind="stable")[:, :axes] for n in near]
+        top = [np.argpartition(-n, axes - 1, axis=1)[:, :axes] for n in near]
         value = [np.take_along_axis(n, o, axis=1) for n, o in zip(near, top, strict=True)]
         both = (value[0][:, :, None] + value[1][:, None, :]).reshape(len(q), -1)
-        best = np.argsort(-both, axis=1, kind="stable")[:, :probes]
+        best = np.argpartition(-both, min(probes, both.shape[1]) - 1, axis=1)[:, :probes]
         probe = np.take_along_axis(top[0], best // axes, axis=1) * sides + np.take_along_axis(top[1], best % axes, axis=1)
         lo, hi = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
         n = (hi - lo).ravel()
         ends = np.cumsum(n)
         rows = np.repeat(np.arange(len(q)), (hi - lo).sum(axis=1))
         hits[rows, order[np.repeat(lo.ravel() - (ends - n), n) + np.arange(len(rows))]] = True
+    # Products give all distances roughly; those that may be among the k nearest are
+    # computed exactly from the original vectors.
+    squares, q_squares = (x * x).sum(axis=1), (q * q).sum(axis=1)
+    rough = squares + q_squares[:, None] - 2 * (q @ x.T)
+    slack = 1e-9 * (squares.max() + q_squares)
+    rough[~hits | (q_ids[:, None] == ids)] = np.inf
+    cut = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(q), np.inf)
     for i in range(len(q)):
-        found = np.flatnonzero(hits[i] & (ids != q_ids[i]))
+        found = np.flatnonzero((rough[i] <= cut[i] + slack[i]) & np.isfinite(rough[i]))
         distance = np.sqrt(((x[found] - q[i]) ** 2).sum(axis=1))
-        if len(found) > k:
-            cut = np.partition(distance, k - 1)[k - 1]
-            found, distance = found[distance <= cut], distance[distance <= cut]
         first = np.lexsort((ids[found], distance))[:k]
         out += [(int(q_ids[i]), int(ids[found[j]]), float(distance[j])) for j in first]
     return out
