@@ -43,22 +43,32 @@ def main():
                   ("task", "task_rel", "search", "job", "task_stat", "dataset")})
     raw = {k: landed.read_landed(spark, f"{base}/landing", k)
            for k in ("datasets", "tasks", "jobs", "reports")}
+    import bench
+    from pyspark.sql import functions as F
+    byte_ids = Tables(**{n: df.select(*[bench._as_bytes(c) if c in bench.ID_COLUMNS else F.col(c) for c in df.columns])
+                         for n, df in t.items()})
+    from gridmeter.operators.copy import new_rows
     plans = {
-        "usage_from_tables": usage_from_tables(t),
-        "usage_from_reports (key lists given)": usage_from_reports(
+        "usage_from_tables": lambda: usage_from_tables(t),
+        "usage_from_tables, byte ids, broadcasts off": lambda: usage_from_tables(byte_ids),
+        "new_rows, broadcasts off": lambda: new_rows(t.search, t.search, ["task_id"]),
+        "usage_from_reports (keys given)": lambda: usage_from_reports(
             landed.scan_datasets(raw["datasets"]), landed.scan_jobs(raw["jobs"]),
             landed.scan_tasks(raw["tasks"]), landed.scan_reports(raw["reports"]),
-            req_keys=["cpu", "gpu", "memory", "os"], used_keys=["cpu", "memory", "time"]),
+            req_keys={"cpu": "double", "memory": "double", "queue": "string"},
+            used_keys={"memory": "double", "time": "double", "node": "string"}),
     }
-    for name, df in plans.items():
+    for name, build in plans.items():
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if "broadcasts off" in name else "10m")
+        df = build()
         print(f"### {name}\n\n```\n{formatted(df)}\n```\n")
         full = io.StringIO()
         with redirect_stdout(full):
             df.explain("formatted")
         for line in full.getvalue().splitlines():
-            if line.startswith(("PushedFilters", "ReadSchema", "Location")) or \
+            if line.startswith(("PushedFilters", "ReadSchema")) or \
                     line.startswith("(") and ("Scan" in line or "Aggregate" in line):
-                print("    " + line)
+                print("    " + line[:400])
         print()
 
 
