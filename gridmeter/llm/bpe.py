@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from gridmeter.llm import chunks as _chunks
 from gridmeter.llm.common import fresh
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 _EMPTY = 1 << 62
 
 
