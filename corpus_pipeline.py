@@ -54,7 +54,7 @@ STAGES = [
     ("bpe", encode_bpe),
 ]
 
-#: SQL cannot express fingerprints, the mix or the classifier; see tests/llm/test_pipeline.py.
+#: SQL cannot express fingerprints, the mix or the classifier; see tests/llm/test_models.py.
 ORACLE_SQL = None
 
 
