@@ -64,13 +64,13 @@ def hypergeometric(good: str, bad: str, draws: str, u: str) -> str:
     are good, for the uniform number `u`.
 
     Inverse of the exact distribution, walked outward from the mode by the ratio of
-    neighbouring terms, so nothing under- or overflows.  Terms further than 40
-    deviations off are below the precision of a double.
+    neighbouring terms, so nothing under- or overflows.  Terms further than 12
+    deviations off are below the precision of a double (1e-31 of the largest).
     """
     lo, hi = f"greatest(0L, {draws} - {bad})", f"least({draws}, {good})"
     total = f"({good} + {bad})"
     mode = f"least({hi}, greatest({lo}, cast(floor(({draws} + 1.0D) * ({good} + 1.0D) / ({total} + 2.0D)) as bigint)))"
-    width = (f"cast(ceil(40 * sqrt({draws} * 1.0D * {good} / greatest({total}, 1L) * {bad} / greatest({total}, 1L)) + 40) as bigint)")
+    width = (f"cast(ceil(12 * sqrt({draws} * 1.0D * {good} / greatest({total}, 1L) * {bad} / greatest({total}, 1L)) + 40) as bigint)")
     up = f"(({good} - k + 1.0D) * ({draws} - k + 1.0D) / (k * 1.0D * ({bad} - {draws} + k)))"        # p(k) / p(k - 1)
     down = f"((k + 1.0D) * ({bad} - {draws} + k + 1.0D) / (({good} - k) * 1.0D * ({draws} - k)))"    # p(k) / p(k + 1)
 
