@@ -27,6 +27,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,13 +67,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole text, to tell rows with the same id apart."""
     schema = f"id {dict(docs.dtypes)[id_col]}, h bigint, fp bigint"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, width) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"id": b["id"], "h": b["h"], "fp": fps})
+            for at in range(0, len(b), 256):  # Python strings of a few texts at a time
+                part = b.slice(at, 256)
+                fps = np.array([fingerprint(t, width) for t in part.column(2).to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps)], names=["id", "h", "fp"])
 
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("h"),
-                       F.col(text_col).alias("text")).mapInPandas(run, schema)
+                       F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def block_masks(max_bits: int) -> list[int]:
@@ -213,9 +216,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     """One row of each group, with the columns of `docs`: the one with the smallest id
     (null ids last; of rows with the same id, the smallest text hash; of rows that
     repeat id and text, one)."""
-    key = fresh(docs, "key")
+    key, null, text = fresh(docs, "key"), fresh(docs, "null"), fresh(docs, "text")
     groups = near_groups(docs, id_col, text_col, width, max_bits)
     first = F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"), "h"))
-    stay = groups.groupBy("root").agg(first.alias("f")).select(F.struct("f.id", "f.h").alias(key)).distinct()
-    own = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("h"))
-    return docs.withColumn(key, own).join(stay, key, "left_semi").dropDuplicates([key]).drop(key)
+    # Plain key columns, so that the join's partitioning also serves the last step.
+    stay = groups.groupBy("root").agg(first.alias("f")).select(
+        F.coalesce(F.col("f.id").cast("string"), F.lit("")).alias(key), F.col("f.n").alias(null), F.col("f.h").alias(text))
+    marked = docs.withColumns({key: F.coalesce(F.col(id_col).cast("string"), F.lit("")), null: F.col(id_col).isNull(),
+                               text: F.xxhash64(text_or_empty(text_col))})
+    keys = [key, null, text]
+    return marked.join(stay, keys, "left_semi").dropDuplicates(keys).drop(*keys)
