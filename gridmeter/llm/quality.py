@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,10 +171,11 @@ def score_all(docs: DataFrame, model: dict, text_col: str = "text", out: str = "
     the score of a bag with one empty passage.  A column named `out` is replaced."""
     docs = docs.drop(out) if out.lower() in [c.lower() for c in docs.columns] else docs
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([score(passages(t), model) for t in texts], dtype="float64")
+            # Python strings of one text at a time.
+            yield pa.array([score(passages(t.as_py()), model) for t in texts], pa.float64())
 
     return docs.withColumn(out, run(F.col(text_col)))
 
