@@ -52,7 +52,7 @@ def _totals(picked: str, prefix: str) -> dict[str, F.Column]:
 # transfers of each direction.
 _PARSED = (f"transform(reports, x -> named_struct('ord', x.ord, "
            f"'elig', x.s.error_summary IS NULL, "
-           "'has_ts', x.s.task_stats IS NOT NULL AND json_object_keys(x.s.task_stats) IS NOT NULL, "
+           "'has_ts', x.s.task_stats IS NOT NULL, "
            f"'ts', CASE WHEN x.s.error_summary IS NULL "
            f"THEN from_json(x.s.task_stats, '{TASK_STATS_DOC}') END))")
 _GOOD = ("transform(parsed, y -> named_struct('elig', y.elig, "
@@ -63,6 +63,10 @@ _UNREADABLE = ("exists(parsed, y -> y.elig AND (NOT y.has_ts OR exists("
                "f -> NOT ({t}) AND (try_cast(f.size AS DECIMAL(38,6)) IS NULL "
                "OR try_cast(f.duration AS DOUBLE) IS NULL))))"
                ).format(t=TRUTHY.format(x="f.error"))
+# Flaws that only strict mode reads (else these columns are pruned): task_stats that
+# is no JSON object, overuse resources that are no numbers.
+_FLAWED = ("exists(reports, x -> x.s.error_summary IS NULL AND x.s.task_stats IS NOT NULL "
+           "AND json_object_keys(x.s.task_stats) IS NULL)")
 _WASTE_UNREADABLE = (f"exists(reports, x -> {_overuse('x')} AND x.s.resources IS NOT NULL AND "
                      "(try_cast(x.s.resources['memory'] AS DOUBLE) IS NULL "
                      "OR try_cast(x.s.resources['time'] AS DOUBLE) IS NULL))")
@@ -92,7 +96,8 @@ def task_figures(reports: DataFrame) -> DataFrame:
         F.expr(f"try_element_at(reports, 1 - {best}.o)").alias("final"),
         F.expr(waste).alias("mem_wastage"),
         F.expr("try_element_at(reports, -1).s").alias("last"),
-        (F.col("bad_doc") | F.coalesce(F.expr(_WASTE_UNREADABLE), F.lit(False))).alias("bad"),
+        (F.col("bad_doc") | F.coalesce(F.expr(_WASTE_UNREADABLE), F.lit(False))
+         | F.coalesce(F.expr(_FLAWED), F.lit(False))).alias("bad"),
         F.expr(_PARSED).alias("parsed"))
     r = r.select(*keys, "n_reports", "final", "mem_wastage", "last",
                  (F.col("bad") | F.coalesce(F.expr(_UNREADABLE), F.lit(False))).alias("unreadable"),

@@ -55,12 +55,13 @@ def checked(raw: DataFrame, kind: str) -> DataFrame:
 
 def newest(rows: DataFrame, *keys: str) -> DataFrame:
     """The newest row per key by landing order (pre-reduced before the shuffle);
-    rows without a landing order are taken as they are."""
+    rows without a landing order are taken as they are.  One `max_by` a column, so
+    that columns nobody reads are pruned and fixed-width rows are hashed, not sorted."""
     if "landed" not in rows.columns:
         return rows
     rest = [c for c in rows.columns if c not in (*keys, "landed")]
-    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "landed").alias("_row"))
-    return best.select(*keys, "_row.*").select(*[c for c in rows.columns if c != "landed"])
+    best = rows.groupBy(*keys).agg(*[F.max_by(c, "landed").alias(c) for c in rest])
+    return best.select(*[c for c in rows.columns if c != "landed"])
 
 
 def _explode(raw: DataFrame, schema: str, *keep: str) -> DataFrame:
