@@ -48,7 +48,7 @@ def passages(text: str | None) -> np.ndarray:
     n = -(-len(words) // PASSAGE_WORDS)
     raw = np.frombuffer(data, np.uint8)
     cls = _CLASS[raw].astype(np.int64)
-    solid = (raw > 32) | (raw < 9) | ((raw > 13) & (raw < 28))
+    solid = (raw > 32) | (raw < 9) | ((raw > 13) & (raw < 32))  # the white space of bytes.split()
     starts = np.flatnonzero(solid & ~np.concatenate(([False], solid[:-1])))
     # The passage of each byte: that of the last word begun.
     cuts = starts[::PASSAGE_WORDS][:n]

@@ -125,6 +125,18 @@ def test_quality_odd_rows(odd, docs, labels):
     assert kept.columns == odd.columns and kept.count() <= len(rows)
 
 
+def test_quality_separator_bytes(spark):
+    """U+001C to U+001F are parts of words, as in bytes.split(): passages hold all words."""
+    assert len(b"\x1c\x1d x\x1ey".split()) == 2
+    one = quality.passages("\x1c\x1d")
+    assert one.shape == (1, quality.FEATURES) and one[0, -1] == 1 and one[0, -3] == np.float32(1 / quality.PASSAGE_WORDS)
+    mixed = quality.passages(" ".join(["\x1c", "a\x1eb"] * quality.PASSAGE_WORDS + ["last"]))
+    assert len(mixed) == 3 and mixed[:, -3].tolist() == [1, 1, np.float32(1 / quality.PASSAGE_WORDS)]
+    df = spark.createDataFrame([(1, "\x1c\x1d"), (2, "\x1f word \x1f")], "doc_id long, text string")
+    model = quality.fit([one, mixed], np.array([0.0, 1.0]), epochs=1)
+    assert all(0 <= r["score"] <= 1 for r in quality.score_all(df, model).collect())
+
+
 def test_quality_empty(spark, empty, labels):
     model = quality.train(empty, labels)
     assert quality.score_all(empty, model).count() == 0
