@@ -7,21 +7,25 @@ labels alone, weighs the passages; the weighted sum is scored.  So one bad
 passage in a long document can decide, although no passage is labelled.
 
 The model is fitted on the driver on a bounded sample of labelled documents
-(`SAMPLE` in all, half of each label, by a hash of the id; a parameter).
+(`SAMPLE` in all, half of each label, by a hash of the id; a parameter).  Their
+passages are used whole while they fit `4 * SAMPLE_BYTES` of features together (a
+parameter); of the longest ones a hashed sample of passages is, if they do not.
 Scoring reads every whole text, in tasks, document by document.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmeter.llm.common import crc_fold, fresh
+from gridmeter.session import drop_path, materialize
 
 PASSAGE_WORDS = 48
 CLASSES = 12
@@ -132,11 +136,39 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, seed: int
     return w
 
 
+def passage_cap(n: np.ndarray, room: int) -> int:
+    """The largest cap (1 at least) with which bags of `n` passages hold at most `room` in all."""
+    n = np.sort(n)
+    if n.sum() <= room:
+        return int(n[-1]) if len(n) else 1
+    # With the cap in place i, bags i and longer share what the shorter ones leave.
+    left = (room - np.concatenate(([0], np.cumsum(n)[:-1]))) // np.arange(len(n), 0, -1)
+    return max(1, int(left[np.argmax(left < n)]))
+
+
+def thin(k: Column, n: Column, x: Column, cap: int) -> Column:
+    """Bags of more than `cap` passages with so many of them, drawn by a hash of the id, in their order."""
+    @F.arrow_udf("binary")
+    def run(keys: pa.Array, sizes: pa.Array, bags: pa.Array) -> pa.Array:
+        out = []
+        for key, m, bag in zip(keys, sizes, bags, strict=True):
+            m, bag = m.as_py(), bag.as_py()
+            if m > cap:
+                pick = np.random.default_rng(zlib.crc32(key.as_py().encode())).choice(m, cap, replace=False)
+                bag = np.frombuffer(bag, "<f2").reshape(m, FEATURES)[np.sort(pick)].tobytes()
+            out.append(bag)
+        return pa.array(out, pa.binary())
+
+    return run(k, n, x)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> dict:
     """Fit on at most `sample` labelled documents, half of each label, taken in the order
-    of a hash of the id; `sample_bytes` bounds the features that reach the driver (two
-    bytes a number, four times as much).
+    of a hash of the id.  Four times `sample_bytes` bounds the features that reach the
+    driver (two bytes a number): documents of more passages than a cap, the largest with
+    which all fit (1 at least), are represented by so many, drawn by a hash in the tasks;
+    no document is left out for its length.
 
     Labels other than 0 and 1, null ids and ids without a document are left out; a
     repeated id counts as often as it joins.  Without any labelled document the
@@ -154,16 +186,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pd.DataFrame({"k": b["k"].astype(str), "y": b["y"], "n": [len(r) for r in rows],
                                 "x": [r.astype("<f2").tobytes() for r in rows]})
 
-    # A bounded sample: rows in hashed order until the byte bound is reached.
-    bags, labels_seen, size = [], [], 0
-    found = texts.mapInPandas(run, "k string, y int, n int, x binary").orderBy(F.xxhash64("k"), "k", "x").limit(sample)
-    for row in found.toLocalIterator():
-        if bags and size + len(row["x"]) > 4 * sample_bytes:
-            break
-        size += len(row["x"])
-        bags.append(np.frombuffer(row["x"], "<f2").reshape(row["n"], FEATURES).astype(np.float32))
-        labels_seen.append(row["y"])
-    return fit(bags, np.array(labels_seen, float))
+    found, path = materialize(
+        texts.mapInPandas(run, "k string, y int, n int, x binary")
+        .select(F.monotonically_increasing_id().alias("row"), "*", F.xxhash64("x").alias("digest")), "quality-bags", with_path=True)
+    try:
+        # Sizes first; features then arrive in no order, at most as many as fit together.
+        taken = (found.select("row", "k", "y", "n", "digest").orderBy(F.xxhash64("k"), "k", "digest", "row").limit(sample)
+                 .select("row", "y", "n").collect())
+        cap = passage_cap(np.array([r["n"] for r in taken], np.int64), 4 * sample_bytes // (2 * FEATURES))
+        bags = {}
+        features = thin(F.col("k"), F.col("n"), F.col("x"), cap) if any(r["n"] > cap for r in taken) else F.col("x")
+        for row in found.where(F.col("row").isin([r["row"] for r in taken])).select("row", features.alias("x")).toLocalIterator():
+            bags[row["row"]] = np.frombuffer(row["x"], "<f2").reshape(-1, FEATURES).astype(np.float32)
+    finally:
+        drop_path(docs.sparkSession, path)
+    return fit([bags[r["row"]] for r in taken], np.array([r["y"] for r in taken], float))
 
 
 def score_all(docs: DataFrame, model: dict, text_col: str = "text", out: str = "score") -> DataFrame:

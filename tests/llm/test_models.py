@@ -137,6 +137,35 @@ def test_quality_separator_bytes(spark):
     assert all(0 <= r["score"] <= 1 for r in quality.score_all(df, model).collect())
 
 
+def test_passage_cap():
+    g = np.random.default_rng(5)
+    for _ in range(300):
+        n, room = g.integers(1, 60, g.integers(1, 20)), int(g.integers(1, 600))
+        cap = quality.passage_cap(n, room)
+        held = lambda c: np.minimum(n, c).sum()  # noqa: B023,E731
+        assert cap == n.max() if n.sum() <= room else cap == max([c for c in range(1, 61) if held(c) <= room], default=1)
+    assert quality.passage_cap(np.zeros(0, np.int64), 5) == 1
+
+
+def test_quality_training_bounds_bags_and_leaves_none_out(spark, monkeypatch):
+    """Texts beyond the byte bound: every document stays in the sample, the longest by some of its passages."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, y: seen.append((bags, y)))
+    g = random.Random(3)
+    long = " ".join("".join(g.choices("abcXYZ019.,!", k=g.randrange(1, 9))) for _ in range(100 * quality.PASSAGE_WORDS))
+    short = " ".join(f"v{i}" for i in range(2 * quality.PASSAGE_WORDS))
+    df = spark.createDataFrame([(i, long if i % 4 == 0 else short) for i in range(40)] + [(None, short)], "doc_id long, text string")
+    y = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    quality.train(df, y)
+    quality.train(df, y, sample_bytes=150 * 2 * quality.FEATURES // 4)
+    (whole, y0), (bound, y1) = seen
+    assert sorted(map(len, whole)) == [2] * 30 + [100] * 10 and y0.tolist() == y1.tolist() and y0.sum() == 20
+    assert sorted(map(len, bound)) == [2] * 30 + [9] * 10 and sum(map(len, bound)) == 150
+    for a, b in zip(whole, bound, strict=True):
+        at = [np.flatnonzero((a == r).all(axis=1))[0] for r in b]
+        assert at == sorted(set(at))
+
+
 def test_quality_empty(spark, empty, labels):
     model = quality.train(empty, labels)
     assert quality.score_all(empty, model).count() == 0
