@@ -3,8 +3,10 @@
 Unit vectors are turned by fast Hadamard pseudo-rotations (sign flips and a Hadamard
 transform, three times) and assigned to the nearest signed axis; a table's key is the
 pair of axes of two rotations.  A query probes, in each of `TABLES` tables, the
-`PROBES` keys whose axes lie nearest to it; what it finds is reranked by the exact
-Euclidean distance of the original vectors.
+`PROBES` keys whose axes lie nearest to it (up to 64 dimensions; beyond, more of both,
+see `effort`); what it finds is reranked by the exact Euclidean distance of the
+original vectors.  A query that finds fewer than `k` rows probes all keys of the block,
+and so do all queries of a block of no more rows than a table's probes.
 
 Every row is indexed.  Rows are dealt by a hash of the id into blocks of about
 `BLOCK_ROWS`, queries into chunks of about `CHUNK_ROWS`; each (block, chunk) is one
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 TABLES = 32
 PROBES = 200
 AXES = 32  # axes of each rotation that a query considers
+SIDES = 128  # signed axes for which these numbers are meant (64 dimensions)
 BLOCK_ROWS = 8_192
 CHUNK_ROWS = 2_048
 SEED = 17
@@ -61,35 +64,29 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def effort(sides: int) -> tuple[int, int, int]:
+    """Tables, probes and axes for so many signed axes: the same share of the keys is
+    probed in any dimension from 64 on, in more tables, as unrelated rows lie more alike."""
+    scale = max(1.0, sides / SIDES)
+    return round(TABLES * scale ** 0.5), round(PROBES * scale ** 2), min(round(AXES * scale), sides)
+
+
 def search_block(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarray, k: int,
-                 tables: int = TABLES, probes: int = PROBES) -> list[tuple[int, int, float]]:
-    """(query id, id, distance) of the `k` nearest found of each query among the rows of `x`."""
-    ux, uq, out = _unit(x), _unit(q), []
-    sides = 2 * ux.shape[1]
-    axes = min(AXES, sides)
-    hits = np.zeros((len(q), len(x)), bool)
-    for t in range(tables):
-        own = [rotations(ux, SEED + 2 * t + i).argmax(axis=1) for i in (0, 1)]
-        keys = own[0] * sides + own[1]
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        near = [rotations(uq, SEED + 2 * t + i) for i in (0, 1)]
-        top = [np.argpartition(-n, axes - 1, axis=1)[:, :axes] for n in near]
-        value = [np.take_along_axis(n, o, axis=1) for n, o in zip(near, top, strict=True)]
-        both = (value[0][:, :, None] + value[1][:, None, :]).reshape(len(q), -1)
-        best = np.argpartition(-both, min(probes, both.shape[1]) - 1, axis=1)[:, :probes]
-        probe = np.take_along_axis(top[0], best // axes, axis=1) * sides + np.take_along_axis(top[1], best % axes, axis=1)
-        lo, hi = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
-        n = (hi - lo).ravel()
-        ends = np.cumsum(n)
-        rows = np.repeat(np.arange(len(q)), (hi - lo).sum(axis=1))
-        hits[rows, order[np.repeat(lo.ravel() - (ends - n), n) + np.arange(len(rows))]] = True
+                 tables: int | None = None, probes: int | None = None) -> list[tuple[int, int, float]]:
+    """(query id, id, distance) of the `k` nearest found of each query among the rows of `x`:
+    `k` of them, or all but the query itself if there are fewer."""
+    out = []
+    hits = _hits(x, q, tables, probes)
+    other = q_ids[:, None] != ids
+    hits &= other
+    short = hits.sum(axis=1) < np.minimum(k, other.sum(axis=1))
+    hits[short] = other[short]
     # Products give all distances roughly; those that may be among the k nearest are
     # computed exactly from the original vectors.
     squares, q_squares = (x * x).sum(axis=1), (q * q).sum(axis=1)
     rough = squares + q_squares[:, None] - 2 * (q @ x.T)
     slack = 1e-9 * (squares.max() + q_squares)
-    rough[~hits | (q_ids[:, None] == ids)] = np.inf
+    rough[~hits] = np.inf
     cut = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(q), np.inf)
     for i in range(len(q)):
         found = np.flatnonzero((rough[i] <= cut[i] + slack[i]) & np.isfinite(rough[i]))
@@ -99,6 +96,38 @@ def search_block(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarra
     return out
 
 
+def _hits(x: np.ndarray, q: np.ndarray, tables: int | None, probes: int | None) -> np.ndarray:
+    """Which rows of `x` (columns) each query's probes find."""
+    sides = 2 << max(0, (x.shape[1] - 1).bit_length())
+    derived_tables, derived_probes, axes = effort(sides)
+    tables = derived_tables if tables is None else tables
+    probes = derived_probes if probes is None else probes
+    if probes >= len(x):
+        return np.ones((len(q), len(x)), bool)
+    ux, uq = _unit(x), _unit(q)
+    hits = np.zeros((len(q), len(x)), bool)
+    step = max(1, 512 * AXES * AXES // (axes * axes))
+    for t in range(tables):
+        own = [rotations(ux, SEED + 2 * t + i).argmax(axis=1) for i in (0, 1)]
+        keys = own[0] * sides + own[1]
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        near = [rotations(uq, SEED + 2 * t + i) for i in (0, 1)]
+        for at in range(0, len(q), step):
+            part = [n[at:at + step] for n in near]
+            top = [np.argpartition(-n, axes - 1, axis=1)[:, :axes] for n in part]
+            value = [np.take_along_axis(n, o, axis=1) for n, o in zip(part, top, strict=True)]
+            both = (value[0][:, :, None] + value[1][:, None, :]).reshape(len(part[0]), -1)
+            best = np.argpartition(-both, min(probes, both.shape[1]) - 1, axis=1)[:, :probes]
+            probe = np.take_along_axis(top[0], best // axes, axis=1) * sides + np.take_along_axis(top[1], best % axes, axis=1)
+            lo, hi = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
+            n = (hi - lo).ravel()
+            ends = np.cumsum(n)
+            rows = np.repeat(np.arange(at, at + len(part[0])), (hi - lo).sum(axis=1))
+            hits[rows, order[np.repeat(lo.ravel() - (ends - n), n) + np.arange(len(rows))]] = True
+    return hits
+
+
 def usable(vector: str) -> Column:
     """Not null, not empty, not all zero, every component there and finite."""
     bad = F.exists(F.col(vector), lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -106,14 +135,16 @@ def usable(vector: str) -> Column:
 
 
 def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10,
-           tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+           tables: int | None = None, probes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` nearest found of each row for which `queries`
     (a condition on `vectors`) holds, among all other rows, nearest first, ties to the smaller id.
 
     Vectors that are null, empty, all zero, or hold a null or non-finite component take
     no part, nor do rows with a null id.  Of rows with the same id the smallest vector
-    counts.  Vectors of different lengths are never neighbours.  Fewer rows than `k`
-    give shorter lists; empty tables give an empty result.  Other columns are not read.
+    counts.  Vectors of different lengths are never neighbours.  Only fewer other rows of
+    a length than `k` give shorter lists, which then hold them all; empty tables give an
+    empty result.  Other columns are not read.  `tables` and `probes` follow from the
+    dimension unless given.
     """
     rows = (vectors.where(usable(vector_col) & F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), queries.alias("q"))

@@ -214,6 +214,38 @@ def test_search_odd_vectors(spark):
     assert {v for v, _ in got[100]} <= {0, 1, 2, 10}
 
 
+@pytest.mark.parametrize("n", [2, 7, 20, 30])
+def test_search_small_tables_give_all_due(spark, n):
+    """As many rows as are due, the nearest ones, also in tables and groups of few rows."""
+    g = np.random.default_rng(n)
+    x = g.normal(size=(n, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(100 + i, [1.0, float(i)]) for i in range(4)],
+                               "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, F.lit(True)).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert all(got[q] == [v for v, _ in brute(np.arange(n), x, q, 10)] for q in range(n))
+    assert all(sorted([q, *got[q]]) == [100, 101, 102, 103] for q in range(100, 104))
+
+
+def test_search_probes_on_until_lists_are_full():
+    """One probe in one table finds less than is due: the rest of the block is looked at."""
+    x = np.random.default_rng(3).normal(size=(500, 64))
+    got = ann.search_block(np.arange(500), x, np.arange(20), x[:20], 10, tables=1, probes=1)
+    assert [sum(q == i for q, _, _ in got) for i in range(20)] == [10] * 20
+    assert all(q != v for q, v, _ in got)
+
+
+@pytest.mark.parametrize("dim", [100, 256])
+def test_search_recall_in_other_dimensions(dim):
+    x = np.random.default_rng(4).normal(size=(4_000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(len(x))
+    got = {(q, v) for q, v, _ in ann.search_block(ids, x, ids[:40], x[:40], 10)}
+    assert sum((q, v) in got for q in range(40) for v, _ in brute(ids, x, q, 10)) / 400 >= 0.95
+    assert ann.effort(128) == (32, 200, 32)
+
+
 def test_search_blocks_chunks_and_copies(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 40)
     monkeypatch.setattr(ann, "CHUNK_ROWS", 3)
