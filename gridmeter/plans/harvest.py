@@ -27,8 +27,8 @@ def dataset_tally(datasets: DataFrame, rows: DataFrame, jobs: DataFrame) -> Data
 
 
 def of_datasets(raw: DataFrame, ids: DataFrame, literal: list[str] | None) -> DataFrame:
-    """The landed records of the datasets in `ids`, filtered on the landed partition
-    column before any document is parsed."""
+    """The rows of the datasets in `ids`; landed records are filtered on the landed
+    partition column before any document is parsed."""
     if literal is not None:
         return raw.where(F.col("dataset_id").isin(literal))
     return raw.join(ids, "dataset_id", "left_semi")
@@ -72,7 +72,8 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None, used_
         few = work.select("dataset_id").limit(MAX_LITERAL_IDS + 1).collect()
         literal = [r["dataset_id"] for r in few] if len(few) <= MAX_LITERAL_IDS else None
         ids = work.select("dataset_id")
-        tasks = landed.scan_tasks(of_datasets(raw["tasks"], ids, literal))
+        # A task document's own dataset counts, not its record's: filtered once parsed.
+        tasks = landed.scan_tasks(raw["tasks"], of=lambda t: of_datasets(t, ids, literal))
         jobs = landed.scan_jobs(of_datasets(raw["jobs"], ids, literal))
         reports = landed.scan_reports(of_datasets(raw["reports"], ids, literal))
         # One materialised table of per-task rows feeds both the usage output

@@ -82,17 +82,19 @@ def scan_datasets(raw: DataFrame) -> DataFrame:
         "dataset_id")
 
 
-def scan_tasks(raw: DataFrame, status: str | None = COMPLETE_STATUS) -> DataFrame:
+def scan_tasks(raw: DataFrame, status: str | None = COMPLETE_STATUS, of=None) -> DataFrame:
     """Task listing -> one row per task; the status filter applies to the
-    newest document of each task."""
+    newest document of each task.  The document's dataset counts, the record's only
+    where it has none; `of` (rows to rows) selects datasets by it before the shuffle."""
     e = _explode(raw, TASK_DOC, "dataset_id")
-    t = newest(e.select(
+    t = e.select(
         F.coalesce(F.col("v.dataset_id"), F.col("dataset_id")).alias("dataset_id"),
         F.col("v.job_id").alias("job_id"),
         F.coalesce(F.col("v.task_id"), F.col("key")).alias("task_id"),
         F.col("v.task_index").alias("task_index"),
         F.col("v.requirements").alias("requirements"),
-        F.col("v.status").alias("status"), *_order(e)), "dataset_id", "task_id")
+        F.col("v.status").alias("status"), *_order(e))
+    t = newest(of(t) if of else t, "dataset_id", "task_id")
     return t.where(F.col("status") == status) if status else t
 
 

@@ -199,6 +199,24 @@ def test_relanded_records_count_once(spark, scratch):
     assert spark.read.parquet(f"{out}/usage").count() == 0
 
 
+@pytest.mark.parametrize("literals", [1_000, 0])
+def test_task_documents_name_their_dataset(spark, scratch, monkeypatch, literals):
+    """Task records whose own dataset id is null or another: the document's counts, as in usage_from_reports."""
+    from gridmeter.plans import harvest as plan
+    monkeypatch.setattr(plan, "MAX_LITERAL_IDS", literals)
+    base, out = f"{scratch}/landing", f"{scratch}/out"
+    _land(spark, base, "datasets", [{"doc": '{"d": {"dataset": 1, "dataset_id": "d"}, "e": {"dataset": 2, "dataset_id": "e"}}'}])
+    task = '{"%s": {%s"job_id": "j", "task_id": "%s", "task_index": 0, "requirements": {}, "status": "complete"}}'
+    _land(spark, base, "tasks", [{"dataset_id": o, "doc": task % (t, f'"dataset_id": "{i}", ' if i else "", t)} for o, i, t in (
+        (None, "d", "t1"), ("e", "d", "t2"), ("gone", "d", "t3"), ("d", None, "t4"), ("d", "e", "t5"), (None, None, "t6"))])
+    _land(spark, base, "jobs", [{"dataset_id": d, "doc": '{"j": {"job_index": 4}}'} for d in "de"])
+    _land(spark, base, "reports", [{"dataset_id": "d", "task_id": "t1", "doc": _report(1.0)}])
+    got = harvest(spark, base, out, include=[1]).collect()
+    assert [(r["dataset"], r["n_tasks"], r["n_rows"]) for r in got] == [(1, 4, 4)]
+    got = harvest(spark, base, out).collect()
+    assert [(r["dataset"], r["n_tasks"], r["n_rows"]) for r in got] == [(2, 1, 1)]
+
+
 def test_unreadable_records_are_listed_and_strict_raises(spark, scratch):
     base = f"{scratch}/landing"
     os.makedirs(f"{base}/tasks")
