@@ -45,7 +45,8 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None, used_
     `<out>/_ledger`; the ledger, not the usage directory, decides what is done,
     so a dataset with no rows counts as harvested.  A re-harvest replaces a
     dataset's rows, also by none.  `strict` raises on records that cannot be
-    read.  Returns the ledger rows of this run.
+    read.  Returns the ledger rows of this run, a table in the shared checkpoint folder
+    that stays there (the other scratch tables are emptied).
     """
     from gridmeter.plans.usage_reports import finish_usage, task_rows
     from gridmeter.session import drop_path, materialize
@@ -81,17 +82,15 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None, used_
         rows, path = materialize(task_rows(work, jobs, tasks, reports, strict=strict), "harvest-rows",
                                  with_path=True)
         scratch.append(path)
-        tally, path = materialize(dataset_tally(work, rows, jobs), "harvest-tally", with_path=True)
-        scratch.append(path)
+        # Kept: it is the result, and later harvests do not touch it as they do the ledger.
+        tally = materialize(dataset_tally(work, rows, jobs), "harvest-tally")
         usage = finish_usage(rows, req_keys=req_keys, used_keys=used_keys)
         sinks.write_usage(usage, f"{out}/usage")
         emptied = (tally.where("n_rows = 0").select("dataset")
                    .join(ledger.where("n_rows > 0"), "dataset", "left_semi"))
         sinks.clear_datasets(usage, emptied, f"{out}/usage")
         sinks.write_ledger(tally, f"{out}/_ledger")
-        return spark.createDataFrame(
-            sinks.read_ledger(spark, f"{out}/_ledger").join(work.select("dataset"), "dataset", "left_semi").collect(),
-            sinks.LEDGER_SCHEMA)      # one row per harvested dataset
+        return tally.select(*[F.col(f.name).cast(f.dataType) for f in sinks.LEDGER_SCHEMA.fields])
     finally:
         for path in scratch:
             drop_path(spark, path)

@@ -217,6 +217,23 @@ def test_task_documents_name_their_dataset(spark, scratch, monkeypatch, literals
     assert [(r["dataset"], r["n_tasks"], r["n_rows"]) for r in got] == [(2, 1, 1)]
 
 
+def test_ledger_rows_stay_a_table(spark, scratch):
+    """The result is read from a written table, not from rows of the driver, also after further harvests."""
+    base, out = f"{scratch}/landing", f"{scratch}/out"
+    _land(spark, base, "datasets", [{"doc": '{"d": {"dataset": 1, "dataset_id": "d"}}'}])
+    _land(spark, base, "tasks", [{"dataset_id": "d", "doc": _task()}])
+    _land(spark, base, "jobs", [{"dataset_id": "d", "doc": '{"j": {"job_index": 4}}'}])
+    _land(spark, base, "reports", [{"dataset_id": "d", "task_id": "t1", "doc": _report(1.0)}])
+    first = harvest(spark, base, out)
+    assert first.inputFiles()
+    _land(spark, base, "tasks", [{"dataset_id": "d", "doc": _task(status="queued")}])
+    second = harvest(spark, base, out, include=[1])
+    assert [tuple(r) for r in first.collect()] == [(1, 1, 1, 1)]
+    assert [tuple(r) for r in second.collect()] == [(1, 0, 1, 0)] == [
+        tuple(r) for r in spark.read.parquet(f"{out}/_ledger").select(second.columns).collect()]
+    assert second.schema == first.schema and [f.dataType.typeName() for f in second.schema] == ["long"] * 4
+
+
 def test_unreadable_records_are_listed_and_strict_raises(spark, scratch):
     base = f"{scratch}/landing"
     os.makedirs(f"{base}/tasks")
