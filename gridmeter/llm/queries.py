@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmeter.llm import ann, bpe, exact_dedup, langid, mixing, quality, simhash, token_counts, token_files, url_filter
-from gridmeter.llm.common import crc_fold, read_table
+from gridmeter.llm import (
+    ann, bpe, exact_dedup, langid, merkle, mixing, quality, simhash, token_counts, token_files, url_filter,
+)
+from gridmeter.llm.common import LOWER, UPPER, ascii_lower, crc_fold, read_table
 from gridmeter.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,7 +138,87 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the manifest, and whether it stands after a fifth of the texts was changed."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.when(crc_fold("doc_id", 5) == 0, merkle.leaf([ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in columns]))
+    folded = merkle.text_of(merkle.folded(F.col("path"), F.coalesce("changed", "leaf")))
+    root = merkle.text_of(F.col("root"))
+    return merkle.manifest(docs, [F.col(c) for c in columns], tampered, columns=[
+        F.col("doc_id"), merkle.text_of(F.col("leaf")).alias("leaf"), merkle.text_of(F.col("subroot")).alias("subroot"),
+        root.alias("root"), F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root")]).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql(levels: int = 8, arity: int = 16) -> str:
+    """Levels written out (enough for arity ** levels documents of a source); every node's path is its own siblings
+    and its parent's path."""
+    field = lambda v: f"coalesce(strlen({v})::VARCHAR || ':' || {v}, '-')"
+    row = lambda text: " || ".join(field(v) for v in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text))
+    steps = "list_reduce(range(8), lambda a, i: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END), xor(c, ascii(d)))"
+    parts = [f"""
+d AS (
+  SELECT *, coalesce('=' || source, '') AS tree, sha256({row('text')}) AS leaf,
+         sha256({row(f"translate(text, '{UPPER}', '{LOWER}')")}) AS changed,
+         xor(list_reduce(string_split(doc_id::VARCHAR, ''), lambda c, d: {steps}, 4294967295::BIGINT), 4294967295) % 5 = 0 AS tampered
+  FROM documents),
+a0 AS (SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS idx, leaf AS h FROM d)"""]
+
+    def climb(name: str) -> list[str]:
+        out = []
+        for k in range(levels):
+            out.append(f"""
+{name}{k + 1} AS (
+  SELECT tree, idx // {arity} AS idx, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY idx)) END AS h
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}{k}) GROUP BY ALL)""")
+        return out
+
+    def paths(name: str) -> list[str]:
+        out = []
+        for k in range(levels):
+            out.append(f"""
+{name}s{k} AS (
+  SELECT tree, idx, n,
+         coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}{k})
+  WINDOW r AS (PARTITION BY tree, idx // {arity} ORDER BY idx))""")
+        return out
+
+    def path_of(name: str, idx: str, tree: str) -> tuple[str, str]:
+        joins = " ".join(f"JOIN {name}s{k} AS {name}j{k} ON {name}j{k}.tree = {tree} AND {name}j{k}.idx = {idx} // {arity ** k}"
+                         for k in range(levels))
+        steps = ", ".join(f"CASE WHEN {name}j{k}.n > 1 THEN {{'l': {name}j{k}.l, 'r': {name}j{k}.r}} END" for k in range(levels))
+        return joins, steps
+
+    parts += climb("a")
+    parts.append(f"""
+b0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS idx, h, tree AS grp FROM a{levels}),
+b0h AS (SELECT * FROM b0)""")
+    parts += [c.replace("FROM b0)", "FROM (SELECT tree, idx, h FROM b0))") for c in climb("b")] + paths("a") + paths("b")
+    low, low_steps = path_of("a", "p.idx", "p.tree")
+    high, high_steps = path_of("b", "g.idx", "''")
+    return "WITH " + ",".join(parts) + f""",
+p AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS idx FROM d),
+w AS (
+  SELECT doc_id, leaf, g.h AS subroot, t.h AS root,
+         CASE WHEN tampered THEN changed ELSE leaf END AS now,
+         list_filter([{low_steps}, {high_steps}], lambda x: x IS NOT NULL) AS path
+  FROM p JOIN b0h AS g ON g.grp = p.tree JOIN b{levels} AS t ON true {low} {high})
+SELECT doc_id, leaf, subroot, root,
+       sha256(list_aggregate(list_transform(path, lambda x: x.l || x.r), 'string_agg', '')) AS proof_sha256,
+       list_reduce(list_transform(path, lambda x: x), lambda a, x: {{'l': sha256(x.l || a.l || x.r), 'r': ''}},
+                   {{'l': now, 'r': ''}}).l AS folded_root,
+       folded_root = root AS verified
+FROM w
+"""
+
+
+OP12_SQL = _merkle_sql()
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_files, op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op6_nearest, op7_url_filter, op8_bpe,
-    op9_token_counts, op10_simhash)}
-ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_filter": OP7_SQL}
+    op9_token_counts, op10_simhash, op12_merkle)}
+ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_filter": OP7_SQL, "op12_merkle": OP12_SQL}
