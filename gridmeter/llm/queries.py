@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmeter.llm import (
-    ann, bpe, exact_dedup, langid, merkle, mixing, quality, simhash, token_counts, token_files, url_filter,
+    ann, bpe, exact_dedup, langid, merkle, mixing, quality, simhash, spelling, token_counts, token_files,
+    url_filter,
 )
 from gridmeter.llm.common import LOWER, UPPER, ascii_lower, crc_fold, read_table
 from gridmeter.session import scratch_path
@@ -218,7 +219,13 @@ FROM w
 OP12_SQL = _merkle_sql()
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word's more frequent spelling one edit away, after one run in 97 lost a letter."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(docs, least_length=5, least_n=3, times=2, drop=97)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_files, op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op6_nearest, op7_url_filter, op8_bpe,
-    op9_token_counts, op10_simhash, op12_merkle)}
+    op9_token_counts, op10_simhash, op12_merkle, op13_spelling)}
 ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_filter": OP7_SQL, "op12_merkle": OP12_SQL}
