@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmeter.llm import (
-    ann, bpe, exact_dedup, langid, merkle, mixing, quality, simhash, spelling, token_counts, token_files,
+    ann, bpe, exact_dedup, extraction, langid, merkle, mixing, quality, simhash, spelling, token_counts, token_files,
     url_filter,
 )
 from gridmeter.llm.common import LOWER, UPPER, ascii_lower, crc_fold, read_table
@@ -139,6 +139,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract(pages, extraction.train()).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof in the manifest, and whether it stands after a fifth of the texts was changed."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -227,5 +234,5 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_files, op2_mixing, op3_exact_dedup, op4_language_id, op5_quality, op6_nearest, op7_url_filter, op8_bpe,
-    op9_token_counts, op10_simhash, op12_merkle, op13_spelling)}
+    op9_token_counts, op10_simhash, op11_extraction, op12_merkle, op13_spelling)}
 ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op7_url_filter": OP7_SQL, "op12_merkle": OP12_SQL}
