@@ -289,6 +289,42 @@ def q_harvest_refresh(spark, sf_dir):
     return usage.withColumn("dataset", F.col("dataset").cast("bigint"))
 
 
+@query("harvest_key_types", _doc_sql(_USAGE_SELECT.replace(
+    "WHEN rt.req_kind = 2 THEN 'long' END AS queue_req",
+    "WHEN rt.req_kind = 2 THEN CASE WHEN rt.dataset < 20012 THEN '7' ELSE 'long' END END AS queue_req")))
+def q_harvest_key_types(spark, sf_dir):
+    """The datasets below 20012 land with a queue that is always a number and are
+    harvested; the others land with one that is text for some tasks.  The key becomes text,
+    the first datasets' files are written again, and the table reads as one."""
+    from gridmeter.plans.harvest import harvest
+    from gridmeter.sources.sinks import read_usage
+    docs_, base = landed_documents(spark, sf_dir), _fresh(spark, "key-types")
+    early = {k: df.where(F.col("dataset_id").cast("int") < 12) for k, df in docs_.items() if k in ("tasks", "jobs", "reports")}
+    late = {k: df.where(F.col("dataset_id").cast("int") >= 12) for k, df in docs_.items() if k in ("tasks", "jobs", "reports")}
+    number = F.expr("CAST(map_keys(from_json(doc, 'MAP<STRING, STRING>'))[0] AS INT)")
+    early["datasets"], late["datasets"] = (docs_["datasets"].where(c) for c in (number < 12, number >= 12))
+    early["tasks"] = early["tasks"].withColumn("doc", F.replace("doc", F.lit('"queue":"long"'), F.lit('"queue":7')))
+    for part in (early, late):
+        _land(part, f"{base}/landing", kinds=tuple(part))
+        harvest(spark, f"{base}/landing", f"{base}/out")
+    return read_usage(spark, f"{base}/out")
+
+
+@query("harvest_one_dataset", _doc_sql(_USAGE_SELECT))
+def q_harvest_one_dataset(spark, sf_dir):
+    """Listings land in a folder per dataset and are harvested; three datasets are
+    then harvested again, by the file index from their own files alone."""
+    from gridmeter.plans.harvest import harvest
+    from gridmeter.sources.sinks import read_usage
+    docs_, base = landed_documents(spark, sf_dir), _fresh(spark, "one")
+    for kind in ("tasks", "jobs", "reports"):
+        docs_[kind].repartition("dataset_id").write.partitionBy("dataset_id").json(f"{base}/landing/{kind}")
+    docs_["datasets"].write.json(f"{base}/landing/datasets")
+    harvest(spark, f"{base}/landing", f"{base}/out")
+    harvest(spark, f"{base}/landing", f"{base}/out", include=[20003, 20004, 20011])
+    return read_usage(spark, f"{base}/out")
+
+
 @query("harvest_resume", _doc_sql("""
 SELECT d.dataset, coalesce(t.n, 0) AS n_tasks, coalesce(j.n, 0) AS n_jobs, coalesce(t.n, 0) AS n_rows
 FROM (SELECT CAST(20000 + n_nationkey AS BIGINT) AS dataset, CAST(n_nationkey AS VARCHAR) AS dataset_id

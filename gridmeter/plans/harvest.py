@@ -34,63 +34,128 @@ def of_datasets(raw: DataFrame, ids: DataFrame, literal: list[str] | None) -> Da
     return raw.join(ids, "dataset_id", "left_semi")
 
 
+def _wanted(spark, include, done: DataFrame, rows: DataFrame) -> DataFrame:
+    """Of `rows` (dataset, dataset_id, ...) those that a harvest is to do: the datasets in
+    `include` (numbers, or a DataFrame of ids), without it those not in the ledger."""
+    key = F.col("dataset").cast("string")
+    if include is None:
+        return rows.join(done.select(F.col("dataset").cast("string").alias("_done")), key == F.col("_done"), "left_anti")
+    if isinstance(include, DataFrame):
+        return rows.join(include.select("dataset_id").distinct(), "dataset_id", "left_semi")
+    return rows.where(key.isin([str(v) for v in include]))
+
+
+def listed_datasets(spark, landing: str, index: DataFrame | None, include, done: DataFrame, strict: bool = False) -> DataFrame:
+    """(dataset, dataset_id) of the work list, from the dataset listings that name them
+    (without an index: from all listings)."""
+    from gridmeter.sources import file_index, landed
+    if index is None:
+        raw = landed.read_landed(spark, landing, "datasets")
+    else:
+        # All listings of an id that any listing gives a wanted number: the newest decides.
+        ids = _wanted(spark, include, done, index.where("kind = 'datasets'"))
+        raw = file_index.named(spark, landing, "datasets", file_index.files_of(index, "datasets", ids, strict))
+    raw = landed.checked(raw, "datasets") if strict else raw
+    return _wanted(spark, include, done, landed.scan_datasets(raw)).select("dataset", "dataset_id")
+
+
+def landed_inputs(spark, landing: str, index: DataFrame | None, ids: DataFrame, literal: list[str] | None,
+                  strict: bool = False) -> dict[str, DataFrame]:
+    """The scanned `tasks`, `jobs` and `reports` of the datasets in `ids`.
+
+    With an index only the files that hold them are opened, and in these other datasets'
+    records are dropped before their documents are parsed; task documents that name
+    another dataset than their record are in files of their own scan, which parses
+    first.  Without an index everything is opened.
+    """
+    from gridmeter.sources import file_index, landed
+
+    def read(kind: str, files: DataFrame | None = None) -> DataFrame:
+        raw = landed.read_landed(spark, landing, kind) if files is None else file_index.named(spark, landing, kind, files)
+        return landed.checked(raw, kind) if strict else raw
+
+    def of(rows: DataFrame) -> DataFrame:
+        return of_datasets(rows, ids, literal)
+
+    if index is None:
+        tasks = landed.scan_tasks(read("tasks"), of=of)
+        return {"tasks": tasks, "jobs": landed.scan_jobs(of(read("jobs"))), "reports": landed.scan_reports(of(read("reports")))}
+    files = {k: file_index.files_of(index, k, ids, strict) for k in ("tasks", "jobs", "reports")}
+    own = read("tasks", files["tasks"].where("NOT foreign"))
+    both = of(own).unionByName(read("tasks", files["tasks"].where("foreign")))
+    return {"tasks": landed.scan_tasks(both, of=of), "jobs": landed.scan_jobs(of(read("jobs", files["jobs"]))),
+            "reports": landed.scan_reports(of(read("reports", files["reports"])))}
+
+
 def harvest(spark, landing: str, out: str, include=None, *, req_keys=None, used_keys=None,
             strict: bool = False) -> DataFrame:
     """Harvest landed documents of the datasets not yet in the ledger.
 
     `include` (dataset numbers, or a DataFrame with a `dataset_id` column)
     selects exactly those datasets, re-harvesting them even when already
-    present.  Of documents that landed again the newest counts.  Usage goes to
-    `<out>/usage` (partition per dataset), the per-dataset tally to
-    `<out>/_ledger`; the ledger, not the usage directory, decides what is done,
-    so a dataset with no rows counts as harvested.  A re-harvest replaces a
-    dataset's rows, also by none.  `strict` raises on records that cannot be
-    read.  Returns the ledger rows of this run, a table in the shared checkpoint folder
-    that stays there (the other scratch tables are emptied).
+    present.  Of documents that landed again the newest counts.  The ledger, not the
+    usage directory, decides what is done, so a dataset with no rows counts as
+    harvested.  A re-harvest replaces a dataset's rows, also by none.  `strict` raises on
+    records that cannot be read.  One harvest of an `out` runs at a time.
+
+    Under `out`: `usage` (partition per dataset; read it with `sinks.read_usage`), `_rows`
+    (the per-task rows behind it, open maps whole, so that its columns never change
+    type), `_keys` (names and types of the keys that became columns), `_files` (which
+    landed file holds which datasets), `_ledger` (a row per dataset) and `_runs` (a row
+    per dataset and run).  A key that gets its first text value becomes a text column;
+    the datasets written before with it as a number are written again from `_rows`.
+
+    Returns the ledger rows of this run, as they stand in `_runs`.
     """
+    from gridmeter.operators.pivot import discover_keys_of
     from gridmeter.plans.usage_reports import finish_usage, task_rows
     from gridmeter.session import drop_path, materialize
-    from gridmeter.sources import landed, sinks
+    from gridmeter.sources import file_index, sinks
 
-    raw = {k: landed.read_landed(spark, landing, k)
-           for k in ("datasets", "tasks", "jobs", "reports")}
-    if strict:
-        raw = {k: landed.checked(df, k) for k, df in raw.items()}
-    datasets = landed.scan_datasets(raw["datasets"])
-    key = F.col("dataset").cast("string")
+    run = sinks.next_run(spark, f"{out}/_runs")
     ledger = sinks.read_ledger(spark, f"{out}/_ledger")
-    if include is None:
-        done = ledger.select(F.col("dataset").cast("string").alias("_done"))
-        work = datasets.join(done, key == F.col("_done"), "left_anti")
-    elif isinstance(include, DataFrame):
-        work = datasets.join(include.select("dataset_id").distinct(), "dataset_id", "left_semi")
-    else:
-        work = datasets.where(key.isin([str(v) for v in include]))
+    # The first harvest of everything needs every file anyway.
+    index = None if include is None and run == 1 else file_index.refresh(spark, landing, f"{out}/_files")
     scratch = []
-    try:
-        work, path = materialize(work.select("dataset", "dataset_id"), "harvest-work", with_path=True)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        table, path = materialize(df, f"harvest-{name}", with_path=True)
         scratch.append(path)
+        return table
+
+    try:
+        work = keep(listed_datasets(spark, landing, index, include, ledger, strict), "work")
         few = work.select("dataset_id").limit(MAX_LITERAL_IDS + 1).collect()
         literal = [r["dataset_id"] for r in few] if len(few) <= MAX_LITERAL_IDS else None
-        ids = work.select("dataset_id")
-        # A task document's own dataset counts, not its record's: filtered once parsed.
-        tasks = landed.scan_tasks(raw["tasks"], of=lambda t: of_datasets(t, ids, literal))
-        jobs = landed.scan_jobs(of_datasets(raw["jobs"], ids, literal))
-        reports = landed.scan_reports(of_datasets(raw["reports"], ids, literal))
-        # One materialised table of per-task rows feeds both the usage output
-        # and the tally: listings and documents are parsed once.
-        rows, path = materialize(task_rows(work, jobs, tasks, reports, strict=strict), "harvest-rows",
-                                 with_path=True)
-        scratch.append(path)
-        # Kept: it is the result, and later harvests do not touch it as they do the ledger.
-        tally = materialize(dataset_tally(work, rows, jobs), "harvest-tally")
-        usage = finish_usage(rows, req_keys=req_keys, used_keys=used_keys)
+        found = landed_inputs(spark, landing, index, work.select("dataset_id"), literal, strict)
+        # One table of per-task rows feeds the usage output, the keys and the tally:
+        # listings and documents are parsed once.
+        rows = keep(task_rows(work, found["jobs"], found["tasks"], found["reports"], strict=strict), "rows")
+        registry = sinks.KeyRegistry(spark, f"{out}/_keys")
+        maps = discover_keys_of({c: rows.where("has_job").select(c) for c in ("requirements", "used")})
+        given = {"requirements": req_keys, "used": used_keys}
+        maps = {c: keys if given[c] is None else {k: (given[c][k] if isinstance(given[c], dict) else keys.get(k, "double"))
+                                                  for k in given[c]} for c, keys in maps.items()}
+        maps = registry.merge(maps, run)
+        old = registry.stale(ledger.join(work, "dataset", "left_anti"))
+        tally = keep(dataset_tally(work, rows, found["jobs"]).select("*", F.lit(False).alias("old"))
+                     .unionByName(old.drop("run").select("*", F.lit(True).alias("old")))
+                     .withColumn("run", F.lit(run).cast("bigint")), "tally")
+        sinks.write_partitioned(rows.hint("rebalance", "dataset"), f"{out}/_rows")
+        usage = finish_usage(rows, req_keys=maps["requirements"], used_keys=maps["used"])
+        again = tally.where("old AND n_rows > 0").select("dataset")
+        if not again.isEmpty():
+            # All registered keys, as the datasets written before may have any of them.
+            before = sinks.read_table(spark, f"{out}/_rows", rows.schema).join(again, "dataset", "left_semi")
+            kinds = {c: {k: v for k, v in registry.kinds.get(c, {}).items()} for c in ("requirements", "used")}
+            sinks.write_usage(finish_usage(before, req_keys=kinds["requirements"], used_keys=kinds["used"]), f"{out}/usage")
         sinks.write_usage(usage, f"{out}/usage")
-        emptied = (tally.where("n_rows = 0").select("dataset")
+        emptied = (tally.where("n_rows = 0 AND NOT old").select("dataset")
                    .join(ledger.where("n_rows > 0"), "dataset", "left_semi"))
-        sinks.clear_datasets(usage, emptied, f"{out}/usage")
+        sinks.clear_datasets(emptied, {f"{out}/usage": usage, f"{out}/_rows": rows})
+        done = sinks.log_run(tally.where("NOT old"), f"{out}/_runs", run)
         sinks.write_ledger(tally, f"{out}/_ledger")
-        return tally.select(*[F.col(f.name).cast(f.dataType) for f in sinks.LEDGER_SCHEMA.fields])
+        return done
     finally:
         for path in scratch:
             drop_path(spark, path)

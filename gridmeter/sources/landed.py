@@ -25,30 +25,45 @@ _ORDER = ("CAST(coalesce(landed_at, unix_micros(_metadata.file_modification_time
           "* 18446744073709551616 + CAST(xxhash64(_metadata.file_path, doc) AS DECIMAL(20,0))")
 
 
-def read_landed(spark: SparkSession, landing: str, kind: str) -> DataFrame:
+def read_landed(spark: SparkSession, landing: str, kind: str, files: list[str] | None = None) -> DataFrame:
     """Raw landed records of one kind: `<landing>/<kind>/*.jsonl`, with their
     landing order `landed`.  A line that is not JSON keeps its text in
-    `_corrupt` and has no other value (see `corrupt_records`)."""
-    raw = (spark.read.schema(f"{LANDED[kind]}, {CORRUPT} STRING")
-           .option("columnNameOfCorruptRecord", CORRUPT).json(f"{landing}/{kind}"))
+    `_corrupt` and has no other value (see `corrupt_records`).  With `files` only
+    these are opened (none: no records)."""
+    schema = f"{LANDED[kind]}, {CORRUPT} STRING"
+    if files == []:
+        return spark.createDataFrame([], f"{schema}, landed DECIMAL(38,0)").drop("landed_at")
+    # Folders such as dataset_id=... below the kind's give columns, also of named files.
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("basePath", f"{landing}/{kind}")
+    raw = reader.json(files or f"{landing}/{kind}")
     return raw.withColumn("landed", F.expr(_ORDER)).drop("landed_at")
 
 
+def _foreign(raw: DataFrame, kind: str):
+    """True for a task record that names another dataset than one of its documents does."""
+    if kind != "tasks":
+        return F.lit(False)
+    ids = F.map_values(F.from_json("doc", "MAP<STRING, STRUCT<dataset_id: STRING>>"))
+    return F.coalesce(F.exists(ids, lambda v: v["dataset_id"] != F.col("dataset_id")), F.lit(False))
+
+
 def corrupt_records(raw: DataFrame, kind: str) -> DataFrame:
-    """(kind, reason, text): landed lines and listing documents that cannot be read."""
+    """(kind, reason, text): landed lines and listing documents that cannot be read, and task
+    records that name another dataset than their document (which counts for its own)."""
     doc = {"datasets": DATASET_DOC, "tasks": TASK_DOC, "jobs": JOB_DOC}.get(kind)
     line = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
     bad = F.col("doc").isNotNull() & F.json_object_keys("doc").isNull() if doc else F.lit(False)
     text = F.coalesce(F.col(CORRUPT), F.col("doc")) if CORRUPT in raw.columns else F.col("doc")
     return raw.select(F.lit(kind).alias("kind"),
-                      F.when(line, "corrupt_line").when(bad, "corrupt_document").alias("reason"),
+                      F.when(line, "corrupt_line").when(bad, "corrupt_document")
+                      .when(_foreign(raw, kind), "other_dataset").alias("reason"),
                       text.alias("text")).where(F.col("reason").isNotNull())
 
 
 def checked(raw: DataFrame, kind: str) -> DataFrame:
     """`raw`, raising at run time on a record that cannot be read (strict mode)."""
     line = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
-    bad = line | (F.col("doc").isNotNull() & F.json_object_keys("doc").isNull())
+    bad = line | (F.col("doc").isNotNull() & F.json_object_keys("doc").isNull()) | _foreign(raw, kind)
     out = raw.withColumn("_chk", F.when(bad, F.raise_error(F.lit(f"unreadable record in {kind}"))))
     return out.where(F.col("_chk").isNull()).drop("_chk")
 

@@ -255,3 +255,123 @@ def test_work_list_prunes_landed_partitions(spark, landing, scratch):
         plan = one._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(dataset_id" in plan or "PartitionFilters: [(dataset_id" in plan, plan
         assert one.count() == raw.where("dataset_id = '3'").count() > 0
+
+
+def _one_dataset(spark, base, dataset, requirements):
+    """A dataset with one completed task of the given requirements lands."""
+    d = f"d{dataset}"
+    _land(spark, base, "datasets", [{"doc": '{"%s": {"dataset": %d, "dataset_id": "%s"}}' % (d, dataset, d)}])
+    _land(spark, base, "tasks", [{"dataset_id": d, "doc": '{"t%d": {"dataset_id": "%s", "job_id": "j", "task_id": "t%d", "task_index": 0, '
+                                  '"requirements": %s, "status": "complete"}}' % (dataset, d, dataset, requirements)}])
+    _land(spark, base, "jobs", [{"dataset_id": d, "doc": '{"j": {"job_index": 4}}'}])
+    _land(spark, base, "reports", [{"dataset_id": d, "task_id": f"t{dataset}", "doc": _report(1.0)}])
+
+
+def test_key_that_becomes_text(spark, scratch):
+    """A key is a number in one run and text in the next: the table reads as one, with the first text kept."""
+    from gridmeter.sources.sinks import read_usage
+    base, out = f"{scratch}/landing", f"{scratch}/out"
+    assert read_usage(spark, out) is None
+    _one_dataset(spark, base, 1, '{"gpu": 1, "memory": 2}')
+    harvest(spark, base, out)
+    _one_dataset(spark, base, 2, '{"cpu": 3}')
+    harvest(spark, base, out)
+    assert read_usage(spark, out).schema["gpu_req"].dataType.typeName() == "double"
+    kept = _files(f"{out}/usage")
+    _one_dataset(spark, base, 3, '{"gpu": "A100", "memory": 5}')
+    harvest(spark, base, out)
+    got = {r["dataset"]: (r["gpu_req"], r["memory_req"], r["cpu_req"]) for r in read_usage(spark, out).collect()}
+    assert got == {1: ("1", 2.0, None), 2: (None, None, 3.0), 3: ("A100", 5.0, None)}
+    # Also without the registry, by the files' own schemas.
+    merged = spark.read.option("mergeSchema", "true").parquet(f"{out}/usage")
+    assert merged.schema["gpu_req"].dataType.typeName() == "string" and merged.count() == 3
+    assert set(kept) & set(_files(f"{out}/usage")) == set()
+    # A number again stays text, and nothing is written again.
+    kept = _files(f"{out}/usage")
+    _one_dataset(spark, base, 4, '{"gpu": 8}')
+    harvest(spark, base, out)
+    assert {r["gpu_req"] for r in read_usage(spark, out).where("dataset = 4").collect()} == {"8"}
+    assert all(_files(f"{out}/usage").get(p) == m for p, m in kept.items())
+    ledger = {r["dataset"]: r["run"] for r in spark.read.parquet(f"{out}/_ledger").collect()}
+    assert ledger == {1: 3, 2: 3, 3: 3, 4: 4}
+
+
+def test_widening_survives_a_lost_run(spark, scratch, monkeypatch):
+    """A run that fails after it registered a text key: the next run mends the older files."""
+    from gridmeter.sources import sinks
+    base, out = f"{scratch}/landing", f"{scratch}/out"
+    _one_dataset(spark, base, 1, '{"gpu": 1}')
+    harvest(spark, base, out)
+    _one_dataset(spark, base, 2, '{"gpu": "A100"}')
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_usage", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            harvest(spark, base, out)
+    assert [r["dataset"] for r in harvest(spark, base, out).collect()] == [2]
+    assert sorted((r["dataset"], r["gpu_req"]) for r in sinks.read_usage(spark, out).collect()) == [(1, "1"), (2, "A100")]
+
+
+def test_given_key_types_meet_the_registry(spark, scratch):
+    from gridmeter.sources.sinks import read_usage
+    base, out = f"{scratch}/landing", f"{scratch}/out"
+    _one_dataset(spark, base, 1, '{"gpu": "A100", "memory": 2}')
+    harvest(spark, base, out)
+    _one_dataset(spark, base, 2, '{"gpu": 1, "memory": 3}')
+    harvest(spark, base, out, req_keys={"gpu": "double"}, used_keys=["time"])
+    assert sorted((r["dataset"], r["gpu_req"], r["memory_req"]) for r in read_usage(spark, out).collect()) == [(1, "A100", 2.0), (2, "1", None)]
+
+
+def test_harvest_of_one_dataset_opens_its_files_alone(spark, landing, scratch):
+    """The frames that harvest builds from: all kinds, by the file index."""
+    from gridmeter.plans.harvest import landed_inputs, listed_datasets
+    from gridmeter.sources import file_index, sinks
+    base = f"{scratch}/landing"
+    for kind in ("tasks", "jobs", "reports"):
+        landed.read_landed(spark, landing, kind).drop("landed", "_corrupt").repartition("dataset_id").write.partitionBy("dataset_id").json(f"{base}/{kind}")
+    for i in range(25):
+        _land(spark, base, "datasets", [{"doc": '{"%d": {"dataset": %d, "dataset_id": "%d"}}' % (i, 20000 + i, i)}])
+    index = file_index.refresh(spark, base, f"{scratch}/files")
+    done = sinks.read_ledger(spark, f"{scratch}/none")
+    work = listed_datasets(spark, base, index, [20003], done)
+    assert len(work.inputFiles()) == 1 and [tuple(r) for r in work.collect()] == [(20003, "3")]
+    found = landed_inputs(spark, base, index, work.select("dataset_id"), ["3"])
+    for kind in ("tasks", "jobs", "reports"):
+        files = found[kind].inputFiles()
+        assert files and all("dataset_id=3/" in f for f in files), kind
+    assert found["tasks"].count() == landed.scan_tasks(landed.read_landed(spark, landing, "tasks")).where("dataset_id = '3'").count()
+
+
+def test_file_index_reads_only_new_files(spark, scratch):
+    from gridmeter.sources import file_index
+    base, path = f"{scratch}/landing", f"{scratch}/files"
+    _one_dataset(spark, base, 1, "{}")
+    assert file_index.refresh(spark, base, path).count() == 4
+    before = _index_files(path)
+    assert file_index.refresh(spark, base, path).count() == 4 and _index_files(path) == before
+    _land(spark, base, "tasks", [{"dataset_id": "d1", "doc": '{"x": {"dataset_id": "d2"}, "y": {}}'}])
+    rows = file_index.refresh(spark, base, path).where("kind = 'tasks'").collect()
+    assert sorted((r["dataset_id"], r["foreign"]) for r in rows) == [("d1", False), ("d1", False), ("d2", True)]
+
+
+def _index_files(path):
+    return sorted(glob.glob(f"{path}/*.parquet"))
+
+
+def test_more_files_than_are_named(spark, scratch, monkeypatch):
+    """Beyond the limit of named files the chosen ones are a join on the file; the same rows."""
+    from gridmeter.sources import file_index
+    base, out = f"{scratch}/landing", f"{scratch}/out"
+    for d in (1, 2, 3):
+        _one_dataset(spark, base, d, '{"memory": %d}' % d)
+    monkeypatch.setattr(file_index, "MAX_NAMED_FILES", 0)
+    harvest(spark, base, out, include=[2])
+    assert [(r["dataset"], r["memory_req"]) for r in spark.read.parquet(f"{out}/usage").collect()] == [(2, 2.0)]
+
+
+def test_other_dataset_is_listed_and_strict_raises(spark, scratch):
+    base = f"{scratch}/landing"
+    _land(spark, base, "tasks", [{"dataset_id": "e", "doc": _task()}, {"dataset_id": "d", "doc": _task()}, {"dataset_id": None, "doc": _task()}])
+    raw = landed.read_landed(spark, base, "tasks")
+    assert [r["reason"] for r in landed.corrupt_records(raw, "tasks").collect()] == ["other_dataset"]
+    with pytest.raises(Exception, match="unreadable record in tasks"):
+        landed.checked(raw, "tasks").collect()
