@@ -104,11 +104,11 @@ class Levels:
 
     def build(self, leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         """Levels of all trees from their placed leaves (columns tree, idx, n, node and more),
-        each with `left` and `right`, and the roots (tree, node, height)."""
+        each with `left` and `right`, and the roots (tree, node, tall: levels below)."""
         levels, roots = [], []
         nodes, most = leaves, leaves.agg(F.max("n")).first()[0] or 0
         while True:
-            roots.append(nodes.where("n = 1").select("tree", "node", F.lit(len(levels)).alias("height")))
+            roots.append(nodes.where("n = 1").select("tree", "node", F.lit(len(levels)).alias("tall")))
             if most <= 1:
                 break
             levels.append(self.keep(self.siblings(nodes.where("n > 1")), "level"))
@@ -116,25 +116,23 @@ class Levels:
             most = -(-most // self.arity)
         return levels, reduce(DataFrame.unionAll, roots)
 
-    def proofs(self, levels: list[DataFrame], tops: DataFrame) -> DataFrame:
-        """Rows (tree, idx, path and the other columns of `tops`) of the leaves; `tops` has
-        one row per tree: tree, height and the `path` of its root."""
-        rest = [c for c in tops.columns if c not in ("tree", "height", "path")]
-
-        def of(height: int) -> DataFrame:
-            return tops.where(F.col("height") == height).select("tree", F.lit(0).cast("bigint").alias("idx"), "path", *rest)
-
-        above = of(len(levels))
+    def proofs(self, leaves: DataFrame, levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+        """The rows of `leaves` with their `path` and the other columns of `tops`, which has one
+        row per tree: tree, height and the `path` of its root."""
+        rest = [c for c in tops.columns if c not in ("tree", "height")]
+        parents = tops.where(F.col("height") == len(levels)).select("tree", F.lit(0).cast("bigint").alias("up"), *rest)
         for k in reversed(range(len(levels))):
-            own = F.array(F.struct("left", "right"))
-            parent = above.withColumnRenamed("idx", "up")
-            here = (levels[k].select("tree", "idx", "left", "right", F.expr(f"idx div {self.arity}").alias("up"))
-                    .join(parent.hint("merge"), ["tree", "up"])
-                    .select("tree", "idx", F.concat(own, "path").alias("path"), *rest))
-            above = here.unionAll(of(k))
-            if k:
-                above = self.keep(above, "proofs")
-        return above
+            own = F.concat(F.array(F.struct("left", "right")), "path").alias("path")
+            keep = ["tree", "idx"] if k else leaves.columns
+            found = (levels[k].withColumn("up", F.expr(f"idx div {self.arity}")).join(parents.hint("merge"), ["tree", "up"])
+                     .select(*keep, own, *[c for c in rest if c != "path"]))
+            if k == 0:
+                # The leaf of a tree of its own has no siblings.
+                alone = leaves.where("n = 1").join(tops.drop("height"), "tree")
+                return found.unionAll(alone.select(*found.columns))
+            ended = tops.where(F.col("height") == k).select("tree", F.lit(0).cast("bigint").alias("idx"), *rest)
+            parents = self.keep(found.unionAll(ended.select(*found.columns)), "proofs").withColumnRenamed("idx", "up")
+        return leaves.join(tops.drop("height"), "tree")
 
 
 def folded(path: Column, start: Column) -> Column:
@@ -173,15 +171,15 @@ def manifest(docs: DataFrame, values: list[Column], changed: Column | None = Non
     levels, roots = work.build(placed)
     subroots = work.keep(roots, "subroots")
     # The tree over the subroots; its leaves are in the order of the groups.
-    top = work.keep(work.placed(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), "node", "height"), "group"),
+    top = work.keep(work.placed(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("group"), "node", F.col("tall").alias("height")), "group"),
                     "top")
-    top_levels, top_root = work.build(top.drop("height"))
+    top_levels, top_root = work.build(top)
     empty_path = F.array().cast("array<struct<left: binary, right: binary>>")
-    heads = top_root.select("tree", "height", empty_path.alias("path"), F.col("node").alias("root"))
-    tops = (work.proofs(top_levels, heads).join(top, ["tree", "idx"])
+    heads = top_root.select("tree", F.col("tall").alias("height"), empty_path.alias("path"), F.col("node").alias("root"))
+    tops = (work.proofs(top, top_levels, heads)
             .select(F.col("group").alias("tree"), "height", "path", F.col("node").alias("subroot"), "root"))
     tops = work.keep(tops, "tops")
-    found = (work.proofs(levels, tops).hint("merge").join(placed, ["tree", "idx"])
+    found = (work.proofs(placed, levels, tops)
              .select(F.col("id").alias(id_col), F.col("node").alias("leaf"), "subroot", "root", "path", "changed"))
     out = materialize(found.select(*columns) if columns else found, "merkle-manifest")
     for path in work.paths:
