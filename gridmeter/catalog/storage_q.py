@@ -184,6 +184,45 @@ def q_fill_defaults(spark, sf_dir):
     return quality.fill_defaults(o.join(li, "o_orderkey", "left"), ["l_linenumber", "l_quantity"])
 
 
+# Every column with a declared default: its source table, and its value where it is there.
+_DEFAULTS = {
+    "dataset": ("customer", {"priority": "c_custkey % 10", "jobs_submitted": "c_custkey % 7", "tasks_submitted": "c_custkey % 11",
+                             "debug": "c_custkey % 2"}),
+    "job": ("customer", {"job_index": "c_custkey % 101"}),
+    "task_rel": ("part", {"task_index": "p_partkey % 7"}),
+    "task": ("orders", {"failures": "o_orderkey % 3", "evictions": "o_orderkey % 5", "walltime": "o_orderkey / 4.0",
+                        "walltime_err": "o_orderkey / 8.0", "walltime_err_n": "o_orderkey % 13"}),
+}
+_KEY_OF = {"customer": "c_custkey", "part": "p_partkey", "orders": "o_orderkey"}
+
+
+@query("declared_defaults", "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, "
+    f"count(*) FILTER (WHERE {_KEY_OF[src]} % {5 + i} = 0 OR {e} = 0) AS n_zero, "
+    f"round(sum(CASE WHEN {_KEY_OF[src]} % {5 + i} = 0 THEN 0 ELSE CAST({e} AS DOUBLE) END), 6) AS total FROM {src}"
+    for t, (src, columns) in _DEFAULTS.items() for i, (c, e) in enumerate(columns.items())))
+def q_declared_defaults(spark, sf_dir):
+    """The eleven columns declared with a default, each missing in some rows, as the
+    scan of the tables gives them."""
+    from gridmeter.sources.tables import Tables, normalize
+    made = {}
+    for name, (src, columns) in _DEFAULTS.items():
+        df = load(spark, sf_dir, src)
+        made[name] = df.select(*[
+            F.expr(f"CASE WHEN {_KEY_OF[src]} % {5 + i} <> 0 THEN {e} END").cast(TABLES[name][c].dataType).alias(c)
+            for i, (c, e) in enumerate(columns.items())])
+    tables = normalize(Tables(**{n: made.get(n) for n in ("task", "task_rel", "search", "job", "task_stat", "dataset")}))
+    out = None
+    for name, df in tables.items():
+        sums = df.agg(F.count(F.lit(1)).alias("n_rows"), *[e for c in df.columns for e in (
+            F.count(F.when(F.col(c) == 0, 1)).alias(f"{c}_zero"), F.sum(F.col(c).cast("double")).alias(f"{c}_total"))])
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_zero").alias("n_zero"), F.col(f"{c}_total").alias("total"))
+                         for c in df.columns])
+        part = sums.select(F.lit(name).alias("table_name"), "n_rows", F.explode(rows).alias("r")).select("table_name", "n_rows", "r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("union_rows", """
 SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment,
        s_suppkey, s_name, s_nationkey, round(s_acctbal, 6) AS s_acctbal

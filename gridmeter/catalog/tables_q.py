@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridmeter.catalog import query
@@ -9,6 +11,7 @@ from gridmeter.oracle import id2num as duck_id2num
 from gridmeter.oracle import r6, with_views
 from gridmeter.operators.reports import task_rollup
 from gridmeter.plans.usage_tables import usage_from_tables
+from gridmeter.session import scratch_path
 from gridmeter.sources.derived import table_views
 from gridmeter.sources.tables import normalize
 
@@ -63,6 +66,22 @@ def q_usage_from_tables(spark, sf_dir):
     return usage_from_tables(table_views(spark, sf_dir))
 
 
+@query("usage_incremental", _rollup_sql(_USAGE_SELECT))
+def q_usage_incremental(spark, sf_dir):
+    """Reports come in three batches, each parsed once when it comes (most tasks
+    have reports in all three), with a compaction between; the usage rows are those
+    of all reports at once."""
+    from gridmeter.operators.rollup_store import RollupStore
+    tables = table_views(spark, sf_dir)
+    store = RollupStore(spark, scratch_path(spark, f"rollup-{uuid.uuid4().hex[:12]}"))
+    stats = normalize(tables).task_stat
+    for batch in range(3):
+        store.add(stats.where(F.col("task_stat_id") % 3 == batch), str(batch))
+        if batch == 1:
+            store.compact()
+    return usage_from_tables(tables, rollup=store.rollup())
+
+
 @query("output_totals", _rollup_sql(f"""
 SELECT task_id, {r6('gib')} AS output_size, {r6('hrs')} AS output_duration
 FROM picked WHERE kind = 'upload'

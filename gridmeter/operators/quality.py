@@ -19,17 +19,30 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 
 
 def check_references(tables: dict[str, DataFrame], references) -> DataFrame:
-    """(child, column, parent, n_orphans) for every reference between present tables."""
-    parts = []
+    """(child, column_name, parent, n_orphans) for every reference between present tables.
+
+    All references of a parent are one aggregate: its keys and the keys of its children,
+    tagged, are counted by key and tag before the one shuffle (so a reference that a
+    third of the rows hold is one row per input partition there), and keys that no
+    parent row has give their counts as orphans.  A NULL reference is none.
+    """
+    by_parent: dict[tuple[str, str], list[tuple[str, str]]] = {}
     for child, col, parent, pcol in references:
         if child in tables and parent in tables:
-            n = orphans(tables[child].select(col), col, tables[parent], pcol) \
-                .agg(F.count(F.lit(1)).alias("n_orphans"))
-            parts.append(n.select(F.lit(child).alias("child"), F.lit(col).alias("column_name"),
-                                  F.lit(parent).alias("parent"), "n_orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            by_parent.setdefault((parent, pcol), []).append((child, col))
+    out = None
+    for (parent, pcol), children in by_parent.items():
+        keys = tables[parent].select(F.col(pcol).alias("key"), F.lit(-1).alias("tag"))
+        kind = keys.schema["key"].dataType
+        for tag, (child, col) in enumerate(children):
+            keys = keys.unionAll(tables[child].where(F.col(col).isNotNull()).select(F.col(col).cast(kind).alias("key"), F.lit(tag).alias("tag")))
+        counts = [F.count(F.when(F.col("tag") == tag, 1)) for tag in range(len(children))]
+        per_key = keys.groupBy("key").agg(F.min("tag").alias("first"), *[c.alias(f"n{t}") for t, c in enumerate(counts)])
+        sums = per_key.where("first >= 0").agg(*[F.coalesce(F.sum(f"n{t}"), F.lit(0)).alias(f"n{t}") for t in range(len(children))])
+        rows = F.array(*[F.struct(F.lit(child).alias("child"), F.lit(col).alias("column_name"), F.lit(parent).alias("parent"),
+                                  F.col(f"n{t}").alias("n_orphans")) for t, (child, col) in enumerate(children)])
+        part = sums.select(F.explode(rows).alias("r")).select("r.*")
+        out = part if out is None else out.unionByName(part)
     return out
 
 

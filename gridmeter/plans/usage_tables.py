@@ -29,7 +29,7 @@ from gridmeter.functions.ids import id2num
 from gridmeter.functions.json import json_text
 from gridmeter.functions.requests import final_request, initial_request, memory_parts
 from gridmeter.operators.joins import broadcast_if_small
-from gridmeter.operators.reports import checked_reports, task_rollup
+from gridmeter.operators.reports import task_rollup
 from gridmeter.sources.tables import Tables, normalize
 
 def task_rel_usable(task_rel: DataFrame) -> DataFrame:
@@ -51,9 +51,12 @@ def completed(search: DataFrame) -> DataFrame:
 
 def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str | None = None,
                       limit: int | None = None, normalized: bool = False,
-                      strict: bool = False) -> DataFrame:
+                      strict: bool = False, rollup: DataFrame | None = None) -> DataFrame:
     """One row per completed task with outputs (see module doc for the plan).
 
+    `rollup` gives the figures of `task_rollup` from elsewhere (say, the stored states of
+    `operators.rollup_store`), so that no report is read.
+
     `dataset` / `name` / `limit` make a debugging slice: the tasks whose search
     row has that dataset id and name, the first `limit` of them by task_id.  The
     slice is taken before the joins, so `task_stat` is reduced to its tasks
@@ -75,9 +78,8 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
         search = search.join(chosen, "task_id", "left_semi")
         t = replace(t, task=t.task.join(chosen, "task_id", "left_semi"),
                     task_stat=t.task_stat.join(chosen, "task_id", "left_semi"))
+        rollup = rollup.join(chosen, "task_id", "left_semi") if rollup is not None else None
     search = search.select("task_id", "job_id")
-    if strict:
-        t = replace(t, task_stat=checked_reports(t.task_stat))
 
     rel = task_rel_usable(t.task_rel)
     rel = rel.select(
@@ -91,7 +93,8 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
                          *[c.alias(k) for k, c in memory_parts("requirements", "task").items()])
     job = t.job.select("job_id", "job_index")
 
-    rollup = (task_rollup(t.task_stat)
+    rollup = task_rollup(t.task_stat, strict) if rollup is None else rollup
+    rollup = (rollup
               .where((F.col("n_ok") > 0) & F.col("has_output") & (F.col("output_size") > 0)))
 
     # task, search and the rollup join on task_id (one hash partitioning).

@@ -20,8 +20,15 @@ from gridmeter.sources.landed import read_landed
 from gridmeter.sources.sinks import read_table
 
 KINDS = ("datasets", "tasks", "jobs", "reports")
-SCHEMA = T.StructType.fromDDL("kind STRING, file STRING, modified TIMESTAMP, length BIGINT, dataset_id STRING, "
-                              "dataset BIGINT, foreign BOOLEAN")
+SCHEMA = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("file", T.StringType()),
+    T.StructField("modified", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("dataset_id", T.StringType()),
+    T.StructField("dataset", T.LongType()),
+    T.StructField("foreign", T.BooleanType()),
+])
 # Up to this many chosen files are named to the reader; more become a join on the file.
 MAX_NAMED_FILES = 10_000
 # Ids alone of task documents.
