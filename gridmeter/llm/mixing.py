@@ -191,22 +191,24 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
              .groupBy("s", "block").agg(F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("got")))
     found = materialize(dealt, "mix-dealt")
 
-    size, key, at = fresh(docs, "size"), fresh(docs, "source"), fresh(docs, "spread")
+    size, key, at, n_blocks, own, got = (fresh(docs, n) for n in ("size", "source", "spread", "blocks", "block", "got"))
     marked = docs.withColumns({size: n_words, key: s, at: spread})
     p = plan.select(F.col("s").alias(key), F.col("size").alias("mix_source_size"), F.col("target").alias("mix_target"),
-                    F.col("blocks").alias("_blocks"))
-    d = found.select(F.col("s").alias(key), F.col("block").alias("_block"), "got")
-    place = F.transform(F.coalesce("got", F.array().cast("array<struct<copy:int,shard:int>>")), lambda g: F.struct(
+                    F.col("blocks").alias(n_blocks))
+    d = found.select(F.col("s").alias(key), F.col("block").alias(own), F.col("got").alias(got))
+    place = F.transform(F.coalesce(F.col(got), F.array().cast("array<struct<copy:int,shard:int>>")), lambda g: F.struct(
         g["shard"].alias("shard"), F.xxhash64(F.lit(seed + 2), F.col(at), g["copy"]).alias("place")))
-    return (marked.join(p, key).withColumn("_block", F.pmod(F.col(at), F.col("_blocks")))
-            .join(d, [key, "_block"], "left")
+    return (marked.join(p, key).withColumn(own, F.pmod(F.col(at), F.col(n_blocks)))
+            .join(d, [key, own], "left")
             .select(*given, F.col(size).alias("mix_size"), "mix_source_size", "mix_target", place.alias("mix_places")))
 
 
 def mixed_rows(mixed: DataFrame) -> DataFrame:
     """The mix itself: each row of `mix`'s result as often as it was taken, with its
-    columns and `mix_shard`, sorted by shard and place within partitions by shard."""
-    columns = [c for c in mixed.columns if c != "mix_places"]
-    return (mixed.where(F.size("mix_places") > 0).select(*columns, F.explode("mix_places").alias("_p"))
-            .select(*columns, F.col("_p.shard").alias("mix_shard"), F.col("_p.place").alias("_place"))
-            .repartitionByRange("mix_shard", "_place").sortWithinPartitions("mix_shard", "_place").drop("_place"))
+    columns and `mix_shard`, sorted by shard and place within partitions by shard.  A
+    column named `mix_shard` is replaced."""
+    columns = [c for c in mixed.columns if c.lower() not in ("mix_places", "mix_shard")]
+    taken, place = fresh(mixed, "taken"), fresh(mixed, "place")
+    return (mixed.where(F.size("mix_places") > 0).select(*columns, F.explode("mix_places").alias(taken))
+            .select(*columns, F.col(f"{taken}.shard").alias("mix_shard"), F.col(f"{taken}.place").alias(place))
+            .repartitionByRange("mix_shard", place).sortWithinPartitions("mix_shard", place).drop(place))

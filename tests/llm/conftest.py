@@ -12,7 +12,8 @@ DOCS = T.StructType([
 
 #: Columns whose names an operator might use inside.
 CLASHING = ["id", "uid", "row", "key", "digest", "fp", "ids", "score", "n", "size", "s", "shard", "block", "words", "host",
-            "path", "rule", "verdict", "__key", "__uid", "mix_size", "lang_pred", "k", "y", "start", "h", "target"]
+            "path", "rule", "verdict", "__key", "__uid", "mix_size", "lang_pred", "k", "y", "start", "h", "target",
+            "_block", "_blocks", "got", "_p", "_place", "__block", "__place", "mix_shard", "_salt", "_v", "labels", "tree", "idx", "node", "path_"]
 
 
 @pytest.fixture(scope="session")

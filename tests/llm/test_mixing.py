@@ -96,6 +96,17 @@ def test_mix_odd_rows(odd):
     assert out.count() == sum(len(r["mix_places"]) for r in rows)
 
 
+def test_mix_leaves_other_columns_alone(spark):
+    """Columns named like those inside keep their values; `mix_shard` is the mix's own."""
+    names = ["_block", "_blocks", "got", "_p", "_place", "__block", "__blocks", "__got", "__place", "__taken", "s", "copies", "mix_shard"]
+    df = spark.createDataFrame([(i, f"one two three {i}", "a" if i % 2 else None, *[f"{n}{i}" for n in names]) for i in range(20)],
+                               f"doc_id bigint, text string, source string, {', '.join(f'{n} string' for n in names)}")
+    mixed = mixing.mix(df, shards=4)
+    assert {r["doc_id"]: tuple(r[n] for n in names) for r in mixed.collect()} == {i: tuple(f"{n}{i}" for n in names) for i in range(20)}
+    out = mixing.mixed_rows(mixed).collect()
+    assert out and all(r[n] == f"{n}{r['doc_id']}" for r in out for n in names[:-1]) and {type(r["mix_shard"]) for r in out} == {int}
+
+
 def test_mix_given_weights(spark, docs):
     weights = spark.createDataFrame([("src0", 1.0), ("src1", 1.0)], "source string, weight double")
     rows = mixing.mix(docs, weights).select("source", "mix_places").collect()
