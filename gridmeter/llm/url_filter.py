@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmeter.llm.common import ascii_lower, fresh
+from gridmeter.operators.joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, measured_size
 
 KEYS_PER_BLOCK = 32  # 16 bits a key
 MAX_BLOCKS = 16_384  # 1 MiB
 MAX_LENGTHS = 4_096
+SALTS = 16
 
 
 def url_host(url: Column) -> Column:
@@ -40,11 +42,11 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?s:.*?)://[^/?#]*([^?#]*)", 1)
 
 
-def host_suffixes(host: Column) -> Column:
-    """`a.b.c` gives `a.b.c`, `b.c` and `c`."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)),
-                       lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def host_suffixes(labels: Column, sizes: list[int]) -> Column:
+    """The suffixes of a host (its labels as an array) with so many labels: of `a.b.c` those of 1
+    and 2 are `c` and `b.c`.  Only sizes that some rule has are made, so a host takes time with its length."""
+    return F.transform(F.filter(F.array(*[F.lit(n) for n in sizes]).cast("array<int>"), lambda n: n <= F.size(labels)),
+                       lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
 
 
 def _bits(key: Column) -> list[Column]:
@@ -98,15 +100,20 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
                .limit(MAX_LENGTHS + 1).collect()]
     if len(lengths) > MAX_LENGTHS:
         raise ValueError(f"rules have paths of more than {MAX_LENGTHS} different lengths")
+    sizes = [r["n"] for r in lengths_of.select(F.size(F.split("host", r"\.")).alias("n")).distinct()
+             .limit(MAX_LENGTHS + 1).collect()]
+    if len(sizes) > MAX_LENGTHS:
+        raise ValueError(f"rules have hosts of more than {MAX_LENGTHS} different numbers of labels")
     bloom = BloomFilter(listed)
 
     pages = pages.drop("host", "path", "rule", "verdict")
-    given, uid, hits, key = pages.columns, fresh(pages, "uid"), fresh(pages, "hits"), fresh(pages, "hit")
+    given, uid, hits, key, labels = pages.columns, *(fresh(pages, n) for n in ("uid", "hits", "hit", "labels"))
     split = pages.withColumns({"host": url_host(F.col(url_col)), "path": url_path(F.col(url_col))})
+    split = split.withColumn(labels, F.split("host", r"\."))
     prefixes = F.transform(
         F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>"), lambda n: n <= F.length("path")),
         lambda n: F.substring(F.col("path"), F.lit(1), n))
-    keys = F.flatten(F.transform(host_suffixes(F.col("host")), lambda h: F.transform(
+    keys = F.flatten(F.transform(host_suffixes(F.col(labels), sorted(sizes)), lambda h: F.transform(
         prefixes, lambda p: F.concat(h, F.lit("\x00"), p))))
     tested = split.withColumn(hits, F.when(F.col("host") != "", F.filter(keys, bloom.may_hold))
                               .otherwise(F.array().cast("array<string>")))
@@ -119,9 +126,18 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
                              F.length(F.substring_index(F.col(key), "\x00", 1)).alias("host"),
                              F.when(F.col("_v").isNotNull(), F.col(key)).alias("key"), F.col("_v").alias("v"))).alias("best")
     possible = (tested.where(F.size(hits) > 0).withColumn(uid, F.monotonically_increasing_id())
-                .select(F.struct(*[F.col(c) for c in out]).alias("row"), uid, F.explode(hits).alias(key))
-                .join(listed.select(F.col("key").alias(key), F.col("verdict").alias("_v")).hint("shuffle_hash"), key, "left")
-                .groupBy(uid).agg(F.first("row").alias("row"), longest))
+                .select(F.struct(*[F.col(c) for c in out]).alias("row"), uid, F.explode(hits).alias(key)))
+    exact = listed.select(F.col("key").alias(key), F.col("verdict").alias("_v"))
+    # Rules of a proven size travel to the rows; more of them meet the rows by key, which
+    # is salted by the row, as a third of all rows may have one (say, `com`).
+    rows, size = measured_size(exact)
+    if rows <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES:
+        joined = possible.join(F.broadcast(exact), key, "left")
+    else:
+        salted = exact.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = possible.withColumn("_salt", F.pmod(F.xxhash64(uid), F.lit(SALTS)).cast("int")).join(
+            salted.hint("shuffle_hash"), [key, "_salt"], "left")
+    possible = (joined.groupBy(uid).agg(F.first("row").alias("row"), longest))
     found = possible.select("row.*", F.translate("best.key", "\x00", "").alias("rule"),
                             F.coalesce(F.col("best.v"), F.lit(default)).alias("verdict"))
     return clear.unionByName(found)
