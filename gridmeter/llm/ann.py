@@ -82,20 +82,38 @@ def search_block(ids: np.ndarray, x: np.ndarray, q_ids: np.ndarray, q: np.ndarra
     short = hits.sum(axis=1) < np.minimum(k, other.sum(axis=1))
     hits[short] = other[short]
     # Products give all distances roughly; those that may be among the k nearest are
-    # computed exactly from the original vectors.
-    squares, q_squares = (x * x).sum(axis=1), (q * q).sum(axis=1)
-    rough = squares + q_squares[:, None] - 2 * (q @ x.T)
+    # computed exactly from the original vectors.  Squares of huge or tiny components
+    # would not be numbers, so such a block is scaled for the products.
+    largest = max(np.abs(x).max(), np.abs(q).max())
+    scale = 1.0 if 1e-100 < largest < 1e100 else 1 / largest if largest < 1e300 else 1e-300
+    sx, sq = x * scale, q * scale
+    squares, q_squares = (sx * sx).sum(axis=1), (sq * sq).sum(axis=1)
+    rough = squares + q_squares[:, None] - 2 * (sq @ sx.T)
     slack = 1e-9 * (squares.max() + q_squares)
     rough[~hits] = np.inf
     cut = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(q), np.inf)
     for i in range(len(q)):
         found = np.flatnonzero((rough[i] <= cut[i] + slack[i]) & np.isfinite(rough[i]))
-        distance = np.sqrt(((x[found] - q[i]) ** 2).sum(axis=1))
+        distance = _distances(x[found], q[i])
         first = np.lexsort((ids[found], distance))[:k]
         out += [(int(q_ids[i]), int(ids[found[j]]), float(distance[j])) for j in first]
     return out
 
 
+def _distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of `x` from `q`; where squares over- or underflow, from
+    differences scaled by the largest."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        d = x - q
+        out = np.sqrt((d * d).sum(axis=1))
+        odd = np.flatnonzero(~((out > 1e-100) & (out < 1e100)))
+        most = np.abs(d[odd]).max(axis=1, keepdims=True)
+        fine = (most > 0) & np.isfinite(most)
+        part = np.sqrt((np.divide(d[odd], most, where=fine, out=np.zeros_like(d[odd])) ** 2).sum(axis=1))
+        out[odd] = np.where(fine[:, 0], most[:, 0] * part, most[:, 0])
+    return out
+
+
 def _hits(x: np.ndarray, q: np.ndarray, tables: int | None, probes: int | None) -> np.ndarray:
     """Which rows of `x` (columns) each query's probes find."""
     sides = 2 << max(0, (x.shape[1] - 1).bit_length())

@@ -1,5 +1,6 @@
 """Language identification, quality classifier, nearest neighbours, URL filter, pipeline."""
 
+import math
 import random
 import zlib
 
@@ -246,6 +247,22 @@ def test_search_recall_in_other_dimensions(dim):
     assert ann.effort(128) == (32, 200, 32)
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e308])
+def test_search_huge_and_tiny_vectors(spark, size):
+    """Components whose squares are no numbers: full lists, distances as far as doubles go."""
+    g = np.random.default_rng(4)
+    x = g.normal(size=(400, 8))
+    x[:200] *= 0.1 * size
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = ann.search(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()
+    assert len(got) == 80
+    for q in range(0, 400, 50):
+        d = np.array([math.hypot(*(v - x[q])) for v in x])
+        d[q] = np.inf
+        mine = [r for r in got if r["query_id"] == q]
+        assert [r["score"] for r in mine] == pytest.approx(np.sort(d)[:10].tolist(), rel=1e-12)
+
+
 def test_search_blocks_chunks_and_copies(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 40)
     monkeypatch.setattr(ann, "CHUNK_ROWS", 3)
@@ -323,6 +340,25 @@ def test_url_many_rules(spark):
         assert got[i][:3] == want[:3] and got[i][3] in (fits or {"allow"})
 
 
+def test_url_very_long(spark):
+    """A host of half a million labels and a path of a megabyte take seconds."""
+    host = "a." * 500_000 + "example.com"
+    rows = [(1, f"http://{host}/en/x"), (2, "http://example.com/en/" + "p" * 1_000_000), (3, "x" * 1_000_000), (4, "http://" + "a" * 1_000_000)]
+    rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in
+           url_filter.judge(spark.createDataFrame(rows, "page_id bigint, url string"), rules).collect()}
+    assert got == {1: ("example.com/en/", "block"), 2: ("example.com/en/", "block"), 3: (None, "allow"), 4: (None, "allow")}
+
+
+def test_url_rules_too_many_to_travel(spark, monkeypatch):
+    """Beyond the size bound the rules meet the rows by salted key: the same verdicts, no broadcast."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
+    want = sorted(map(tuple, url_filter.judge(pages, rules).collect()))
+    monkeypatch.setattr(url_filter, "BROADCAST_MAX_ROWS", 0)
+    assert sorted(map(tuple, url_filter.judge(pages, rules).collect())) == want
+
+
 def test_bloom_filter_has_no_false_negatives(spark):
     keys = spark.range(5_000).select(F.concat(F.lit("k"), "id").alias("key"))
     bloom = url_filter.BloomFilter(keys)
