@@ -111,6 +111,24 @@ def q_copy_tasks_with_reports(spark, sf_dir):
     return copy.copy_table(tasks, path, ["task_id"]).select("task_id", "task_rel_id")
 
 
+@query("copy_indexed", f"""
+SELECT {_LI_OUT} FROM (
+  SELECT {_LI_COLS}, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY part, {_LI_COLS}) AS rn
+  FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 WHEN l_returnflag = 'A' THEN 2 ELSE 3 END AS part FROM lineitem))
+WHERE rn = 1
+""")
+def q_copy_indexed(spark, sf_dir):
+    """Three successive inserts into a stored table by its key index; of a key that
+    several bring, the first one's row stays."""
+    from gridmeter.operators.key_index import KeyIndex
+    li = load(spark, sf_dir, "lineitem").select(*[c.strip() for c in _LI_COLS.split(",")])
+    path = scratch_path(spark, f"indexed-{uuid.uuid4().hex[:12]}")
+    index = KeyIndex(spark, f"{path}/table", f"{path}/index", ["l_orderkey", "l_linenumber"], li.schema, 16)
+    for batch in ("l_returnflag = 'R'", "l_returnflag = 'A'", "true"):
+        stored = index.insert(li.where(batch))
+    return stored
+
+
 @query("check_unique", """
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1

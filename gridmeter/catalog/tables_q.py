@@ -82,6 +82,16 @@ def q_usage_incremental(spark, sf_dir):
     return usage_from_tables(tables, rollup=store.rollup())
 
 
+@query("usage_bucketed", _rollup_sql(_USAGE_SELECT))
+def q_usage_bucketed(spark, sf_dir):
+    """The tables stored bucketed by task and opened again; the same usage rows, with
+    no shuffle of tasks, searches or reports."""
+    from gridmeter.sources.bucketed import open_tables, store_tables
+    path = scratch_path(spark, f"bucketed-{uuid.uuid4().hex[:12]}")
+    store_tables(table_views(spark, sf_dir), path, 16)
+    return usage_from_tables(open_tables(spark, path, 16))
+
+
 @query("output_totals", _rollup_sql(f"""
 SELECT task_id, {r6('gib')} AS output_size, {r6('hrs')} AS output_duration
 FROM picked WHERE kind = 'upload'

@@ -19,7 +19,7 @@ NULL readings (they differ on purpose):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,10 @@ from gridmeter.functions.ids import MAX_KEY_BYTES, fixed_width_key
 from gridmeter.schemas import REPORT
 
 
-def parse_reports(task_stat: DataFrame, strict: bool = False) -> DataFrame:
+PROBLEMS = ["unparseable_report", "bad_error_value", "bad_resources", "bad_time", "bad_transfer_error", "bad_transfer_value"]
+
+
+def parse_reports(task_stat: DataFrame, strict: bool = False, counts: Observation | None = None) -> DataFrame:
     """task_stat -> one row per report with typed fields.
 
     Columns: task_id, task_stat_id, error_text, error_flag, error_summary,
@@ -37,12 +40,16 @@ def parse_reports(task_stat: DataFrame, strict: bool = False) -> DataFrame:
     read in the next projection, so the parse runs once per row (an
     expensive expression used several times is not inlined by Catalyst).
     `strict` raises at run time on a report that `report_problems` would list, from the
-    same parse: the key that everything after is grouped by raises.
+    same parse: the key that everything after is grouped by raises.  `counts` gets, when
+    the result is computed, how many reports have each of `PROBLEMS`, from the same pass.
     """
-    bad = [F.json_object_keys("stat").isNull().alias("bad")] if strict else []
+    bad = [F.json_object_keys("stat").isNull().alias("bad")] if strict or counts is not None else []
     parsed = task_stat.select("task_id", "task_stat_id", *bad, F.from_json(F.col("stat"), REPORT).alias("_r"))
     r = F.col("_r")
     task_id = F.col("task_id")
+    if counts is not None:
+        parsed = parsed.withColumn("_why", problem()).observe(
+            counts, *[F.coalesce(F.count_if(F.col("_why") == p), F.lit(0)).alias(p) for p in PROBLEMS])
     if strict:
         stop = F.raise_error(F.concat(problem(), F.lit(" in report "), F.col("task_stat_id").cast("string")))
         task_id = F.when(problem().isNull(), task_id).otherwise(stop.cast(task_stat.schema["task_id"].dataType)).alias("task_id")
@@ -185,10 +192,10 @@ for _name in ("input", "output"):
                 f"{_name}_duration": f"{_name}_duration"}
 
 
-def task_states(task_stat: DataFrame, strict: bool = False) -> DataFrame:
+def task_states(task_stat: DataFrame, strict: bool = False, counts: Observation | None = None) -> DataFrame:
     """One row per task: the aggregates of its reports, to be merged with those of other
     reports of it (single aggregate)."""
-    f = report_figures(parse_reports(task_stat, strict), has_long_ids(task_stat))
+    f = report_figures(parse_reports(task_stat, strict, counts), has_long_ids(task_stat))
     return f.groupBy("task_id").agg(*[F.expr(e).alias(k) for k, (e, _) in STATE.items()])
 
 
@@ -205,7 +212,7 @@ def state_figures(states: DataFrame) -> DataFrame:
     return states.select("task_id", *[F.expr(e).alias(k) for k, e in FIGURES.items()])
 
 
-def task_rollup(task_stat: DataFrame, strict: bool = False) -> DataFrame:
+def task_rollup(task_stat: DataFrame, strict: bool = False, counts: Observation | None = None) -> DataFrame:
     """One row per task with every report-derived figure (single aggregate).
 
     n_ok: successful reports; rss / time_finished: max memory / finish time
@@ -213,9 +220,10 @@ def task_rollup(task_stat: DataFrame, strict: bool = False) -> DataFrame:
     sum of memory*hours of overuse reports (NULL when none); run_time: hours
     summed over not-failed reports; input_* / output_*: totals of one report
     per direction (smallest report id with a good transfer), NULL when none.
-    Sums do not depend on the order of the reports.
+    Sums do not depend on the order of the reports.  `counts` (see `parse_reports`) gets
+    the numbers of reports that cannot be read, from the same pass.
     """
-    return state_figures(task_states(task_stat, strict))
+    return state_figures(task_states(task_stat, strict, counts))
 
 
 # Both transfer arrays of a report as one array of (kind, record).

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,11 +51,13 @@ def completed(search: DataFrame) -> DataFrame:
 
 def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str | None = None,
                       limit: int | None = None, normalized: bool = False,
-                      strict: bool = False, rollup: DataFrame | None = None) -> DataFrame:
+                      strict: bool = False, rollup: DataFrame | None = None,
+                      counts: Observation | None = None) -> DataFrame:
     """One row per completed task with outputs (see module doc for the plan).
 
     `rollup` gives the figures of `task_rollup` from elsewhere (say, the stored states of
-    `operators.rollup_store`), so that no report is read.
+    `operators.rollup_store`), so that no report is read.  `counts` gets the numbers of
+    reports that cannot be read, by reason, when the result is computed.
 
     `dataset` / `name` / `limit` make a debugging slice: the tasks whose search
     row has that dataset id and name, the first `limit` of them by task_id.  The
@@ -93,7 +95,7 @@ def usage_from_tables(tables: Tables, *, dataset: str | None = None, name: str |
                          *[c.alias(k) for k, c in memory_parts("requirements", "task").items()])
     job = t.job.select("job_id", "job_index")
 
-    rollup = task_rollup(t.task_stat, strict) if rollup is None else rollup
+    rollup = task_rollup(t.task_stat, strict, counts) if rollup is None else rollup
     rollup = (rollup
               .where((F.col("n_ok") > 0) & F.col("has_output") & (F.col("output_size") > 0)))
 

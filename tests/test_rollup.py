@@ -127,3 +127,53 @@ def test_references_of_a_parent_take_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, plan
     nothing = quality.check_references({"p": parent.limit(0), "c": child.limit(0)}, [("c", "a", "p", "id")])
     assert [tuple(r) for r in nothing.collect()] == [("c", "a", "p", 0)]
+
+
+def test_problem_counts_come_with_the_figures(spark):
+    """Counts by reason from the pass that computes the rollup: one parse, no join."""
+    from pyspark.sql import Observation
+
+    from gridmeter.sources.derived import flawed_stats
+    stat = flawed_stats(normalize(table_views(spark, SF_SMALL)).task_stat)
+    want = {r["reason"]: r["count"] for r in reports.report_problems(stat).groupBy("reason").count().collect()}
+    counts = Observation("problems")
+    rollup = reports.task_rollup(stat, counts=counts)
+    plan = _plan(rollup)
+    assert plan.count("from_json(") == 1, plan
+    got = bits(rollup)
+    assert got == bits(reports.task_rollup(stat))
+    assert len(want) >= 5 and counts.get == {p: want.get(p, 0) for p in reports.PROBLEMS}
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, scratch):
+    """Reports, tasks and searches stored by task: no exchange on their sides."""
+    import re
+
+    from gridmeter.sources.bucketed import open_tables, store_tables
+    views = table_views(spark, SF_SMALL)
+    store_tables(views, f"{scratch}/t", 8)
+    tables = open_tables(spark, f"{scratch}/t", 8)
+    df = usage_from_tables(tables)
+    plan = _without_broadcasts(spark, lambda: _plan(df))
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert keys and "task_id" not in keys, plan
+    assert bits(df) == bits(usage_from_tables(views))
+
+
+def test_insert_by_key_index(spark, scratch):
+    """Inserts shuffle the batch alone; the index follows a table that others append to."""
+    from gridmeter.operators.key_index import KeyIndex
+    schema = "k bigint, j string, v int"
+    frame = lambda *rows: spark.createDataFrame(rows, schema)
+    made = lambda: KeyIndex(spark, f"{scratch}/table", f"{scratch}/index", ["k", "j"], frame().schema, 4)
+    index = made()
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(index.insert(frame((1, "a", 5), (1, "a", 3), (2, "b", 1)))) == [(1, "a", 3), (2, "b", 1)]
+    assert rows(index.insert(frame((1, "a", 0), (1, "b", 7)))) == [(1, "a", 3), (1, "b", 7), (2, "b", 1)]
+    frame((9, "z", 9)).write.mode("append").parquet(f"{scratch}/table")
+    again = made()  # another session's index at the same place
+    assert rows(again.insert(frame((9, "z", 0), (8, "y", 8)))) == [(1, "a", 3), (1, "b", 7), (2, "b", 1), (8, "y", 8), (9, "z", 9)]
+    again.follow()
+    plan = _without_broadcasts(spark, lambda: _plan(again.new_rows(frame((9, "z", 0)))))
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert rows(again.insert(frame())) == rows(spark.read.parquet(f"{scratch}/table"))
