@@ -14,7 +14,7 @@ documents of one entity the newest counts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridmeter.constants import COMPLETE_STATUS
@@ -69,14 +69,14 @@ def checked(raw: DataFrame, kind: str) -> DataFrame:
 
 
 def newest(rows: DataFrame, *keys: str) -> DataFrame:
-    """The newest row per key by landing order (pre-reduced before the shuffle);
-    rows without a landing order are taken as they are.  One `max_by` a column, so
-    that columns nobody reads are pruned and fixed-width rows are hashed, not sorted."""
+    """The newest row per key by landing order; rows without a landing order are taken as
+    they are.  Ranked by a window whose partitioning and order the joins on the same
+    keys use again; Spark keeps the first of each key before the shuffle, so a key that
+    landed very often is one row per input partition there."""
     if "landed" not in rows.columns:
         return rows
-    rest = [c for c in rows.columns if c not in (*keys, "landed")]
-    best = rows.groupBy(*keys).agg(*[F.max_by(c, "landed").alias(c) for c in rest])
-    return best.select(*[c for c in rows.columns if c != "landed"])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("landed").desc()))
+    return rows.withColumn("_place", place).where("_place = 1").drop("_place", "landed")
 
 
 def _explode(raw: DataFrame, schema: str, *keep: str) -> DataFrame:

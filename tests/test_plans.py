@@ -138,3 +138,19 @@ def test_broadcast_checked(spark):
     assert "BroadcastHashJoin" in _formatted(other.join(small, "k"))
     assert broadcast_if_small(df, max_bytes=1000) is df   # too many bytes: left as is
     assert broadcast_if_small(df, max_rows=50) is df      # too many rows: left as is
+
+
+def test_newest_documents_are_ranked_before_the_shuffle(spark, tmp_path):
+    """No sort aggregate over listings, and one shuffle of the tasks for the ranking and the join with the figures."""
+    from gridmeter.plans.usage_reports import usage_from_reports
+    from gridmeter.sources import landed
+    from gridmeter.sources.derived import landed_documents
+    for kind, df in landed_documents(spark, SF_SMALL).items():
+        df.write.json(f"{tmp_path}/{kind}")
+    raw = {k: landed.read_landed(spark, str(tmp_path), k) for k in ("datasets", "tasks", "jobs", "reports")}
+    df = usage_from_reports(landed.scan_datasets(raw["datasets"]), landed.scan_jobs(raw["jobs"]), landed.scan_tasks(raw["tasks"]),
+                            landed.scan_reports(raw["reports"]), req_keys={"memory": "double"}, used_keys={"time": "double"})
+    plan = _without_broadcasts(spark, lambda: _plan(df))
+    assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") >= 6, plan  # three listings and reports, partial and final
+    # Figures meet tasks on (dataset_id, task_id) where their ranking has put them.
+    assert plan.count("Exchange hashpartitioning(dataset_id") + plan.count("Exchange hashpartitioning(coalesce") <= 6, plan
