@@ -87,6 +87,14 @@ def q_usage_from_reports(spark, sf_dir):
     return _usage(spark, sf_dir)
 
 
+@query("usage_from_split_reports", _doc_sql(_USAGE_SELECT))
+def q_usage_from_split_reports(spark, sf_dir):
+    """The same rows with every document above 1,500 bytes split into its reports,
+    whose figures are merged by position."""
+    s = _scanned(spark, sf_dir)
+    return usage_from_reports(s["datasets"], s["jobs"], s["tasks"], s["reports"], split_above=1_500)
+
+
 @query("usage_sorted", _doc_sql(_USAGE_SELECT))
 def q_usage_sorted(spark, sf_dir):
     """O1: the same rows, grouped by dataset and sorted by (dataset, task, job)."""

@@ -17,7 +17,7 @@ per-task figures are array expressions over that one row (no shuffle):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmeter.constants import BYTES_PER_GIB, OVERUSE_PREFIX, SECONDS_PER_HOUR
@@ -72,17 +72,71 @@ _WASTE_UNREADABLE = (f"exists(reports, x -> {_overuse('x')} AND x.s.resources IS
                      "OR try_cast(x.s.resources['time'] AS DOUBLE) IS NULL))")
 
 
-def task_figures(reports: DataFrame) -> DataFrame:
+def task_figures(reports: DataFrame, split_above: int | None = None) -> DataFrame:
     """Per task (one input row each): final report figures, waste, site, transfers.
 
     Output: dataset_id, task_id, n_reports, unreadable, time_finished, used
     (map of the final report's resources), mem_wastage, site, hostname,
     input_size, input_duration, output_size, output_duration.
 
+    Documents of more than `split_above` bytes are not computed in their row but split
+    into their reports, which many tasks work on (see `split_figures`); that reads the
+    landing a second time for them.
+    """
+    if split_above is None:
+        # Of a task's documents the newest counts: chosen among figures, so no document is shuffled.
+        return newest(document_figures(reports).drop("final_time"), "dataset_id", "task_id")
+    long = F.coalesce(F.octet_length("doc") > split_above, F.lit(False))
+    whole = document_figures(reports.where(~long)).drop("final_time")
+    # Of a task's documents, short and long, the newest counts.
+    return newest(whole.unionByName(split_figures(reports.where(long))), "dataset_id", "task_id")
+
+
+def split_figures(reports: DataFrame) -> DataFrame:
+    """The figures of `document_figures` for very long documents.
+
+    The task that reads a document only cuts it into its reports (a map of JSON texts);
+    these are dealt out by (task, position), each is computed as a document of its own,
+    and a task's figures are merged by position: the final report by its time, waste in
+    document order, the rest from the last report that has it.
+    """
+    order = ["landed"] if "landed" in reports.columns else []
+    keys = ["dataset_id", "task_id", *order]
+    # Cut in a projection of its own, so that a document does not travel with each of its reports.
+    cut = reports.select(*keys, F.json_object_keys("doc").isNull().alias("none"), F.col("doc").isNotNull().alias("there"),
+                         F.from_json("doc", "MAP<STRING, STRING>").alias("m"))
+    entries = cut.select(*keys, "none", "there", F.posexplode_outer("m").alias("ord", "stat_id", "entry")).select(
+        *keys, "none", (F.col("none") & F.col("there")).alias("unread"), "ord",
+        F.when(F.col("ord").isNotNull(), F.concat(F.lit('{"r":'), F.coalesce("entry", F.lit("null")), F.lit("}"))).alias("doc"))
+    one = document_figures(entries.repartition("dataset_id", "task_id", "ord"), "ord", "none", "unread")
+
+    def last(columns: list[str], there: Column) -> Column:
+        return F.max_by(F.struct(*columns), F.when(there, F.col("ord")))
+
+    inputs, outputs = ["input_size", "input_duration"], ["output_size", "output_duration"]
+    merged = one.groupBy(*keys).agg(
+        F.max("none").alias("none"), F.count("ord").cast("int").alias("n"),
+        F.max(F.col("unreadable") | F.col("unread")).alias("unreadable"),
+        F.max_by(F.struct("time_finished", "used"), F.when(F.col("used").isNotNull(), F.struct("final_time", -F.col("ord")))).alias("f"),
+        # At most a number for each report of one document.
+        F.sort_array(F.collect_list(F.struct("ord", "mem_wastage"))).alias("w"),
+        last(["site", "hostname"], F.col("ord").isNotNull()).alias("l"),
+        last(inputs, F.col("input_size").isNotNull()).alias("i"), last(outputs, F.col("output_size").isNotNull()).alias("o"))
+    waste = F.aggregate("w", F.lit(0.0), lambda a, x: a + F.coalesce(x["mem_wastage"], F.lit(0.0)))
+    return merged.select(
+        *keys, F.when(~F.col("none"), F.col("n")).alias("n_reports"), "unreadable", "f.time_finished", "f.used",
+        F.when(~F.col("none"), waste).alias("mem_wastage"),
+        "l.site", "l.hostname", *[f"i.{c}" for c in inputs], *[f"o.{c}" for c in outputs])
+
+
+def document_figures(reports: DataFrame, *keep: str) -> DataFrame:
+    """`task_figures` of every document row by itself, with the landing order where there is one,
+    the columns `keep`, and the text of the final report's time (`final_time`).
+
     Built as a few projections, each computing an expensive array once
     (the parse of the document, of each task_stats, the good lists).
     """
-    keys = ["dataset_id", "task_id", *(["landed"] if "landed" in reports.columns else [])]
+    keys = ["dataset_id", "task_id", *(["landed"] if "landed" in reports.columns else []), *keep]
     r = reports.select(*keys, F.expr(REPORTS).alias("reports"),
                        (F.col("doc").isNotNull() & F.json_object_keys("doc").isNull()).alias("bad_doc"))
     best = ("array_max(transform(filter(reports, x -> x.s.resources IS NOT NULL), "
@@ -107,8 +161,9 @@ def task_figures(reports: DataFrame) -> DataFrame:
                  .alias("down"),
                  F.expr("try_element_at(filter(good, x -> x.elig AND size(x.up) > 0), -1).up")
                  .alias("up"))
-    figures = r.select(
+    return r.select(
         *keys, "n_reports", "unreadable",
+        F.expr("final.s.time").alias("final_time"),
         F.expr("try_cast(final.s.time AS TIMESTAMP_NTZ)").alias("time_finished"),
         F.expr("final.s.resources").alias("used"),
         "mem_wastage",
@@ -117,8 +172,6 @@ def task_figures(reports: DataFrame) -> DataFrame:
         *[c.alias(k) for k, c in _totals("down", "input").items()],
         *[c.alias(k) for k, c in _totals("up", "output").items()],
     )
-    # Of a task's documents the newest counts: chosen among figures, so no document is shuffled.
-    return newest(figures, "dataset_id", "task_id")
 
 
 # The resources of the final report alone, from a parse of nothing else.

@@ -88,7 +88,7 @@ def landed_inputs(spark, landing: str, index: DataFrame | None, ids: DataFrame,
 
 
 def harvest(spark, landing: str, out: str, include=None, *, req_keys=None, used_keys=None,
-            strict: bool = False) -> DataFrame:
+            strict: bool = False, split_above: int | None = None) -> DataFrame:
     """Harvest landed documents of the datasets not yet in the ledger.
 
     `include` (dataset numbers, or a DataFrame with a `dataset_id` column)
@@ -96,7 +96,8 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None, used_
     present.  Of documents that landed again the newest counts.  The ledger, not the
     usage directory, decides what is done, so a dataset with no rows counts as
     harvested.  A re-harvest replaces a dataset's rows, also by none.  `strict` raises on
-    records that cannot be read.  One harvest of an `out` runs at a time.
+    records that cannot be read; report documents of more than `split_above` bytes are
+    spread over tasks report by report.  One harvest of an `out` runs at a time.
 
     Under `out`: `usage` (partition per dataset; read it with `sinks.read_usage`), `_rows`
     (the per-task rows behind it, open maps whole, so that its columns never change
@@ -130,7 +131,8 @@ def harvest(spark, landing: str, out: str, include=None, *, req_keys=None, used_
         found = landed_inputs(spark, landing, index, work.select("dataset_id"), literal, strict)
         # One table of per-task rows feeds the usage output, the keys and the tally:
         # listings and documents are parsed once.
-        rows = keep(task_rows(work, found["jobs"], found["tasks"], found["reports"], strict=strict), "rows")
+        rows = keep(task_rows(work, found["jobs"], found["tasks"], found["reports"], strict=strict,
+                              split_above=split_above), "rows")
         registry = sinks.KeyRegistry(spark, f"{out}/_keys")
         maps = discover_keys_of({c: rows.where("has_job").select(c) for c in ("requirements", "used")})
         given = {"requirements": req_keys, "used": used_keys}

@@ -35,7 +35,7 @@ def missing_jobs(tasks: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def task_rows(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame, reports: DataFrame, *,
-              strict: bool = False) -> DataFrame:
+              strict: bool = False, split_above: int | None = None) -> DataFrame:
     """Every listed completed task with its job index (NULL when the job is
     missing; `has_job` false), requirements map and report figures.
 
@@ -50,7 +50,7 @@ def task_rows(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame, reports: D
         # The flag itself raises, so no filter on it can drop the row first.
         tj = tj.withColumn("has_job", F.when(F.col("has_job"), True).otherwise(
             F.raise_error(F.concat(F.lit("task without job: "), F.col("task_id"))).cast("boolean")))
-    fig = task_figures(reports)
+    fig = task_figures(reports, split_above)
     if strict:
         fig = fig.withColumn("_chk", F.when(F.col("unreadable"), F.raise_error(
             F.concat(F.lit("unreadable report in task "), F.col("task_id")))))
@@ -85,7 +85,7 @@ def finish_usage(rows: DataFrame, *, req_keys=None, used_keys=None,
 
 def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
                        reports: DataFrame, *, req_keys=None, used_keys=None, strict: bool = False,
-                       keep_task_id: bool = False) -> DataFrame:
+                       keep_task_id: bool = False, split_above: int | None = None) -> DataFrame:
     """One usage row per completed task of the listed datasets.
 
     `datasets`, `jobs`, `tasks` are the scanned listings (sources.landed);
@@ -95,9 +95,10 @@ def usage_from_reports(datasets: DataFrame, jobs: DataFrame, tasks: DataFrame,
     without a job have gives a column of NULLs).
     `strict=True` raises at run time when a task's job is missing or one of
     its reports cannot be read (instead of leaving the task out / reading
-    NULL and listing the report in `report_diagnostics`).
+    NULL and listing the report in `report_diagnostics`).  `split_above`: see
+    `operators.documents.task_figures`.
     """
-    rows = task_rows(datasets, jobs, tasks, reports, strict=strict)
+    rows = task_rows(datasets, jobs, tasks, reports, strict=strict, split_above=split_above)
     if req_keys is None and used_keys is None:
         found = discover_keys_of({"requirements": tasks.select("requirements"),
                                   "used": used_resources(reports)})
