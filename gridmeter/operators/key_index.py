@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmeter.operators.copy import first_per_key
+from gridmeter.session import drop_path, materialize
 from gridmeter.sources.sinks import read_table
 
+# Up to this many new files are a literal filter, which opens them alone; more a join.
+MAX_NAMED_FILES = 10_000
 FILES = T.StructType([T.StructField("file", T.StringType())])
 
 
@@ -43,12 +46,15 @@ class KeyIndex:
         stored = stored.select(*self.key, F.col("_metadata.file_path").alias("file"))
         seen = read_table(self.spark, f"{self.path}/files", FILES)
         there = self.spark.read.format("binaryFile").load(self.table).select(F.col("_metadata.file_path").alias("file"))
-        new = there if seen is None else there.join(seen, "file", "left_anti")
-        files = [r["file"] for r in new.collect()]  # names of files of at most a few inserts
-        if files:
-            (stored.where(F.col("file").isin(files)).select(*self.key).repartition(self.buckets, *self.key)
-                   .write.mode("append").insertInto(self.name))
-            self.spark.createDataFrame([(f,) for f in files], FILES).coalesce(1).write.mode("append").parquet(f"{self.path}/files")
+        # Written down first: what is read below is what is marked as seen.
+        new, path = materialize(there if seen is None else there.join(seen, "file", "left_anti"), "new-files", with_path=True)
+        few = [r["file"] for r in new.limit(MAX_NAMED_FILES + 1).collect()]
+        if few:
+            rows = (stored.where(F.col("file").isin(few)) if len(few) <= MAX_NAMED_FILES
+                    else stored.join(new, "file", "left_semi"))
+            rows.select(*self.key).repartition(self.buckets, *self.key).write.mode("append").insertInto(self.name)
+            new.write.mode("append").parquet(f"{self.path}/files")
+        drop_path(self.spark, path)
 
     def new_rows(self, batch: DataFrame, order: list[str] | None = None) -> DataFrame:
         """The rows of `batch` that an insert would add: per key its first row, if the table has

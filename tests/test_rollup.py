@@ -160,9 +160,12 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, scratch):
     assert bits(df) == bits(usage_from_tables(views))
 
 
-def test_insert_by_key_index(spark, scratch):
+@pytest.mark.parametrize("named", [10_000, 0])
+def test_insert_by_key_index(spark, scratch, monkeypatch, named):
     """Inserts shuffle the batch alone; the index follows a table that others append to."""
+    from gridmeter.operators import key_index
     from gridmeter.operators.key_index import KeyIndex
+    monkeypatch.setattr(key_index, "MAX_NAMED_FILES", named)
     schema = "k bigint, j string, v int"
     frame = lambda *rows: spark.createDataFrame(rows, schema)
     made = lambda: KeyIndex(spark, f"{scratch}/table", f"{scratch}/index", ["k", "j"], frame().schema, 4)
