@@ -2,12 +2,13 @@
 
 With a key list that names the types the flattening is a projection of map
 lookups: no shuffle.  Without one, the keys and their types are found by one
-aggregate over the map entries: a key is numeric (double) if every value it has
+aggregate over the maps as VARIANT objects: a key is numeric (double) if every value it has
 is a number, else its values stay text, so no value is lost.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
@@ -17,22 +18,37 @@ from pyspark.sql import functions as F
 MAX_KEYS = 10_000
 
 
+# A name in the text of a schema (in back quotes if it is no plain word) with its type, or a closing bracket.
+_FIELD = re.compile(r"(?:`((?:[^`]|``)*)`|(\w+)): (OBJECT<|\w+)|>")
+
+
 def discover_keys_of(maps: Mapping[str, DataFrame]) -> dict[str, dict[str, str]]:
     """For each (name, DataFrame with one map column): its keys with their types,
-    'double' or 'string', in name order; one job for all of them."""
+    'double' or 'string', in name order; one aggregate for all of them.
+
+    Every map becomes a VARIANT object whose values say only what they are (true for a
+    number or NULL, else empty text), and `schema_of_variant_agg` merges the objects'
+    schemas: no entry is exploded, and a task holds key names, never values.
+    """
     parts = None
     for name, df in maps.items():
-        e = df.select(F.explode(F.col(df.columns[0])).alias("k", "v")).select(
-            F.lit(name).alias("col"), "k",
-            (F.col("v").isNull() | F.col("v").try_cast("double").isNotNull()).alias("numeric"))
-        parts = e if parts is None else parts.unionAll(e)
-    rows = parts.groupBy("col", "k").agg(F.min("numeric").alias("numeric")).limit(MAX_KEYS + 1).collect()
-    if len(rows) > MAX_KEYS:
-        raise ValueError(f"more than {MAX_KEYS} different keys in {', '.join(maps)}")
+        kinds = F.transform_values(df.columns[0], lambda k, v: F.when(
+            v.isNull() | v.try_cast("double").isNotNull(), F.lit(True).cast("variant")).otherwise(F.lit("").cast("variant")))
+        part = df.select(F.to_variant_object(F.create_map(F.lit(name), kinds)).alias("v"))
+        parts = part if parts is None else parts.unionAll(part)
     out: dict[str, dict[str, str]] = {name: {} for name in maps}
-    for r in sorted(rows, key=lambda r: r["k"]):
-        out[r["col"]][r["k"]] = "double" if r["numeric"] else "string"
-    return out
+    inside = None
+    for quoted, plain, kind in _FIELD.findall(parts.agg(F.schema_of_variant_agg("v")).first()[0] or ""):
+        name = quoted.replace("``", "`") or plain
+        if kind == "OBJECT<":
+            inside = out[name]
+        elif kind and inside is not None:
+            inside[name] = "double" if kind == "BOOLEAN" else "string"
+        elif not kind:
+            inside = None
+    if sum(map(len, out.values())) > MAX_KEYS:
+        raise ValueError(f"more than {MAX_KEYS} different keys in {', '.join(maps)}")
+    return {name: dict(sorted(keys.items())) for name, keys in out.items()}
 
 
 def discover_keys(df: DataFrame, map_col: str) -> dict[str, str]:
