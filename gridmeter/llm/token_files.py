@@ -23,8 +23,7 @@ import gc
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
-from operator import itemgetter
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -45,7 +44,9 @@ def bits_of(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
-    """Ids as `bits` bits each, lowest bit first."""
+    """Ids as `bits` bits each, lowest bit first; raises on an id that does not fit."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {ids.max()} does not fit into {bits} bits")
     if bits in (8, 16, 32):
         return ids.astype(f"<u{bits // 8}").tobytes()
     wide = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :bits]
@@ -63,6 +64,29 @@ def unpack(data: bytes, n: int, bits: int, at: int = 0) -> np.ndarray:
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel().astype(np.uint32)
 
 
+class _Numbers(dict):
+    """Chunks with their numbers, in order; a chunk that is asked for gets the next one."""
+
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self)
+        return n
+
+
+class _Grown:
+    """An array that grows at its end, in amortised steps."""
+
+    def __init__(self, kind):
+        self.array, self.n = np.zeros(1_024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.array):
+            wider = np.zeros(max(2 * len(self.array), self.n + len(more)), self.array.dtype)
+            wider[:self.n] = self.array[:self.n]
+            self.array = wider
+        self.array[self.n:self.n + len(more)] = more
+        self.n += len(more)
+
+
 class Tokens:
     """The tokenizers library with a bounded memory of chunks it has encoded.
 
@@ -81,36 +105,48 @@ class Tokens:
         self.library.no_padding()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.byte_level = byte_level
-        self.seen: dict[str, int] = {}     # chunk -> its number
-        self.ends = np.zeros(1, np.int64)  # of each number's ids in `flat`
-        self.flat = np.zeros(0, np.uint32)
+        self.seen: dict[str, int] = {}  # chunk -> its number of ids (counts)
+        self.numbers = _Numbers()       # chunk -> its number (ids)
+        self.starts, self.sizes = _Grown(np.int64), _Grown(np.int64)  # of each number's ids in `flat`
+        self.flat = _Grown(np.uint32)
+        vocabulary = self.library.get_vocab(True)
+        # Tokens that begin with a space, which byte-level vocabularies write as this letter.
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         whole = [i for i, t in enumerate(texts) if not self.byte_level or any(a in t for a in self.added)]
         out: list = [None] * len(texts)
         for i, e in zip(whole, self.library.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, np.uint32)
-        cut = {i: _chunks.chunks(t) for i, t in enumerate(texts) if out[i] is None}
-        new = list(set(chain.from_iterable(cut.values())) - self.seen.keys())
-        new, sizes, ids = self._encode(new)
-        known = len(self.ends) - 1
-        ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
-        flat = np.concatenate((self.flat, ids))
-        self.seen.update(zip(new, range(known, known + len(new)), strict=True))
-        lens = np.diff(ends)
-        for i, cs in cut.items():
-            n = np.fromiter(map(self.seen.__getitem__, cs), np.int64, len(cs))
-            stop = np.cumsum(lens[n])
-            total = int(stop[-1]) if len(n) else 0
-            out[i] = flat[np.repeat(ends[n] - (stop - lens[n]), lens[n]) + np.arange(total)]
+        known = len(self.numbers)
+        cut = {}
+        for i, t in enumerate(texts):
+            if out[i] is None:
+                cs = _chunks.chunks(t)
+                cut[i] = np.fromiter(map(self.numbers.__getitem__, cs), np.int32, len(cs))
+        new = list(islice(reversed(self.numbers), len(self.numbers) - known))[::-1]
         keep = max(0, CACHE - known)
-        for c in new[keep:]:
-            del self.seen[c]
-        last = min(known + keep, len(ends) - 1)
-        if last > known:
-            self.ends, self.flat = ends[:last + 1], flat[:ends[last]]
+        # Those that stay in memory first, so that the others can be cut off at the end.
+        self._remember(new[:keep])
+        n, used = self.starts.n, self.flat.n
+        self._remember(new[keep:])
+        for i, numbers in cut.items():
+            lens = self.sizes.array[numbers]
+            stop = np.cumsum(lens)
+            total = int(stop[-1]) if len(stop) else 0
+            out[i] = self.flat.array[np.repeat(self.starts.array[numbers] - (stop - lens), lens) + np.arange(total)]
+        for _ in range(len(self.numbers) - n):
+            self.numbers.popitem()
+        self.starts.n, self.sizes.n, self.flat.n = n, n, used
         return out
 
+    def _remember(self, new: list[str]) -> None:
+        starts, sizes, ids = self._encode(new)
+        self.starts.add(self.flat.n + starts)
+        self.sizes.add(sizes)
+        self.flat.add(ids)
+
     def counts(self, texts: list[str]) -> list[int]:
         """The number of ids of each text, by the same way without the ids."""
         whole = [i for i, t in enumerate(texts) if not self.byte_level or any(a in t for a in self.added)]
@@ -118,7 +154,8 @@ class Tokens:
         for i, e in zip(whole, self.library.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
             out[i] = len(e)
         cut = {i: _chunks.chunks(t) for i, t in enumerate(texts) if out[i] is None}
-        new, sizes, _ = self._encode(list(set(chain.from_iterable(cut.values())) - self.seen.keys()))
+        new = list(set(chain.from_iterable(cut.values())) - self.seen.keys())
+        _, sizes, _ = self._encode(new)
         self.seen.update(zip(new, sizes.tolist(), strict=True))
         for i, cs in cut.items():
             out[i] = sum(map(self.seen.__getitem__, cs))
@@ -126,27 +163,40 @@ class Tokens:
             del self.seen[c]
         return out
 
-    def _encode(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(chunks, number of ids of each, their ids one after another)."""
-        # Chunks that begin with a space and end with something else may stand side by
-        # side in one text; offsets tell whose token is whose.
-        side = [c for c in new if c[0] == " " and not c[-1].isspace()]
-        alone = [c for c in new if c[0] != " " or c[-1].isspace()]
-        sizes, ids = [], []
-        for at in range(0, len(alone), 4_096):
-            for e in self.library.encode_batch_fast(alone[at:at + 4_096], add_special_tokens=False):
-                sizes.append([len(e)])
-                ids.append(e.ids)
+    def _encode(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where each chunk's ids begin, how many they are, the ids of all)."""
+        # Chunks whose only space is their first character, and that end with something else than
+        # white space, may stand side by side in one text: no token crosses from one into the
+        # next, so the tokens that begin with a space are their first ones.
+        side = [i for i, c in enumerate(new) if c.rfind(" ") == 0 and not c[-1].isspace()]
+        joined = set(side)
+        alone = [i for i in range(len(new)) if i not in joined]
+        starts, sizes = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        flat, used = [], 0
         for at in range(0, len(side), 65_536):
-            lists = [side[i:i + 256] for i in range(at, min(at + 65_536, len(side)), 256)]
-            for own, e in zip(lists, self.library.encode_batch(["".join(x) for x in lists], add_special_tokens=False), strict=True):
-                starts = np.fromiter(map(itemgetter(0), e.offsets), np.int64, len(e))
-                cuts = np.searchsorted(starts, np.cumsum([0, *map(len, own)]))
-                cuts[-1] = len(e)
-                sizes.append(np.diff(cuts))
-                ids.append(e.ids)
-        return (alone + side, np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64),
-                np.fromiter(chain.from_iterable(ids), np.uint32))
+            own = side[at:at + 65_536]
+            lists = [[new[i] for i in own[j:j + 256]] for j in range(0, len(own), 256)]
+            found = self.library.encode_batch_fast(["".join(x) for x in lists], add_special_tokens=False)
+            ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+            first = np.flatnonzero(self.spaced[ids])
+            # Their count in every list must be its chunks'; another vocabulary's chunks go one by one.
+            ends = np.searchsorted(first, np.cumsum([len(e) for e in found]))
+            if not np.array_equal(ends, np.cumsum([len(x) for x in lists])):
+                alone += own
+                continue
+            starts[own] = used + first
+            sizes[own] = np.diff(np.append(first, len(ids)))
+            flat.append(ids)
+            used += len(ids)
+        for at in range(0, len(alone), 4_096):
+            own = alone[at:at + 4_096]
+            found = self.library.encode_batch_fast([new[i] for i in own], add_special_tokens=False)
+            lens = np.array([len(e) for e in found], np.int64)
+            sizes[own] = lens
+            starts[own] = used + np.cumsum(lens) - lens
+            flat.append(np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32))
+            used += len(flat[-1])
+        return starts, sizes, np.concatenate([*flat, np.zeros(0, np.uint32)])
 
 
 def encode(docs: DataFrame, tokenizer: str, bits: int, end_id: int | None, id_col: str = "doc_id",
@@ -175,7 +225,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: i
 
     Documents stand in ascending order of their (numeric) ids, null ids first, rows
     with one id in the order in which they are read.  Null and empty texts have only
-    the end id.  An empty table gives empty files.  Other columns are not read.
+    the end id.  An id that `vocabulary` has no bits for raises.  An empty table gives
+    empty files.  Other columns are not read.
     """
     spark, bits, kind = docs.sparkSession, bits_of(vocabulary), dict(docs.dtypes)[id_col]
     shards = max(1, min(MAX_SHARDS, -(-docs.count() // shard_docs)))

@@ -95,6 +95,11 @@ def test_packing_round_trip(bits):
     assert (token_files.unpack(data, 100, bits, 877) == ids[877:977]).all()
 
 
+def test_an_id_beyond_the_bits_raises():
+    with pytest.raises(ValueError, match="70000 does not fit into 16 bits"):
+        token_files.pack(np.array([1, 70_000], np.uint32), 16)
+
+
 def stream(rows, library):
     """(doc_id, start, n, crc) in order, and all ids."""
     out, ids = [], []
