@@ -244,5 +244,6 @@ def report_diagnostics(reports: DataFrame) -> DataFrame:
                      "unreadable_task_stats")
                .when(s["error_summary"].isNull() & bad_fields, "transfer_missing_fields")
                .when(s["error_summary"].isNull() & bad_values, "transfer_bad_value"))
-    return (e.select("dataset_id", "task_id", "stat_id", "ord", reason.alias("reason"))
-             .where(F.col("reason").isNotNull()).unionByName(unread))
+    # No filter: Spark would push it below the parse and parse for each of its terms again.
+    return (e.select("dataset_id", "task_id", "stat_id", "ord", F.explode(F.array_compact(F.array(reason))).alias("reason"))
+            .unionByName(unread))

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridmeter.operators.documents import report_diagnostics
 from gridmeter.operators.reports import report_problems
@@ -48,3 +49,16 @@ def test_strict(spark):
     with pytest.raises(Exception, match="task without job"):
         usage_from_reports(*_listing(spark, "{}", job="J9"), strict=True).collect()
     assert usage_from_reports(*_listing(spark, doc)).count() == 1
+
+
+def test_each_report_is_parsed_once_for_its_problem(spark):
+    stats = spark.createDataFrame([(1, 1, '{"error":"maybe"}'), (2, 1, '{"error":true}'), (3, 2, "{")],
+                                  "task_stat_id long, task_id long, stat string")
+    # Text made by the plan, as a scan's is not: a filter on the reason must not copy it either.
+    found = report_problems(stats.withColumn("stat", F.regexp_replace("stat", "x+", "x")))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert {(r["task_stat_id"], r["reason"]) for r in found.collect()} == {(1, "bad_error_value"), (3, "unparseable_report")}
+    docs = spark.createDataFrame([("a", "1", '{"9":{"stats":{}}}')], "dataset_id string, task_id string, doc string")
+    found = report_diagnostics(docs)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
+    assert [(r["stat_id"], r["reason"]) for r in found.collect()] == [("9", "missing_task_stats")]
