@@ -1,14 +1,11 @@
-"""Byte-level BPE: ranked merges folded by higher-order functions.
-
-Encoding, in one narrow stage without a shuffle:
-1. Each task cuts its texts into blocks of about `BLOCK_BYTES` (whole texts)
-   and each text into words by the tokenizer's pattern, and emits one row for
-   each distinct word of the block (its bytes' tokens, with the ranks of the
-   neighbouring pairs between them), then one row for each text (which words it has).
-2. `aggregate` folds the merges over each distinct word: find the smallest
-   rank, merge its leftmost pair, look up the two new pairs in the rank map, a
-   constant of the plan.  Spark evaluates it row by row; nothing is collected.
-3. The same tasks replace each text's words by their tokens.
+"""Byte-level BPE: ranked merges, one step of all words of a block at a time.
+
+Encoding, in one narrow stage without a shuffle.  Each task cuts its texts into blocks of
+about `BLOCK_BYTES` (whole texts) and each text into words by the tokenizer's pattern.
+The distinct words of a block that are no token themselves are laid into one array of
+byte tokens with the ranks of neighbouring pairs beside it; every step finds each word's
+smallest rank, merges its leftmost pair and looks up the two new pairs, until no word
+has a pair left.  Then each text's words are replaced by their tokens.
 
 Decoding concatenates the binary pieces of the tokens.
 
@@ -114,23 +111,45 @@ def _constant(spark: SparkSession, value: dict, kind: str) -> Column:
     return spark.createDataFrame([(json.dumps(value),)], "j string").select(F.from_json("j", kind).alias("v")).scalar()
 
 
-def merge_fold(ranks: Ranks, word: str, table: str) -> str:
-    """SQL: the tokens of `word` (edge, no rank, token, rank, token, ..., no rank, edge),
-    as an array of the same form; `table` is the struct (pair, place)."""
-    flag, shift = ranks.flag, ranks.shift
-
-    def rank(left: str, right: str) -> str:
-        return (f"(get({table}.pair, cast(get({table}.place, cast({left} as int)) + {right} as int)) "
-                f"^ shiftleft({left}, {shift}))")
-
-    merged = f"(m | {flag}L)"
-    one = (f"concat(slice(d, 1, p - 3), array({rank('d[p - 4]', merged)}, {merged}, {rank(merged, 'd[p + 2]')}), "
-           f"slice(d, p + 3, size(d)))")
-    # m: smallest rank; p: its leftmost place.  aggregate() over one element binds a name.
-    step = (f"aggregate(array(array_min(a)), a, (c, m) -> if(m >= {flag}L, c, "
-            f"aggregate(array(cast(array_position(c, m) as int)), c, (d, p) -> {one})))")
-    # A word of n tokens has 2n + 3 entries and at most n - 1 merges.
-    return f"aggregate(sequence(1, (size({word}) - 3) div 2), {word}, (a, k) -> {step})"
+def _pair_ranks(ranks: Ranks, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The rank of each pair of tokens; at least `flag` where it is none."""
+    at = ranks.place[left] + right
+    inside = (at >= 0) & (at < len(ranks.pair))
+    entry = ranks.pair[np.where(inside, at, 0)]
+    hit = inside & (entry >> ranks.shift == left)
+    return np.where(hit, entry & ((1 << ranks.shift) - 1), ranks.flag)
+
+
+def merge(words: list[bytes], ranks: Ranks, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of ids of each word, the ids of all words in order): in every word, of one byte
+    at least, the leftmost pair of the smallest rank is merged until none is left."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    token = byte[np.frombuffer(b"".join(words), np.uint8)]
+    word = np.repeat(np.arange(len(words)), sizes)
+    rank = np.full(len(token), ranks.flag, np.int64)
+    same = np.flatnonzero(word[:-1] == word[1:])
+    rank[same] = _pair_ranks(ranks, token[same], token[same + 1])
+    done = [(word[:0], token[:0])]
+    while len(token):
+        starts = np.flatnonzero(np.diff(word, prepend=-1))
+        best = np.minimum.reduceat((rank << 32) + np.arange(len(rank)), starts)
+        live = best >> 32 < ranks.flag
+        keep = np.repeat(live, np.diff(np.append(starts, len(word))))
+        done.append((word[~keep], token[~keep]))
+        at = best[live] & 0xFFFFFFFF
+        token[at] = best[live] >> 32 | ranks.flag
+        keep[at + 1] = False  # what was there is part of the merged token
+        now = np.cumsum(keep)[at] - 1
+        token, word, rank = token[keep], word[keep], rank[keep]
+        for first in (now - 1, now):  # the pairs on either side of each merged token
+            first = first[(first >= 0) & (first + 1 < len(word))]
+            first = first[word[first] == word[first + 1]]
+            rank[first] = _pair_ranks(ranks, token[first], token[first + 1])
+        end = (now + 1 >= len(word)) | (word[np.minimum(now + 1, len(word) - 1)] != word[now])
+        rank[now[end]] = ranks.flag
+    word, token = (np.concatenate(x) for x in zip(*done, strict=True))
+    order = np.argsort(word, kind="stable")
+    return np.bincount(word, minlength=len(words)), (token[order] & (ranks.flag - 1)).astype(np.int32)
 
 
 class _Words(dict):
@@ -142,41 +161,36 @@ class _Words(dict):
 
 
 class _Chunks(dict):
-    """The words of each distinct chunk of one block, found when a chunk is first met."""
+    """The words of each distinct chunk of one block, found when a chunk (by its key) is first met."""
 
     def __init__(self, pattern: str):
         super().__init__()
         self.find, self.words = regex.compile(pattern).findall, _Words()
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        self[chunk] = own = tuple(map(self.words.__getitem__, self.find(chunk)))
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        self[key] = own = tuple(map(self.words.__getitem__, self.find(_chunks.chunk(key))))
         return own
 
     def numbers(self, text: str) -> bytes:
         """The words of a whole text, as 32-bit integers."""
-        cut = map(self.__getitem__, _chunks.chunks(text))
+        cut = map(self.__getitem__, _chunks.keys(text))
         return np.fromiter(chain.from_iterable(cut), np.int32).tobytes()
 
 
-def _word_rows(words: list[str], ranks: Ranks, byte: np.ndarray, first: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """(known, word) columns: the token of a word that is one, else the word's bytes as the fold's array."""
+def _word_ids(words: list[str], ranks: Ranks, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(where each word's ids begin, how many they are, the ids of all)."""
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
-    known = [ranks.ids.get(r) for r in raw]
-    size = np.array([len(r) if k is None else 0 for r, k in zip(raw, known, strict=True)], np.int64)
-    data = np.frombuffer(b"".join(r for r, k in zip(raw, known, strict=True) if k is None), np.uint8)
-    long = np.where(size > 0, 2 * size + 3, 0)
-    ends = np.cumsum(long)
-    flat = np.full(int(ends[-1]) if len(ends) else 0, _EMPTY, np.int64)
-    starts = (ends - long)[size > 0]
-    at = np.repeat(starts + 2, size[size > 0]) + 2 * (np.arange(len(data)) - np.repeat(np.cumsum(size[size > 0]) - size[size > 0], size[size > 0]))
-    flat[at] = byte[data]
-    if len(data) > 1:
-        inner = np.flatnonzero(np.diff(at) == 2)
-        flat[at[inner] + 1] = first[data[inner].astype(np.int64) * 256 + data[inner + 1]]
-    flat[starts] = flat[(ends - 1)[size > 0]] = ranks.edge
-    offsets = np.concatenate(([0], ends)).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(offsets, mask=np.concatenate((size == 0, [False]))), pa.array(flat))
-    return pa.array(known, pa.int32()), lists
+    known = np.array([ranks.ids.get(r, -1) for r in raw], np.int32)
+    rest = np.flatnonzero(known < 0)
+    sizes, flat, used = np.ones(len(words), np.int64), [known], len(words)
+    starts = np.arange(len(words))
+    for i in range(0, len(rest), 16_384):
+        own = rest[i:i + 16_384]
+        sizes[own], ids = merge([raw[k] for k in own], ranks, byte)
+        starts[own] = used + np.cumsum(sizes[own]) - sizes[own]
+        flat.append(ids)
+        used += len(ids)
+    return starts, sizes, np.concatenate(flat)
 
 
 def _gather(starts: np.ndarray, lens: np.ndarray, values: np.ndarray, idx: np.ndarray) -> np.ndarray:
@@ -193,31 +207,27 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, id_col: str = "doc_id",
     the whole text without special tokens.
 
     Null and empty texts have no tokens.  Null and repeated ids are passed on.
-    Other columns are not read.  A word's fold takes time with the square of its
+    Other columns are not read.  A word takes time with the square of its
     length; the pattern keeps words of one kind of character apart.
     """
-    spark = docs.sparkSession
     arrow = docs.select(F.col(id_col).alias("id")).limit(0).toArrow().schema.field("id").type
     kind = dict(docs.dtypes)[id_col]
     byte = np.array([ranks.ids[bytes([i])] | ranks.flag for i in range(256)], np.int64)
-    first = np.array([ranks.ids.get(bytes([i, j]), _EMPTY) for i in range(256) for j in range(256)], np.int64)
-    schema = pa.schema([("id", arrow), ("known", pa.int32()), ("word", pa.list_(pa.int64())), ("seq", pa.binary())])
+    schema = pa.schema([("id", arrow), ("ids", pa.list_(pa.int32()))])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here makes cycles, and a block has many objects to look through
         block, texts, size = _Chunks(pattern), [], 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            words = list(block.words)
-            for i in range(0, len(words), 4_096):
-                known, lists = _word_rows(words[i:i + 4_096], ranks, byte, first)
-                n = len(known)
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, arrow), known, lists, pa.nulls(n, pa.binary())], schema=schema)
-            for i in range(0, len(texts), 512):
-                part = texts[i:i + 512]
-                n = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in part], arrow), pa.nulls(n, pa.int32()),
-                                                  pa.nulls(n, pa.list_(pa.int64())), pa.array([s for _, s in part], pa.binary())], schema=schema)
+            table = _word_ids(list(block.words), ranks, byte)
+            for i in range(0, len(texts), 256):
+                part = texts[i:i + 256]
+                got = [_gather(*table, np.frombuffer(s, np.int32)) for _, s in part]
+                offsets = np.cumsum([0, *map(len, got)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _ in part], arrow), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got)))],
+                    schema=schema)
         for b in batches:
             for at in range(0, len(b), 256):  # Python strings of a few texts at a time
                 part = b.slice(at, 256)
@@ -230,55 +240,8 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, id_col: str = "doc_id",
         if texts:
             yield from rows()
 
-    flag, edge = ranks.flag, ranks.edge
-    fold = (f"if(word is null, null, filter(aggregate(array(ranks), cast(array() as array<bigint>), (z, r) -> "
-            f"{merge_fold(ranks, 'word', 'r')}), (v, i) -> i % 2 = 0 and v < {edge}L))")
-    table = _constant(spark, {"pair": ranks.pair.tolist(), "place": ranks.place.tolist()},
-                      "struct<pair:array<bigint>,place:array<bigint>>")
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-        cut, f"id {kind}, known int, word array<bigint>, seq binary")
-    folded = rows.select("*", table.alias("ranks")).select("id", "known", F.expr(fold).alias("tokens"), "seq")
-    result = pa.schema([("id", arrow), ("ids", pa.list_(pa.int32()))])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Words come before the texts of their block, in the order in which `cut` emitted them.
-        sizes: list[np.ndarray] = []
-        values: list[np.ndarray] = []
-        table = None
-        for b in batches:
-            is_word = np.array(b.column(3).is_null())
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(is_word)) + 1, [len(is_word)]))
-            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                if hi == lo:
-                    continue
-                part = b.slice(lo, hi - lo)
-                if is_word[lo]:
-                    if table is not None:
-                        sizes, values, table = [], [], None
-                    known, lists = part.column(1), part.column(2)
-                    n = np.array(lists.value_lengths().fill_null(1), np.int64)
-                    own = np.zeros(int(n.sum()), np.int32)
-                    single = np.array(lists.is_null())
-                    ends = np.cumsum(n)
-                    own[(ends - 1)[single]] = np.array(known.drop_null(), np.int32)
-                    inside = np.ones(len(own), bool)
-                    inside[(ends - 1)[single]] = False
-                    own[inside] = np.array(lists.flatten(), np.int64) & (flag - 1)
-                    sizes.append(n)
-                    values.append(own)
-                    continue
-                if table is None:
-                    n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-                    table = (np.cumsum(n) - n, n, np.concatenate(values) if values else np.zeros(0, np.int32))
-                for at in range(0, hi - lo, 256):
-                    some = part.slice(at, 256)
-                    seqs = [np.frombuffer(s, np.int32) for s in some.column(3).to_pylist()]
-                    got = [_gather(*table, s) for s in seqs]
-                    offsets = np.concatenate(([0], np.cumsum([len(x) for x in got]))).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [some.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(got)))], schema=result)
-
-    return folded.mapInArrow(join, f"id {kind}, ids array<int>").select(F.col("id").alias(id_col), F.col("ids").alias(out))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
+    return rows.select(F.col("id").alias(id_col), F.col("ids").alias(out))
 
 
 def decode(encoded: DataFrame, ids: dict[bytes, int], ids_col: str = "ids", out: str = "decoded") -> DataFrame:

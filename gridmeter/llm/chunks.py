@@ -26,3 +26,27 @@ def chunks(text: str) -> list[str]:
     # Every space stands alone between other characters: cutting before each is the same cut.
     first, *rest = text.split(" ")
     return ([first] if first else []) + [" " + r for r in rest]
+
+
+def keys(text: str) -> list[str]:
+    """`chunks` by names that need no copying for most: a chunk of one space and what follows
+    goes by what follows, any other by a space and itself (`chunk` undoes it)."""
+    for blanks in _BLANKS:
+        if blanks in text:
+            return list(map(_key, _RUN.findall(text)))
+    if not text.isascii() and any(c in text for c in _WIDE):
+        return list(map(_key, _RUN.findall(text)))
+    parts = text.split(" ")
+    if parts[0]:
+        parts[0] = " " + parts[0]
+    else:
+        del parts[0]
+    return parts
+
+
+def _key(chunk: str) -> str:
+    return chunk[1:] if chunk[0] == " " and chunk[1:2] != " " else " " + chunk
+
+
+def chunk(key: str) -> str:
+    return key[1:] if key[:1] == " " else " " + key

@@ -171,3 +171,24 @@ def test_counts_of_spliced_chunks(spark, odd, library):
 
 def test_counts_empty(empty):
     assert token_counts.count_tokens(empty, JSON).count() == 0
+
+
+def test_merges_of_many_words_at_once(docs, ranks, table):
+    encoded = bpe.encode(docs, table, public_tokenizers.PATTERN)
+    assert encoded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    g = random.Random(5)
+    words = [bytes(g.choices(b"abcdest  \xc3\xa9", k=g.randint(1, 30))) for _ in range(300)] + [b"a" * 500, b"x"]
+
+    def one(word):
+        parts = [bytes([b]) for b in word]
+        while True:
+            found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]
+            if not found:
+                return [ranks[p] for p in parts]
+            _, i = min(found)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+    byte = np.array([ranks[bytes([i])] | table.flag for i in range(256)], np.int64)
+    sizes, ids = bpe.merge(words, table, byte)
+    want = [one(w) for w in words]
+    assert sizes.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
