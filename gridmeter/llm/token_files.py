@@ -65,10 +65,10 @@ def unpack(data: bytes, n: int, bits: int, at: int = 0) -> np.ndarray:
 
 
 class _Numbers(dict):
-    """Chunks with their numbers, in order; a chunk that is asked for gets the next one."""
+    """Chunks (by their keys) with their numbers, in order; one that is asked for gets the next."""
 
-    def __missing__(self, chunk: str) -> int:
-        n = self[chunk] = len(self)
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
         return n
 
 
@@ -106,7 +106,7 @@ class Tokens:
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.byte_level = byte_level
         self.seen: dict[str, int] = {}  # chunk -> its number of ids (counts)
-        self.numbers = _Numbers()       # chunk -> its number (ids)
+        self.numbers = _Numbers()       # a chunk's key -> its number (ids)
         self.starts, self.sizes = _Grown(np.int64), _Grown(np.int64)  # of each number's ids in `flat`
         self.flat = _Grown(np.uint32)
         vocabulary = self.library.get_vocab(True)
@@ -123,9 +123,9 @@ class Tokens:
         cut = {}
         for i, t in enumerate(texts):
             if out[i] is None:
-                cs = _chunks.chunks(t)
-                cut[i] = np.fromiter(map(self.numbers.__getitem__, cs), np.int32, len(cs))
-        new = list(islice(reversed(self.numbers), len(self.numbers) - known))[::-1]
+                keys = _chunks.keys(t)
+                cut[i] = np.fromiter(map(self.numbers.__getitem__, keys), np.int32, len(keys))
+        new = list(map(_chunks.chunk, islice(reversed(self.numbers), len(self.numbers) - known)))[::-1]
         keep = max(0, CACHE - known)
         # Those that stay in memory first, so that the others can be cut off at the end.
         self._remember(new[:keep])

@@ -192,3 +192,12 @@ def test_merges_of_many_words_at_once(docs, ranks, table):
     sizes, ids = bpe.merge(words, table, byte)
     want = [one(w) for w in words]
     assert sizes.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_chunks_by_key():
+    g = random.Random(11)
+    for _ in range(3_000):
+        text = "".join(g.choices(["a", "bc", " ", "  ", "\n", "\t", "\u00e9", "\u3000", "\x85"], k=g.randint(0, 9)))
+        keys = chunks.keys(text)
+        assert [chunks.chunk(k) for k in keys] == chunks.chunks(text)
+        assert len(set(keys)) == len(set(chunks.chunks(text)))
