@@ -92,10 +92,23 @@ def score(x: np.ndarray, w: dict) -> float:
     return float(1 / (1 + np.exp(-np.clip(z / total @ w["c"] + w["b"], -40, 40))))
 
 
+def _wide(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.float32) if x.dtype == np.float16 else x
+
+
+def _mean(bags: list[np.ndarray]) -> np.ndarray:
+    """The mean of all rows, added in their order without laying the bags side by side."""
+    total = _wide(bags[0]).sum(0)
+    for bag in bags[1:]:
+        total = np.add.reduce(np.concatenate((total[None], _wide(bag))))
+    return np.true_divide(total, np.intp(sum(map(len, bags))), out=total, casting="unsafe")
+
+
 def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, seed: int = 7) -> dict:
-    """Gated-attention weights by Adam on the log loss; `bags` in any order, labels 0 or 1."""
+    """Gated-attention weights by Adam on the log loss; `bags` in any order, labels 0 or 1.
+    Bags of half-precision numbers stay so and are widened a batch at a time."""
     g = np.random.default_rng(seed)
-    w = {"mean": np.concatenate(bags).mean(0) if bags else np.zeros(FEATURES), "E": g.normal(0, 0.3, (FEATURES, HIDDEN)),
+    w = {"mean": _mean(bags) if bags else np.zeros(FEATURES), "E": g.normal(0, 0.3, (FEATURES, HIDDEN)),
          "e": np.zeros(HIDDEN), "V": g.normal(0, 0.3, (HIDDEN, ATTENTION)), "U": g.normal(0, 0.3, (HIDDEN, ATTENTION)),
          "a": g.normal(0, 0.3, ATTENTION), "c": g.normal(0, 0.3, HIDDEN), "b": np.zeros(())}
     if not bags:
@@ -106,7 +119,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, seed: int
         order = g.permutation(len(bags))
         for at in range(0, len(order), 32):
             batch = order[at:at + 32]
-            x = np.concatenate([bags[i] for i in batch])
+            x = _wide(np.concatenate([bags[i] for i in batch]))
             n = np.array([len(bags[i]) for i in batch])
             first = np.concatenate(([0], np.cumsum(n)[:-1]))
             bag = np.repeat(np.arange(len(batch)), n)
@@ -194,13 +207,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         taken = (found.select("row", "k", "y", "n", "digest").orderBy(F.xxhash64("k"), "k", "digest", "row").limit(sample)
                  .select("row", "y", "n").collect())
         cap = passage_cap(np.array([r["n"] for r in taken], np.int64), 4 * sample_bytes // (2 * FEATURES))
-        bags = {}
+        # One array for all, which is given back as a whole; many small ones leave the heap in pieces.
+        ends = np.cumsum([min(r["n"], cap) for r in taken], dtype=np.int64)
+        place = {r["row"]: i for i, r in enumerate(taken)}
+        bags = np.split(np.empty((int(ends[-1]) if taken else 0, FEATURES), "<f2"), ends[:-1])
         features = thin(F.col("k"), F.col("n"), F.col("x"), cap) if any(r["n"] > cap for r in taken) else F.col("x")
         for row in found.where(F.col("row").isin([r["row"] for r in taken])).select("row", features.alias("x")).toLocalIterator():
-            bags[row["row"]] = np.frombuffer(row["x"], "<f2").reshape(-1, FEATURES).astype(np.float32)
+            bags[place[row["row"]]][:] = np.frombuffer(row["x"], "<f2").reshape(-1, FEATURES)
     finally:
         drop_path(docs.sparkSession, path)
-    return fit([bags[r["row"]] for r in taken], np.array([r["y"] for r in taken], float))
+    return fit(bags if taken else [], np.array([r["y"] for r in taken], float))
 
 
 def score_all(docs: DataFrame, model: dict, text_col: str = "text", out: str = "score") -> DataFrame:

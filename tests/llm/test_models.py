@@ -429,3 +429,15 @@ def test_pipeline_empty(spark, empty, scratch):
 def test_vocabulary_must_hold_all_bytes():
     with pytest.raises(ValueError, match="lacks the bytes"):
         bpe.pair_table({b"a": 0})
+
+
+def test_the_fit_holds_no_second_copy_of_the_bags():
+    import tracemalloc
+    g = np.random.default_rng(3)
+    bags = [(g.random((60, quality.FEATURES)) * 2).astype("<f2") for _ in range(800)]
+    wide = np.concatenate([b.astype(np.float32) for b in bags]).mean(0)
+    tracemalloc.start()
+    weights = quality.fit(bags, np.zeros(len(bags)), epochs=0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2_000_000 and np.array_equal(weights["mean"], wide)
