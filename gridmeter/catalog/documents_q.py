@@ -11,7 +11,7 @@ from gridmeter.oracle import r6, with_views
 from gridmeter.operators import documents as docs
 from gridmeter.plans.usage_reports import usage_from_reports
 from gridmeter.sources import landed
-from gridmeter.session import scratch_path
+from gridmeter.session import drop_path, materialize, scratch_path
 from gridmeter.sources.derived import flawed_reports, landed_documents
 
 
@@ -92,7 +92,9 @@ def q_usage_from_split_reports(spark, sf_dir):
     """The same rows with every document above 1,500 bytes split into its reports,
     whose figures are merged by position."""
     s = _scanned(spark, sf_dir)
-    return usage_from_reports(s["datasets"], s["jobs"], s["tasks"], s["reports"], split_above=1_500)
+    # Read three times (short documents, long ones, keys), so they land once.
+    reports = materialize(s["reports"], "landed-reports")
+    return usage_from_reports(s["datasets"], s["jobs"], s["tasks"], reports, split_above=1_500)
 
 
 @query("usage_sorted", _doc_sql(_USAGE_SELECT))
@@ -307,6 +309,8 @@ def q_harvest_key_types(spark, sf_dir):
     from gridmeter.plans.harvest import harvest
     from gridmeter.sources.sinks import read_usage
     docs_, base = landed_documents(spark, sf_dir), _fresh(spark, "key-types")
+    # The two landings take their rows from one computation of the reports.
+    docs_["reports"], stored = materialize(docs_["reports"], "key-types-reports", with_path=True)
     early = {k: df.where(F.col("dataset_id").cast("int") < 12) for k, df in docs_.items() if k in ("tasks", "jobs", "reports")}
     late = {k: df.where(F.col("dataset_id").cast("int") >= 12) for k, df in docs_.items() if k in ("tasks", "jobs", "reports")}
     number = F.expr("CAST(map_keys(from_json(doc, 'MAP<STRING, STRING>'))[0] AS INT)")
@@ -315,6 +319,7 @@ def q_harvest_key_types(spark, sf_dir):
     for part in (early, late):
         _land(part, f"{base}/landing", kinds=tuple(part))
         harvest(spark, f"{base}/landing", f"{base}/out")
+    drop_path(spark, stored)
     return read_usage(spark, f"{base}/out")
 
 
@@ -326,7 +331,7 @@ def q_harvest_one_dataset(spark, sf_dir):
     from gridmeter.sources.sinks import read_usage
     docs_, base = landed_documents(spark, sf_dir), _fresh(spark, "one")
     for kind in ("tasks", "jobs", "reports"):
-        docs_[kind].repartition("dataset_id").write.partitionBy("dataset_id").json(f"{base}/landing/{kind}")
+        docs_[kind].hint("rebalance", "dataset_id").write.partitionBy("dataset_id").json(f"{base}/landing/{kind}")
     docs_["datasets"].write.json(f"{base}/landing/datasets")
     harvest(spark, f"{base}/landing", f"{base}/out")
     harvest(spark, f"{base}/landing", f"{base}/out", include=[20003, 20004, 20011])

@@ -130,7 +130,7 @@ def report_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((etype != "error") & ~as_string, task_stats).alias("task_stats"),
     ))
     # Early reports hold task_stats as a string containing JSON.
-    wrapped = F.to_json(F.struct(F.to_json(task_stats).alias("task_stats")))
+    wrapped = F.when((etype != "error") & as_string, F.to_json(F.struct(F.to_json(task_stats).alias("task_stats"))))
     spliced = F.concat(F.expr("substring(base, 1, length(base) - 1)"), F.lit(","),
                        F.expr("substring(wrapped, 2)"))
     return (e.withColumn("base", base).withColumn("wrapped", wrapped)

@@ -375,3 +375,38 @@ def test_other_dataset_is_listed_and_strict_raises(spark, scratch):
     assert [r["reason"] for r in landed.corrupt_records(raw, "tasks").collect()] == ["other_dataset"]
     with pytest.raises(Exception, match="unreadable record in tasks"):
         landed.checked(raw, "tasks").collect()
+
+
+def test_text_form_of_task_stats_only_where_a_report_holds_it(spark):
+    from gridmeter.sources.derived import report_stats
+    plan = report_stats(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan[:plan.index(" AS wrapped#")].endswith(" END")
+
+
+def test_both_landings_take_their_reports_from_one_computation(spark, monkeypatch):
+    from gridmeter.catalog import documents_q
+    names = []
+
+    def stored(df, name, **more):
+        names.append(name)
+        raise InterruptedError(name)
+
+    monkeypatch.setattr(documents_q, "materialize", stored, raising=False)
+    with pytest.raises(InterruptedError):
+        documents_q.q_harvest_key_types(spark, "/root/testdata/sf0.001")
+    assert names == ["key-types-reports"]
+
+
+def test_landed_files_of_a_large_dataset_are_several(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    from gridmeter.catalog import documents_q
+    plans = []
+
+    def partition_by(self, *columns):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        raise InterruptedError
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", partition_by)
+    with pytest.raises(InterruptedError):
+        documents_q.q_harvest_one_dataset(spark, "/root/testdata/sf0.001")
+    assert "RebalancePartitions" in plans[0]

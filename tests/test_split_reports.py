@@ -54,3 +54,9 @@ def test_a_long_document_is_worked_on_by_many_tasks(spark):
     (row,) = found.collect()
     assert (row["n_reports"], row["site"], row["output_size"], row["output_duration"]) == (20_000, "S19999", 40.0, 0.4)
     assert str(row["time_finished"]) == "2020-01-28 00:00:00" and row["mem_wastage"] == 0.0
+
+
+def test_reports_are_computed_once_for_split_documents(spark):
+    from gridmeter import catalog
+    files = catalog.queries()["usage_from_split_reports"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not [f for f in files if "lineitem" in f]
